@@ -18,6 +18,7 @@ from condmon.functions import features as FX
 from condmon.functions.timestamps import published_timestamp, snapshot_time
 from condmon.operators.entropy import histogram_entropy
 from condmon.operators.features import feature_table, snapshot_features, stream_features
+from condmon.operators.supervised import rul_cycles, rul_supervised
 from condmon.schemas import BATCH_FEATURES, CHANNELS, STREAM_FEATURES, feature_columns
 from condmon.sources import bearing_files as BF
 from condmon.sources import driver_tables as T
@@ -237,3 +238,67 @@ SELECT vec_id, test_set, CAST(w AS INTEGER) AS width,
        w = CASE test_set WHEN '1st_test' THEN 8 ELSE 4 END AS keep_by_test,
        {', '.join(cells)}
 FROM parsed"""
+
+
+# ---------------------------------------------------------------------------
+# RUL cycles and the aligned supervised table
+# ---------------------------------------------------------------------------
+def _signal_rows_mixed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``signal_rows`` where the third set's files are named day-first, so
+    none of them parses and that set falls back to name order."""
+    rows = T.signal_rows(spark, sf_dir)
+    return rows.withColumn(
+        "file",
+        F.when(
+            F.col("test_set") == "3rd_test",
+            F.concat_ws(".", *[F.element_at(F.split("file", r"\."), i) for i in (3, 2, 1, 4, 5, 6)]),
+        ).otherwise(F.col("file")),
+    )
+
+
+SQL_SIGNAL_MIXED = SQL_SIGNAL + """,
+sigm AS (
+  SELECT * REPLACE (CASE WHEN test_set = '3rd_test'
+                    THEN concat_ws('.', string_split(file, '.')[3], string_split(file, '.')[2],
+                                   string_split(file, '.')[1], string_split(file, '.')[4],
+                                   string_split(file, '.')[5], string_split(file, '.')[6])
+                    ELSE file END AS file)
+  FROM sig
+)"""
+
+
+def q_rul_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _signal_rows_mixed_names(spark, sf_dir)
+    feats = snapshot_features(rows, features=["max"])
+    return compare_form(rul_cycles(feats).select("test_set", "file", "event_ts", "cycle", "rul"))
+
+
+def sql_rul_cycles() -> str:
+    return f"""WITH {SQL_SIGNAL_MIXED},
+snap AS (SELECT DISTINCT test_set, file FROM sigm),
+t AS (SELECT *, try_strptime(file, '%Y.%m.%d.%H.%M.%S') AS event_ts FROM snap),
+b AS (SELECT *, sum(CASE WHEN event_ts IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY test_set) AS bad,
+             count(*) OVER (PARTITION BY test_set) AS n FROM t),
+c AS (SELECT *, row_number() OVER (PARTITION BY test_set
+                ORDER BY CASE WHEN bad = 0 THEN event_ts END, file) AS cycle FROM b)
+SELECT test_set, file, event_ts, cycle, n - cycle + 1 AS rul FROM c"""
+
+
+def q_rul_supervised_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = T.signal_rows(spark, sf_dir)
+    feats = snapshot_features(rows, features=list(STREAM_FEATURES))
+    return compare_form(rul_supervised(rul_cycles(feats)))
+
+
+def sql_rul_supervised_aligned() -> str:
+    aggs = [f"{_sql_feature(ch, f)} AS {ch}_{f}" for ch in ("b3", "b4") for f in STREAM_FEATURES]
+    sel = []
+    for ch, owners in (("b3", "('1st_test', '3rd_test')"), ("b4", "('2nd_test')")):
+        for f in STREAM_FEATURES:
+            sel.append(f"{r6(f'CASE WHEN test_set IN {owners} THEN {ch}_{f} ELSE 0.0 END')} AS {ch}_{f}")
+    return f"""WITH {SQL_SIGNAL},
+feat AS (SELECT test_set, file, {', '.join(aggs)} FROM sig GROUP BY test_set, file),
+c AS (SELECT *, row_number() OVER (PARTITION BY test_set
+                ORDER BY try_strptime(file, '%Y.%m.%d.%H.%M.%S'), file) AS cycle,
+             count(*) OVER (PARTITION BY test_set) AS n FROM feat)
+SELECT test_set, file, {', '.join(sel)}, n - cycle + 1 AS rul FROM c"""

@@ -20,6 +20,8 @@ def queries() -> dict[str, QueryFn]:
         "p2p_batch_vs_stream": C.q_p2p_batch_vs_stream,
         "file_timestamp": C.q_file_timestamp,
         "column_guard_channels": C.q_column_guard_channels,
+        "rul_cycles": C.q_rul_cycles,
+        "rul_supervised_aligned": C.q_rul_supervised_aligned,
     }
 
 
@@ -32,4 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "p2p_batch_vs_stream": C.sql_p2p_batch_vs_stream(),
         "file_timestamp": C.sql_file_timestamp(),
         "column_guard_channels": C.sql_column_guard_channels(),
+        "rul_cycles": C.sql_rul_cycles(),
+        "rul_supervised_aligned": C.sql_rul_supervised_aligned(),
     }
