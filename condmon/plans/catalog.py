@@ -19,6 +19,12 @@ from condmon.functions.timestamps import published_timestamp, snapshot_time
 from condmon.operators.entropy import histogram_entropy
 from condmon.operators.features import feature_table, snapshot_features, stream_features
 from condmon.operators.supervised import rul_cycles, rul_supervised
+from condmon.operators import cleaning as CL
+from condmon.operators import joins as J
+from condmon.operators import metrics as ME
+from condmon.operators import splits as SP
+from condmon.sources import topics as TP
+from condmon.schemas import TOOLWEAR_RECORD, TOOLWEAR_TOPIC
 from condmon.schemas import BATCH_FEATURES, CHANNELS, STREAM_FEATURES, feature_columns
 from condmon.sources import bearing_files as BF
 from condmon.sources import driver_tables as T
@@ -302,3 +308,277 @@ c AS (SELECT *, row_number() OVER (PARTITION BY test_set
                 ORDER BY try_strptime(file, '%Y.%m.%d.%H.%M.%S'), file) AS cycle,
              count(*) OVER (PARTITION BY test_set) AS n FROM feat)
 SELECT test_set, file, {', '.join(sel)}, n - cycle + 1 AS rul FROM c"""
+
+
+# ---------------------------------------------------------------------------
+# Topic records: publish -> route -> parse
+# ---------------------------------------------------------------------------
+SQL_MACHINE = """
+mach AS (
+  SELECT 'experiment_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS experiment,
+         epoch_us(ts) / 1e6 AS time,
+         value AS X1_ActualPosition,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS Y1_ActualPosition,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS M1_CURRENT_FEEDRATE,
+         CAST(event_id AS DOUBLE) AS M1_sequence_number,
+         CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END AS M1_CURRENT_PROGRAM_NUMBER,
+         CASE event_type WHEN 'view' THEN 'Layer 1 Up' WHEN 'click' THEN 'Layer 1 Down'
+              WHEN 'purchase' THEN 'Layer 2 Up' WHEN 'signup' THEN 'Prep' WHEN 'error' THEN 'End' END
+           AS Machining_Process
+  FROM events
+)"""
+
+SQL_LOOKUP_META = """
+lmeta AS (
+  SELECT CAST(c_custkey AS INTEGER) AS No, 'wax' AS material, CAST(c_nationkey AS DOUBLE) AS feedrate,
+         c_acctbal / 1000 AS clamp_pressure,
+         CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'worn' ELSE 'unworn' END AS tool_condition,
+         CASE WHEN c_nationkey < 20 THEN 'yes' ELSE 'no' END AS machining_finalized,
+         CASE WHEN c_nationkey >= 20 THEN NULL WHEN c_acctbal > 2000 THEN 'yes' ELSE 'no' END
+           AS passed_visual_inspection
+  FROM customer WHERE c_acctbal > 0
+)"""
+
+SQL_ORDINAL_META = """
+ometa AS (
+  SELECT CAST(n_nationkey + 1 AS INTEGER) AS No, n_name AS material, CAST(n_regionkey AS DOUBLE) AS feedrate,
+         CAST((n_nationkey % 3) + 2.5 AS DOUBLE) AS clamp_pressure,
+         CASE WHEN n_nationkey % 2 = 0 THEN 'unworn' ELSE 'worn' END AS tool_condition,
+         'yes' AS machining_finalized,
+         CASE WHEN n_regionkey = 0 THEN NULL ELSE 'yes' END AS passed_visual_inspection
+  FROM nation
+)"""
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both topics in one record frame, as a broker would hold them."""
+    bearing = TP.bearing_messages(T.bearing_records(spark, sf_dir))
+    tool = TP.toolwear_messages(_machine_with_metadata(spark, sf_dir))
+    return TP.select_datasets("both", bearing, tool)
+
+
+def _machine_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = T.machine_rows(spark, sf_dir)
+    meta = T.lookup_metadata(spark, sf_dir)
+    return J.lookup_join(samples, meta, "experiment", key_rule="suffix", pad=6)
+
+
+def q_topic_route_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_form(TP.parse_bearing(_messages(spark, sf_dir)))
+
+
+def sql_topic_route_parse() -> str:
+    return f"""WITH {SQL_SIGNAL}
+SELECT 'bearing' AS dataset, test_set, {SQL_PUBLISHED_TS.format(f='file')} AS timestamp, file,
+       {r6('b1')} AS b1, {r6('b2')} AS b2, {r6('b3')} AS b3, {r6('b4')} AS b4
+FROM sig"""
+
+
+def q_toolwear_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_form(TP.flatten_toolwear(TP.parse_toolwear(_messages(spark, sf_dir))))
+
+
+def sql_toolwear_flatten() -> str:
+    from condmon.schemas import PAYLOAD_SENSORS
+
+    present = {"X1_ActualPosition", "Y1_ActualPosition", "M1_CURRENT_FEEDRATE", "M1_sequence_number"}
+    sensors = ", ".join(
+        f"{r6('s.' + c)} AS {c}" if c in present else f"CAST(NULL AS DOUBLE) AS {c}" for c in PAYLOAD_SENSORS
+    )
+    return f"""WITH {SQL_MACHINE},{SQL_LOOKUP_META}
+SELECT s.experiment, {r6('s.time')} AS timestamp, 'toolwear' AS dataset,
+       {r6('m.clamp_pressure')} AS clamp_pressure, {r6('m.feedrate')} AS feedrate,
+       m.tool_condition AS tool_condition_true, {sensors}
+FROM mach s LEFT JOIN lmeta m ON s.experiment = 'experiment_' || lpad(CAST(m.No AS VARCHAR), 6, '0')"""
+
+
+def q_json_malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool-wear records plus document texts sent to the same topic: the
+    texts are not JSON and land in quarantine."""
+    good_msgs = TP.toolwear_messages(T.machine_rows(spark, sf_dir))
+    junk = T.table(spark, sf_dir, "documents").select(F.lit(TOOLWEAR_TOPIC).alias("topic"), F.col("text").alias("value"))
+    records = good_msgs.unionByName(junk)
+    good, bad = TP.split_quarantine(records, TOOLWEAR_TOPIC, TOOLWEAR_RECORD)
+    ok = good.select(
+        F.lit("ok").alias("status"), "experiment",
+        F.col("payload.X1_ActualPosition").alias("X1_ActualPosition"), F.lit(None).cast("string").alias("record_md5"),
+    )
+    q = bad.select(
+        F.lit("quarantine").alias("status"), F.lit(None).cast("string").alias("experiment"),
+        F.lit(None).cast("double").alias("X1_ActualPosition"), F.md5("value").alias("record_md5"),
+    )
+    return compare_form(ok.unionByName(q))
+
+
+def sql_json_malformed_quarantine() -> str:
+    return f"""WITH {SQL_MACHINE}
+SELECT 'ok' AS status, experiment, {r6('X1_ActualPosition')} AS X1_ActualPosition,
+       CAST(NULL AS VARCHAR) AS record_md5 FROM mach
+UNION ALL
+SELECT CASE WHEN json_valid(text) THEN 'ok' ELSE 'quarantine' END, NULL, NULL, md5(text) FROM documents"""
+
+
+# ---------------------------------------------------------------------------
+# Metadata joins and cleaning
+# ---------------------------------------------------------------------------
+_META_OUT = ["No", "material", "feedrate", "clamp_pressure", "tool_condition", "machining_finalized",
+             "passed_visual_inspection"]
+
+
+def q_metadata_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact key rule on a metadata ``experiment`` column that repeats
+    (one per nation): the first row by ``No`` wins, most samples match
+    nothing."""
+    samples = T.machine_rows(spark, sf_dir).select("experiment", "M1_sequence_number")
+    meta = T.lookup_metadata(spark, sf_dir)
+    meta = meta.withColumn(
+        "experiment", F.concat(F.lit("experiment_"), F.lpad(F.col("feedrate").cast("int").cast("string"), 6, "0"))
+    )
+    out = J.flatten_metadata(J.lookup_join(samples, meta, "experiment", key_rule="exact"), _META_OUT)
+    # unmatched samples have a NULL ``No``: compared as double on both sides
+    return compare_form(out.withColumn("No", F.col("No").cast("double")))
+
+
+def sql_metadata_lookup_join() -> str:
+    cols = ", ".join(f"f.{c}" if c not in ("feedrate", "clamp_pressure") else f"{r6('f.' + c)} AS {c}" for c in _META_OUT)
+    return f"""WITH {SQL_MACHINE},{SQL_LOOKUP_META},
+k AS (SELECT *, 'experiment_' || lpad(CAST(CAST(feedrate AS INTEGER) AS VARCHAR), 6, '0') AS key FROM lmeta),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY No) AS rn FROM k) WHERE rn = 1)
+SELECT s.experiment, {r6('s.M1_sequence_number')} AS M1_sequence_number, {cols.replace('f.No', 'CAST(f.No AS DOUBLE) AS No')}
+FROM mach s LEFT JOIN f ON s.experiment = f.key"""
+
+
+def q_metadata_ordinal_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = T.machine_rows(spark, sf_dir).select("experiment", "M1_sequence_number")
+    out = J.ordinal_join(samples, T.ordinal_metadata(spark, sf_dir), "experiment", "No")
+    return compare_form(out.select("experiment", "M1_sequence_number", *_META_OUT))
+
+
+def sql_metadata_ordinal_join() -> str:
+    cols = ", ".join(f"m.{c}" if c not in ("feedrate", "clamp_pressure") else f"{r6('m.' + c)} AS {c}" for c in _META_OUT)
+    return f"""WITH {SQL_MACHINE},{SQL_ORDINAL_META},
+e AS (SELECT experiment, row_number() OVER (ORDER BY experiment) AS o FROM (SELECT DISTINCT experiment FROM mach)),
+m AS (SELECT *, row_number() OVER (ORDER BY No) AS o FROM ometa)
+SELECT s.experiment, {r6('s.M1_sequence_number')} AS M1_sequence_number, {cols}
+FROM mach s JOIN e ON s.experiment = e.experiment JOIN m ON e.o = m.o"""
+
+
+def q_dropna_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = J.flatten_metadata(_machine_with_metadata(spark, sf_dir), _META_OUT)
+    return compare_form(CL.drop_incomplete(joined))
+
+
+def sql_dropna_any() -> str:
+    mcols = ["time", "X1_ActualPosition", "Y1_ActualPosition", "M1_CURRENT_FEEDRATE", "M1_sequence_number",
+             "M1_CURRENT_PROGRAM_NUMBER"]
+    sel = ", ".join([f"{r6('s.' + c)} AS {c}" for c in mcols] + ["s.Machining_Process"])
+    mets = ", ".join(f"m.{c}" if c not in ("feedrate", "clamp_pressure") else f"{r6('m.' + c)} AS {c}" for c in _META_OUT)
+    notnull = " AND ".join(f"m.{c} IS NOT NULL" for c in _META_OUT)
+    return f"""WITH {SQL_MACHINE},{SQL_LOOKUP_META}
+SELECT s.experiment, {sel}, {mets}
+FROM mach s JOIN lmeta m ON s.experiment = 'experiment_' || lpad(CAST(m.No AS VARCHAR), 6, '0')
+WHERE {notnull}"""
+
+
+# ---------------------------------------------------------------------------
+# Counts and samples of files
+# ---------------------------------------------------------------------------
+def q_experiment_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.machine_rows(spark, sf_dir).groupBy("experiment").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def sql_experiment_row_counts() -> str:
+    return f"WITH {SQL_MACHINE} SELECT experiment, count(*) AS n_rows FROM mach GROUP BY experiment"
+
+
+def q_files_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = T.signal_rows(spark, sf_dir)
+    return rows.groupBy("test_set").agg(F.count_distinct("file").alias("files_streamed"))
+
+
+def sql_files_streamed() -> str:
+    return f"WITH {SQL_SIGNAL} SELECT test_set, count(DISTINCT file) AS files_streamed FROM sig GROUP BY test_set"
+
+
+def q_first_files_sample(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
+    """First ``k`` file names per test set: one global top-k per set (the
+    set list is fixed), so no set is gathered into one task."""
+    from condmon.schemas import TEST_SETS
+
+    files = T.signal_rows(spark, sf_dir).select("test_set", "file").distinct()
+    parts = [files.where(F.col("test_set") == s).orderBy("file").limit(k) for s in TEST_SETS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def sql_first_files_sample() -> str:
+    return f"""WITH {SQL_SIGNAL}
+SELECT test_set, file FROM (
+  SELECT test_set, file, row_number() OVER (PARTITION BY test_set ORDER BY file) AS rn
+  FROM (SELECT DISTINCT test_set, file FROM sig)) WHERE rn <= 5"""
+
+
+# ---------------------------------------------------------------------------
+# Splits and metrics
+# ---------------------------------------------------------------------------
+def q_split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = T.table(spark, sf_dir, "orders").select("o_orderkey")
+    return SP.hash_split(orders, ["o_orderkey"], 0.2, 42)
+
+
+def sql_split_random() -> str:
+    return """WITH h AS (SELECT o_orderkey, ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|42'), 1, 8))::BIGINT AS h
+                FROM orders),
+r AS (SELECT *, row_number() OVER (ORDER BY h, o_orderkey) AS rn, count(*) OVER () AS n FROM h)
+SELECT o_orderkey, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+
+def q_split_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = T.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return SP.hash_split(labels, ["doc_id"], 0.2, 42, strata=["quality"])
+
+
+def sql_split_stratified() -> str:
+    return """WITH h AS (SELECT doc_id, quality, ('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '|42'), 1, 8))::BIGINT AS h
+                FROM labels),
+r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY h, doc_id) AS rn,
+             count(*) OVER (PARTITION BY quality) AS n FROM h)
+SELECT doc_id, quality, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+
+def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE of a fixed rule (``b2 / 2``) against ``b1`` per test set."""
+    rows = T.signal_rows(spark, sf_dir).withColumn("pred", F.col("b2") / 2)
+    return compare_form(ME.regression_metrics(rows, "b1", "pred", ["test_set"]))
+
+
+def sql_regression_metrics() -> str:
+    e = "(b2 / 2 - b1)"
+    return f"""WITH {SQL_SIGNAL}
+SELECT test_set, count(*) AS n, {r6(f'avg({e} * {e})')} AS mse, {r6(f'sqrt(avg({e} * {e}))')} AS rmse,
+       {r6(f'avg(abs({e}))')} AS mae
+FROM sig GROUP BY test_set"""
+
+
+def q_classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report for a fixed rule (``quality = 1 - toxic``) on ``labels``."""
+    lab = T.table(spark, sf_dir, "labels").withColumn("pred", 1 - F.col("toxic"))
+    return compare_form(ME.classification_report(lab, "quality", "pred"))
+
+
+def sql_classification_report() -> str:
+    return f"""WITH s AS (SELECT quality AS y, 1 - toxic AS p FROM labels),
+cls AS (SELECT y AS c FROM s UNION SELECT p FROM s),
+per AS (SELECT c, (SELECT count(*) FROM s WHERE y = c) AS support, (SELECT count(*) FROM s WHERE p = c) AS predicted,
+               (SELECT count(*) FROM s WHERE y = c AND p = c) AS tp FROM cls),
+pr AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pr)
+SELECT CAST(c AS VARCHAR) AS label, {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1_score,
+       support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, {r6('sum(tp) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', {r6('avg(precision)')}, {r6('avg(recall)')}, {r6('avg(f1)')}, CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', {r6('sum(precision * support) / sum(support)')},
+          {r6('sum(recall * support) / sum(support)')}, {r6('sum(f1 * support) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM f"""

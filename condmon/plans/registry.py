@@ -22,6 +22,19 @@ def queries() -> dict[str, QueryFn]:
         "column_guard_channels": C.q_column_guard_channels,
         "rul_cycles": C.q_rul_cycles,
         "rul_supervised_aligned": C.q_rul_supervised_aligned,
+        "topic_route_parse": C.q_topic_route_parse,
+        "toolwear_flatten": C.q_toolwear_flatten,
+        "json_malformed_quarantine": C.q_json_malformed_quarantine,
+        "metadata_lookup_join": C.q_metadata_lookup_join,
+        "metadata_ordinal_join": C.q_metadata_ordinal_join,
+        "dropna_any": C.q_dropna_any,
+        "experiment_row_counts": C.q_experiment_row_counts,
+        "files_streamed": C.q_files_streamed,
+        "first_files_sample": C.q_first_files_sample,
+        "split_random": C.q_split_random,
+        "split_stratified": C.q_split_stratified,
+        "regression_metrics": C.q_regression_metrics,
+        "classification_report": C.q_classification_report,
     }
 
 
@@ -36,4 +49,17 @@ def oracle_sql() -> dict[str, str]:
         "column_guard_channels": C.sql_column_guard_channels(),
         "rul_cycles": C.sql_rul_cycles(),
         "rul_supervised_aligned": C.sql_rul_supervised_aligned(),
+        "topic_route_parse": C.sql_topic_route_parse(),
+        "toolwear_flatten": C.sql_toolwear_flatten(),
+        "json_malformed_quarantine": C.sql_json_malformed_quarantine(),
+        "metadata_lookup_join": C.sql_metadata_lookup_join(),
+        "metadata_ordinal_join": C.sql_metadata_ordinal_join(),
+        "dropna_any": C.sql_dropna_any(),
+        "experiment_row_counts": C.sql_experiment_row_counts(),
+        "files_streamed": C.sql_files_streamed(),
+        "first_files_sample": C.sql_first_files_sample(),
+        "split_random": C.sql_split_random(),
+        "split_stratified": C.sql_split_stratified(),
+        "regression_metrics": C.sql_regression_metrics(),
+        "classification_report": C.sql_classification_report(),
     }

@@ -24,10 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Return flag -> test set of the bearing stand-in.
-RETURNFLAG_TEST_SET = {"R": "1st_test", "A": "2nd_test", "N": "3rd_test"}
-
-
 def signal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bearing samples: one row per sample, key ``(test_set, file)``."""
     li = table(spark, sf_dir, "lineitem")
@@ -151,7 +147,7 @@ def lookup_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").cast("int").alias("No"),
         F.lit("wax").alias("material"),
         F.col("c_nationkey").cast("double").alias("feedrate"),
-        F.round(F.col("c_acctbal") / 1000, 1).alias("clamp_pressure"),
+        (F.col("c_acctbal") / 1000).alias("clamp_pressure"),
         F.when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "worn").otherwise("unworn").alias("tool_condition"),
         finalized.alias("machining_finalized"),
         F.when(finalized == "no", F.lit(None).cast("string"))
