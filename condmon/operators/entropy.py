@@ -116,7 +116,16 @@ def histogram_entropy(
     ``long_df`` holds one sample per row; ``keys`` usually ends with the
     channel column.  Returns ``(keys..., entropy)``.
     """
-    return entropy_from_counts(value_counts(long_df, keys, value), keys, value, bins)
+    # ranges straight from the samples (a cheap partial aggregation) rather
+    # than from a second evaluation of the value counts
+    x = F.col(value)
+    stats = long_df.groupBy(*keys).agg(
+        F.min(x).alias("_lo"),
+        F.max(x).alias("_hi"),
+        F.count(x).alias("_n"),
+        F.count(F.lit(1)).alias("_rows"),
+    )
+    return entropy_from_counts(value_counts(long_df, keys, value), keys, value, bins, stats)
 
 
 def channel_range_aggs(channels: Sequence[str]) -> list:
@@ -164,8 +173,11 @@ def channel_entropy_wide(
     ``channel_range_aggs``) saves the range pass."""
     keys = list(keys)
     long_df = rows.select(*keys, *channels).unpivot(keys, list(channels), "channel", "x")
-    stats = None if wide_stats is None else channel_stats_long(wide_stats, keys, channels)
-    ent = entropy_from_counts(value_counts(long_df, keys + ["channel"], "x"), keys + ["channel"], "x", bins, stats)
+    if wide_stats is None:
+        ent = histogram_entropy(long_df, keys + ["channel"], "x", bins)
+    else:
+        stats = channel_stats_long(wide_stats, keys, channels)
+        ent = entropy_from_counts(value_counts(long_df, keys + ["channel"], "x"), keys + ["channel"], "x", bins, stats)
     return ent.groupBy(*keys).agg(
         *[F.max(F.when(F.col("channel") == ch, F.col("entropy"))).alias(f"{ch}_entropy") for ch in channels]
     )

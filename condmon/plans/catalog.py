@@ -582,3 +582,100 @@ UNION ALL SELECT 'accuracy', NULL, NULL, {r6('sum(tp) / sum(support)')}, CAST(su
 UNION ALL SELECT 'macro avg', {r6('avg(precision)')}, {r6('avg(recall)')}, {r6('avg(f1)')}, CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', {r6('sum(precision * support) / sum(support)')},
           {r6('sum(recall * support) / sum(support)')}, {r6('sum(f1 * support) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM f"""
+
+
+# ---------------------------------------------------------------------------
+# Label codes, models, streams
+# ---------------------------------------------------------------------------
+# Trees used by the registered model queries: a time budget for the check;
+# the library defaults (``ml.RUL_PARAMS`` / ``ml.WEAR_PARAMS``) are the
+# reproduced models' 500 / 100 trees.
+CHECK_TREES = 20
+
+
+def q_label_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from condmon.plans import ml
+
+    cust = T.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return ml.encode_decode(cust, "c_mktsegment")
+
+
+def sql_label_encode_decode() -> str:
+    return """SELECT c_custkey, c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS DOUBLE) AS label_index,
+       c_mktsegment AS decoded FROM customer"""
+
+
+def _supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats = snapshot_features(T.signal_rows(spark, sf_dir), features=list(STREAM_FEATURES))
+    return rul_supervised(rul_cycles(feats))
+
+
+def q_rul_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from condmon.plans import ml
+
+    sup = _supervised(spark, sf_dir)
+    cols = [c for c in sup.columns if c[:2] in ("b1", "b2", "b3", "b4")]
+    trained = ml.train_rul(sup, cols, params={"maxIter": CHECK_TREES})
+    return trained.test_predictions.select("test_set", "file", "rul", "rul_prediction")
+
+
+def _wear_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.flatten_metadata(_machine_with_metadata(spark, sf_dir), _META_OUT)
+
+
+def q_wear_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from condmon.plans import ml
+
+    trained = ml.train_wear(_wear_training_rows(spark, sf_dir), ["M1_sequence_number"], params={"maxIter": CHECK_TREES})
+    return trained.test_predictions.select("experiment", "M1_sequence_number", "tool_condition", "tool_condition_prediction")
+
+
+def _land(spark: SparkSession, messages: DataFrame, name: str) -> tuple[str, int]:
+    """Write topic records as parquet files in the shared work folder;
+    returns the folder and the number of files."""
+    from condmon.session import work_dir
+
+    path = work_dir(spark, name)
+    TP.write_messages(messages, path, mode="overwrite")
+    n_files = len(spark.read.parquet(path).inputFiles())
+    return path, n_files
+
+
+def q_stream_update_latest(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """Replay the bearing records through the streaming aggregation in
+    ``batches`` micro-batches (update mode, batch-tagged sink), then keep the
+    latest version per snapshot — which must equal the batch aggregate."""
+    from condmon.session import work_dir
+    from condmon.streaming import bearing as SB
+
+    landing, n_files = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "bearing-landing")
+    per_trigger = max(1, -(-n_files // batches))
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=per_trigger)
+    sink, ckpt = work_dir(spark, "bearing-sink"), work_dir(spark, "bearing-ckpt")
+    q = SB.start(SB.bearing_feature_stream(stream), sink, ckpt, "update")
+    q.awaitTermination()
+    latest = SB.latest_per_key(SB.read_sink(spark, sink), ["test_set", "file", "timestamp"]).drop("batch_id")
+    return compare_form(latest)
+
+
+def q_stream_append_scored(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """Tool-wear records through the stateless stream, scored per
+    micro-batch by a wear model trained on the same data; rows whose model
+    features are NULL (no metadata) are left out of scoring."""
+    from condmon.plans import ml
+    from condmon.session import work_dir
+    from condmon.streaming import bearing as SB
+
+    trained = ml.train_wear(_wear_training_rows(spark, sf_dir), ["M1_sequence_number"], params={"maxIter": CHECK_TREES})
+    model_path = work_dir(spark, "wear-model")
+    ml.save(trained.model, model_path)
+    model = ml.load(model_path)
+    landing, n_files = _land(spark, TP.toolwear_messages(_machine_with_metadata(spark, sf_dir)), "toolwear-landing")
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=max(1, -(-n_files // batches)))
+    sink, ckpt = work_dir(spark, "toolwear-sink"), work_dir(spark, "toolwear-ckpt")
+    scorer = lambda df: ml.score_wear(model, df, quarantine_nulls=True)
+    q = SB.start(SB.toolwear_feature_stream(stream), sink, ckpt, "append", scorer=scorer)
+    q.awaitTermination()
+    return SB.read_sink(spark, sink).select(
+        "experiment", "timestamp", "tool_condition_prediction", "tool_condition_true", "batch_id"
+    )

@@ -35,6 +35,11 @@ def queries() -> dict[str, QueryFn]:
         "split_stratified": C.q_split_stratified,
         "regression_metrics": C.q_regression_metrics,
         "classification_report": C.q_classification_report,
+        "label_encode_decode": C.q_label_encode_decode,
+        "stream_update_latest": C.q_stream_update_latest,
+        "stream_append_scored": C.q_stream_append_scored,
+        "rul_gbt_predict": C.q_rul_gbt_predict,
+        "wear_gbt_predict": C.q_wear_gbt_predict,
     }
 
 
@@ -62,4 +67,7 @@ def oracle_sql() -> dict[str, str]:
         "split_stratified": C.sql_split_stratified(),
         "regression_metrics": C.sql_regression_metrics(),
         "classification_report": C.sql_classification_report(),
+        "label_encode_decode": C.sql_label_encode_decode(),
+        # the streamed result must equal the batch aggregate
+        "stream_update_latest": C.sql_bearing_features_stream(),
     }

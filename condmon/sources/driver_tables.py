@@ -20,8 +20,23 @@ from pyspark.sql import functions as F
 from condmon.functions.timestamps import published_timestamp
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer splits than the session has
+    task slots (a single-row-group file) over all slots.
+
+    Large inputs come in many splits and pass through unchanged; only a
+    small, unsplittable file pays one round-robin exchange, so the per-row
+    work after it uses every core instead of one.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_splits else df
 
 
 def signal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
