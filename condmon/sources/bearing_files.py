@@ -109,12 +109,14 @@ def read_snapshot_files(
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", True)
-    raw = reader.text(root).select(
+    # ``text()`` has its own ``wholetext`` keyword (default False) that
+    # overrides a reader option, so it is passed here
+    raw = reader.text(root, wholetext=True).select(
         F.col("value"),
         F.col("_metadata.file_name").alias("file"),
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("test_set"),
