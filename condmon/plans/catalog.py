@@ -679,3 +679,49 @@ def q_stream_append_scored(spark: SparkSession, sf_dir: str, batches: int = 4) -
     return SB.read_sink(spark, sink).select(
         "experiment", "timestamp", "tool_condition_prediction", "tool_condition_true", "batch_id"
     )
+
+
+# ---------------------------------------------------------------------------
+# Dataset-note predicates (L1-L3)
+# ---------------------------------------------------------------------------
+def q_unreliable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = T.machine_rows(spark, sf_dir)
+    return compare_form(rows.where(CL.unreliable(rows)).select("experiment", "M1_sequence_number"))
+
+
+def sql_unreliable_rows() -> str:
+    return f"""WITH {SQL_MACHINE}
+SELECT experiment, {r6('M1_sequence_number')} AS M1_sequence_number FROM mach
+WHERE M1_CURRENT_FEEDRATE = 50 OR X1_ActualPosition = 198 OR M1_CURRENT_PROGRAM_NUMBER <> 0"""
+
+
+def q_active_machining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = CL.active_machining(T.machine_rows(spark, sf_dir))
+    return compare_form(rows.select("experiment", "M1_sequence_number", "Machining_Process"))
+
+
+def sql_active_machining() -> str:
+    from condmon.schemas import ACTIVE_STAGES
+
+    stages = ", ".join(f"'{s}'" for s in ACTIVE_STAGES)
+    return f"""WITH {SQL_MACHINE}
+SELECT experiment, {r6('M1_sequence_number')} AS M1_sequence_number, Machining_Process FROM mach
+WHERE Machining_Process IN ({stages})"""
+
+
+def q_elapsed_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample number within each experiment (time order, then id) and the
+    elapsed time at the 100 ms sampling period."""
+    from condmon.operators.ordinal import ordinal_within
+
+    rows = T.machine_rows(spark, sf_dir).select("experiment", "time", "M1_sequence_number")
+    seq = ordinal_within(rows, ["experiment"], ["time", "M1_sequence_number"], name="sample_no")
+    out = CL.elapsed_time(seq.withColumn("seq", F.col("sample_no") - 1), "seq")
+    return compare_form(out.select("experiment", "M1_sequence_number", "seq", "elapsed_s"))
+
+
+def sql_elapsed_time() -> str:
+    return f"""WITH {SQL_MACHINE},
+s AS (SELECT experiment, M1_sequence_number,
+             row_number() OVER (PARTITION BY experiment ORDER BY time, M1_sequence_number) - 1 AS seq FROM mach)
+SELECT experiment, {r6('M1_sequence_number')} AS M1_sequence_number, seq, {r6('seq * 0.1')} AS elapsed_s FROM s"""

@@ -40,6 +40,9 @@ def queries() -> dict[str, QueryFn]:
         "stream_append_scored": C.q_stream_append_scored,
         "rul_gbt_predict": C.q_rul_gbt_predict,
         "wear_gbt_predict": C.q_wear_gbt_predict,
+        "unreliable_rows": C.q_unreliable_rows,
+        "active_machining": C.q_active_machining,
+        "elapsed_time": C.q_elapsed_time,
     }
 
 
@@ -70,4 +73,7 @@ def oracle_sql() -> dict[str, str]:
         "label_encode_decode": C.sql_label_encode_decode(),
         # the streamed result must equal the batch aggregate
         "stream_update_latest": C.sql_bearing_features_stream(),
+        "unreliable_rows": C.sql_unreliable_rows(),
+        "active_machining": C.sql_active_machining(),
+        "elapsed_time": C.sql_elapsed_time(),
     }

@@ -43,3 +43,26 @@ def test_by_test(spark, tree):
     files = {(r["test_set"], r["file"]) for r in read_snapshot_files(spark, tree, policy="by_test").collect()}
     assert ("1st_test", "2004.01.01.00.10.00") not in files  # skipped by test name
     assert ("2nd_test", "2004.02.01.00.00.00") in files
+
+
+def test_experiment_files(spark, tmp_path):
+    from condmon.operators.joins import ordinal_join
+    from condmon.sources.experiment_files import EXPERIMENT_COLUMNS, read_experiments, read_metadata
+
+    header = ",".join(EXPERIMENT_COLUMNS + ["Machining_Process"])
+    for i in (1, 2, 3):
+        row = ",".join(["1.5"] * len(EXPERIMENT_COLUMNS) + ["Layer 1 Up"])
+        (tmp_path / f"experiment_{i:02d}.csv").write_text(header + "\n" + row + "\n" + row + "\n")
+    (tmp_path / "train.csv").write_text(
+        "No,material,feedrate,clamp_pressure,tool_condition,machining_finalized,passed_visual_inspection\n"
+        "1,wax,6,4,unworn,yes,yes\n2,wax,20,4,unworn,no,\n"
+    )
+    (tmp_path / "notes.txt").write_text("x")
+    exp = read_experiments(spark, str(tmp_path))
+    assert sorted(r["experiment"] for r in exp.select("experiment").distinct().collect()) == [
+        "experiment_01", "experiment_02", "experiment_03"]
+    meta = read_metadata(spark, str(tmp_path))
+    assert [r["passed_visual_inspection"] for r in meta.orderBy("No").collect()] == ["yes", None]
+    joined = ordinal_join(exp, meta)
+    assert sorted(r["experiment"] for r in joined.select("experiment").distinct().collect()) == [
+        "experiment_01", "experiment_02"]
