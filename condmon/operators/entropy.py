@@ -56,8 +56,11 @@ def entropy_from_counts(
     value: str = "x",
     bins: int = ENTROPY_BINS,
     stats: DataFrame | None = None,
+    return_histogram: bool = False,
 ) -> DataFrame:
-    """Entropy per group from ``(keys..., value, c)`` value counts.
+    """Entropy per group from ``(keys..., value, c)`` value counts
+    (or, with ``return_histogram``, the ``(keys, _n, _rows, _bin, _cnt)``
+    bin counts it is computed from).
 
     ``stats`` — ``(keys..., _lo, _hi, _n, _rows)`` — may come from an
     aggregation that runs anyway (the feature table takes it from the
@@ -96,6 +99,8 @@ def entropy_from_counts(
         )
     )
     hist = binned.groupBy(*keys, "_n", "_rows", "_bin").agg(F.sum("c").alias("_cnt"))
+    if return_histogram:
+        return hist
     p = F.col("_cnt") / F.col("_n")
     ent = hist.groupBy(*keys).agg(
         (-F.sum(F.when(F.col("_bin").isNotNull(), p * F.log(p))) + 0.0).alias("entropy"),
@@ -175,9 +180,30 @@ def channel_entropy_wide(
     long_df = rows.select(*keys, *channels).unpivot(keys, list(channels), "channel", "x")
     if wide_stats is None:
         ent = histogram_entropy(long_df, keys + ["channel"], "x", bins)
-    else:
-        stats = channel_stats_long(wide_stats, keys, channels)
-        ent = entropy_from_counts(value_counts(long_df, keys + ["channel"], "x"), keys + ["channel"], "x", bins, stats)
-    return ent.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("channel") == ch, F.col("entropy"))).alias(f"{ch}_entropy") for ch in channels]
+        return ent.groupBy(*keys).agg(
+            *[F.max(F.when(F.col("channel") == ch, F.col("entropy"))).alias(f"{ch}_entropy") for ch in channels]
+        )
+    stats = channel_stats_long(wide_stats, keys, channels)
+    vc = value_counts(long_df, keys + ["channel"], "x")
+    hist = entropy_from_counts(vc, keys + ["channel"], "x", bins, stats, return_histogram=True)
+    # -sum(p ln p) per channel and the pivot to columns in one aggregation
+    p = F.col("_cnt") / F.col("_n")
+    term = F.when(F.col("_bin").isNotNull(), p * F.log(p))
+    aggs = []
+    for ch in channels:
+        mine = F.col("channel") == ch
+        aggs += [
+            F.sum(F.when(mine, term)).alias(f"_s_{ch}"),
+            F.max(F.when(mine, F.col("_n"))).alias(f"_n_{ch}"),
+            F.max(F.when(mine, F.col("_rows"))).alias(f"_r_{ch}"),
+        ]
+    wide = hist.groupBy(*keys).agg(*aggs)
+    return wide.select(
+        *keys,
+        *[
+            F.when(F.col(f"_n_{ch}") < F.col(f"_r_{ch}"), F.lit(None).cast("double"))
+            .otherwise(-F.col(f"_s_{ch}") + 0.0)
+            .alias(f"{ch}_entropy")
+            for ch in channels
+        ],
     )
