@@ -725,3 +725,28 @@ def sql_elapsed_time() -> str:
 s AS (SELECT experiment, M1_sequence_number,
              row_number() OVER (PARTITION BY experiment ORDER BY time, M1_sequence_number) - 1 AS seq FROM mach)
 SELECT experiment, {r6('M1_sequence_number')} AS M1_sequence_number, seq, {r6('seq * 0.1')} AS elapsed_s FROM s"""
+
+
+def q_stream_serve_both(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """The serving job end to end: both models trained and saved, both
+    topics landed in one folder, two independent streaming queries over it
+    (J1), awaited together (J7); returns the latest RUL prediction per
+    snapshot (K6)."""
+    from condmon.plans import ml
+    from condmon.plans.serving import serve
+    from condmon.session import work_dir
+    from condmon.streaming import bearing as SB
+
+    sup = _supervised(spark, sf_dir)
+    cols = [c for c in sup.columns if c[:2] in ("b1", "b2", "b3", "b4")]
+    rul_path, wear_path = work_dir(spark, "rul-model"), work_dir(spark, "wear-model")
+    ml.save(ml.train_rul(sup, cols, params={"maxIter": CHECK_TREES}).model, rul_path)
+    wear = ml.train_wear(_wear_training_rows(spark, sf_dir), ["M1_sequence_number"], params={"maxIter": CHECK_TREES})
+    ml.save(wear.model, wear_path)
+    landing, n_files = _land(spark, _messages(spark, sf_dir), "serve-landing")
+    sinks, ckpts = work_dir(spark, "serve-sinks"), work_dir(spark, "serve-ckpt")
+    queries = serve(spark, rul_path, wear_path, sinks, ckpts, path=landing,
+                    max_files_per_trigger=max(1, -(-n_files // batches)), available_now=True)
+    SB.await_all(queries)
+    preds = SB.read_sink(spark, f"{sinks}/bearing_predictions")
+    return SB.latest_per_key(preds, ["test_set", "file", "timestamp"]).drop("batch_id")

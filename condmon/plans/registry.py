@@ -38,6 +38,7 @@ def queries() -> dict[str, QueryFn]:
         "label_encode_decode": C.q_label_encode_decode,
         "stream_update_latest": C.q_stream_update_latest,
         "stream_append_scored": C.q_stream_append_scored,
+        "stream_serve_both": C.q_stream_serve_both,
         "rul_gbt_predict": C.q_rul_gbt_predict,
         "wear_gbt_predict": C.q_wear_gbt_predict,
         "unreliable_rows": C.q_unreliable_rows,

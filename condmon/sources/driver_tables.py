@@ -28,9 +28,12 @@ def spread(df: DataFrame) -> DataFrame:
     small, unsplittable file pays one round-robin exchange, so the per-row
     work after it uses every core instead of one.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < slots:
+            return df.repartition(slots)
+    except Exception:  # no SparkContext on this session (e.g. a remote client)
+        pass
     return df
 
 
