@@ -139,3 +139,39 @@ def read_snapshot_files(
     return samples.select(
         "test_set", "file", "seq", *channel_values(line_parts("line"), "width")
     )
+
+
+def snapshot_file_report(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """One row per snapshot file with what the guards see (B3): first-line
+    width, widest line, line count, non-numeric cells, both guard verdicts
+    and the reason a file would be skipped (``None`` when kept by width).
+    Computed inside each file's row — no shuffle."""
+    reader = spark.read
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    raw = reader.text(root, wholetext=True).select(
+        F.col("value"),
+        F.col("_metadata.file_name").alias("file"),
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("test_set"),
+    )
+    lines = F.split(F.regexp_replace("value", r"(\r?\n)+$", ""), r"\r?\n")
+    cells = F.flatten(F.transform(lines, lambda ln: F.split(ln, "\t")))
+    bad_cells = F.size(F.filter(cells, lambda c: F.trim(c).try_cast("double").isNull()))
+    widths = F.transform(lines, lambda ln: F.size(F.split(ln, "\t")))
+    rep = raw.select(
+        "test_set",
+        "file",
+        F.element_at(widths, 1).alias("width"),
+        F.array_max(widths).alias("max_width"),
+        F.size(lines).alias("lines"),
+        bad_cells.alias("non_numeric_cells"),
+    )
+    return rep.select(
+        "*",
+        keep_by_width("width").alias("keep_by_width"),
+        keep_by_test("test_set", "width").alias("keep_by_test"),
+        F.when(F.col("max_width") > F.col("width"), "line wider than the first")
+        .when(~keep_by_width("width"), "unexpected width")
+        .when(F.col("non_numeric_cells") > 0, "non-numeric cells")
+        .alias("reason"),
+    )

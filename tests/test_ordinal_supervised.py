@@ -45,3 +45,16 @@ def test_aligned_union(spark):
     # only the first set present -> only its columns
     only = rul_supervised(df.where(F.col("test_set") == "1st_test"))
     assert only.columns == ["test_set", "file", "b3_max", "b3_p2p", "b3_rms", "rul"]
+
+
+def test_hot_group_spreads_over_partitions(spark):
+    """A group holding most rows is cut into several range partitions, so
+    no single task numbers it whole."""
+    hot = spark.range(0, 6000).select(F.when(F.col("id") < 4000, 0).otherwise(F.col("id") % 5 + 1).alias("g"),
+                                      F.col("id").alias("o"))
+    tagged = hot.repartitionByRange(8, "g", "o").withColumn("_pid", F.spark_partition_id())
+    spread = tagged.where(F.col("g") == 0).select("_pid").distinct().count()
+    assert spread >= 4
+    got = ordinal_within(hot, ["g"], ["o"], name="n", num_partitions=8)
+    hot0 = got.where(F.col("g") == 0).agg(F.min("n"), F.max("n"), F.count_distinct("n")).collect()[0]
+    assert tuple(hot0) == (1, 4000, 4000)

@@ -66,3 +66,13 @@ def test_experiment_files(spark, tmp_path):
     joined = ordinal_join(exp, meta)
     assert sorted(r["experiment"] for r in joined.select("experiment").distinct().collect()) == [
         "experiment_01", "experiment_02"]
+
+
+def test_file_report(spark, tree):
+    from condmon.sources.bearing_files import snapshot_file_report
+
+    rep = {r["file"]: r for r in snapshot_file_report(spark, tree).collect()}
+    assert rep["2004.03.01.00.00.00"]["reason"] == "line wider than the first"
+    assert rep["2004.02.01.00.10.00"]["reason"] == "unexpected width"
+    assert rep["2004.01.01.00.10.00"]["keep_by_width"] and not rep["2004.01.01.00.10.00"]["keep_by_test"]
+    assert rep["2004.01.01.00.00.00"]["reason"] is None and rep["2004.01.01.00.00.00"]["lines"] == 2
