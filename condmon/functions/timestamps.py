@@ -43,6 +43,9 @@ def snapshot_time(file) -> Column:
     """Typed time of a snapshot parsed from its file name, NULL on failure.
 
     The name is a wall-clock time without a zone, so the result is a
-    ``TIMESTAMP_NTZ``.
+    ``TIMESTAMP_NTZ`` parsed without any zone (a session-zone parse would
+    move a local time that falls in a DST gap).  ``to_timestamp_ntz`` raises
+    on bad input under ANSI mode, so it only sees names that parse.
     """
-    return F.try_to_timestamp(_c(file), F.lit(SNAPSHOT_TS_FORMAT)).cast("timestamp_ntz")
+    fmt = F.lit(SNAPSHOT_TS_FORMAT)
+    return F.when(F.try_to_timestamp(_c(file), fmt).isNotNull(), F.to_timestamp_ntz(_c(file), fmt))

@@ -196,10 +196,9 @@ def q_file_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published text and typed time for three name shapes found in the
     data: ``yyyy.MM.dd.HH.mm.ss``, the same with ``.txt``, and ``yyyy.MM.dd``."""
     li = T.table(spark, sf_dir, "lineitem")
-    base = F.date_format("l_shipdate", "yyyy.MM.dd.HH.mm.ss")
-    names = li.select(
-        F.explode(F.array(base, F.concat(base, F.lit(".txt")), F.date_format("l_shipdate", "yyyy.MM.dd"))).alias("file")
-    ).distinct()
+    base = T.ntz_snapshot_name("l_shipdate")
+    day = F.substring(base, 1, 10)  # yyyy.MM.dd
+    names = li.select(F.explode(F.array(base, F.concat(base, F.lit(".txt")), day)).alias("file")).distinct()
     return names.select(
         "file", published_timestamp("file").alias("timestamp"), snapshot_time("file").alias("event_ts")
     )

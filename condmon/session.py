@@ -24,7 +24,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("CONDMON_SESSION_TZ", "UTC"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
@@ -32,6 +32,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", os.environ.get("CONDMON_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
+        # state of the unbounded per-snapshot aggregation lives on local disk,
+        # not on the JVM heap; commits write a changelog, not a full snapshot
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     # tests only: a fresh local checkpoint folder (clusters name a shared one)
     builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="condmon-ckpt-"))

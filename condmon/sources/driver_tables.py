@@ -42,6 +42,38 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool = Tru
     return spread(df) if spread_splits else df
 
 
+def _p2(c):
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def ntz_snapshot_name(ts) -> F.Column:
+    """``yyyy.MM.dd.HH.mm.ss`` of a TIMESTAMP_NTZ from its fields.
+
+    ``date_format`` would first cast to a session-zone timestamp; the field
+    arithmetic is the same in every session time zone.
+    """
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.concat_ws(
+        ".",
+        F.lpad(F.year(ts).cast("string"), 4, "0"),
+        _p2(F.month(ts)),
+        _p2(F.dayofmonth(ts)),
+        _p2(F.hour(ts)),
+        _p2(F.minute(ts)),
+        _p2(F.second(ts)),
+    )
+
+
+def ntz_epoch_seconds(ts) -> F.Column:
+    """Seconds since 1970-01-01 of a TIMESTAMP_NTZ wall-clock value, without
+    a time-zone conversion: whole days plus the time of day, summed exactly
+    as a decimal and converted to double once."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    days = F.unix_date(ts.cast("date")).cast("decimal(20,6)")
+    tod = F.hour(ts) * 3600 + F.minute(ts) * 60
+    return (days * 86400 + tod.cast("decimal(20,6)") + F.date_part(F.lit("SECOND"), ts)).cast("double")
+
+
 def signal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bearing samples: one row per sample, key ``(test_set, file)``."""
     li = table(spark, sf_dir, "lineitem")
@@ -51,7 +83,7 @@ def signal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return li.select(
         test_set.alias("test_set"),
-        F.date_format("l_shipdate", "yyyy.MM.dd.HH.mm.ss").alias("file"),
+        ntz_snapshot_name("l_shipdate").alias("file"),
         (F.col("l_quantity") - 25.5).alias("b1"),
         ((F.col("l_extendedprice") - 50000) / 1000).alias("b2"),
         F.round(F.col("l_discount") * 100 - 5).alias("b3"),
@@ -142,7 +174,7 @@ def machine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage = F.when(F.col("event_type") == et, F.lit(name)).otherwise(stage)
     return ev.select(
         _experiment_id("user_id").alias("experiment"),
-        (F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / 1e6).alias("time"),
+        ntz_epoch_seconds("ts").alias("time"),
         F.col("value").alias("X1_ActualPosition"),
         k.alias("Y1_ActualPosition"),
         k.alias("M1_CURRENT_FEEDRATE"),
