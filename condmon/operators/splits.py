@@ -6,9 +6,9 @@ with the lowest ``(h, key)`` of each stratum are the test set — an exact
 size, independent of partitioning and reproducible in SQL.
 
 No global sort: the hash range is cut into 65,536 buckets; bucket counts
-per stratum (a bounded table) give a running total that classifies whole
-buckets as test or train, and only the rows of the one boundary bucket per
-stratum are ranked.
+per stratum (a bounded table) give a running total that finds the one
+boundary bucket per stratum; only that bucket's rows are ranked, to find
+the last test row, and every row is then compared with it map-side.
 """
 
 from __future__ import annotations
@@ -36,8 +36,19 @@ def hash_split(
     split_col: str = "split",
 ) -> DataFrame:
     """Add ``split`` = ``'test'`` / ``'train'``; ``strata`` makes the split
-    stratified (each stratum gets ``ceil(fraction * N_stratum)`` test rows)."""
-    strata = list(strata)
+    stratified (each stratum gets ``ceil(fraction * N_stratum)`` test rows).
+
+    Three passes, none shuffling all rows: bucket counts (partially
+    aggregated); the cutoff ``(h, key)`` taken from the rows of each
+    stratum's boundary bucket only; and a map-side comparison of every row
+    with its stratum's cutoff (a table of one row per stratum).
+    """
+    # without strata every row is in one stratum: a constant key keeps all
+    # joins below equi-joins
+    strata = list(strata) or ["_all"]
+    if strata == ["_all"]:
+        df = df.withColumn("_all", F.lit(0))
+    order = F.struct(F.col("_h"), *[F.col(c) for c in key_cols])
     hb = df.withColumn("_h", key_hash(key_cols, seed)).withColumn("_b", F.shiftright("_h", 32 - BUCKET_BITS))
     counts = hb.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_c"))
     upto = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -45,18 +56,40 @@ def hash_split(
         counts.withColumn("_cum", F.sum("_c").over(upto))
         .withColumn("_n", F.sum("_c").over(Window.partitionBy(*strata)))
         .withColumn("_k", F.ceil(F.lit(test_fraction) * F.col("_n")))
-        .withColumn("_before", F.col("_cum") - F.col("_c"))
-        .withColumn(
-            "_state",
-            F.when(F.col("_cum") <= F.col("_k"), "test").when(F.col("_before") >= F.col("_k"), "train").otherwise("edge"),
-        )
-        .select(*strata, "_b", "_state", "_before", "_k")
     )
-    tagged = hb.join(counts, [*strata, "_b"])
-    settled = tagged.where(F.col("_state") != "edge").withColumn(split_col, F.col("_state"))
-    edge = tagged.where(F.col("_state") == "edge")
-    rank = F.row_number().over(Window.partitionBy(*strata, "_b").orderBy("_h", *key_cols))
-    edge = edge.withColumn(
-        split_col, F.when(F.col("_before") + rank <= F.col("_k"), "test").otherwise("train")
+    # boundary bucket: the first whose running total reaches k (none if k = 0);
+    # ``_take`` of its rows are test rows
+    edge = counts.where(
+        (F.col("_k") > 0) & (F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_c") < F.col("_k"))
+    ).select(*strata, "_b", (F.col("_k") - F.col("_cum") + F.col("_c")).alias("_take"))
+    # rank only the rows of the boundary buckets
+    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(order))
+    cutoff = (
+        hb.join(edge, [*strata, "_b"])
+        .withColumn("_r", rank)
+        .where(F.col("_r") == F.col("_take"))
+        .select(*strata, F.col("_b").alias("_eb"), order.alias("_cut"))
+    )
+    if strata == ["_all"]:
+        # one stratum: the cutoff is a single row — compare with literals
+        # rather than join a constant key (which plans as a nested loop)
+        row = cutoff.first()
+        if row is None:
+            tagged = hb.withColumn("_eb", F.lit(None).cast("long")).withColumn("_cut", F.lit(None))
+        else:
+            types = {f.name: f.dataType for f in hb.schema.fields}
+            cut = F.struct(
+                F.lit(row["_cut"]["_h"]).cast("bigint").alias("_h"),
+                *[F.lit(row["_cut"][c]).cast(types[c]).alias(c) for c in key_cols],
+            )
+            tagged = hb.withColumn("_eb", F.lit(row["_eb"]).cast("long")).withColumn("_cut", cut)
+    else:
+        tagged = hb.join(cutoff, strata, "left")
+    is_test = (
+        F.when(F.col("_eb").isNull(), False)
+        .when(F.col("_b") < F.col("_eb"), True)
+        .when(F.col("_b") > F.col("_eb"), False)
+        .otherwise(order <= F.col("_cut"))
     )
-    return settled.unionByName(edge).drop("_h", "_b", "_state", "_before", "_k")
+    out = tagged.withColumn(split_col, F.when(is_test, "test").otherwise("train"))
+    return out.drop("_h", "_b", "_eb", "_cut", "_all")
