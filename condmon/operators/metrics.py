@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from condmon.session import materialize
+
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """``n, mse, rmse, mae`` (per group when given)."""
@@ -44,7 +46,9 @@ def classification_report(
     denominator is 0.  The accuracy row carries accuracy in ``f1_score`` and
     NULL precision/recall.  ``names`` maps class values to printed names.
     """
-    conf = confusion(df, label, prediction)
+    # the confusion table (classes^2 rows) feeds every row of the report:
+    # checkpoint it so the scored rows are read once
+    conf = materialize(confusion(df, label, prediction))
     truth = conf.groupBy("y").agg(F.sum("n").alias("support")).withColumnRenamed("y", "c")
     pred = conf.groupBy("p").agg(F.sum("n").alias("predicted")).withColumnRenamed("p", "c")
     tp = conf.where(F.col("y") == F.col("p")).groupBy("y").agg(F.sum("n").alias("tp")).withColumnRenamed("y", "c")

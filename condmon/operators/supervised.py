@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from condmon.functions.timestamps import snapshot_time
 from condmon.operators.ordinal import ordinal_within
 from condmon.schemas import FAILING_BEARING, RUL_FEATURES
+from condmon.session import materialize
 
 
 def rul_cycles(
@@ -28,7 +29,12 @@ def rul_cycles(
     file_col: str = "file",
     time_col: str | None = None,
 ) -> DataFrame:
-    """Add ``event_ts`` (if absent), ``cycle`` and ``rul`` per test set."""
+    """Add ``event_ts`` (if absent), ``cycle`` and ``rul`` per test set.
+
+    The input (one row per snapshot) is checkpointed first: it feeds both
+    the per-set parse check and the ordinal pass.
+    """
+    feats = materialize(feats)
     if time_col is None:
         if "event_ts" not in feats.columns:
             feats = feats.withColumn("event_ts", snapshot_time(file_col))
