@@ -65,3 +65,10 @@ def ordinal_within(
     if total_name:
         out = out.withColumn(total_name, F.col("_total").cast("long"))
     return out.drop("_pid", "_pos", "_first", "_cnt", "_before", "_total")
+
+
+def first_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, k: int) -> DataFrame:
+    """The first ``k`` rows of each group in ``order_cols`` order (one pass
+    over the input, ordinals without a whole-group window)."""
+    out = ordinal_within(df, group_cols, order_cols, name="_k_ord")
+    return out.where(F.col("_k_ord") <= k).drop("_k_ord")

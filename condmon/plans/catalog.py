@@ -500,16 +500,11 @@ def sql_files_streamed() -> str:
 
 
 def q_first_files_sample(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
-    """First ``k`` file names per test set: one global top-k per set (the
-    set list is fixed), so no set is gathered into one task."""
-    from condmon.schemas import TEST_SETS
+    """First ``k`` file names per test set, in name order."""
+    from condmon.operators.ordinal import first_k_per_group
 
     files = T.signal_rows(spark, sf_dir).select("test_set", "file").distinct()
-    parts = [files.where(F.col("test_set") == s).orderBy("file").limit(k) for s in TEST_SETS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return first_k_per_group(files, ["test_set"], ["file"], k)
 
 
 def sql_first_files_sample() -> str:

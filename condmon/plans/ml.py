@@ -29,6 +29,7 @@ from condmon.operators import cleaning as CL
 from condmon.operators import metrics as ME
 from condmon.operators.splits import hash_split
 from condmon.schemas import TOOLWEAR_CANDIDATE_FEATURES
+from condmon.session import materialize
 
 # Model hyper-parameters of the trained models.
 RUL_PARAMS = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 3, "seed": 42}
@@ -81,8 +82,11 @@ def train_rul(
     key_cols: Sequence[str] = ("test_set", "file"),
     params: dict | None = None,
 ) -> Trained:
-    """Hash split 80/20 (K1), fit on train, RMSE on the hold-out."""
-    split = hash_split(supervised, key_cols, TEST_FRACTION, SPLIT_SEED)
+    """Hash split 80/20 (K1), fit on train, RMSE on the hold-out.
+
+    The input is checkpointed once: the split reads it in three passes.
+    """
+    split = hash_split(materialize(supervised), key_cols, TEST_FRACTION, SPLIT_SEED)
     train = split.where(F.col("split") == "train").drop("split")
     test = split.where(F.col("split") == "test").drop("split")
     model = rul_pipeline(feature_cols, params).fit(train)
@@ -130,7 +134,8 @@ def train_wear(
     80/20 split (K2), fit, accuracy and per-class report (D20, D21)."""
     if label_col not in data.columns:
         raise ValueError(f"expected a '{label_col}' column")
-    clean = CL.drop_incomplete(data)
+    # checkpointed once: the split reads the cleaned rows in three passes
+    clean = materialize(CL.drop_incomplete(data))
     feature_cols = CL.existing_columns(clean, candidates)
     split = hash_split(clean, key_cols, TEST_FRACTION, SPLIT_SEED, strata=[label_col])
     train = split.where(F.col("split") == "train").drop("split")
