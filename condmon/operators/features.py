@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from condmon.functions import features as FX
 from condmon.functions.timestamps import snapshot_time

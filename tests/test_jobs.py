@@ -1,7 +1,6 @@
 """The four jobs through the command line, on fixture files:
 publish -> train both models -> serve both streams."""
 
-import os
 
 import numpy as np
 import pytest

@@ -1,8 +1,6 @@
 """Stream equals batch, restart safety, JSON round trip, model persistence."""
 
-import os
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from condmon.operators.features import stream_features

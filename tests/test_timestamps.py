@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from condmon.functions.timestamps import published_timestamp, snapshot_time, strip_extension
 
