@@ -57,3 +57,26 @@ def read_experiments(spark: SparkSession, root: str, schema: StructType = EXPERI
 def read_metadata(spark: SparkSession, root: str, schema: StructType = EXPERIMENT_METADATA) -> DataFrame:
     """The metadata file; blank cells are NULL (A3)."""
     return spark.read.option("header", True).schema(schema).csv(f"{root.rstrip('/')}/{METADATA_FILE}")
+
+
+def read_experiment_samples(spark: SparkSession, root: str, schema: StructType = EXPERIMENT_SCHEMA) -> DataFrame:
+    """Experiment files with ``seq``, the 0-based sample number in file order
+    (L3 needs it; a CSV scan does not keep line order).
+
+    Each file is read whole and its lines numbered with ``posexplode``; every
+    data line is parsed with Spark's CSV parser (``from_csv``) against the
+    header's column order, so quoting rules are the CSV reader's.
+    """
+    raw = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(root, wholetext=True).select(
+        "value", F.col("_metadata.file_name").alias("_file")
+    )
+    raw = raw.where(is_experiment_file("_file"))
+    lines = F.split(F.regexp_replace("value", r"(\r?\n)+$", ""), r"\r?\n")
+    rows = raw.select("_file", F.posexplode(lines).alias("_line_no", "_line")).where(F.col("_line_no") > 0)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = rows.select(
+        strip_extension("_file").alias("experiment"),
+        (F.col("_line_no") - 1).alias("seq"),
+        F.from_csv("_line", ddl).alias("_r"),
+    )
+    return parsed.select("experiment", "seq", "_r.*")

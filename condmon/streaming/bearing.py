@@ -29,14 +29,19 @@ from condmon.sources import topics as TP
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def bearing_feature_stream(records: DataFrame, finalize_after: str | None = None) -> DataFrame:
+def bearing_feature_stream(records: DataFrame, finalize_after: str | None = None, observe: bool = True) -> DataFrame:
     """Streaming per-snapshot features from ``(topic, value)`` records.
 
+    ``observe`` publishes the number of parsed samples of each micro-batch
+    as the ``bearing_samples`` metric of the query progress (D22).
+
     With ``finalize_after`` (e.g. ``"1 hour"``) the snapshot time parsed
     from the file name is a watermarked grouping column, so ``append`` mode
     can emit each snapshot once, after the watermark passes it.
     """
     parsed = TP.parse_bearing(records)
+    if observe:
+        parsed = parsed.observe("bearing_samples", F.count(F.lit(1)).alias("samples"))
     if finalize_after:
         parsed = parsed.withColumn("event_ts", snapshot_time("file").cast("timestamp")).withWatermark(
             "event_ts", finalize_after
@@ -45,8 +50,23 @@ def bearing_feature_stream(records: DataFrame, finalize_after: str | None = None
     return stream_features(parsed)
 
 
-def toolwear_feature_stream(records: DataFrame) -> DataFrame:
-    return TP.flatten_toolwear(TP.parse_toolwear(records))
+def toolwear_feature_stream(records: DataFrame, observe: bool = True) -> DataFrame:
+    """Flat tool-wear rows; ``observe`` publishes per-batch row and
+    experiment counts as the ``toolwear_rows`` metric (D22)."""
+    flat = TP.flatten_toolwear(TP.parse_toolwear(records))
+    if observe:
+        flat = flat.observe("toolwear_rows", F.count(F.lit(1)).alias("rows"))
+    return flat
+
+
+def observed(query: StreamingQuery, name: str, field: str) -> int:
+    """Sum of an observed metric over the progress reports of a query."""
+    total = 0
+    for p in query.recentProgress:
+        m = (p.get("observedMetrics") or {}).get(name)
+        if m:
+            total += int(m[field])
+    return total
 
 
 def batch_writer(sink_path: str, scorer: Scorer | None = None, columns: Sequence[str] | None = None,

@@ -76,3 +76,17 @@ def test_file_report(spark, tree):
     assert rep["2004.02.01.00.10.00"]["reason"] == "unexpected width"
     assert rep["2004.01.01.00.10.00"]["keep_by_width"] and not rep["2004.01.01.00.10.00"]["keep_by_test"]
     assert rep["2004.01.01.00.00.00"]["reason"] is None and rep["2004.01.01.00.00.00"]["lines"] == 2
+
+
+def test_experiment_samples_keep_file_order(spark, tmp_path):
+    from condmon.operators.cleaning import elapsed_time
+    from condmon.sources.experiment_files import EXPERIMENT_COLUMNS, read_experiment_samples
+
+    header = ",".join(EXPERIMENT_COLUMNS + ["Machining_Process"])
+    body = [",".join([str(float(k))] * len(EXPERIMENT_COLUMNS) + [f'"Layer {k % 3 + 1} Up"']) for k in (5, 3, 9, 1)]
+    (tmp_path / "experiment_07.csv").write_text(header + "\n" + "\n".join(body) + "\n")
+    (tmp_path / "train.csv").write_text("No,material\n1,wax\n")
+    out = elapsed_time(read_experiment_samples(spark, str(tmp_path))).orderBy("seq").collect()
+    assert [(r["seq"], r["X1_ActualPosition"], r["elapsed_s"]) for r in out] == [
+        (0, 5.0, 0.0), (1, 3.0, 0.1), (2, 9.0, 0.2), (3, 1.0, 0.30000000000000004)]
+    assert out[0]["Machining_Process"] == "Layer 3 Up" and out[0]["experiment"] == "experiment_07"

@@ -17,7 +17,9 @@ def test_stream_equals_batch_and_restart(spark):
     TP.write_messages(msgs.repartition(4), landing, mode="overwrite")
     sink, ckpt = work_dir(spark, "t-sink"), work_dir(spark, "t-ckpt")
     stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=1)
-    SB.start(SB.bearing_feature_stream(stream), sink, ckpt, "update").awaitTermination()
+    q = SB.start(SB.bearing_feature_stream(stream), sink, ckpt, "update")
+    q.awaitTermination()
+    assert SB.observed(q, "bearing_samples", "samples") == msgs.count()
     written = SB.read_sink(spark, sink)
     n1 = written.count()
     assert written.select("batch_id").distinct().count() >= 2
