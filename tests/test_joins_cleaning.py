@@ -62,3 +62,13 @@ def test_absent_columns_not_fillna(spark):
     df = spark.createDataFrame([(1.0, None)], "a double, b double")
     out = CL.add_absent_columns(df, ["a", "b", "c"]).collect()[0]
     assert (out["a"], out["b"], out["c"]) == (1.0, None, 0.0)
+
+
+def test_required_input_checks(spark):
+    from condmon.plans import ml
+
+    df = spark.createDataFrame([(1.0, "worn")], "a double, tool_condition string")
+    with pytest.raises(ValueError):
+        CL.existing_columns(df, ["X1_ActualPosition"])
+    with pytest.raises(ValueError):
+        ml.train_wear(df.drop("tool_condition"), ["a"])
