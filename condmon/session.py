@@ -88,3 +88,27 @@ def materialize(df, eager: bool = True):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+# Settings for a large cluster (pass with ``--conf`` to spark-submit).  The
+# library reads, and never sets, the session's configuration.
+CLUSTER_CONF = {
+    # re-plan at run time: coalesce small shuffle partitions, split skewed
+    # ones in joins, turn a small measured side into a broadcast
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # the sample shuffles are pre-aggregated; start wide and let AQE coalesce
+    "spark.sql.shuffle.partitions": "8000",
+    # parquet splits of ~256 MB keep one scan task's working set small
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # explicit broadcasts are size-checked; keep the automatic bound modest
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # per-snapshot stream state lives on local disk, commits write changelogs
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # checkpoints and intermediate tables: a shared, durable folder
+    "spark.checkpoint.dir": "<shared durable folder, e.g. an object-store prefix>",
+}
