@@ -65,3 +65,19 @@ def test_model_save_load_same_predictions(spark):
     b = ml.score_rul(loaded, sup, keep=("test_set", "file")).orderBy("test_set", "file").collect()
     assert a == b
     assert trained.metrics.collect()[0]["rmse"] >= 0
+
+
+def test_jdbc_sink_plumbing(spark, monkeypatch):
+    """The JDBC branch of the batch writer (A8, A9), without a database:
+    ``DataFrameWriter.jdbc`` is replaced to record what it is given."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    calls = []
+
+    def fake_jdbc(self, url, table, mode=None, properties=None):
+        calls.append((url, table, properties, self._df.columns, self._df.count()))
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
+    write = SB.batch_writer("unused", columns=["a"], jdbc={"url": "jdbc:x", "table": "public.t", "properties": {"user": "u"}})
+    write(spark.createDataFrame([(1, 2), (3, 4)], "a int, b int"), 7)
+    assert calls == [("jdbc:x", "public.t", {"user": "u"}, ["a", "batch_id"], 2)]
