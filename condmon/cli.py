@@ -69,7 +69,7 @@ def main(argv=None) -> int:
         from condmon.plans import training
 
         params = {"maxIter": a.trees} if a.trees else None
-        fn = training.train_bearing_model if a.cmd == "train-bearing" else training.train_toolwear_model
+        fn = training.train_rul_model if a.cmd == "train-bearing" else training.train_wear_model
         trained = fn(spark, a.root, a.model, params)
         trained.metrics.show(truncate=False)
         return 0

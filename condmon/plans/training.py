@@ -27,7 +27,7 @@ def bearing_training_table(spark: SparkSession, root: str, policy: str = "by_wid
     return rul_supervised(rul_cycles(feature_table(samples)))
 
 
-def train_bearing_model(
+def train_rul_model(
     spark: SparkSession, root: str, model_path: str | None = None, params: dict | None = None
 ) -> ml.Trained:
     sup = bearing_training_table(spark, root)
@@ -44,7 +44,7 @@ def toolwear_training_table(spark: SparkSession, root: str) -> DataFrame:
     return ordinal_join(read_experiments(spark, root), read_metadata(spark, root))
 
 
-def train_toolwear_model(
+def train_wear_model(
     spark: SparkSession, root: str, model_path: str | None = None, params: dict | None = None
 ) -> ml.Trained:
     data = toolwear_training_table(spark, root)

@@ -7,8 +7,8 @@ import pytest
 from condmon.plans import ml
 from condmon.plans.training import (
     bearing_training_table,
-    train_bearing_model,
-    train_toolwear_model,
+    train_rul_model,
+    train_wear_model,
 )
 
 
@@ -23,7 +23,7 @@ def _snap(root, test_set, name, rows):
 def bearing_root(tmp_path_factory):
     import numpy as np
 
-    root = str(tmp_path_factory.mktemp("nasa"))
+    root = str(tmp_path_factory.mktemp("snapshots"))
     rng = np.random.default_rng(3)
     for s, width in (("1st_test", 8), ("2nd_test", 4), ("3rd_test", 4)):
         for i in range(12):
@@ -42,7 +42,7 @@ def test_bearing_training_table(spark, bearing_root):
 
 def test_train_and_reload_bearing(spark, bearing_root, tmp_path):
     path = str(tmp_path / "rul")
-    trained = train_bearing_model(spark, bearing_root, path, params={"maxIter": 3})
+    trained = train_rul_model(spark, bearing_root, path, params={"maxIter": 3})
     assert trained.metrics.collect()[0]["n"] == 8  # ceil(0.2 * 36)
     assert ml.model_feature_cols(ml.load(path)) == trained.feature_cols
 
@@ -61,7 +61,7 @@ def test_train_toolwear(spark, tmp_path):
         "No,material,feedrate,clamp_pressure,tool_condition,machining_finalized,passed_visual_inspection\n"
         "1,wax,6,4,unworn,yes,yes\n2,wax,20,4,worn,yes,no\n3,wax,6,3,unworn,yes,yes\n4,wax,6,2.5,worn,no,\n"
     )
-    trained = train_toolwear_model(spark, str(tmp_path), params={"maxIter": 3})
+    trained = train_wear_model(spark, str(tmp_path), params={"maxIter": 3})
     rep = {r["label"]: r for r in trained.metrics.collect()}
     # experiment 4 has a blank inspection field and is dropped: 90 rows,
     # 60 unworn / 30 worn -> 12 + 6 test rows
