@@ -744,3 +744,4 @@ def q_stream_serve_both(spark: SparkSession, sf_dir: str, batches: int = 4) -> D
     SB.await_all(queries)
     preds = SB.read_sink(spark, f"{sinks}/bearing_predictions")
     return SB.latest_per_key(preds, ["test_set", "file", "timestamp"]).drop("batch_id")
+

@@ -89,12 +89,31 @@ def parse_lines(df: DataFrame, line: str = "line", test_set: str = "test_set", p
     )
 
 
+def write_snapshot_files(samples: DataFrame, root: str, channels=CHANNELS) -> None:
+    """Land sample rows as snapshot files: one tab-separated file per
+    ``(test_set, file)`` under ``test_set=<set>/file=<name>/``.
+
+    A snapshot is one file, so its rows go to one writer task
+    (``repartition`` on the snapshot key); line order inside a file is not
+    kept.
+    """
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in channels])
+    (
+        samples.select("test_set", "file", line.alias("value"))
+        .repartition("test_set", "file")
+        .write.mode("overwrite")
+        .partitionBy("test_set", "file")
+        .text(root)
+    )
+
+
 def read_snapshot_files(
     spark: SparkSession,
     root: str,
     policy: str = "by_width",
     recursive: bool = True,
     ignore_corrupt: bool = True,
+    layout: str = "folders",
 ) -> DataFrame:
     """Scan a folder tree of snapshot files into sample rows (A1).
 
@@ -106,21 +125,32 @@ def read_snapshot_files(
     Each file is read whole (``wholetext``) so that line order — needed for
     the first-line width and for ``seq`` — is known; snapshot files are
     small (tens of thousands of lines) and many, so files parallelise.
+
+    ``layout="partitioned"`` reads the ``test_set=…/file=…`` folders written
+    by ``write_snapshot_files``: set and snapshot name come from the
+    partition columns.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
     reader = spark.read
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", True)
-    # ``text()`` has its own ``wholetext`` keyword (default False) that
-    # overrides a reader option, so it is passed here
-    raw = reader.text(root, wholetext=True).select(
-        F.col("value"),
-        F.col("_metadata.file_name").alias("file"),
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("test_set"),
-    )
+    if layout == "partitioned":
+        # ``text()`` has its own ``wholetext`` keyword (default False) that
+        # overrides a reader option, so it is passed here
+        raw = reader.text(root, wholetext=True).select(
+            "value", F.col("file").cast("string").alias("file"), F.col("test_set").cast("string").alias("test_set")
+        )
+    elif layout == "folders":
+        if recursive:
+            reader = reader.option("recursiveFileLookup", True)
+        raw = reader.text(root, wholetext=True).select(
+            F.col("value"),
+            F.col("_metadata.file_name").alias("file"),
+            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("test_set"),
+        )
+    else:
+        raise ValueError("layout must be 'folders' or 'partitioned'")
     # one row per file: the guards are computed inside the row (no shuffle)
     text = F.regexp_replace("value", r"(\r?\n)+$", "")
     lines = F.split(text, r"\r?\n")
