@@ -397,16 +397,16 @@ def q_json_malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     good_msgs = TP.toolwear_messages(T.machine_rows(spark, sf_dir))
     junk = T.table(spark, sf_dir, "documents").select(F.lit(TOOLWEAR_TOPIC).alias("topic"), F.col("text").alias("value"))
     records = good_msgs.unionByName(junk)
-    good, bad = TP.split_quarantine(records, TOOLWEAR_TOPIC, TOOLWEAR_RECORD)
-    ok = good.select(
-        F.lit("ok").alias("status"), "experiment",
-        F.col("payload.X1_ActualPosition").alias("X1_ActualPosition"), F.lit(None).cast("string").alias("record_md5"),
+    tagged = TP.tag_quarantine(records, TOOLWEAR_TOPIC, TOOLWEAR_RECORD)
+    bad = F.col("quarantined")
+    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+    out = tagged.select(
+        F.when(bad, "quarantine").otherwise("ok").alias("status"),
+        F.when(bad, null_s).otherwise(F.col("data.experiment")).alias("experiment"),
+        F.when(bad, null_d).otherwise(F.col("data.payload.X1_ActualPosition")).alias("X1_ActualPosition"),
+        F.when(bad, F.md5("value")).otherwise(null_s).alias("record_md5"),
     )
-    q = bad.select(
-        F.lit("quarantine").alias("status"), F.lit(None).cast("string").alias("experiment"),
-        F.lit(None).cast("double").alias("X1_ActualPosition"), F.md5("value").alias("record_md5"),
-    )
-    return compare_form(ok.unionByName(q))
+    return compare_form(out)
 
 
 def sql_json_malformed_quarantine() -> str:

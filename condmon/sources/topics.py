@@ -158,15 +158,24 @@ def parse_toolwear(records: DataFrame) -> DataFrame:
     return parse_records(records, TOOLWEAR_TOPIC, TOOLWEAR_RECORD)
 
 
-def split_quarantine(records: DataFrame, topic: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Parsed good rows, and the quarantined raw values that did not parse
-    (malformed JSON or a wrongly typed field)."""
+def tag_quarantine(records: DataFrame, topic: str, schema: StructType) -> DataFrame:
+    """One pass: ``value``, the parsed ``data`` struct and ``quarantined``
+    (malformed JSON or a wrongly typed field), for the records of ``topic``."""
     parsed = records.where(F.col("topic") == topic).select(
         "value", F.from_json("value", _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT_COL}).alias("data")
     )
-    bad = F.col(f"data.{CORRUPT_COL}").isNotNull()
-    good = parsed.where(~bad | F.col("value").isNull()).select("data.*").drop(CORRUPT_COL)
-    quarantine = parsed.where(bad).select("value")
+    return parsed.withColumn("quarantined", F.col(f"data.{CORRUPT_COL}").isNotNull())
+
+
+def split_quarantine(records: DataFrame, topic: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Parsed good rows, and the quarantined raw values that did not parse.
+
+    Two frames over the same records; to parse once and write both, use
+    ``tag_quarantine`` and filter its output.
+    """
+    tagged = tag_quarantine(records, topic, schema)
+    good = tagged.where(~F.col("quarantined")).select("data.*").drop(CORRUPT_COL)
+    quarantine = tagged.where(F.col("quarantined")).select("value")
     return good, quarantine
 
 
@@ -197,5 +206,6 @@ __all__ = [
     "parse_bearing",
     "parse_toolwear",
     "split_quarantine",
+    "tag_quarantine",
     "flatten_toolwear",
 ]
