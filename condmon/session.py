@@ -15,7 +15,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "condmon") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "condmon", extra_conf: dict | None = None
+) -> SparkSession:
     """Local session used by tests and bench (UI off, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -42,6 +44,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
     # tests only: a fresh local checkpoint folder (clusters name a shared one)
     builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="condmon-ckpt-"))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
