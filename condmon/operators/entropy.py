@@ -57,6 +57,7 @@ def entropy_from_counts(
     bins: int = ENTROPY_BINS,
     stats: DataFrame | None = None,
     return_histogram: bool = False,
+    central: bool = False,
 ) -> DataFrame:
     """Entropy per group from ``(keys..., value, c)`` value counts
     (or, with ``return_histogram``, the ``(keys, _n, _rows, _bin, _cnt)``
@@ -98,7 +99,17 @@ def entropy_from_counts(
             ).otherwise(F.col("_i1")),
         )
     )
-    hist = binned.groupBy(*keys, "_n", "_rows", "_bin").agg(F.sum("c").alias("_cnt"))
+    sums = [F.sum("c").alias("_cnt")]
+    if central:
+        # central power sums about the group mean (``_mean`` in ``stats``):
+        # the second pass of two-pass moments, per bin here, summed later
+        d = x - F.col("_mean")
+        sums += [
+            F.sum(F.col("c") * d * d).alias("_p2"),
+            F.sum(F.col("c") * d * d * d).alias("_p3"),
+            F.sum(F.col("c") * d * d * d * d).alias("_p4"),
+        ]
+    hist = binned.groupBy(*keys, "_n", "_rows", "_bin").agg(*sums)
     if return_histogram:
         return hist
     p = F.col("_cnt") / F.col("_n")
@@ -142,12 +153,14 @@ def channel_range_aggs(channels: Sequence[str]) -> list:
             F.min(ch).alias(f"_lo_{ch}"),
             F.max(ch).alias(f"_hi_{ch}"),
             F.count(ch).alias(f"_n_{ch}"),
+            F.sum(ch).alias(f"_sx_{ch}"),
         ]
     return out
 
 
 def channel_stats_long(wide_stats: DataFrame, keys: Sequence[str], channels: Sequence[str]) -> DataFrame:
-    """Wide ``_lo_b1, _hi_b1, _n_b1, ...`` columns to one row per channel."""
+    """Wide ``_lo_b1, _hi_b1, _n_b1, _sx_b1, ...`` columns to one row per
+    channel with ``_lo, _hi, _n, _rows, _mean``."""
     keys = list(keys)
     per_channel = F.explode(
         F.array(
@@ -158,6 +171,7 @@ def channel_stats_long(wide_stats: DataFrame, keys: Sequence[str], channels: Seq
                     F.col(f"_hi_{ch}").alias("_hi"),
                     F.col(f"_n_{ch}").alias("_n"),
                     F.col("_rows").alias("_rows"),
+                    F.try_divide(F.col(f"_sx_{ch}"), F.col(f"_n_{ch}")).alias("_mean"),
                 )
                 for ch in channels
             ]

@@ -12,13 +12,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from condmon.functions import features as FX
 from condmon.functions.timestamps import snapshot_time
-from condmon.operators.entropy import channel_entropy_wide, channel_range_aggs
+from condmon.operators.entropy import (
+    channel_range_aggs,
+    channel_stats_long,
+    entropy_from_counts,
+    value_counts,
+)
 from condmon.operators.keys import join_null_safe
 from condmon.session import materialize
-from condmon.schemas import BATCH_FEATURES, CHANNELS, STREAM_FEATURES, feature_columns
+from condmon.schemas import BATCH_FEATURES, CHANNELS, ENTROPY_BINS, STREAM_FEATURES
 
 SNAPSHOT_KEY = ("test_set", "file")
 
@@ -56,29 +62,81 @@ def feature_table(
     channels: Sequence[str] = CHANNELS,
     file_col: str = "file",
     checkpoint: bool = True,
+    bins: int = ENTROPY_BINS,
 ) -> DataFrame:
     """Full batch feature table (D18): 12 features x channels per snapshot,
     plus ``event_ts`` parsed from the file name.
 
-    Two aggregations over the same rows — the moment features (with the
-    per-channel ranges) and the entropy histogram value counts — joined on
-    the snapshot key; both sides are one row per snapshot, and AQE picks the
-    join strategy from their measured size.
+    Two passes over the samples:
+
+    1. one aggregation per snapshot with the plain features (mean of
+       ``|x|``, rms, max, peak-to-peak, clearance and the ratios) and the
+       per-channel count, sum, min and max; this table (one row per
+       snapshot) is checkpointed;
+    2. value counts ``(snapshot, channel, x) -> c`` (partial aggregation
+       before the shuffle) joined to (1): each distinct value gets its
+       histogram bin and its central terms ``c (x - mean)^2..4``; sums per
+       bin, then per snapshot, give the entropy and the second pass of
+       two-pass moments (std, skew, kurtosis as pandas computes them).
+
+    The two results are joined on the snapshot key (one row per snapshot
+    on both sides; AQE picks the join from their measured size).
     """
     keys = list(keys)
-    # moments and per-channel ranges in one aggregation; the ranges feed the
-    # histogram.  The result (one row per snapshot) is checkpointed, so the
-    # samples are read twice in total — once here, once for the histogram.
-    moments = rows.groupBy(*keys).agg(
-        *FX.feature_aggs(channels, [f for f in BATCH_FEATURES if f != "entropy"]),
-        *channel_range_aggs(channels),
-    )
+    kc = keys + ["channel"]
+    plain = [f for f in BATCH_FEATURES if f not in ("entropy", "std", "skew", "kurtosis")]
+    moments = rows.groupBy(*keys).agg(*FX.feature_aggs(channels, plain), *channel_range_aggs(channels))
     if checkpoint:
         moments = materialize(moments)
-    ent = channel_entropy_wide(rows, keys, channels, wide_stats=moments)
-    cols = feature_columns(BATCH_FEATURES, channels)
-    out = join_null_safe(moments, ent, keys, "left")
+    long_df = rows.select(*keys, *channels).unpivot(keys, list(channels), "channel", "x")
+    stats = channel_stats_long(moments, keys, channels)
+    hist = entropy_from_counts(
+        value_counts(long_df, kc, "x"), kc, "x", bins, stats, return_histogram=True, central=True
+    )
+    p = F.col("_cnt") / F.col("_n")
+    aggs = []
+    for ch in channels:
+        mine = F.col("channel") == ch
+        aggs.append(F.sum(F.when(mine & F.col("_bin").isNotNull(), p * F.log(p))).alias(f"_plogp_{ch}"))
+        aggs += [F.sum(F.when(mine, F.col(f"_p{i}"))).alias(f"_m{i}_{ch}") for i in (2, 3, 4)]
+    sums = hist.groupBy(*keys).agg(*aggs)
+    out = join_null_safe(moments, sums, keys, "left")
     select = [*keys]
     if file_col in keys:
         select.append(snapshot_time(file_col).alias("event_ts"))
+    cols = []
+    for ch in channels:
+        derived = _two_pass_features(ch)
+        for f in BATCH_FEATURES:
+            cols.append(derived[f].alias(f"{ch}_{f}") if f in derived else F.col(f"{ch}_{f}"))
     return out.select(*select, *cols)
+
+
+def _two_pass_features(ch: str) -> dict:
+    """std, skew, kurtosis and entropy of one channel from its count, range
+    and central sums (pandas' formulas, including its rule that a sum of
+    squared deviations below 1e-14 counts as zero)."""
+    n = F.col(f"_n_{ch}").cast("double")
+    rows = F.col("_rows").cast("double")
+    m2, m3, m4 = (F.col(f"_m{i}_{ch}") for i in (2, 3, 4))
+    null = F.lit(None).cast("double")
+    flat = (F.col(f"_hi_{ch}") == F.col(f"_lo_{ch}")) | (m2 < 1e-14)
+    skew = (
+        F.when(n < 3, null)
+        .when(flat, F.lit(0.0))
+        .otherwise(n * F.sqrt(n - 1) / (n - 2) * (m3 / F.pow(m2, 1.5)))
+    )
+    kurt = (
+        F.when(n < 4, null)
+        .when(flat, F.lit(0.0))
+        .otherwise(
+            n * (n + 1) * (n - 1) * m4 / ((n - 2) * (n - 3) * m2 * m2)
+            - 3 * (n - 1) * (n - 1) / ((n - 2) * (n - 3))
+        )
+    )
+    return {
+        "std": F.when(n >= 2, F.sqrt(m2 / (n - 1))),
+        "skew": skew,
+        "kurtosis": kurt,
+        "entropy": F.when(n < rows, null).otherwise(-F.col(f"_plogp_{ch}") + 0.0),
+    }
