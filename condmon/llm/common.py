@@ -122,3 +122,39 @@ def pieces(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
         yield data[start : cut.start()]
         start = cut.start()
     yield data[start:] if start else data
+
+
+def map_texts(df: DataFrame, text: str, keep: Sequence[str], fields: Sequence[tuple[str, str]], make) -> DataFrame:
+    """Apply a Python function to batches of whole texts.
+
+    ``make()`` runs once per task and returns ``fn(texts)``, which gets a list
+    of UTF-8 byte strings (None for NULL) and returns one Arrow array or list
+    per entry of ``fields`` (name, SQL type).  The ``keep`` columns pass
+    through unchanged; no row is added or lost.
+    """
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    bound_batches(df.sparkSession)
+    src = df.select(*keep, F.col(text).cast("binary").alias("_text"))
+    extra = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields))
+    schema = T.StructType([*src.schema.fields[:-1], *extra.fields])
+    arrow = to_arrow_schema(extra)
+
+    def run(batches):
+        import pyarrow as pa
+
+        fn = make()
+        for batch in batches:
+            outs = fn(batch.column(batch.num_columns - 1).to_pylist())
+            cols = [batch.column(i) for i in range(batch.num_columns - 1)]
+            cols += [o if isinstance(o, pa.Array) else pa.array(o, type=f.type) for o, f in zip(outs, arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+
+    return src.mapInArrow(run, schema)
+
+
+def held_out(doc_id: Column, folds: int, fold: int) -> Column:
+    """True where ``crc32(doc_id as text) mod folds = fold`` (NULL: empty text)."""
+    text = F.coalesce(doc_id.cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % folds == fold

@@ -6,21 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from condmon.llm import mixing, oracles, sharding
+from condmon.llm import decontam, mixing, oracles, quality_rules, quality_zstd, sharding, simhash
 from condmon.llm.common import read_table
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination_report(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_totals(read_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_zstd.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_shard_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_plan(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontaminate": op2_decontaminate,
+        "op3_simhash_dedup": op3_simhash_dedup,
         "op5_mix_sources": op5_mix_sources,
+        "op7_quality_classifier": op7_quality_classifier,
+        "op8_quality_rules": op8_quality_rules,
         "op9_shard_interleaved": op9_shard_interleaved,
     }
 
