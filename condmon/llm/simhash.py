@@ -14,9 +14,9 @@ Scale: equal fingerprints are one node (pre-aggregated), so copies cost
 nothing.  A bucket of at most ``BUCKET`` fingerprints is compared directly
 and gives a spanning forest of its true links, never its pairs.  A larger
 bucket is exactly refined: its members go to the 15 masks over the bits that
-its own mask leaves free, which again cover radius 3.  Each refinement at
-least halves the free bits, so after three of them a bucket cannot hold more
-than ``BUCKET`` distinct fingerprints; nothing is capped.  Hot tables are
+its own mask leaves free, which again cover radius 3.  Each refinement about
+halves the free bits, so after three or four of them a bucket cannot hold more
+than ``BUCKET`` (at least 64) distinct fingerprints; nothing is capped.  Hot tables are
 sized by a map-side count before any bucket is gathered.
 
 Defined cases: NULL and wordless texts have fingerprint zero and are linked
@@ -43,8 +43,13 @@ _BITS = 64
 _CHUNK = 1 << 16
 
 
+#: The non-zero vectors, a basis and its sum first: with five positions or
+#: more every mask keeps at least one of them.
+_VECTORS = sorted(range(1, 16), key=lambda x: (x.bit_count() not in (1, 4), x))
+
+
 def _vectors(positions: list[int]) -> dict[int, int]:
-    return {p: i % 15 + 1 for i, p in enumerate(positions)}
+    return {p: _VECTORS[i % 15] for i, p in enumerate(positions)}
 
 
 def cover_masks(positions: list[int], kept: int = 0) -> list[int]:
@@ -176,6 +181,8 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
     exactly the fingerprints joined by links of at most ``radius`` bits."""
     if radius > RADIUS:
         raise ValueError(f"the masks cover a radius of {RADIUS}")
+    if bucket < 64:
+        raise ValueError("buckets of fewer than 64 fingerprints cannot always be refined")
     spark = fps.sparkSession
     masks = [_signed(m) for m in cover_masks(list(range(_BITS)))]
     rows = fps.select("fp", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
