@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from condmon.llm import mixing, sharding
+from condmon.llm import chat, linededup, mixing, sharding
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -70,3 +70,56 @@ p AS (SELECT *, row_number() OVER (ORDER BY (r + 0.5::DOUBLE) / n, g, r) - 1 AS
 SELECT doc_id, size, text_crc32, 'rows' AS law, (pos * {n} // total)::INTEGER AS shard,
        (pos - ((pos * {n} // total) * total + {n - 1}) // {n})::BIGINT AS slot, NULL::INTEGER AS grown_shard
 FROM p"""
+
+
+def chat_sql() -> str:
+    """Prefixes compared as lists of whole turns."""
+    safe = "replace(coalesce({0}, ''), '<|im_', '<| im_')"
+    line = f"'{chat.BEGIN}' || {safe.format('role')} || chr(10) || {safe.format('text')} || '{chat.END}' || chr(10)"
+    return f"""
+WITH t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST, md5(coalesce(text, '')), text IS NULL) AS pos
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+p AS (
+  SELECT conv_id, pos, md5(string_agg(md5(coalesce('r' || role, '-')) || md5(coalesce('t' || text, '-')), '')
+           OVER (PARTITION BY conv_id ORDER BY pos)) AS h,
+         max(pos) OVER (PARTITION BY conv_id) AS n_turns
+  FROM t),
+f AS (
+  SELECT min(conv_id) AS conv_id, n_turns, h, count(*) AS n_copies FROM p WHERE pos = n_turns GROUP BY n_turns, h),
+k AS (
+  SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos = f.n_turns AND p.h = f.h AND p.n_turns > f.n_turns))
+SELECT conv_id, ((pos - 1) // {chat.PART_TURNS})::INTEGER AS part, n_turns, n_copies, count(*) AS part_turns,
+       string_agg({line}, '' ORDER BY pos) AS text
+FROM t JOIN k USING (conv_id) GROUP BY ALL"""
+
+
+def line_dedup_sql() -> str:
+    """Windows of whole lines compared as text."""
+    w = linededup.WINDOW
+    return f"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ln,
+         unnest(string_split(text, chr(10))) AS raw
+  FROM documents),
+n AS (
+  SELECT doc_id, ln, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line,
+         row_number() OVER (PARTITION BY doc_id ORDER BY ln) - 1 AS pos
+  FROM l WHERE trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''),
+v AS (
+  SELECT doc_id, pos, string_agg(line, chr(10)) OVER x AS content, count(*) OVER x AS c FROM n
+  WINDOW x AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING)),
+r AS (
+  SELECT doc_id, pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) AS nth FROM v WHERE c = {w}) WHERE nth > 1),
+g AS (
+  SELECT DISTINCT n.doc_id, n.ln FROM n JOIN r ON n.doc_id = r.doc_id AND n.pos BETWEEN r.pos AND r.pos + {w - 1}),
+a AS (
+  SELECT doc_id, count(*) AS n_removed, string_agg(ln::VARCHAR, ',' ORDER BY ln) AS removed_lines FROM g GROUP BY doc_id),
+k AS (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY ln) AS text
+  FROM l WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = l.doc_id AND g.ln = l.ln) GROUP BY doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM n WHERE n.doc_id = d.doc_id) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       coalesce(removed_lines, '') AS removed_lines,
+       CASE WHEN n_removed > 0 THEN coalesce(k.text, '') ELSE d.text END AS text
+FROM documents d LEFT JOIN a USING (doc_id) LEFT JOIN k USING (doc_id)"""

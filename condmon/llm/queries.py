@@ -6,10 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from condmon.llm import decontam, mixing, oracles, quality_rules, quality_zstd, sharding, simhash
+from condmon.llm import (
+    chat,
+    decontam,
+    linededup,
+    mixing,
+    oracles,
+    quality_rules,
+    quality_zstd,
+    sharding,
+    simhash,
+    unitdedup,
+)
 from condmon.llm.common import read_table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
@@ -20,6 +35,10 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_totals(read_table(spark, sf_dir, "documents"))
 
@@ -36,19 +55,28 @@ def op9_shard_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_plan(read_table(spark, sf_dir, "documents"))
 
 
+def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unitdedup.dedup_units(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_chat_format": op1_chat_format,
         "op2_decontaminate": op2_decontaminate,
         "op3_simhash_dedup": op3_simhash_dedup,
+        "op4_line_dedup": op4_line_dedup,
         "op5_mix_sources": op5_mix_sources,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_quality_rules": op8_quality_rules,
         "op9_shard_interleaved": op9_shard_interleaved,
+        "op10_unit_dedup": op10_unit_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_chat_format": oracles.chat_sql(),
+        "op4_line_dedup": oracles.line_dedup_sql(),
         "op5_mix_sources": oracles.mix_sql(),
         "op9_shard_interleaved": oracles.shard_sql(),
     }
