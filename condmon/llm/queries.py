@@ -11,6 +11,7 @@ from condmon.llm import (
     decontam,
     linededup,
     mixing,
+    ngramlm,
     oracles,
     quality_rules,
     quality_zstd,
@@ -43,6 +44,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_totals(read_table(spark, sf_dir, "documents"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramlm.score_corpus(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_zstd.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_line_dedup": op4_line_dedup,
         "op5_mix_sources": op5_mix_sources,
+        "op6_lm_score": op6_lm_score,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_quality_rules": op8_quality_rules,
         "op9_shard_interleaved": op9_shard_interleaved,
