@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from condmon.llm import (
     chat,
     decontam,
@@ -76,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_shard_interleaved": op9_shard_interleaved,
         "op10_unit_dedup": op10_unit_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
