@@ -6,7 +6,7 @@
     python -m condmon.cli serve --bearing-model DIR --toolwear-model DIR --records DIR \
         --sinks DIR --checkpoints DIR [--available-now]
 
-The session comes from ``spark-submit`` (or a local one when run directly).
+The session comes from ``spark-submit``.
 """
 
 from __future__ import annotations
@@ -18,17 +18,9 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    """The active session, the one ``spark-submit`` configures, or — run as
-    a plain script without a master — a local one."""
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    try:
-        return SparkSession.builder.appName("condmon").getOrCreate()
-    except Exception:
-        from condmon.session import local_session
-
-        return local_session()
+    """The active session, or the one ``spark-submit`` configures; a session
+    that cannot start is an error."""
+    return SparkSession.getActiveSession() or SparkSession.builder.appName("condmon").getOrCreate()
 
 
 def main(argv=None) -> int:
@@ -75,13 +67,14 @@ def main(argv=None) -> int:
         return 0
     if a.cmd == "serve":
         from condmon.plans.serving import serve
-        from condmon.streaming.bearing import await_all
+        from condmon.streaming.bearing import await_all, await_any
 
         source = "kafka" if a.bootstrap else "files"
         qs = serve(spark, a.bearing_model, a.toolwear_model, a.sinks, a.checkpoints, source=source,
                    path=a.records, bootstrap=a.bootstrap, max_files_per_trigger=a.max_files_per_trigger,
                    available_now=a.available_now)
-        await_all(qs)
+        # a drained replay ends by itself; a service ends with its first query
+        await_all(qs) if a.available_now else await_any(qs)
         return 0
     return 2
 

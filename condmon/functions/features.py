@@ -26,11 +26,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def n_samples(x) -> Column:
-    """Non-NULL samples of the channel."""
-    return F.count(_c(x))
-
-
 def n_rows() -> Column:
     """Rows in the group, NULL samples included."""
     return F.count(F.lit(1))
@@ -46,36 +41,56 @@ def std(x) -> Column:
     return F.stddev_samp(_c(x))
 
 
-def skew(x) -> Column:
-    """Bias-corrected sample skewness G1 (pandas ``skew``).
+def _zero_small(c: Column) -> Column:
+    """pandas' guard against rounding: sums below 1e-14 count as zero."""
+    return F.when(F.abs(c) < 1e-14, F.lit(0.0)).otherwise(c)
 
-    ``G1 = g1 * sqrt(n (n-1)) / (n-2)``; NULL below 3 samples, 0 for a
-    constant channel.
-    """
-    x = _c(x)
-    n = F.count(x).cast("double")
+
+def skew_from_sums(n: Column, m2: Column, m3: Column) -> Column:
+    """Bias-corrected sample skewness as pandas computes it, from the count
+    and the sums of squared and cubed deviations; NULL below 3 samples, 0
+    where the squares count as zero."""
+    m2, m3 = _zero_small(m2), _zero_small(m3)
     return (
         F.when(n < 3, F.lit(None).cast("double"))
-        .when(F.max(x) == F.min(x), F.lit(0.0))
-        .otherwise(F.try_divide(F.skewness(x) * F.sqrt(n * (n - 1)), n - 2))
+        .when(m2 == 0, F.lit(0.0))
+        .otherwise(F.try_divide(n * F.sqrt(n - 1), n - 2) * F.try_divide(m3, F.pow(m2, 1.5)))
     )
 
 
-def kurtosis(x) -> Column:
-    """Bias-corrected excess kurtosis G2 (pandas ``kurtosis``).
-
-    ``G2 = (n-1) / ((n-2)(n-3)) * ((n+1) g2 + 6)``; NULL below 4 samples,
-    0 for a constant channel.
-    """
-    x = _c(x)
-    n = F.count(x).cast("double")
+def kurtosis_from_sums(n: Column, m2: Column, m4: Column) -> Column:
+    """Bias-corrected excess kurtosis as pandas computes it, from the count
+    and the sums of squares and fourth powers of the deviations; NULL below 4
+    samples, 0 where the denominator counts as zero."""
+    top = _zero_small(n * (n + 1) * (n - 1) * m4)
+    bottom = _zero_small((n - 2) * (n - 3) * m2 * m2)
+    adjust = F.try_divide(3 * (n - 1) * (n - 1), (n - 2) * (n - 3))
     return (
         F.when(n < 4, F.lit(None).cast("double"))
-        .when(F.max(x) == F.min(x), F.lit(0.0))
-        .otherwise(F.try_divide((n - 1) * ((n + 1) * F.kurtosis(x) + 6), (n - 2) * (n - 3)))
+        .when(bottom == 0, F.lit(0.0))
+        .otherwise(F.try_divide(top, bottom) - adjust)
     )
 
 
+def _squares(x: Column, n: Column) -> Column:
+    """Sum of squared deviations; exactly 0 for a constant channel."""
+    return F.when(F.max(x) == F.min(x), F.lit(0.0)).otherwise(F.var_pop(x) * n)
+
+
+def skew(x) -> Column:
+    x = _c(x)
+    n = F.count(x).cast("double")
+    m2 = _squares(x, n)
+    return skew_from_sums(n, m2, F.skewness(x) * n * F.pow(F.var_pop(x), 1.5))
+
+
+def kurtosis(x) -> Column:
+    x = _c(x)
+    n = F.count(x).cast("double")
+    m2 = _squares(x, n)
+    return kurtosis_from_sums(n, m2, (F.kurtosis(x) + 3) * n * F.var_pop(x) * F.var_pop(x))
+
+
 def rms_batch(x) -> Column:
     """``sqrt(sum(x^2) / rows)``; NULL if any sample is NULL."""
     x = _c(x)

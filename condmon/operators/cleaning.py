@@ -45,10 +45,6 @@ def unreliable(df: DataFrame) -> DataFrame:
     return F.coalesce(cond, F.lit(False))
 
 
-def drop_unreliable(df: DataFrame) -> DataFrame:
-    return df.where(~unreliable(df))
-
-
 def active_machining(df: DataFrame, stage_col: str = "Machining_Process") -> DataFrame:
     """Only samples of active cutting stages (L2)."""
     return df.where(F.col(stage_col).isin(*ACTIVE_STAGES))

@@ -10,13 +10,11 @@ a constant group), natural log, NumPy's bin rule including its edge fix-up:
 
 Plan (no UDF, no window over a whole group):
 
-1. ``(key, x) -> c``: count of each distinct sample value.  Partial
-   aggregation runs before the shuffle, so quantised sensor data shrinks
-   by orders of magnitude and a hot group is spread over its values.
-2. ``key -> lo, hi, n, rows`` from (1) (small).
-3. (1) joined to (2) on the key; AQE turns this into a broadcast join when
-   (2) measures small at run time, else a sort-merge join with skew split.
-4. bin each distinct value, ``sum(c)`` per ``(key, bin)``, then
+1. ``key -> lo, hi, n, rows`` (one partially aggregated pass, small);
+2. the samples join (1) on the key — AQE broadcasts (1) when it measures
+   small and splits a hot key otherwise — and get their bin;
+3. ``(key, bin) -> count``: partial aggregation leaves at most ``bins`` rows
+   per key and task, so the samples are not shuffled again;
    ``H = -sum(p ln p)`` per key.
 
 A group with a NULL (NaN) sample gets NULL: the histogram of a series with
@@ -27,94 +25,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from condmon.operators.keys import join_null_safe
 from condmon.schemas import ENTROPY_BINS
 
 
-def value_counts(long_df: DataFrame, keys: Sequence[str], value: str = "x") -> DataFrame:
-    """Distinct sample values per group with their multiplicity."""
-    return long_df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
+def bin_of(x: Column, lo: Column, hi: Column, bins: int = ENTROPY_BINS) -> Column:
+    """Bin number of a sample in a group with the range ``lo..hi``."""
+    flat = lo == hi
+    lo, hi = F.when(flat, lo - 0.5).otherwise(lo), F.when(flat, hi + 0.5).otherwise(hi)
+    step = (hi - lo) / bins
 
+    def edge(k):
+        return k * step + lo
 
-def range_stats(vc: DataFrame, keys: Sequence[str], value: str = "x") -> DataFrame:
-    """``(keys..., _lo, _hi, _n, _rows)`` from value counts."""
-    x = F.col(value)
-    return vc.groupBy(*keys).agg(
-        F.min(x).alias("_lo"),
-        F.max(x).alias("_hi"),
-        F.sum(F.when(x.isNotNull(), F.col("c"))).alias("_n"),
-        F.sum("c").alias("_rows"),
-    )
+    first = F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))
+    down = F.when(x < edge(first), first - 1).otherwise(first)
+    return F.when((down != bins - 1) & (x >= edge(down + 1)), down + 1).otherwise(down)
+
+
+def plogp(count: Column, n: Column) -> Column:
+    p = count / n
+    return p * F.log(p)
 
 
-def entropy_from_counts(
-    vc: DataFrame,
-    keys: Sequence[str],
-    value: str = "x",
-    bins: int = ENTROPY_BINS,
-    stats: DataFrame | None = None,
-    return_histogram: bool = False,
-    central: bool = False,
+def histogram_entropy(
+    long_df: DataFrame, keys: Sequence[str], value: str = "x", bins: int = ENTROPY_BINS
 ) -> DataFrame:
-    """Entropy per group from ``(keys..., value, c)`` value counts
-    (or, with ``return_histogram``, the ``(keys, _n, _rows, _bin, _cnt)``
-    bin counts it is computed from).
+    """Entropy per ``keys`` of the samples in column ``value``.
 
-    ``stats`` — ``(keys..., _lo, _hi, _n, _rows)`` — may come from an
-    aggregation that runs anyway (the feature table takes it from the
-    moment features); by default it is derived from ``vc``.
+    ``long_df`` holds one sample per row; ``keys`` usually ends with the
+    channel column.  Returns ``(keys..., entropy)``.
     """
     keys = list(keys)
     x = F.col(value)
-    if stats is None:
-        stats = range_stats(vc, keys, value)
-    lo = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo"))
-    hi = F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi"))
-    step = (F.col("_b_hi") - F.col("_b_lo")) / bins
-
-    def edge(k):
-        return k * step + F.col("_b_lo")
-
-    # NULL samples stay as a NULL bin so that every group keeps a row and
-    # both branches read the same value-count exchange.
-    binned = (
-        join_null_safe(vc, stats, keys)
-        .withColumn("_b_lo", lo)
-        .withColumn("_b_hi", hi)
-        .withColumn(
-            "_i0",
-            F.least(
-                F.floor((x - F.col("_b_lo")) / (F.col("_b_hi") - F.col("_b_lo")) * bins),
-                F.lit(bins - 1),
-            ),
-        )
-        .withColumn("_i1", F.when(x < edge(F.col("_i0")), F.col("_i0") - 1).otherwise(F.col("_i0")))
-        .withColumn(
-            "_bin",
-            F.when(
-                (F.col("_i1") != bins - 1) & (x >= edge(F.col("_i1") + 1)), F.col("_i1") + 1
-            ).otherwise(F.col("_i1")),
-        )
+    stats = long_df.groupBy(*keys).agg(
+        F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(x).alias("_n"), F.count(F.lit(1)).alias("_rows")
     )
-    sums = [F.sum("c").alias("_cnt")]
-    if central:
-        # central power sums about the group mean (``_mean`` in ``stats``):
-        # the second pass of two-pass moments, per bin here, summed later
-        d = x - F.col("_mean")
-        sums += [
-            F.sum(F.col("c") * d * d).alias("_p2"),
-            F.sum(F.col("c") * d * d * d).alias("_p3"),
-            F.sum(F.col("c") * d * d * d * d).alias("_p4"),
-        ]
-    hist = binned.groupBy(*keys, "_n", "_rows", "_bin").agg(*sums)
-    if return_histogram:
-        return hist
-    p = F.col("_cnt") / F.col("_n")
+    binned = join_null_safe(long_df, stats, keys).withColumn("_bin", bin_of(x, F.col("_lo"), F.col("_hi"), bins))
+    hist = binned.groupBy(*keys, "_n", "_rows", "_bin").agg(F.count(F.lit(1)).alias("_cnt"))
+    # NULL samples are a NULL bin, so that every group keeps a row
     ent = hist.groupBy(*keys).agg(
-        (-F.sum(F.when(F.col("_bin").isNotNull(), p * F.log(p))) + 0.0).alias("entropy"),
+        (-F.sum(F.when(F.col("_bin").isNotNull(), plogp(F.col("_cnt"), F.col("_n")))) + 0.0).alias("entropy"),
         F.max("_n").alias("_n"),
         F.max("_rows").alias("_rows"),
     )
@@ -124,26 +78,6 @@ def entropy_from_counts(
     )
 
 
-def histogram_entropy(
-    long_df: DataFrame, keys: Sequence[str], value: str = "x", bins: int = ENTROPY_BINS
-) -> DataFrame:
-    """Entropy per ``keys`` of the samples in column ``value``.
-
-    ``long_df`` holds one sample per row; ``keys`` usually ends with the
-    channel column.  Returns ``(keys..., entropy)``.
-    """
-    # ranges straight from the samples (a cheap partial aggregation) rather
-    # than from a second evaluation of the value counts
-    x = F.col(value)
-    stats = long_df.groupBy(*keys).agg(
-        F.min(x).alias("_lo"),
-        F.max(x).alias("_hi"),
-        F.count(x).alias("_n"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
-    return entropy_from_counts(value_counts(long_df, keys, value), keys, value, bins, stats)
-
-
 def channel_range_aggs(channels: Sequence[str]) -> list:
     """Per-channel range statistics as aggregate expressions, to ride along
     in a wide ``groupBy(key).agg(...)``."""
@@ -156,68 +90,3 @@ def channel_range_aggs(channels: Sequence[str]) -> list:
             F.sum(ch).alias(f"_sx_{ch}"),
         ]
     return out
-
-
-def channel_stats_long(wide_stats: DataFrame, keys: Sequence[str], channels: Sequence[str]) -> DataFrame:
-    """Wide ``_lo_b1, _hi_b1, _n_b1, _sx_b1, ...`` columns to one row per
-    channel with ``_lo, _hi, _n, _rows, _mean``."""
-    keys = list(keys)
-    per_channel = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(ch).alias("channel"),
-                    F.col(f"_lo_{ch}").alias("_lo"),
-                    F.col(f"_hi_{ch}").alias("_hi"),
-                    F.col(f"_n_{ch}").alias("_n"),
-                    F.col("_rows").alias("_rows"),
-                    F.try_divide(F.col(f"_sx_{ch}"), F.col(f"_n_{ch}")).alias("_mean"),
-                )
-                for ch in channels
-            ]
-        )
-    ).alias("_s")
-    return wide_stats.select(*keys, per_channel).select(*keys, "_s.*")
-
-
-def channel_entropy_wide(
-    rows: DataFrame,
-    keys: Sequence[str],
-    channels: Sequence[str],
-    bins: int = ENTROPY_BINS,
-    wide_stats: DataFrame | None = None,
-) -> DataFrame:
-    """Entropy of each channel column of wide sample rows, one row per key
-    with ``{channel}_entropy`` columns.  ``wide_stats`` (from
-    ``channel_range_aggs``) saves the range pass."""
-    keys = list(keys)
-    long_df = rows.select(*keys, *channels).unpivot(keys, list(channels), "channel", "x")
-    if wide_stats is None:
-        ent = histogram_entropy(long_df, keys + ["channel"], "x", bins)
-        return ent.groupBy(*keys).agg(
-            *[F.max(F.when(F.col("channel") == ch, F.col("entropy"))).alias(f"{ch}_entropy") for ch in channels]
-        )
-    stats = channel_stats_long(wide_stats, keys, channels)
-    vc = value_counts(long_df, keys + ["channel"], "x")
-    hist = entropy_from_counts(vc, keys + ["channel"], "x", bins, stats, return_histogram=True)
-    # -sum(p ln p) per channel and the pivot to columns in one aggregation
-    p = F.col("_cnt") / F.col("_n")
-    term = F.when(F.col("_bin").isNotNull(), p * F.log(p))
-    aggs = []
-    for ch in channels:
-        mine = F.col("channel") == ch
-        aggs += [
-            F.sum(F.when(mine, term)).alias(f"_s_{ch}"),
-            F.max(F.when(mine, F.col("_n"))).alias(f"_n_{ch}"),
-            F.max(F.when(mine, F.col("_rows"))).alias(f"_r_{ch}"),
-        ]
-    wide = hist.groupBy(*keys).agg(*aggs)
-    return wide.select(
-        *keys,
-        *[
-            F.when(F.col(f"_n_{ch}") < F.col(f"_r_{ch}"), F.lit(None).cast("double"))
-            .otherwise(-F.col(f"_s_{ch}") + 0.0)
-            .alias(f"{ch}_entropy")
-            for ch in channels
-        ],
-    )

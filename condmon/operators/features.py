@@ -16,12 +16,7 @@ from pyspark.sql import functions as F
 
 from condmon.functions import features as FX
 from condmon.functions.timestamps import snapshot_time
-from condmon.operators.entropy import (
-    channel_range_aggs,
-    channel_stats_long,
-    entropy_from_counts,
-    value_counts,
-)
+from condmon.operators.entropy import bin_of, channel_range_aggs, plogp
 from condmon.operators.keys import join_null_safe
 from condmon.session import materialize
 from condmon.schemas import BATCH_FEATURES, CHANNELS, ENTROPY_BINS, STREAM_FEATURES
@@ -42,18 +37,17 @@ def snapshot_features(
 
 def stream_features(
     rows: DataFrame,
-    keys: Sequence[str] = SNAPSHOT_KEY + ("timestamp",),
+    keys: Sequence[str] = SNAPSHOT_KEY,
     channels: Sequence[str] = CHANNELS,
+    time_col: str = "timestamp",
 ) -> DataFrame:
-    """Serving features ``max, p2p, rms`` per snapshot.
-
-    The published ``timestamp`` text is a function of the file name, so it
-    is carried as a grouping column: the result equals taking the first
-    value per file, and the aggregation stays a hash aggregation (a string
-    ``first``/``min`` forces a sort-based one).  Works on batch and streaming
-    DataFrames alike.
-    """
-    return rows.groupBy(*keys).agg(*FX.feature_aggs(channels, STREAM_FEATURES, FX.STREAM_BUILDERS))
+    """Serving features ``max, p2p, rms`` per snapshot (D1, D3-D5), with one
+    published timestamp per snapshot (D2): the smallest, which is the same as
+    the first where, as published, a snapshot has a single one.  Works on batch
+    and streaming DataFrames alike."""
+    aggs = FX.feature_aggs(channels, STREAM_FEATURES, FX.STREAM_BUILDERS)
+    out = rows.groupBy(*keys).agg(F.min(time_col).alias(time_col), *aggs)
+    return out.select(*keys, *[c for c in out.columns if c not in keys])
 
 
 def feature_table(
@@ -73,32 +67,45 @@ def feature_table(
        ``|x|``, rms, max, peak-to-peak, clearance and the ratios) and the
        per-channel count, sum, min and max; this table (one row per
        snapshot) is checkpointed;
-    2. value counts ``(snapshot, channel, x) -> c`` (partial aggregation
-       before the shuffle) joined to (1): each distinct value gets its
-       histogram bin and its central terms ``c (x - mean)^2..4``; sums per
-       bin, then per snapshot, give the entropy and the second pass of
-       two-pass moments (std, skew, kurtosis as pandas computes them).
+    2. the wide sample rows join (1) once; each channel's sample gets its
+       histogram bin and its central terms ``(x - mean)^2..4``, which are
+       summed per ``(snapshot, channel, bin)`` — at most ``bins`` rows per
+       channel and task leave the partial aggregation — and then per snapshot,
+       for the entropy and the second pass of two-pass moments (std, skew,
+       kurtosis as pandas computes them).
 
     The two results are joined on the snapshot key (one row per snapshot
     on both sides; AQE picks the join from their measured size).
     """
     keys = list(keys)
-    kc = keys + ["channel"]
     plain = [f for f in BATCH_FEATURES if f not in ("entropy", "std", "skew", "kurtosis")]
     moments = rows.groupBy(*keys).agg(*FX.feature_aggs(channels, plain), *channel_range_aggs(channels))
     if checkpoint:
         moments = materialize(moments)
-    long_df = rows.select(*keys, *channels).unpivot(keys, list(channels), "channel", "x")
-    stats = channel_stats_long(moments, keys, channels)
-    hist = entropy_from_counts(
-        value_counts(long_df, kc, "x"), kc, "x", bins, stats, return_histogram=True, central=True
+    stats = moments.select(*keys, *[f"_{s}_{ch}" for ch in channels for s in ("lo", "hi", "n", "sx")])
+    wide = join_null_safe(rows.select(*keys, *channels), stats, keys)
+    terms = []
+    for i, ch in enumerate(channels):
+        x = F.col(ch)
+        n = F.col(f"_n_{ch}")
+        d = x - F.try_divide(F.col(f"_sx_{ch}"), n)
+        terms.append(
+            F.struct(
+                F.lit(i).alias("ch"), n.alias("n"), bin_of(x, F.col(f"_lo_{ch}"), F.col(f"_hi_{ch}"), bins).alias("bin"),
+                (d * d).alias("p2"), (d * d * d).alias("p3"), (d * d * d * d).alias("p4"),
+            )
+        )
+    long_df = wide.select(*keys, F.explode(F.array(*terms)).alias("t")).select(*keys, "t.*")
+    hist = long_df.groupBy(*keys, "ch", "n", "bin").agg(
+        F.count(F.lit(1)).alias("cnt"), *[F.sum(f"p{i}").alias(f"p{i}") for i in (2, 3, 4)]
     )
-    p = F.col("_cnt") / F.col("_n")
     aggs = []
-    for ch in channels:
-        mine = F.col("channel") == ch
-        aggs.append(F.sum(F.when(mine & F.col("_bin").isNotNull(), p * F.log(p))).alias(f"_plogp_{ch}"))
-        aggs += [F.sum(F.when(mine, F.col(f"_p{i}"))).alias(f"_m{i}_{ch}") for i in (2, 3, 4)]
+    for i, ch in enumerate(channels):
+        mine = F.col("ch") == i
+        aggs.append(
+            F.sum(F.when(mine & F.col("bin").isNotNull(), plogp(F.col("cnt"), F.col("n")))).alias(f"_plogp_{ch}")
+        )
+        aggs += [F.sum(F.when(mine, F.col(f"p{i}"))).alias(f"_m{i}_{ch}") for i in (2, 3, 4)]
     sums = hist.groupBy(*keys).agg(*aggs)
     out = join_null_safe(moments, sums, keys, "left")
     select = [*keys]
@@ -114,29 +121,14 @@ def feature_table(
 
 def _two_pass_features(ch: str) -> dict:
     """std, skew, kurtosis and entropy of one channel from its count, range
-    and central sums (pandas' formulas, including its rule that a sum of
-    squared deviations below 1e-14 counts as zero)."""
+    and central sums."""
     n = F.col(f"_n_{ch}").cast("double")
     rows = F.col("_rows").cast("double")
-    m2, m3, m4 = (F.col(f"_m{i}_{ch}") for i in (2, 3, 4))
-    null = F.lit(None).cast("double")
-    flat = (F.col(f"_hi_{ch}") == F.col(f"_lo_{ch}")) | (m2 < 1e-14)
-    skew = (
-        F.when(n < 3, null)
-        .when(flat, F.lit(0.0))
-        .otherwise(n * F.sqrt(n - 1) / (n - 2) * (m3 / F.pow(m2, 1.5)))
-    )
-    kurt = (
-        F.when(n < 4, null)
-        .when(flat, F.lit(0.0))
-        .otherwise(
-            n * (n + 1) * (n - 1) * m4 / ((n - 2) * (n - 3) * m2 * m2)
-            - 3 * (n - 1) * (n - 1) / ((n - 2) * (n - 3))
-        )
-    )
+    flat = F.col(f"_hi_{ch}") == F.col(f"_lo_{ch}")
+    m2, m3, m4 = (F.when(flat, F.lit(0.0)).otherwise(F.col(f"_m{i}_{ch}")) for i in (2, 3, 4))
     return {
         "std": F.when(n >= 2, F.sqrt(m2 / (n - 1))),
-        "skew": skew,
-        "kurtosis": kurt,
-        "entropy": F.when(n < rows, null).otherwise(-F.col(f"_plogp_{ch}") + 0.0),
+        "skew": FX.skew_from_sums(n, m2, m3),
+        "kurtosis": FX.kurtosis_from_sums(n, m2, m4),
+        "entropy": F.when(n < rows, F.lit(None).cast("double")).otherwise(-F.col(f"_plogp_{ch}") + 0.0),
     }

@@ -11,9 +11,8 @@
   by ``No``, up to the shorter side; metadata columns overwrite sample
   columns of the same name.
 
-Metadata is a dimension table.  It is broadcast only after a row-count
-check (``max_broadcast_rows``); beyond that it is a plain shuffle join,
-where AQE still splits a hot experiment.
+No side is hinted: AQE broadcasts the metadata when it measures small (in
+bytes) at run time, and splits a hot experiment when it does not.
 """
 
 from __future__ import annotations
@@ -26,19 +25,6 @@ from pyspark.sql import functions as F
 from condmon.operators.ordinal import ordinal_within
 from condmon.schemas import METADATA_KEY_CANDIDATES
 
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
 def metadata_key_column(meta: DataFrame, candidates: Sequence[str] = METADATA_KEY_CANDIDATES) -> str | None:
     """First metadata column (in column order) whose name is a candidate."""
     for c in meta.columns:
@@ -62,13 +48,15 @@ def metadata_keys(meta: DataFrame, key_rule: str = "exact", pad: int = 2, no_col
 
 
 def first_per_key(keyed: DataFrame, order_col: str | None = "No", key_col: str = "_key") -> DataFrame:
-    """One metadata row per key: the lowest ``order_col``.
+    """One metadata row per key: the lowest ``order_col`` (E3), ties and a
+    missing ``order_col`` settled by the other columns.
 
     ``min_by`` over a struct is an ordinary aggregate, so duplicates of a
     key are reduced with partial aggregation rather than a window.
     """
     cols = [c for c in keyed.columns if c != key_col]
-    order = F.col(order_col) if order_col and order_col in cols else F.col(key_col)
+    first = [order_col] if order_col and order_col in cols else []
+    order = F.struct(*first, *[c for c in cols if c not in first])
     return keyed.groupBy(key_col).agg(F.min_by(F.struct(*cols), order).alias("metadata"))
 
 
@@ -78,7 +66,6 @@ def lookup_join(
     experiment_col: str = "experiment",
     key_rule: str = "exact",
     pad: int = 2,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Samples plus a ``metadata`` struct column (NULL when unmatched)."""
     keyed = metadata_keys(meta, key_rule, pad)
@@ -87,7 +74,7 @@ def lookup_join(
         # no key column: nothing matches, every sample goes on without metadata
         empty = meta.select(struct_type.alias("metadata")).limit(0)
         return samples.withColumn("metadata", F.lit(None).cast(empty.schema["metadata"].dataType))
-    firsts = broadcast_if_bounded(first_per_key(keyed), max_broadcast_rows)
+    firsts = first_per_key(keyed)
     joined = samples.join(firsts, samples[experiment_col] == firsts["_key"], "left")
     return joined.drop("_key")
 

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from condmon.operators.keys import join_null_safe
 from condmon.session import materialize
 
 
@@ -60,7 +61,7 @@ def ordinal_within(
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)))
     if total_name:
         blocks = blocks.withColumn("_total", F.sum("_cnt").over(Window.partitionBy(*group_cols)))
-    out = tagged.join(blocks, ["_pid", *group_cols])
+    out = join_null_safe(tagged, blocks, ["_pid", *group_cols])  # a NULL group is a group
     out = out.withColumn(name, (F.col("_before") + F.col("_pos") - F.col("_first") + 1).cast("long"))
     if total_name:
         out = out.withColumn(total_name, F.col("_total").cast("long"))
@@ -68,7 +69,17 @@ def ordinal_within(
 
 
 def first_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, k: int) -> DataFrame:
-    """The first ``k`` rows of each group in ``order_cols`` order (one pass
-    over the input, ordinals without a whole-group window)."""
-    out = ordinal_within(df, group_cols, order_cols, name="_k_ord")
-    return out.where(F.col("_k_ord") <= k).drop("_k_ord")
+    """The first ``k`` rows of each group in ``order_cols`` order.
+
+    Rows are cut to ``k`` per group inside slices of the group first (slices
+    by a hash of the whole row, so a hot group has as many as the shuffle has
+    partitions), then to ``k`` of at most ``k`` per slice.
+    """
+    group_cols, order = list(group_cols), _cols(order_cols)
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(slices)))
+    few = sliced.withColumn(
+        "_k_ord", F.row_number().over(Window.partitionBy(*group_cols, "_slice").orderBy(*order))
+    ).where(F.col("_k_ord") <= k)
+    first = few.withColumn("_k_ord", F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order)))
+    return first.where(F.col("_k_ord") <= k).drop("_k_ord", "_slice")

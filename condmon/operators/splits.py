@@ -3,11 +3,12 @@
 A row's place is fixed by a hash of its key and the seed:
 ``h = first 32 bits of md5(key | seed)``.  The ``ceil(fraction * N)`` rows
 with the lowest ``(h, key)`` of each stratum are the test set — an exact
-size, independent of partitioning and reproducible in SQL.
+size, independent of partitioning and reproducible in SQL.  Rows with equal
+keys on the boundary are told apart by their place in a written copy.
 
-No global sort: the hash range is cut into 65,536 buckets; bucket counts
-per stratum (a bounded table) give a running total that finds the one
-boundary bucket per stratum; only that bucket's rows are ranked, to find
+No global sort: the hash range is cut into about ``sqrt(N)`` buckets; bucket
+counts per stratum give a running total that finds the one boundary bucket
+per stratum; only that bucket's rows (about ``sqrt(N)``) are ranked, to find
 the last test row, and every row is then compared with it map-side.
 """
 
@@ -18,7 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 16
+from condmon.operators.keys import join_null_safe
+from condmon.session import materialize
 
 
 def key_hash(key_cols: Sequence[str], seed: int = 42) -> Column:
@@ -36,25 +38,27 @@ def hash_split(
     split_col: str = "split",
 ) -> DataFrame:
     """Add ``split`` = ``'test'`` / ``'train'``; ``strata`` makes the split
-    stratified (each stratum gets ``ceil(fraction * N_stratum)`` test rows).
+    stratified (each stratum, NULL included, gets ``ceil(fraction *
+    N_stratum)`` test rows).
 
-    Three passes, none shuffling all rows: bucket counts (partially
+    Passes, none shuffling all rows: the row count; bucket counts (partially
     aggregated); the cutoff ``(h, key)`` taken from the rows of each
     stratum's boundary bucket only; and a map-side comparison of every row
-    with its stratum's cutoff (a table of one row per stratum).
+    with its stratum's cutoff (a table of one row per stratum).  When the
+    boundary cuts through rows with equal keys, a written copy of the rows
+    tells them apart.
     """
-    # without strata every row is in one stratum: a constant key keeps all
-    # joins below equi-joins
-    strata = list(strata) or ["_all"]
-    if strata == ["_all"]:
-        df = df.withColumn("_all", F.lit(0))
+    # without strata every row is in one stratum
+    strata = list(strata)
+    bits = min(32, max(1, (df.count().bit_length() + 1) // 2))
     order = F.struct(F.col("_h"), *[F.col(c) for c in key_cols])
-    hb = df.withColumn("_h", key_hash(key_cols, seed)).withColumn("_b", F.shiftright("_h", 32 - BUCKET_BITS))
+    hb = df.withColumn("_h", key_hash(key_cols, seed)).withColumn("_b", F.shiftright("_h", 32 - bits))
+    part = Window.partitionBy(*strata) if strata else Window.partitionBy(F.lit(0))
     counts = hb.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = part.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = (
         counts.withColumn("_cum", F.sum("_c").over(upto))
-        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*strata)))
+        .withColumn("_n", F.sum("_c").over(part))
         .withColumn("_k", F.ceil(F.lit(test_fraction) * F.col("_n")))
     )
     # boundary bucket: the first whose running total reaches k (none if k = 0);
@@ -62,34 +66,56 @@ def hash_split(
     edge = counts.where(
         (F.col("_k") > 0) & (F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_c") < F.col("_k"))
     ).select(*strata, "_b", (F.col("_k") - F.col("_cum") + F.col("_c")).alias("_take"))
-    # rank only the rows of the boundary buckets
-    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(order))
+    # count the boundary buckets by key; the cutoff is the key at which the
+    # running total reaches ``_take``, and ``_need`` of its ``_same`` rows are test rows
+    keyed = join_null_safe(hb, edge, [*strata, "_b"]).groupBy(*strata, "_b", "_take", order.alias("_cut"))
+    keyed = keyed.agg(F.count(F.lit(1)).alias("_same"))
+    upto = part.orderBy("_cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cutoff = (
-        hb.join(edge, [*strata, "_b"])
-        .withColumn("_r", rank)
-        .where(F.col("_r") == F.col("_take"))
-        .select(*strata, F.col("_b").alias("_eb"), order.alias("_cut"))
-    )
-    if strata == ["_all"]:
-        # one stratum: the cutoff is a single row — compare with literals
-        # rather than join a constant key (which plans as a nested loop)
-        row = cutoff.first()
-        if row is None:
-            tagged = hb.withColumn("_eb", F.lit(None).cast("long")).withColumn("_cut", F.lit(None))
-        else:
-            types = {f.name: f.dataType for f in hb.schema.fields}
-            cut = F.struct(
-                F.lit(row["_cut"]["_h"]).cast("bigint").alias("_h"),
-                *[F.lit(row["_cut"][c]).cast(types[c]).alias(c) for c in key_cols],
-            )
-            tagged = hb.withColumn("_eb", F.lit(row["_eb"]).cast("long")).withColumn("_cut", cut)
-    else:
-        tagged = hb.join(cutoff, strata, "left")
-    is_test = (
-        F.when(F.col("_eb").isNull(), False)
-        .when(F.col("_b") < F.col("_eb"), True)
-        .when(F.col("_b") > F.col("_eb"), False)
-        .otherwise(order <= F.col("_cut"))
-    )
+        keyed.withColumn("_cum", F.sum("_same").over(upto))
+        .where((F.col("_cum") >= F.col("_take")) & (F.col("_cum") - F.col("_same") < F.col("_take")))
+        .select(*strata, F.col("_b").alias("_eb"), "_cut", "_same",
+                (F.col("_take") - F.col("_cum") + F.col("_same")).alias("_need"))
+    )
+    cutoff = materialize(cutoff)
+    ties = not cutoff.where("_need < _same").isEmpty()
+    rows = materialize(hb.withColumn("_row", F.monotonically_increasing_id())) if ties else hb
+    tagged = _with_cutoff(rows, cutoff, strata, key_cols)
+    below = (F.col("_b") < F.col("_eb")) | ((F.col("_b") == F.col("_eb")) & (order < F.col("_cut")))
+    equal = (F.col("_b") == F.col("_eb")) & order.eqNullSafe(F.col("_cut"))
+    if ties:
+        nth = _ordinal_of_equal(tagged.where(equal).select(*strata, "_row"), strata)
+        tagged = tagged.join(nth.select("_row", "_nth"), "_row", "left")
+        equal = equal & (F.col("_nth") <= F.col("_need"))
+    is_test = F.coalesce(below | equal, F.lit(False))
     out = tagged.withColumn(split_col, F.when(is_test, "test").otherwise("train"))
-    return out.drop("_h", "_b", "_eb", "_cut", "_all")
+    return out.drop("_h", "_b", "_eb", "_cut", "_same", "_need", "_row", "_nth")
+
+
+def _with_cutoff(rows: DataFrame, cutoff: DataFrame, strata: list, key_cols: Sequence[str]) -> DataFrame:
+    """Every row with its stratum's cutoff; without strata the one cutoff row
+    becomes literals rather than a join without a key."""
+    if strata:
+        return join_null_safe(rows, cutoff, strata, "left")
+    row = cutoff.first()
+    fields = {f.name: f.dataType for f in cutoff.schema.fields}
+    if row is None:
+        return rows.withColumns({c: F.lit(None).cast(t) for c, t in fields.items()})
+    types = {f.name: f.dataType for f in fields["_cut"].fields}
+    cut = F.struct(*[F.lit(row["_cut"][c]).cast(types[c]).alias(c) for c in ("_h", *key_cols)])
+    return rows.withColumns({"_cut": cut, **{c: F.lit(row[c]).cast(fields[c]) for c in ("_eb", "_same", "_need")}})
+
+
+def _ordinal_of_equal(rows: DataFrame, strata: list) -> DataFrame:
+    """1-based ``_nth`` of rows within their stratum in the order of ``_row``
+    (whose high bits are the partition): ranked inside a partition's share,
+    with offsets from one row per partition."""
+    rows = rows.withColumn("_pid", F.shiftright("_row", 33))
+    part = Window.partitionBy(*strata) if strata else Window.partitionBy(F.lit(0))
+    before = part.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = rows.groupBy(*strata, "_pid").agg(F.count(F.lit(1)).alias("_c"))
+    per = per.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
+    inside = F.row_number().over(Window.partitionBy(*strata, "_pid").orderBy("_row"))
+    return join_null_safe(rows.withColumn("_in", inside), per, [*strata, "_pid"]).withColumn(
+        "_nth", F.col("_off") + F.col("_in")
+    )

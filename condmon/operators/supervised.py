@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from condmon.functions.timestamps import snapshot_time
+from condmon.operators.keys import join_null_safe
 from condmon.operators.ordinal import ordinal_within
 from condmon.schemas import FAILING_BEARING, RUL_FEATURES
 from condmon.session import materialize
@@ -42,7 +43,7 @@ def rul_cycles(
     bad = feats.groupBy(set_col).agg(
         F.sum(F.col(time_col).isNull().cast("long")).alias("_bad_in_set")
     )
-    with_bad = feats.join(bad, set_col)
+    with_bad = join_null_safe(feats, bad, [set_col])
     sort_time = F.when(F.col("_bad_in_set") == 0, F.col(time_col))
     out = ordinal_within(
         with_bad.withColumn("_sort_t", sort_time),

@@ -24,9 +24,11 @@ from condmon.operators import joins as J
 from condmon.operators import metrics as ME
 from condmon.operators import splits as SP
 from condmon.sources import topics as TP
-from condmon.schemas import TOOLWEAR_RECORD, TOOLWEAR_TOPIC
-from condmon.schemas import BATCH_FEATURES, CHANNELS, STREAM_FEATURES, feature_columns
+from condmon.schemas import TOOLWEAR_RECORD, TOOLWEAR_TOPIC, TOPIC_RECORD
+from condmon.schemas import BATCH_FEATURES, CHANNELS, PAYLOAD_SENSORS, STREAM_FEATURES, feature_columns
+from condmon.session import materialize
 from condmon.sources import bearing_files as BF
+from condmon.sources import experiment_files as EF
 from condmon.sources import driver_tables as T
 
 
@@ -123,8 +125,8 @@ def sql_bearing_features_stream() -> str:
         aggs.append(f"{r6(_sql_feature(ch, 'rms_stream'))} AS {ch}_rms")
     return f"""WITH {SQL_SIGNAL},
 rec AS (SELECT test_set, file, {SQL_PUBLISHED_TS.format(f='file')} AS timestamp, b1, b2, b3, b4 FROM sig)
-SELECT test_set, file, timestamp, {', '.join(aggs)}
-FROM rec GROUP BY test_set, file, timestamp"""
+SELECT test_set, file, min(timestamp) AS timestamp, {', '.join(aggs)}
+FROM rec GROUP BY test_set, file"""
 
 
 def q_bearing_features_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,35 +218,100 @@ FROM names"""
 
 
 def q_column_guard_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = T.snapshot_lines(spark, sf_dir)
+    """Every line of every snapshot text, guarded as a file of its own."""
+    texts = T.snapshot_texts(spark, sf_dir)
+    lines = texts.select("test_set", "file", F.posexplode(F.split("value", "\n")).alias("seq", "line"))
     out = BF.parse_lines(lines, "line", "test_set", policy="by_width")
-    return compare_form(out.select("vec_id", "test_set", "width", "keep_by_width", "keep_by_test", *CHANNELS))
+    return compare_form(out.select("file", "seq", "test_set", "width", "keep_by_width", "keep_by_test", *CHANNELS))
 
 
-def sql_column_guard_channels() -> str:
-    tab = "chr(9)"
+# Whole snapshot files: the vector's values in lines of 8, 4 or 3, and the
+# files that end wider, hold an empty line or end narrower.
+SQL_SNAPSHOTS = """
+e AS (
+  SELECT vec_id, CASE label % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 3 END AS w,
+         list_transform(embedding, lambda v: CAST(CAST(floor(CAST(v AS DOUBLE) * 10000) AS BIGINT) AS VARCHAR)) AS v
+  FROM embeddings),
+l AS (
+  SELECT vec_id, w, v, list_transform(range(0, len(v), w), lambda s: array_to_string(v[s + 1:s + w], chr(9))) AS l FROM e),
+x AS (
+  SELECT 'f' || lpad(CAST(vec_id AS VARCHAR), 9, '0') AS file,
+         CASE vec_id % 3 WHEN 0 THEN '1st_test' WHEN 1 THEN '2nd_test' ELSE '3rd_test' END AS test_set,
+         CASE WHEN vec_id % 10 = 0 THEN list_concat(l, [array_to_string(v[1:w + 1], chr(9))])
+              WHEN vec_id % 7 = 0 THEN list_concat(list_concat(l[1:2], ['']), l[3:])
+              WHEN vec_id % 11 = 0 THEN list_concat(l, ['5']) ELSE l END AS lines
+  FROM l)"""
+
+
+def _sql_channels(p: str, w: str) -> str:
     cells = []
     for i, ch in enumerate(CHANNELS):
         cell = (
-            f"CASE WHEN w = 8 THEN TRY_CAST(trim(p[{2 * i + 1}]) AS DOUBLE) "
-            f"WHEN w = 4 THEN TRY_CAST(trim(p[{i + 1}]) AS DOUBLE) END"
+            f"CASE WHEN {w} = 8 THEN TRY_CAST(trim({p}[{2 * i + 1}]) AS DOUBLE) "
+            f"WHEN {w} = 4 THEN TRY_CAST(trim({p}[{i + 1}]) AS DOUBLE) END"
         )
         cells.append(f"{r6(cell)} AS {ch}")
-    return f"""WITH lines AS (
-  SELECT vec_id,
-         CASE vec_id % 3 WHEN 0 THEN '1st_test' WHEN 1 THEN '2nd_test' ELSE '3rd_test' END AS test_set,
-         array_to_string(list_transform(embedding[1:(CASE label % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 3 END)],
-                                        lambda v: CAST(CAST(floor(CAST(v AS DOUBLE) * 10000) AS BIGINT) AS VARCHAR)),
-                         {tab}) AS line
-  FROM embeddings),
-parsed AS (SELECT vec_id, test_set, string_split(line, {tab}) AS p, len(string_split(line, {tab})) AS w FROM lines)
-SELECT vec_id, test_set, CAST(w AS INTEGER) AS width,
+    return ", ".join(cells)
+
+
+def sql_column_guard_channels() -> str:
+    return f"""WITH {SQL_SNAPSHOTS},
+n AS (SELECT file, test_set, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS seq FROM x),
+parsed AS (SELECT *, string_split(line, chr(9)) AS p, len(string_split(line, chr(9))) AS w FROM n)
+SELECT file, CAST(seq AS INTEGER) AS seq, test_set, CAST(w AS INTEGER) AS width,
        w IN (8, 4) AS keep_by_width,
        w = CASE test_set WHEN '1st_test' THEN 8 ELSE 4 END AS keep_by_test,
-       {', '.join(cells)}
+       {_sql_channels('p', 'w')}
 FROM parsed"""
 
 
+def _landed_snapshots(spark: SparkSession, sf_dir: str) -> str:
+    """Land the snapshot texts as one file each; returns the folder."""
+    from condmon.session import work_dir
+
+    root = work_dir(spark, "snapshot-files")
+    BF.write_snapshot_texts(T.snapshot_texts(spark, sf_dir), root)
+    return root
+
+
+def q_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw snapshot files, landed and scanned back under both guards."""
+    root = _landed_snapshots(spark, sf_dir)
+    parts = [
+        BF.read_snapshot_files(spark, root, policy=p, layout="partitioned").withColumn("policy", F.lit(p))
+        for p in BF.POLICIES
+    ]
+    return compare_form(parts[0].unionByName(parts[1]))
+
+
+def sql_snapshot_files() -> str:
+    return f"""WITH {SQL_SNAPSHOTS},
+k AS (SELECT file, test_set, list_filter(lines, lambda s: s <> '') AS lines FROM x),
+g AS (SELECT *, len(string_split(lines[1], chr(9))) AS w,
+             list_max(list_transform(lines, lambda s: len(string_split(s, chr(9))))) AS m FROM k),
+p AS (SELECT 'by_width' AS policy, * FROM g WHERE m <= w AND w IN (8, 4)
+      UNION ALL SELECT 'by_test', * FROM g WHERE m <= w AND w = CASE test_set WHEN '1st_test' THEN 8 ELSE 4 END),
+n AS (SELECT policy, file, test_set, w, string_split(unnest(lines), chr(9)) AS p, generate_subscripts(lines, 1) - 1 AS seq FROM p)
+SELECT policy, file, test_set, CAST(seq AS INTEGER) AS seq, {_sql_channels('p', 'w')} FROM n"""
+
+
+def q_snapshot_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards see of every landed snapshot file, and why one is skipped."""
+    return BF.snapshot_file_report(spark, _landed_snapshots(spark, sf_dir), layout="partitioned")
+
+
+def sql_snapshot_report() -> str:
+    return f"""WITH {SQL_SNAPSHOTS},
+k AS (SELECT file, test_set, list_filter(lines, lambda s: s <> '') AS lines FROM x),
+g AS (SELECT *, len(string_split(lines[1], chr(9))) AS w,
+             list_max(list_transform(lines, lambda s: len(string_split(s, chr(9))))) AS m FROM k)
+SELECT test_set, file, CAST(w AS INTEGER) AS width, CAST(m AS INTEGER) AS max_width, CAST(len(lines) AS INTEGER) AS lines,
+       0 AS non_numeric_cells, w IN (8, 4) AS keep_by_width,
+       w = CASE test_set WHEN '1st_test' THEN 8 ELSE 4 END AS keep_by_test,
+       CASE WHEN m > w THEN 'line wider than the first' WHEN w NOT IN (8, 4) THEN 'unexpected width' END AS reason
+FROM g"""
+
+
 # ---------------------------------------------------------------------------
 # RUL cycles and the aligned supervised table
 # ---------------------------------------------------------------------------
@@ -312,14 +379,21 @@ SELECT test_set, file, {', '.join(sel)}, n - cycle + 1 AS rul FROM c"""
 # ---------------------------------------------------------------------------
 # Topic records: publish -> route -> parse
 # ---------------------------------------------------------------------------
-SQL_MACHINE = """
+def _sql_machine() -> str:
+    own = {
+        "X1_ActualPosition": "value",
+        "Y1_ActualPosition": "CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.25",
+        "M1_CURRENT_FEEDRATE": "CAST(json_extract_string(props, '$.k') AS DOUBLE)",
+        "M1_sequence_number": "CAST(event_id AS DOUBLE)",
+    }
+    sensors = ",\n         ".join(
+        f"{own.get(c, f'value + {i} / 2.0::DOUBLE')} AS {c}" for i, c in enumerate(PAYLOAD_SENSORS)
+    )
+    return f"""
 mach AS (
   SELECT 'experiment_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS experiment,
          epoch_us(ts) / 1e6 AS time,
-         value AS X1_ActualPosition,
-         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS Y1_ActualPosition,
-         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS M1_CURRENT_FEEDRATE,
-         CAST(event_id AS DOUBLE) AS M1_sequence_number,
+         {sensors},
          CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END AS M1_CURRENT_PROGRAM_NUMBER,
          CASE event_type WHEN 'view' THEN 'Layer 1 Up' WHEN 'click' THEN 'Layer 1 Down'
               WHEN 'purchase' THEN 'Layer 2 Up' WHEN 'signup' THEN 'Prep' WHEN 'error' THEN 'End' END
@@ -327,15 +401,18 @@ mach AS (
   FROM events
 )"""
 
+
+SQL_MACHINE = _sql_machine()
+
 SQL_LOOKUP_META = """
 lmeta AS (
-  SELECT CAST(c_custkey AS INTEGER) AS No, 'wax' AS material, CAST(c_nationkey AS DOUBLE) AS feedrate,
+  SELECT CAST(CASE WHEN c_custkey % 10 = 3 THEN -c_custkey ELSE c_custkey END AS INTEGER) AS No, 'wax' AS material, CAST(c_nationkey AS DOUBLE) AS feedrate,
          c_acctbal / 1000 AS clamp_pressure,
-         CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'worn' ELSE 'unworn' END AS tool_condition,
+         CASE WHEN c_nationkey >= 13 THEN 'worn' ELSE 'unworn' END AS tool_condition,
          CASE WHEN c_nationkey < 20 THEN 'yes' ELSE 'no' END AS machining_finalized,
          CASE WHEN c_nationkey >= 20 THEN NULL WHEN c_acctbal > 2000 THEN 'yes' ELSE 'no' END
            AS passed_visual_inspection
-  FROM customer WHERE c_acctbal > 0
+  FROM customer
 )"""
 
 SQL_ORDINAL_META = """
@@ -362,8 +439,14 @@ def _machine_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.lookup_join(samples, meta, "experiment", key_rule="suffix", pad=6)
 
 
+def _landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both topics landed in one folder and read back, so that routing looks
+    at each record's topic."""
+    return spark.read.schema(TOPIC_RECORD).parquet(_land(spark, _messages(spark, sf_dir), "topics"))
+
+
 def q_topic_route_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_form(TP.parse_bearing(_messages(spark, sf_dir)))
+    return compare_form(TP.parse_bearing(_landed_messages(spark, sf_dir)))
 
 
 def sql_topic_route_parse() -> str:
@@ -374,16 +457,11 @@ FROM sig"""
 
 
 def q_toolwear_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_form(TP.flatten_toolwear(TP.parse_toolwear(_messages(spark, sf_dir))))
+    return compare_form(TP.flatten_toolwear(TP.parse_toolwear(_landed_messages(spark, sf_dir))))
 
 
 def sql_toolwear_flatten() -> str:
-    from condmon.schemas import PAYLOAD_SENSORS
-
-    present = {"X1_ActualPosition", "Y1_ActualPosition", "M1_CURRENT_FEEDRATE", "M1_sequence_number"}
-    sensors = ", ".join(
-        f"{r6('s.' + c)} AS {c}" if c in present else f"CAST(NULL AS DOUBLE) AS {c}" for c in PAYLOAD_SENSORS
-    )
+    sensors = ", ".join(f"{r6('s.' + c)} AS {c}" for c in PAYLOAD_SENSORS)
     return f"""WITH {SQL_MACHINE},{SQL_LOOKUP_META}
 SELECT s.experiment, {r6('s.time')} AS timestamp, 'toolwear' AS dataset,
        {r6('m.clamp_pressure')} AS clamp_pressure, {r6('m.feedrate')} AS feedrate,
@@ -393,8 +471,25 @@ FROM mach s LEFT JOIN lmeta m ON s.experiment = 'experiment_' || lpad(CAST(m.No
 
 def q_json_malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool-wear records plus document texts sent to the same topic: the
-    texts are not JSON and land in quarantine."""
-    good_msgs = TP.toolwear_messages(T.machine_rows(spark, sf_dir))
+    texts are not JSON and land in quarantine, as do every tenth record, whose
+    position is text; ``error`` events have a bare NaN there."""
+    rows = T.machine_rows(spark, sf_dir)
+    good_msgs = (
+        TP.toolwear_messages(rows.drop("Machining_Process"))
+        .select(
+            "topic",
+            F.when(
+                F.get_json_object("value", "$.payload.M1_CURRENT_PROGRAM_NUMBER").cast("double") == 1,
+                F.regexp_replace("value", '"X1_ActualPosition":[^,}]*', '"X1_ActualPosition":NaN'),
+            )
+            .when(
+                F.get_json_object("value", "$.payload.M1_sequence_number").cast("double") % 10 == 4,
+                F.regexp_replace("value", '"X1_ActualPosition":[^,}]*', '"X1_ActualPosition":"high"'),
+            )
+            .otherwise(F.col("value"))
+            .alias("value"),
+        )
+    )
     junk = T.table(spark, sf_dir, "documents").select(F.lit(TOOLWEAR_TOPIC).alias("topic"), F.col("text").alias("value"))
     records = good_msgs.unionByName(junk)
     tagged = TP.tag_quarantine(records, TOOLWEAR_TOPIC, TOOLWEAR_RECORD)
@@ -404,15 +499,21 @@ def q_json_malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(bad, "quarantine").otherwise("ok").alias("status"),
         F.when(bad, null_s).otherwise(F.col("data.experiment")).alias("experiment"),
         F.when(bad, null_d).otherwise(F.col("data.payload.X1_ActualPosition")).alias("X1_ActualPosition"),
-        F.when(bad, F.md5("value")).otherwise(null_s).alias("record_md5"),
+        # records of this topic that hold JSON are known by their number
+        F.when(bad & ~F.col("value").startswith('{"dataset"'), F.md5("value"))
+        .when(bad, F.regexp_extract("value", '"M1_sequence_number":([0-9]+)', 1))
+        .otherwise(null_s)
+        .alias("record_md5"),
     )
     return compare_form(out)
 
 
 def sql_json_malformed_quarantine() -> str:
     return f"""WITH {SQL_MACHINE}
-SELECT 'ok' AS status, experiment, {r6('X1_ActualPosition')} AS X1_ActualPosition,
-       CAST(NULL AS VARCHAR) AS record_md5 FROM mach
+SELECT CASE WHEN bad THEN 'quarantine' ELSE 'ok' END AS status, CASE WHEN NOT bad THEN experiment END AS experiment,
+       CASE WHEN NOT bad AND M1_CURRENT_PROGRAM_NUMBER <> 1 THEN {r6('X1_ActualPosition')} END AS X1_ActualPosition,
+       CASE WHEN bad THEN CAST(CAST(M1_sequence_number AS BIGINT) AS VARCHAR) END AS record_md5
+FROM (SELECT *, M1_CURRENT_PROGRAM_NUMBER <> 1 AND M1_sequence_number % 10 = 4 AS bad FROM mach)
 UNION ALL
 SELECT CASE WHEN json_valid(text) THEN 'ok' ELSE 'quarantine' END, NULL, NULL, md5(text) FROM documents"""
 
@@ -468,8 +569,7 @@ def q_dropna_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_dropna_any() -> str:
-    mcols = ["time", "X1_ActualPosition", "Y1_ActualPosition", "M1_CURRENT_FEEDRATE", "M1_sequence_number",
-             "M1_CURRENT_PROGRAM_NUMBER"]
+    mcols = ["time", *PAYLOAD_SENSORS, "M1_CURRENT_PROGRAM_NUMBER"]
     sel = ", ".join([f"{r6('s.' + c)} AS {c}" for c in mcols] + ["s.Machining_Process"])
     mets = ", ".join(f"m.{c}" if c not in ("feedrate", "clamp_pressure") else f"{r6('m.' + c)} AS {c}" for c in _META_OUT)
     notnull = " AND ".join(f"m.{c} IS NOT NULL" for c in _META_OUT)
@@ -581,12 +681,6 @@ UNION ALL SELECT 'weighted avg', {r6('sum(precision * support) / sum(support)')}
 # ---------------------------------------------------------------------------
 # Label codes, models, streams
 # ---------------------------------------------------------------------------
-# Trees used by the registered model queries: a time budget for the check;
-# the library defaults (``ml.RUL_PARAMS`` / ``ml.WEAR_PARAMS``) are the
-# reproduced models' 500 / 100 trees.
-CHECK_TREES = 20
-
-
 def q_label_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     from condmon.plans import ml
 
@@ -604,75 +698,148 @@ def _supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rul_supervised(rul_cycles(feats))
 
 
+def _rul_columns(sup: DataFrame) -> list[str]:
+    return [c for c in sup.columns if c[:2] in ("b1", "b2", "b3", "b4")]
+
+
 def q_rul_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full model (500 trees) fitted, saved, loaded and applied to the
+    hold-out; per row whether the loaded model's prediction exists, equals the
+    fitted one's and lies in the label's range, and whether the model is
+    closer to the labels of all rows than their mean is."""
     from condmon.plans import ml
+    from condmon.session import work_dir
 
-    sup = _supervised(spark, sf_dir)
-    cols = [c for c in sup.columns if c[:2] in ("b1", "b2", "b3", "b4")]
-    trained = ml.train_rul(sup, cols, params={"maxIter": CHECK_TREES})
-    return trained.test_predictions.select("test_set", "file", "rul", "rul_prediction")
+    sup = materialize(_supervised(spark, sf_dir))
+    trained = ml.train_rul(sup, _rul_columns(sup))
+    path = work_dir(spark, "rul-model")
+    ml.save(trained.model, path)
+    pred = materialize(trained.test_predictions.select("test_set", "file", "rul", "rul_prediction", *trained.feature_cols))
+    again = ml.score_rul(ml.load(path), pred.drop("rul_prediction"), keep=("test_set", "file", "rul", *trained.feature_cols))
+    both = pred.join(again.select("test_set", "file", F.col("rul_prediction").alias("reloaded")), ["test_set", "file"])
+    top = sup.agg(F.max("rul")).first()[0]
+    all_rows = ml.score_rul(trained.model, sup, keep=("rul",))
+    err = all_rows.agg(
+        F.avg(F.pow(F.col("rul_prediction") - F.col("rul"), 2)), F.var_pop(F.col("rul").cast("double"))
+    ).first()
+    return both.select(
+        "test_set",
+        "file",
+        "rul",
+        F.coalesce(F.abs(F.col("rul_prediction") - F.col("reloaded")) < 1e-9, F.lit(False)).alias("reload_equal"),
+        F.coalesce(F.col("rul_prediction").between(1 - 0.1 * top, 1.1 * top), F.lit(False)).alias("in_range"),
+        F.lit(bool(err[0] < err[1])).alias("beats_mean"),
+    )
+
+
+_SQL_RUL = """
+c AS (SELECT test_set, file, row_number() OVER (PARTITION BY test_set
+               ORDER BY try_strptime(file, '%Y.%m.%d.%H.%M.%S'), file) AS cycle,
+             count(*) OVER (PARTITION BY test_set) AS n FROM (SELECT DISTINCT test_set, file FROM sig)),
+u AS (SELECT test_set, file, n - cycle + 1 AS rul FROM c)"""
+
+
+def sql_rul_gbt_predict() -> str:
+    return f"""WITH {SQL_SIGNAL},{_SQL_RUL},
+h AS (SELECT *, ('0x' || substr(md5(test_set || '|' || file || '|42'), 1, 8))::BIGINT AS h FROM u),
+r AS (SELECT *, row_number() OVER (ORDER BY h, test_set, file) AS rn, count(*) OVER () AS n FROM h)
+SELECT test_set, file, rul, true AS reload_equal, true AS in_range, true AS beats_mean FROM r WHERE rn <= ceil(0.2 * n)"""
 
 
 def _wear_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.flatten_metadata(_machine_with_metadata(spark, sf_dir), _META_OUT)
 
 
-def q_wear_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _train_wear(spark: SparkSession, sf_dir: str):
     from condmon.plans import ml
 
-    trained = ml.train_wear(_wear_training_rows(spark, sf_dir), ["M1_sequence_number"], params={"maxIter": CHECK_TREES})
-    return trained.test_predictions.select("experiment", "M1_sequence_number", "tool_condition", "tool_condition_prediction")
+    return ml.train_wear(_wear_training_rows(spark, sf_dir), ["M1_sequence_number"], keep=("experiment",))
+
 
+def q_wear_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full model (100 trees) on the stratified hold-out: the stand-in's
+    label is a threshold of one feature, so a right fit repeats the rule."""
+    pred = _train_wear(spark, sf_dir).test_predictions
+    return pred.select("experiment", "M1_sequence_number", "tool_condition", "tool_condition_prediction")
 
-def _land(spark: SparkSession, messages: DataFrame, name: str) -> tuple[str, int]:
-    """Write topic records as parquet files in the shared work folder;
-    returns the folder and the number of files."""
+
+def sql_wear_gbt_predict() -> str:
+    notnull = " AND ".join(f"m.{c} IS NOT NULL" for c in _META_OUT)
+    return f"""WITH {SQL_MACHINE},{SQL_LOOKUP_META},
+d AS (SELECT s.experiment, s.M1_sequence_number, m.tool_condition FROM mach s
+      JOIN lmeta m ON s.experiment = 'experiment_' || lpad(CAST(m.No AS VARCHAR), 6, '0') WHERE {notnull}),
+h AS (SELECT *, ('0x' || substr(md5(CAST(CAST(M1_sequence_number AS BIGINT) AS VARCHAR) || '.0|42'), 1, 8))::BIGINT AS h FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY tool_condition ORDER BY h, M1_sequence_number) AS rn,
+             count(*) OVER (PARTITION BY tool_condition) AS n FROM h)
+SELECT experiment, M1_sequence_number, tool_condition, tool_condition AS tool_condition_prediction
+FROM r WHERE rn <= ceil(0.2 * n)"""
+
+
+def _land(spark: SparkSession, messages: DataFrame, name: str, files: int | None = None) -> str:
+    """Write topic records as parquet in the shared work folder, in ``files``
+    files when given; returns the folder."""
     from condmon.session import work_dir
 
     path = work_dir(spark, name)
-    TP.write_messages(messages, path, mode="overwrite")
-    n_files = len(spark.read.parquet(path).inputFiles())
-    return path, n_files
+    TP.write_messages(messages.repartition(files) if files else messages, path, mode="overwrite")
+    return path
+
+
+#: Files of a landed replay, and files per micro-batch: four batches.
+REPLAY_FILES, FILES_PER_TRIGGER = 8, 2
 
 
-def q_stream_update_latest(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
-    """Replay the bearing records through the streaming aggregation in
-    ``batches`` micro-batches (update mode, batch-tagged sink), then keep the
-    latest version per snapshot — which must equal the batch aggregate."""
+def q_stream_update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replay the bearing records through the streaming aggregation in four
+    micro-batches (update mode, batch-tagged sink), then keep the latest
+    version per snapshot — which must equal the batch aggregate."""
     from condmon.session import work_dir
     from condmon.streaming import bearing as SB
 
-    landing, n_files = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "bearing-landing")
-    per_trigger = max(1, -(-n_files // batches))
-    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=per_trigger)
+    landing = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "bearing-landing", REPLAY_FILES)
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=FILES_PER_TRIGGER)
     sink, ckpt = work_dir(spark, "bearing-sink"), work_dir(spark, "bearing-ckpt")
     q = SB.start(SB.bearing_feature_stream(stream), sink, ckpt, "update")
     q.awaitTermination()
-    latest = SB.latest_per_key(SB.read_sink(spark, sink), ["test_set", "file", "timestamp"]).drop("batch_id")
+    latest = SB.latest_per_key(SB.read_sink(spark, sink), ["test_set", "file"]).drop("batch_id")
     return compare_form(latest)
 
 
-def q_stream_append_scored(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+def q_stream_append_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool-wear records through the stateless stream, scored per
-    micro-batch by a wear model trained on the same data; rows whose model
-    features are NULL (no metadata) are left out of scoring."""
+    micro-batch by the full wear model trained on the same data and loaded
+    from its folder; one row per record, without a prediction where the
+    record has no metadata."""
     from condmon.plans import ml
     from condmon.session import work_dir
     from condmon.streaming import bearing as SB
 
-    trained = ml.train_wear(_wear_training_rows(spark, sf_dir), ["M1_sequence_number"], params={"maxIter": CHECK_TREES})
     model_path = work_dir(spark, "wear-model")
-    ml.save(trained.model, model_path)
+    ml.save(_train_wear(spark, sf_dir).model, model_path)
     model = ml.load(model_path)
-    landing, n_files = _land(spark, TP.toolwear_messages(_machine_with_metadata(spark, sf_dir)), "toolwear-landing")
-    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=max(1, -(-n_files // batches)))
+    landing = _land(
+        spark, TP.toolwear_messages(_machine_with_metadata(spark, sf_dir)), "toolwear-landing", REPLAY_FILES
+    )
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=FILES_PER_TRIGGER)
     sink, ckpt = work_dir(spark, "toolwear-sink"), work_dir(spark, "toolwear-ckpt")
-    scorer = lambda df: ml.score_wear(model, df, quarantine_nulls=True)
-    q = SB.start(SB.toolwear_feature_stream(stream), sink, ckpt, "append", scorer=scorer)
+    q = SB.start(SB.toolwear_feature_stream(stream), sink, ckpt, "append", scorer=lambda df: ml.score_wear(model, df))
     q.awaitTermination()
-    return SB.read_sink(spark, sink).select(
-        "experiment", "timestamp", "tool_condition_prediction", "tool_condition_true", "batch_id"
-    )
+    out = SB.read_sink(spark, sink)
+    return compare_form(
+        out.select(
+            "experiment", "timestamp", "tool_condition_prediction", "tool_condition_true", "unscoreable",
+            F.col("batch_id").between(0, REPLAY_FILES // FILES_PER_TRIGGER - 1).alias("batch_known"),
+        )
+    )
+
+
+def sql_stream_append_scored() -> str:
+    return f"""WITH {SQL_MACHINE},{SQL_LOOKUP_META}
+SELECT s.experiment, {r6('s.time')} AS timestamp,
+       CASE WHEN m.feedrate >= 13 THEN 'worn' WHEN m.feedrate IS NOT NULL THEN 'unworn' END AS tool_condition_prediction,
+       m.tool_condition AS tool_condition_true,
+       CASE WHEN m.feedrate IS NULL THEN 'clamp_pressure,feedrate' END AS unscoreable, true AS batch_known
+FROM mach s LEFT JOIN lmeta m ON s.experiment = 'experiment_' || lpad(CAST(m.No AS VARCHAR), 6, '0')"""
 
 
 # ---------------------------------------------------------------------------
@@ -721,27 +888,92 @@ s AS (SELECT experiment, M1_sequence_number,
 SELECT experiment, {r6('M1_sequence_number')} AS M1_sequence_number, seq, {r6('seq * 0.1')} AS elapsed_s FROM s"""
 
 
-def q_stream_serve_both(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
-    """The serving job end to end: both models trained and saved, both
+def q_stream_serve_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving job end to end: both full models trained and saved, both
     topics landed in one folder, two independent streaming queries over it
-    (J1), awaited together (J7); returns the latest RUL prediction per
-    snapshot (K6)."""
+    (J1), awaited together (J7).  One row per snapshot (latest version: a
+    prediction exists) and one per tool-wear record and outcome (a count)."""
     from condmon.plans import ml
     from condmon.plans.serving import serve
     from condmon.session import work_dir
     from condmon.streaming import bearing as SB
 
-    sup = _supervised(spark, sf_dir)
-    cols = [c for c in sup.columns if c[:2] in ("b1", "b2", "b3", "b4")]
+    sup = materialize(_supervised(spark, sf_dir))
     rul_path, wear_path = work_dir(spark, "rul-model"), work_dir(spark, "wear-model")
-    ml.save(ml.train_rul(sup, cols, params={"maxIter": CHECK_TREES}).model, rul_path)
-    wear = ml.train_wear(_wear_training_rows(spark, sf_dir), ["M1_sequence_number"], params={"maxIter": CHECK_TREES})
-    ml.save(wear.model, wear_path)
-    landing, n_files = _land(spark, _messages(spark, sf_dir), "serve-landing")
+    ml.save(ml.train_rul(sup, _rul_columns(sup)).model, rul_path)
+    ml.save(_train_wear(spark, sf_dir).model, wear_path)
+    landing = _land(spark, _messages(spark, sf_dir), "serve-landing", REPLAY_FILES)
     sinks, ckpts = work_dir(spark, "serve-sinks"), work_dir(spark, "serve-ckpt")
     queries = serve(spark, rul_path, wear_path, sinks, ckpts, path=landing,
-                    max_files_per_trigger=max(1, -(-n_files // batches)), available_now=True)
+                    max_files_per_trigger=FILES_PER_TRIGGER, available_now=True)
     SB.await_all(queries)
-    preds = SB.read_sink(spark, f"{sinks}/bearing_predictions")
-    return SB.latest_per_key(preds, ["test_set", "file", "timestamp"]).drop("batch_id")
+    preds = SB.latest_per_key(SB.read_sink(spark, f"{sinks}/bearing_predictions"), ["test_set", "file"])
+    wear = SB.read_sink(spark, f"{sinks}/toolwear_predictions")
+    return preds.select(
+        "test_set", "file", "timestamp", F.col("rul_prediction").isNotNull().alias("predicted"), F.lit(1).cast("long").alias("rows")
+    ).unionByName(
+        wear.groupBy(
+            F.lit("toolwear").alias("test_set"),
+            F.col("experiment").alias("file"),
+            F.coalesce("tool_condition_prediction", "unscoreable").alias("timestamp"),
+            F.col("tool_condition_prediction").isNotNull().alias("predicted"),
+        ).agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def sql_stream_serve_both() -> str:
+    return f"""WITH {SQL_SIGNAL},{SQL_MACHINE},{SQL_LOOKUP_META}
+SELECT DISTINCT test_set, file, {SQL_PUBLISHED_TS.format(f='file')} AS timestamp, true AS predicted, CAST(1 AS BIGINT) AS rows FROM sig
+UNION ALL
+SELECT 'toolwear', s.experiment,
+       CASE WHEN m.feedrate >= 13 THEN 'worn' WHEN m.feedrate IS NOT NULL THEN 'unworn' ELSE 'clamp_pressure,feedrate' END,
+       m.feedrate IS NOT NULL, count(*)
+FROM mach s LEFT JOIN lmeta m ON s.experiment = 'experiment_' || lpad(CAST(m.No AS VARCHAR), 6, '0')
+GROUP BY ALL"""
+
 
+# ---------------------------------------------------------------------------
+# Raw experiment files
+# ---------------------------------------------------------------------------
+def _land_experiments(spark: SparkSession, sf_dir: str) -> str:
+    """Events as experiment CSV files with a header, ten user ids to a file, and
+    the nation list as ``train.csv``; columns come in another order in every
+    second file, which also lacks ``S1_OutputPower``."""
+    from condmon.session import work_dir
+
+    root = work_dir(spark, "experiment-files")
+    cols = ["time", *PAYLOAD_SENSORS, "M1_CURRENT_PROGRAM_NUMBER", "Machining_Process"]
+    other = [c for c in reversed(cols) if c != "S1_OutputPower"]
+    rows = T.machine_rows(spark, sf_dir)
+    ident = (F.substring("experiment", 12, 6).cast("int") / 10).cast("int")
+    line = lambda names: F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
+    rows = rows.select(
+        ident.alias("id"), "M1_sequence_number", F.when(ident % 2 == 0, line(cols)).otherwise(line(other)).alias("line")
+    )
+    files = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("M1_sequence_number", "line"))).alias("l"))
+    head = F.when(F.col("id") % 2 == 0, ",".join(cols)).otherwise(",".join(other))
+    files = files.select(
+        F.concat(F.lit("experiment_"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("stem"),
+        F.concat(head, F.lit("\n"), F.array_join("l.line", "\n")).alias("value"),
+    )
+    files.write.mode("overwrite").partitionBy("stem").text(root)
+    return root
+
+
+def q_experiment_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Experiment CSVs landed with differing headers and read back by header
+    name, numbered in file order."""
+    out = EF.read_experiments(spark, _land_experiments(spark, sf_dir), layout="partitioned")
+    return compare_form(out)
+
+
+def sql_experiment_files() -> str:
+    cols = ["time", *PAYLOAD_SENSORS, "M1_CURRENT_PROGRAM_NUMBER"]
+    sel = ", ".join(
+        r6(f"CASE WHEN id % 2 = 0 THEN {c} END" if c == "S1_OutputPower" else c) + f" AS {c}" for c in cols
+    )
+    return f"""WITH {SQL_MACHINE},
+f AS (SELECT *, CAST(substr(experiment, 12, 6) AS INTEGER) // 10 AS id FROM mach)
+SELECT 'experiment_' || lpad(CAST(id AS VARCHAR), 6, '0') AS experiment,
+       CAST(row_number() OVER (PARTITION BY id ORDER BY M1_sequence_number) - 1 AS INTEGER) AS seq, {sel}, Machining_Process
+FROM f"""

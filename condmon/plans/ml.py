@@ -36,6 +36,8 @@ RUL_PARAMS = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 3, "seed": 42}
 WEAR_PARAMS = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "seed": 42}
 TEST_FRACTION = 0.2
 SPLIT_SEED = 42
+#: Training rows of one partition of a fit.
+FIT_ROWS = 100_000
 
 
 @dataclass
@@ -84,17 +86,26 @@ def train_rul(
 ) -> Trained:
     """Hash split 80/20 (K1), fit on train, RMSE on the hold-out.
 
-    The input is checkpointed once: the split reads it in three passes.
+    Keys, features and label are written once: the split reads them several
+    times, and every tree of the fit reads the training rows.
     """
-    split = hash_split(materialize(supervised), key_cols, TEST_FRACTION, SPLIT_SEED)
-    train = split.where(F.col("split") == "train").drop("split")
+    narrow = materialize(supervised.select(*key_cols, *feature_cols, "rul"))
+    split = materialize(hash_split(narrow, key_cols, TEST_FRACTION, SPLIT_SEED))
     test = split.where(F.col("split") == "test").drop("split")
-    model = rul_pipeline(feature_cols, params).fit(train)
+    model = rul_pipeline(feature_cols, params).fit(training_rows(split))
     pred = model.transform(test)
     metrics = ME.regression_metrics(pred, "rul", "rul_prediction")
     return Trained(model, list(feature_cols), metrics, pred)
 
 
+def training_rows(split: DataFrame) -> DataFrame:
+    """The train side in partitions of about ``FIT_ROWS`` rows: a boosted fit
+    runs several small jobs per tree, whose cost is their number of tasks."""
+    train = split.where(F.col("split") == "train").drop("split")
+    parts = max(1, -(-train.count() // FIT_ROWS))
+    return materialize(train.coalesce(parts) if parts == 1 else train.repartition(parts))
+
+
 def model_feature_cols(model: PipelineModel) -> list[str]:
     """The feature list lives in the assembler stage."""
     return list(model.stages[0].getInputCols())
@@ -129,18 +140,20 @@ def train_wear(
     label_col: str = "tool_condition",
     candidates: Sequence[str] = TOOLWEAR_CANDIDATE_FEATURES,
     params: dict | None = None,
+    keep: Sequence[str] = (),
 ) -> Trained:
     """Drop incomplete rows (B15), pick present candidates (B13), stratified
     80/20 split (K2), fit, accuracy and per-class report (D20, D21)."""
     if label_col not in data.columns:
         raise ValueError(f"expected a '{label_col}' column")
-    # checkpointed once: the split reads the cleaned rows in three passes
-    clean = materialize(CL.drop_incomplete(data))
+    clean = CL.drop_incomplete(data)
     feature_cols = CL.existing_columns(clean, candidates)
-    split = hash_split(clean, key_cols, TEST_FRACTION, SPLIT_SEED, strata=[label_col])
-    train = split.where(F.col("split") == "train").drop("split")
+    # written once, without the columns that only the drop needed
+    names = dict.fromkeys([*key_cols, *keep, label_col, *feature_cols])
+    clean = materialize(clean.select(*names))
+    split = materialize(hash_split(clean, key_cols, TEST_FRACTION, SPLIT_SEED, strata=[label_col]))
     test = split.where(F.col("split") == "test").drop("split")
-    model = wear_pipeline(feature_cols, label_col, params).fit(train)
+    model = wear_pipeline(feature_cols, label_col, params).fit(training_rows(split))
     pred = decode_prediction(model, model.transform(test))
     labels = model.stages[1].labels
     names = {float(i): n for i, n in enumerate(labels)}
@@ -154,30 +167,29 @@ def decode_prediction(model: PipelineModel, scored: DataFrame) -> DataFrame:
 
 
 def score_wear(model: PipelineModel, flat: DataFrame,
-               keep: Sequence[str] = ("experiment", "timestamp", "tool_condition_true"),
-               quarantine_nulls: bool = False) -> DataFrame:
-    """Score flat tool-wear rows (batch or streaming).
+               keep: Sequence[str] = ("experiment", "timestamp", "tool_condition_true")) -> DataFrame:
+    """Score flat tool-wear rows (batch or streaming); every row comes back.
 
     Only the assembler and the classifier run here — the label indexer
     needs the true label, which serving rows may lack.  Absent model
-    features are added as 0.0; a NULL feature value makes the assembler
-    raise, as unscoreable input should — unless ``quarantine_nulls`` leaves
-    such rows out (``unscoreable_wear`` returns them).
+    features are added as 0.0.  A row with a NULL feature cannot be scored:
+    its prediction is NULL and ``unscoreable`` names the missing features (NULL
+    for scored rows).
     """
     cols = model_feature_cols(model)
     df = CL.add_absent_columns(flat, cols)
-    df = df.where(F.greatest(*[F.col(c).isNull() for c in cols]) == F.lit(False)) if quarantine_nulls else df
-    assembled = model.stages[0].transform(df)
-    scored = model.stages[2].transform(assembled)
-    out = decode_prediction(model, scored)
-    return out.select(*[c for c in keep if c in out.columns], "tool_condition_prediction")
-
-
-def unscoreable_wear(model: PipelineModel, flat: DataFrame) -> DataFrame:
-    """Rows ``score_wear(..., quarantine_nulls=True)`` leaves out."""
-    cols = model_feature_cols(model)
-    df = CL.add_absent_columns(flat, cols)
-    return df.where(F.greatest(*[F.col(c).isNull() for c in cols]))
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in cols]))
+    df = df.withColumn("_missing", F.when(F.size(missing) > 0, F.array_join(missing, ",")))
+    # the classifier sees 0.0 in place of a NULL; its answer for such a row is dropped
+    kept = [c for c in keep if c in df.columns]
+    ready = df.select(*[F.col(c).alias(f"_keep_{c}") for c in kept], "_missing",
+                      *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
+    scored = decode_prediction(model, model.stages[2].transform(model.stages[0].transform(ready)))
+    return scored.select(
+        *[F.col(f"_keep_{c}").alias(c) for c in kept],
+        F.when(F.col("_missing").isNull(), F.col("tool_condition_prediction")).alias("tool_condition_prediction"),
+        F.col("_missing").alias("unscoreable"),
+    )
 
 
 # ---------------------------------------------------------------------------

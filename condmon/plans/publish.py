@@ -28,7 +28,7 @@ from condmon.sources.experiment_files import read_experiments, read_metadata
 
 
 def bearing_records_from_files(spark: SparkSession, root: str) -> DataFrame:
-    samples = read_snapshot_files(spark, root, policy="by_test")
+    samples = read_snapshot_files(spark, root, policy="by_test", ignore_corrupt=True)
     return samples.select(
         F.lit(BEARING_DATASET).alias("dataset"),
         "test_set",
@@ -39,7 +39,7 @@ def bearing_records_from_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def toolwear_samples_from_files(spark: SparkSession, root: str, key_rule: str = "exact") -> DataFrame:
-    return lookup_join(read_experiments(spark, root), read_metadata(spark, root), "experiment", key_rule=key_rule)
+    return lookup_join(read_experiments(spark, root).drop("seq"), read_metadata(spark, root), "experiment", key_rule=key_rule)
 
 
 def messages(

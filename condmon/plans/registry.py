@@ -44,6 +44,9 @@ def queries() -> dict[str, QueryFn]:
         "unreliable_rows": C.q_unreliable_rows,
         "active_machining": C.q_active_machining,
         "elapsed_time": C.q_elapsed_time,
+        "snapshot_files": C.q_snapshot_files,
+        "snapshot_report": C.q_snapshot_report,
+        "experiment_files": C.q_experiment_files,
     }
 
 
@@ -77,4 +80,11 @@ def oracle_sql() -> dict[str, str]:
         "unreliable_rows": C.sql_unreliable_rows(),
         "active_machining": C.sql_active_machining(),
         "elapsed_time": C.sql_elapsed_time(),
+        "snapshot_files": C.sql_snapshot_files(),
+        "snapshot_report": C.sql_snapshot_report(),
+        "experiment_files": C.sql_experiment_files(),
+        "rul_gbt_predict": C.sql_rul_gbt_predict(),
+        "wear_gbt_predict": C.sql_wear_gbt_predict(),
+        "stream_append_scored": C.sql_stream_append_scored(),
+        "stream_serve_both": C.sql_stream_serve_both(),
     }

@@ -6,11 +6,12 @@ the same topic source definition.
   batch_id``);
 * tool wear: records -> flat rows (append mode) -> wear model ->
   ``toolwear_predictions`` (``experiment, timestamp,
-  tool_condition_prediction, tool_condition_true, batch_id``).
+  tool_condition_prediction, tool_condition_true, unscoreable, batch_id``).
 
 Models are loaded once; scoring runs in the executors inside each
 micro-batch.  Rows the wear model cannot score (a NULL feature, e.g. no
-metadata for the experiment) are left out instead of failing the batch.
+metadata for the experiment) are written with a NULL prediction and the names
+of the missing features, instead of failing the batch.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from condmon.sources import topics as TP
 from condmon.streaming import bearing as SB
 
 BEARING_OUT = ["test_set", "file", "timestamp", "rul_prediction"]
-TOOLWEAR_OUT = ["experiment", "timestamp", "tool_condition_prediction", "tool_condition_true"]
+TOOLWEAR_OUT = ["experiment", "timestamp", "tool_condition_prediction", "tool_condition_true", "unscoreable"]
 
 
 def serve(
@@ -39,8 +40,8 @@ def serve(
     available_now: bool = False,
     jdbc: dict | None = None,
 ) -> list[StreamingQuery]:
-    """Start both queries and return them (``streaming.bearing.await_all``
-    blocks until they end).  ``jdbc`` = ``{"url", "properties",
+    """Start both queries and return them (``streaming.bearing.await_any``
+    blocks until the first ends).  ``jdbc`` = ``{"url", "properties",
     "bearing_table", "toolwear_table"}`` appends to database tables instead
     of the parquet sinks."""
     rul_model = ml.load(bearing_model_path)
@@ -69,7 +70,7 @@ def serve(
         f"{sink_root}/toolwear_predictions",
         f"{checkpoint_root}/toolwear",
         "append",
-        scorer=lambda df: ml.score_wear(wear_model, df, quarantine_nulls=True),
+        scorer=lambda df: ml.score_wear(wear_model, df),
         columns=TOOLWEAR_OUT,
         available_now=available_now,
         jdbc=jdbc_for("toolwear_table"),

@@ -2,13 +2,14 @@
 
 On a cluster the session comes from the launcher; library code only reads
 its settings.  ``work_dir`` resolves the shared folder named by
-``spark.checkpoint.dir`` and only falls back to a fresh local folder when the
-setting is unset (local tests).
+``spark.checkpoint.dir``; only a session with a local master may leave it
+unset (tests), and then gets a fresh local folder.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -54,9 +55,10 @@ def local_session(
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set — local tests — a fresh local folder is created and
-    registered, so later calls in the same session reuse it.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  When
+    neither is set, a session with a local master gets a fresh local folder,
+    registered so that later calls reuse it; on a cluster, where a local path
+    differs per machine, it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -66,6 +68,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="condmon-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)

@@ -107,101 +107,122 @@ def write_snapshot_files(samples: DataFrame, root: str, channels=CHANNELS) -> No
     )
 
 
+def write_snapshot_texts(files: DataFrame, root: str) -> None:
+    """Land whole snapshot files ``test_set, file, value`` (one row per file)
+    under ``test_set=<set>/file=<name>/``."""
+    files.select("test_set", "file", "value").write.mode("overwrite").partitionBy("test_set", "file").text(root)
+
+
+def _snapshot_texts(spark: SparkSession, root: str, recursive: bool, ignore_corrupt: bool, layout: str) -> DataFrame:
+    """``test_set, file, value``: one row per snapshot file, read whole."""
+    reader = spark.read.option("ignoreCorruptFiles", ignore_corrupt)
+    if layout == "partitioned":
+        # ``text()`` has its own ``wholetext`` keyword (default False) that
+        # overrides a reader option, so it is passed here; names like
+        # 2004.02 must not become numbers
+        return reader.text(root, wholetext=True).select(
+            F.col("test_set").cast("string").alias("test_set"), F.col("file").cast("string").alias("file"), "value"
+        )
+    if layout == "folders":
+        if recursive:
+            reader = reader.option("recursiveFileLookup", True)
+        return reader.text(root, wholetext=True).select(
+            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("test_set"),
+            F.col("_metadata.file_name").alias("file"),
+            "value",
+        )
+    raise ValueError("layout must be 'folders' or 'partitioned'")
+
+
+def _file_lines(value: str = "value") -> Column:
+    """The lines of a file's text; empty lines are skipped, as pandas does."""
+    return F.filter(F.split(value, r"\r?\n"), lambda ln: ln != "")
+
+
+def _line_widths(lines: Column) -> Column:
+    return F.transform(lines, lambda ln: F.size(F.split(ln, "\t")))
+
+
+def parse_snapshot_texts(files: DataFrame, policy: str = "by_width", on_wide: str = "skip") -> DataFrame:
+    """``test_set, file, seq, b1..b4`` of the whole files ``test_set, file,
+    value`` that the ``policy`` keeps; ``seq`` is the 0-based line number.
+
+    A line wider than the first makes a file unreadable: ``on_wide="skip"``
+    leaves the file out (publishing), ``"fail"`` stops with an error
+    (training).  Everything is computed inside the file's row (no shuffle).
+    """
+    if policy not in POLICIES:
+        raise ValueError(f"policy must be one of {POLICIES}")
+    if on_wide not in ("skip", "fail"):
+        raise ValueError("on_wide must be 'skip' or 'fail'")
+    widths = _line_widths(F.col("_lines"))
+    rows = files.withColumn("_lines", _file_lines()).where(F.size("_lines") > 0)
+    rows = rows.select("test_set", "file", "_lines", F.element_at(widths, 1).alias("width"), F.array_max(widths).alias("_max"))
+    wide = F.col("_max") > F.col("width")
+    if on_wide == "skip":
+        rows = rows.where(~wide)
+    else:
+        message = F.concat(F.lit("line wider than the first in "), "test_set", F.lit("/"), "file")
+        rows = rows.withColumn("width", F.when(wide, F.raise_error(message).cast("int")).otherwise(F.col("width")))
+    rows = rows.where(keep_by_width("width") if policy == "by_width" else keep_by_test("test_set", "width"))
+    samples = rows.select("test_set", "file", "width", F.posexplode("_lines").alias("seq", "line"))
+    return samples.select("test_set", "file", "seq", *channel_values(line_parts("line"), "width"))
+
+
 def read_snapshot_files(
     spark: SparkSession,
     root: str,
     policy: str = "by_width",
     recursive: bool = True,
-    ignore_corrupt: bool = True,
+    ignore_corrupt: bool = False,
     layout: str = "folders",
+    on_wide: str = "skip",
 ) -> DataFrame:
     """Scan a folder tree of snapshot files into sample rows (A1).
 
-    Returns ``test_set, file, seq, b1..b4`` (``seq`` = 0-based line number)
-    for the files the ``policy`` keeps.  ``test_set`` is the name of the
-    folder holding the file's parent test folder when the layout is
-    ``<set>/<set>/<file>``, else the parent folder.
+    Returns ``test_set, file, seq, b1..b4`` for the files the ``policy``
+    keeps (see ``parse_snapshot_texts``).  ``test_set`` is the name of the
+    file's folder, or with ``layout="partitioned"`` comes from the
+    ``test_set=…/file=…`` folders of the writers above.  Unreadable files are
+    an error unless ``ignore_corrupt`` (publishing) skips them.
 
     Each file is read whole (``wholetext``) so that line order — needed for
     the first-line width and for ``seq`` — is known; snapshot files are
-    small (tens of thousands of lines) and many, so files parallelise.
-
-    ``layout="partitioned"`` reads the ``test_set=…/file=…`` folders written
-    by ``write_snapshot_files``: set and snapshot name come from the
-    partition columns.
+    small (tens of thousands of lines) and many, so files parallelise.  A
+    file beyond 2 GB cannot be a row and fails the read.
     """
-    if policy not in POLICIES:
-        raise ValueError(f"policy must be one of {POLICIES}")
-    reader = spark.read
-    if ignore_corrupt:
-        reader = reader.option("ignoreCorruptFiles", True)
-    if layout == "partitioned":
-        # ``text()`` has its own ``wholetext`` keyword (default False) that
-        # overrides a reader option, so it is passed here
-        raw = reader.text(root, wholetext=True).select(
-            "value", F.col("file").cast("string").alias("file"), F.col("test_set").cast("string").alias("test_set")
-        )
-    elif layout == "folders":
-        if recursive:
-            reader = reader.option("recursiveFileLookup", True)
-        raw = reader.text(root, wholetext=True).select(
-            F.col("value"),
-            F.col("_metadata.file_name").alias("file"),
-            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("test_set"),
-        )
-    else:
-        raise ValueError("layout must be 'folders' or 'partitioned'")
-    # one row per file: the guards are computed inside the row (no shuffle)
-    text = F.regexp_replace("value", r"(\r?\n)+$", "")
-    lines = F.split(text, r"\r?\n")
-    widths = F.transform(lines, lambda ln: F.size(F.split(ln, "\t")))
-    files = raw.select(
-        "test_set",
-        "file",
-        lines.alias("_lines"),
-        F.element_at(widths, 1).alias("width"),
-        F.array_max(widths).alias("_max_n"),
-    )
-    # a later line wider than the first makes the file unreadable
-    kept = keep_by_width("width") if policy == "by_width" else keep_by_test("test_set", "width")
-    files = files.where((F.col("_max_n") <= F.col("width")) & kept)
-    samples = files.select("test_set", "file", "width", F.posexplode("_lines").alias("seq", "line"))
-    return samples.select(
-        "test_set", "file", "seq", *channel_values(line_parts("line"), "width")
-    )
+    files = _snapshot_texts(spark, root, recursive, ignore_corrupt, layout)
+    return parse_snapshot_texts(files, policy, on_wide)
 
 
-def snapshot_file_report(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """One row per snapshot file with what the guards see (B3): first-line
-    width, widest line, line count, non-numeric cells, both guard verdicts
-    and the reason a file would be skipped (``None`` when kept by width).
-    Computed inside each file's row — no shuffle."""
-    reader = spark.read
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    raw = reader.text(root, wholetext=True).select(
-        F.col("value"),
-        F.col("_metadata.file_name").alias("file"),
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("test_set"),
-    )
-    lines = F.split(F.regexp_replace("value", r"(\r?\n)+$", ""), r"\r?\n")
-    cells = F.flatten(F.transform(lines, lambda ln: F.split(ln, "\t")))
+def file_report(files: DataFrame) -> DataFrame:
+    """One row per whole snapshot file ``test_set, file, value`` with what the
+    guards see (B3): first-line width, widest line, line count, non-numeric
+    cells, both guard verdicts and the reason a file would be skipped (NULL
+    when kept by width)."""
+    lines = files.withColumn("_lines", _file_lines())
+    cells = F.flatten(F.transform("_lines", lambda ln: F.split(ln, "\t")))
     bad_cells = F.size(F.filter(cells, lambda c: F.trim(c).try_cast("double").isNull()))
-    widths = F.transform(lines, lambda ln: F.size(F.split(ln, "\t")))
-    rep = raw.select(
+    widths = _line_widths(F.col("_lines"))
+    rep = lines.select(
         "test_set",
         "file",
-        F.element_at(widths, 1).alias("width"),
+        F.try_element_at(widths, F.lit(1)).alias("width"),
         F.array_max(widths).alias("max_width"),
-        F.size(lines).alias("lines"),
+        F.size("_lines").alias("lines"),
         bad_cells.alias("non_numeric_cells"),
     )
     return rep.select(
         "*",
         keep_by_width("width").alias("keep_by_width"),
         keep_by_test("test_set", "width").alias("keep_by_test"),
-        F.when(F.col("max_width") > F.col("width"), "line wider than the first")
+        F.when(F.col("lines") == 0, "empty")
+        .when(F.col("max_width") > F.col("width"), "line wider than the first")
         .when(~keep_by_width("width"), "unexpected width")
         .when(F.col("non_numeric_cells") > 0, "non-numeric cells")
         .alias("reason"),
     )
+
+
+def snapshot_file_report(spark: SparkSession, root: str, recursive: bool = True, layout: str = "folders") -> DataFrame:
+    return file_report(_snapshot_texts(spark, root, recursive, False, layout))

@@ -18,28 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from condmon.functions.timestamps import published_timestamp
+from condmon.schemas import PAYLOAD_SENSORS
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer splits than the session has
-    task slots (a single-row-group file) over all slots.
-
-    Large inputs come in many splits and pass through unchanged; only a
-    small, unsplittable file pays one round-robin exchange, so the per-row
-    work after it uses every core instead of one.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < slots:
-            return df.repartition(slots)
-    except Exception:  # no SparkContext on this session (e.g. a remote client)
-        pass
-    return df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_splits: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_splits else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _p2(c):
@@ -118,30 +101,44 @@ def signal_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw snapshot lines of varying width from ``embeddings``.
+def snapshot_width(label) -> F.Column:
+    """Stand-in for the column count of a snapshot file: 8, 4 or 3."""
+    return F.when(label % 3 == 0, 8).when(label % 3 == 1, 4).otherwise(3)
 
-    Each vector is one tab-separated line; its width is 8, 4 or 3 values by
-    ``label`` (``label % 3`` = 0, 1, 2), and its test set is
-    ``TEST_SETS[vec_id % 3]`` — so every width meets every test set and the
-    two column guards disagree on some lines.
+
+def snapshot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw snapshot files from ``embeddings``, one row per file: ``test_set``,
+    ``file`` and ``value``, the tab-separated lines.
+
+    All values of a vector are used, in lines of 8, 4 or 3 by ``label % 3``
+    (the last of a 3-wide file is narrower).  Every 10th file ends with a line
+    one value wider, every 7th has an empty line inside and every 11th ends
+    with a line of one value.  The test set is ``vec_id % 3``, so every width
+    meets every set.
     """
     emb = table(spark, sf_dir, "embeddings")
-    width = F.when(F.col("label") % 3 == 0, 8).when(F.col("label") % 3 == 1, 4).otherwise(3)
+    width = snapshot_width(F.col("label"))
+    # integer samples: floor(v * 10^4) prints the same in every engine
+    vals = F.transform("embedding", lambda v: F.floor(v.cast("double") * 10000).cast("bigint").cast("string"))
+    starts = F.sequence(F.lit(1), F.size("v"), F.col("w"))
+    lines = F.transform(starts, lambda s: F.array_join(F.slice(F.col("v"), s, F.col("w")), "\t"))
+    wider = F.array(F.array_join(F.slice(F.col("v"), F.lit(1), F.col("w") + 1), "\t"))
+    lines_out = (
+        F.when(F.col("vec_id") % 10 == 0, F.concat("l", wider))
+        .when(F.col("vec_id") % 7 == 0, F.concat(F.slice("l", 1, 2), F.array(F.lit("")), F.slice("l", 3, 1 << 20)))
+        .when(F.col("vec_id") % 11 == 0, F.concat("l", F.array(F.lit("5"))))
+        .otherwise(F.col("l"))
+    )
     test_set = (
         F.when(F.col("vec_id") % 3 == 0, "1st_test")
         .when(F.col("vec_id") % 3 == 1, "2nd_test")
         .otherwise("3rd_test")
     )
-    # integer samples: floor(v * 10^4) prints the same in every engine
-    vals = F.transform(
-        F.slice("embedding", 1, width),
-        lambda v: F.floor(v.cast("double") * 10000).cast("bigint").cast("string"),
-    )
-    return emb.select(
-        "vec_id",
-        test_set.alias("test_set"),
-        F.array_join(vals, "\t").alias("line"),
+    return (
+        emb.select("vec_id", width.alias("w"), vals.alias("v"))
+        .withColumn("l", lines)
+        .select(test_set.alias("test_set"), F.concat(F.lit("f"), F.lpad(F.col("vec_id").cast("string"), 9, "0")).alias("file"),
+                F.array_join(lines_out, "\n").alias("value"))
     )
 
 
@@ -149,6 +146,9 @@ def _experiment_id(key, width: int = 6):
     return F.concat(F.lit("experiment_"), F.lpad(F.col(key).cast("string"), width, "0"))
 
 
+# The stand-in's rule for a worn tool.
+WORN_FEEDRATE = 13
+
 # Event type -> machining stage of the machine-tool stand-in.
 EVENT_STAGE = {
     "view": "Layer 1 Up",
@@ -162,23 +162,28 @@ EVENT_STAGE = {
 def machine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Machine-tool samples, one row per sample, keyed by ``experiment``.
 
-    Columns: ``experiment, time, X1_ActualPosition, Y1_ActualPosition,
-    M1_CURRENT_FEEDRATE, M1_sequence_number, M1_CURRENT_PROGRAM_NUMBER,
-    Machining_Process``.  ``time`` is seconds since the epoch of the event's
-    wall-clock time.
+    Columns: ``experiment, time``, the 18 payload sensors,
+    ``M1_CURRENT_PROGRAM_NUMBER, Machining_Process``.  ``time`` is seconds
+    since the epoch of the event's wall-clock time; sensor number ``i`` without
+    a source of its own is ``value + i / 2``.
     """
     ev = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("double")
+    own = {
+        "X1_ActualPosition": F.col("value"),
+        "Y1_ActualPosition": F.get_json_object("props", "$.k").cast("double") + 0.25,
+        "M1_CURRENT_FEEDRATE": F.get_json_object("props", "$.k").cast("double"),
+        "M1_sequence_number": F.col("event_id").cast("double"),
+    }
+    sensors = [
+        own.get(c, F.col("value") + i / 2).alias(c) for i, c in enumerate(PAYLOAD_SENSORS)
+    ]
     stage = F.lit(None).cast("string")
     for et, name in EVENT_STAGE.items():
         stage = F.when(F.col("event_type") == et, F.lit(name)).otherwise(stage)
     return ev.select(
         _experiment_id("user_id").alias("experiment"),
         ntz_epoch_seconds("ts").alias("time"),
-        F.col("value").alias("X1_ActualPosition"),
-        k.alias("Y1_ActualPosition"),
-        k.alias("M1_CURRENT_FEEDRATE"),
-        F.col("event_id").cast("double").alias("M1_sequence_number"),
+        *sensors,
         F.when(F.col("event_type") == "error", 1.0).otherwise(0.0).alias("M1_CURRENT_PROGRAM_NUMBER"),
         stage.alias("Machining_Process"),
     )
@@ -187,18 +192,20 @@ def machine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookup_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Experiment metadata in the ``train.csv`` shape, from ``customer``.
 
-    Only customers with a positive balance have a row, so some experiments
-    stay without metadata.  ``passed_visual_inspection`` is NULL where
-    machining was not finalized, as in the shipped metadata.
+    Every customer has a row; the number of each tenth (``c_custkey % 10 = 3``)
+    is negative, so its experiment stays without metadata.  The tool is worn
+    where the feed rate reaches ``WORN_FEEDRATE``.  ``passed_visual_inspection``
+    is NULL where machining was not finalized, as in the shipped metadata.
     """
-    c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("int")
     finalized = F.when(F.col("c_nationkey") < 20, "yes").otherwise("no")
     return c.select(
-        F.col("c_custkey").cast("int").alias("No"),
+        F.when(key % 10 == 3, -key).otherwise(key).alias("No"),
         F.lit("wax").alias("material"),
         F.col("c_nationkey").cast("double").alias("feedrate"),
         (F.col("c_acctbal") / 1000).alias("clamp_pressure"),
-        F.when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "worn").otherwise("unworn").alias("tool_condition"),
+        F.when(F.col("c_nationkey") >= WORN_FEEDRATE, "worn").otherwise("unworn").alias("tool_condition"),
         finalized.alias("machining_finalized"),
         F.when(finalized == "no", F.lit(None).cast("string"))
         .when(F.col("c_acctbal") > 2000, "yes")

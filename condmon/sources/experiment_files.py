@@ -2,8 +2,8 @@
 
 A folder holds ``experiment_NN.csv`` series (header row, one row per
 100 ms sample) and the metadata file ``train.csv`` (one row per
-experiment).  All experiment files are read in one multi-file scan with an
-explicit schema; the experiment id is the file stem.
+experiment).  All experiment files are read in one multi-file scan, their
+columns by header name; the experiment id is the file stem.
 """
 
 from __future__ import annotations
@@ -40,43 +40,60 @@ def is_experiment_file(name) -> F.Column:
     return low.endswith(".csv") & (low != METADATA_FILE)
 
 
-def read_experiments(spark: SparkSession, root: str, schema: StructType = EXPERIMENT_SCHEMA) -> DataFrame:
-    """All experiment files under ``root`` as one DataFrame with an
-    ``experiment`` column (file stem, B6); unreadable files are skipped."""
-    df = (
-        spark.read.option("header", True)
-        .option("ignoreCorruptFiles", True)
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .schema(schema)
-        .csv(root)
-        .withColumn("_file", F.col("_metadata.file_name"))
-    )
-    return df.where(is_experiment_file("_file")).withColumn("experiment", strip_extension("_file")).drop("_file")
+def _cells(line, width: int):
+    """Cells of a CSV line as strings, by Spark's own CSV rules."""
+    ddl = ", ".join(f"c{i} string" for i in range(width))
+    r = F.from_csv(line, ddl, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    return F.array(*[r[f"c{i}"] for i in range(width)])
 
 
-def read_metadata(spark: SparkSession, root: str, schema: StructType = EXPERIMENT_METADATA) -> DataFrame:
-    """The metadata file; blank cells are NULL (A3)."""
-    return spark.read.option("header", True).schema(schema).csv(f"{root.rstrip('/')}/{METADATA_FILE}")
-
+def read_experiments(
+    spark: SparkSession, root: str, schema: StructType = EXPERIMENT_SCHEMA, layout: str = "files"
+) -> DataFrame:
+    """All experiment files under ``root`` as one DataFrame (A2, H2):
+    ``experiment`` (file stem, B6), ``seq`` (0-based sample number in file
+    order, L3), then every column that some file's header names — the known
+    ones in schema order, then ``time`` and other columns (as doubles) by name.
 
-def read_experiment_samples(spark: SparkSession, root: str, schema: StructType = EXPERIMENT_SCHEMA) -> DataFrame:
-    """Experiment files with ``seq``, the 0-based sample number in file order
-    (L3 needs it; a CSV scan does not keep line order).
-
-    Each file is read whole and its lines numbered with ``posexplode``; every
-    data line is parsed with Spark's CSV parser (``from_csv``) against the
-    header's column order, so quoting rules are the CSV reader's.
+    Columns are found by header name in each file: their order may differ, and
+    a file without a column has NULL there.  A column that no header names is
+    left out.  ``layout="partitioned"`` reads ``stem=<experiment>/`` folders of
+    one text file each instead of ``<experiment>.csv``.  A file is one row while it is numbered (``wholetext``); one
+    beyond 2 GB fails the read.
     """
-    raw = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(root, wholetext=True).select(
-        "value", F.col("_metadata.file_name").alias("_file")
-    )
+    if layout == "partitioned":
+        raw = spark.read.text(root, wholetext=True).select(
+            "value", F.concat(F.col("stem").cast("string"), F.lit(".csv")).alias("_file")
+        )
+    elif layout == "files":
+        raw = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(root, wholetext=True).select(
+            "value", F.col("_metadata.file_name").alias("_file")
+        )
+    else:
+        raise ValueError("layout must be 'files' or 'partitioned'")
     raw = raw.where(is_experiment_file("_file"))
-    lines = F.split(F.regexp_replace("value", r"(\r?\n)+$", ""), r"\r?\n")
-    rows = raw.select("_file", F.posexplode(lines).alias("_line_no", "_line")).where(F.col("_line_no") > 0)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = rows.select(
-        strip_extension("_file").alias("experiment"),
-        (F.col("_line_no") - 1).alias("seq"),
-        F.from_csv("_line", ddl).alias("_r"),
-    )
-    return parsed.select("experiment", "seq", "_r.*")
+    lines = F.filter(F.split("value", r"\r?\n"), lambda ln: ln != "")
+    files = raw.select(strip_extension("_file").alias("experiment"), lines.alias("_lines")).where(F.size("_lines") > 0)
+    head = F.transform(F.split(F.get("_lines", F.lit(0)), ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    # the union of the headers: a few dozen names
+    names = [r[0] for r in files.select(F.explode(head)).distinct().collect()]
+    known = {f.name: f.dataType for f in schema.fields}
+    columns = [c for c in known if c in names] + sorted(c for c in names if c and c not in known)
+    width = max([len(names), 1])
+    rows = files.withColumn("_head", head).select("experiment", "_head", F.posexplode("_lines").alias("_no", "_line"))
+    rows = rows.where(F.col("_no") > 0).withColumn("_cells", _cells(F.col("_line"), width))
+
+    def cell(name):
+        at = F.array_position("_head", name)
+        return F.when(at > 0, F.get("_cells", (at - 1).cast("int"))).try_cast(known.get(name, DoubleType()))
+
+    return rows.select("experiment", (F.col("_no") - 1).alias("seq"), *[cell(c).alias(c) for c in columns])
+
+
+def read_metadata(spark: SparkSession, root: str, schema: StructType = EXPERIMENT_METADATA) -> DataFrame:
+    """The metadata file by header name; blank cells are NULL (A3).  Known
+    columns come first, in schema order, other ones follow as text."""
+    text = spark.read.option("header", True).csv(f"{root.rstrip('/')}/{METADATA_FILE}")
+    known = {f.name: f.dataType for f in schema.fields}
+    cols = [F.col(f"`{c}`").try_cast(t).alias(c) for c, t in known.items() if c in text.columns]
+    return text.select(*cols, *[f"`{c}`" for c in text.columns if c not in known])

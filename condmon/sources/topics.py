@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from condmon.schemas import (
     BEARING_DATASET,
@@ -89,6 +89,26 @@ def write_messages(messages: DataFrame, path: str, mode: str = "append") -> None
     messages.write.mode(mode).parquet(path)
 
 
+def land_in_order(messages: DataFrame, path: str, order: Sequence, files: int) -> None:
+    """Land topic records for an ordered replay (A7): ``files`` consecutive
+    ranges of ``order`` (e.g. test set and file name), appended one after
+    another, so that the stream, which takes files by modification time, meets
+    the names in order.  The records are sorted and written once; each file of
+    that copy is then one append."""
+    from condmon.session import work_dir
+
+    spark = messages.sparkSession
+    staged = work_dir(spark, "ordered")
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranged = messages.repartitionByRange(files, *cols).sortWithinPartitions(*cols)
+    ranged.withColumn("_part", F.spark_partition_id()).write.partitionBy("_part").parquet(staged)
+    schema = StructType([*messages.schema.fields, StructField("_part", IntegerType())])
+    copy = spark.read.schema(schema).parquet(staged)
+    for part in range(files):
+        one = copy.where(F.col("_part") == part).coalesce(1).sortWithinPartitions(*cols)
+        one.select("topic", "value").write.mode("append").parquet(path)
+
+
 def write_kafka(messages: DataFrame, bootstrap: str) -> None:
     """Publish to a broker; needs the Kafka connector on the classpath."""
     messages.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save()
@@ -111,7 +131,8 @@ def topic_stream(
     ``source="kafka"`` subscribes to ``topics`` from ``starting_offsets``
     (needs the Kafka connector); ``source="files"`` reads landed parquet
     records under ``path``, ``max_files_per_trigger`` files per micro-batch
-    (files are taken in modification-time order).
+    (files are taken in modification-time order; ``land_in_order`` writes
+    them so that this is the order of the records' names).
     """
     if source == "kafka":
         raw = (
@@ -138,16 +159,30 @@ def _with_corrupt(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType())])
 
 
+def _without_nan(value: Column, kind: DataType) -> Column:
+    """NULL for the bare ``NaN`` a JSON writer leaves: NaN in a number, the
+    quoted text in a string; structs field by field."""
+    if isinstance(kind, StructType):
+        fields = [_without_nan(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, StringType):
+        return F.when(value.isin("NaN", '"NaN"'), F.lit(None).cast("string")).otherwise(value)
+    if isinstance(kind, DoubleType):
+        return F.when(F.isnan(value), F.lit(None).cast("double")).otherwise(value)
+    return value
+
+
 def parse_records(records: DataFrame, topic: str, schema: StructType, keep_corrupt: bool = False) -> DataFrame:
     """Route one topic (B9) and expand its JSON.
 
     PERMISSIVE parsing: a malformed value gives an all-NULL row, a field of
-    the wrong type only that field NULL.  With ``keep_corrupt`` the raw text
+    the wrong type only that field NULL, a bare ``NaN`` NULL.  With ``keep_corrupt`` the raw text
     of such records is kept in ``_corrupt_record``.
     """
     sch = _with_corrupt(schema) if keep_corrupt else schema
     opts = {"columnNameOfCorruptRecord": CORRUPT_COL} if keep_corrupt else {}
-    return records.where(F.col("topic") == topic).select(F.from_json("value", sch, opts).alias("data")).select("data.*")
+    parsed = records.where(F.col("topic") == topic).select(F.from_json("value", sch, opts).alias("data"))
+    return parsed.select(*[_without_nan(F.col(f"data.{f.name}"), f.dataType).alias(f.name) for f in sch.fields])
 
 
 def parse_bearing(records: DataFrame) -> DataFrame:
@@ -164,7 +199,10 @@ def tag_quarantine(records: DataFrame, topic: str, schema: StructType) -> DataFr
     parsed = records.where(F.col("topic") == topic).select(
         "value", F.from_json("value", _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT_COL}).alias("data")
     )
-    return parsed.withColumn("quarantined", F.col(f"data.{CORRUPT_COL}").isNotNull())
+    clean = [_without_nan(F.col(f"data.{f.name}"), f.dataType).alias(f.name) for f in schema.fields]
+    return parsed.select(
+        "value", F.struct(*clean).alias("data"), F.col(f"data.{CORRUPT_COL}").isNotNull().alias("quarantined")
+    )
 
 
 def split_quarantine(records: DataFrame, topic: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
@@ -174,7 +212,7 @@ def split_quarantine(records: DataFrame, topic: str, schema: StructType) -> tupl
     ``tag_quarantine`` and filter its output.
     """
     tagged = tag_quarantine(records, topic, schema)
-    good = tagged.where(~F.col("quarantined")).select("data.*").drop(CORRUPT_COL)
+    good = tagged.where(~F.col("quarantined")).select("data.*")
     quarantine = tagged.where(F.col("quarantined")).select("value")
     return good, quarantine
 

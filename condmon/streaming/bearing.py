@@ -16,11 +16,12 @@ a restart resumes instead of re-reading from the earliest offset (J6).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from condmon.functions.timestamps import snapshot_time
 from condmon.operators.features import stream_features
@@ -46,7 +47,7 @@ def bearing_feature_stream(records: DataFrame, finalize_after: str | None = None
         parsed = parsed.withColumn("event_ts", snapshot_time("file").cast("timestamp")).withWatermark(
             "event_ts", finalize_after
         )
-        return stream_features(parsed, keys=("test_set", "file", "timestamp", "event_ts"))
+        return stream_features(parsed, keys=("test_set", "file", "event_ts"))
     return stream_features(parsed)
 
 
@@ -59,14 +60,34 @@ def toolwear_feature_stream(records: DataFrame, observe: bool = True) -> DataFra
     return flat
 
 
-def observed(query: StreamingQuery, name: str, field: str) -> int:
-    """Sum of an observed metric over the progress reports of a query."""
-    total = 0
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}).get(name)
-        if m:
-            total += int(m[field])
-    return total
+class MetricTotals(StreamingQueryListener):
+    """Running totals of observed metrics over all micro-batches of a session
+    (D22).  ``recentProgress`` forgets old batches; a listener sees each once.
+
+        totals = MetricTotals(); spark.streams.addListener(totals)
+    """
+
+    def __init__(self):
+        self.totals: dict[tuple[str, str, str], int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        for name, row in (p.observedMetrics or {}).items():
+            for field, value in row.asDict().items():
+                key = (str(p.id), name, field)
+                self.totals[key] = self.totals.get(key, 0) + int(value or 0)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def total(self, query: StreamingQuery, name: str, field: str) -> int:
+        return self.totals.get((str(query.id), name, field), 0)
 
 
 def batch_writer(sink_path: str, scorer: Scorer | None = None, columns: Sequence[str] | None = None,
@@ -133,7 +154,28 @@ def latest_per_key(sink: DataFrame, keys: Sequence[str], version_col: str = "bat
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in others])
 
 
-def await_all(queries: Sequence[StreamingQuery]) -> None:
-    """Block until every query ends; re-raise the first failure."""
+def await_any(queries: Sequence[StreamingQuery]) -> None:
+    """Block until the first query ends, stop the others and re-raise a
+    failure (J7): a service with one of its queries gone is not served."""
+    while all(q.isActive for q in queries):
+        time.sleep(0.2)
+    failed = [q for q in queries if not q.isActive and q.exception() is not None]
     for q in queries:
-        q.awaitTermination()
+        if q.isActive:
+            q.stop()
+    if failed:
+        raise failed[0].exception()
+
+
+def await_all(queries: Sequence[StreamingQuery]) -> None:
+    """Block until every query has drained its input (replays that stop by
+    themselves); the first failure stops the others and is raised."""
+    left = list(queries)
+    while left:
+        time.sleep(0.2)
+        failed = [q for q in left if q.exception() is not None]
+        if failed:
+            for q in left:
+                q.stop()
+            raise failed[0].exception()
+        left = [q for q in left if q.isActive]

@@ -68,3 +68,23 @@ def test_stream_rms_skips_null(spark):
     df = wide(spark, {"nul": [1.0, None, 3.0]}).withColumn("timestamp", F.lit("t"))
     r = stream_features(df).collect()[0]
     assert r["b1_rms"] == pytest.approx(math.sqrt(5.0))
+
+
+def test_small_signals_as_pandas(spark):
+    """Batch features and feature table follow pandas' rounding guards."""
+    import numpy as np
+    import pandas as pd
+    import pytest
+
+    from condmon.operators.features import feature_table, snapshot_features
+
+    rng = np.random.default_rng(4)
+    sig = {f"s{k}": (10.0**-k * rng.gamma(1.5, size=200)).tolist() for k in range(4, 10)}
+    rows = wide(spark, sig)
+    batch = {r["file"]: r for r in snapshot_features(rows).collect()}
+    table = {r["file"]: r for r in feature_table(rows).collect()}
+    for f, xs in sig.items():
+        s = pd.Series(xs)
+        for name, want in (("skew", s.skew()), ("kurtosis", s.kurtosis())):
+            assert table[f][f"b1_{name}"] == pytest.approx(want, rel=1e-6, abs=1e-9), (f, name)
+            assert batch[f][f"b1_{name}"] == pytest.approx(want, rel=1e-6, abs=1e-9), (f, name)

@@ -58,3 +58,15 @@ def test_hot_group_spreads_over_partitions(spark):
     got = ordinal_within(hot, ["g"], ["o"], name="n", num_partitions=8)
     hot0 = got.where(F.col("g") == 0).agg(F.min("n"), F.max("n"), F.count_distinct("n")).collect()[0]
     assert tuple(hot0) == (1, 4000, 4000)
+
+
+def test_null_groups_are_kept(spark):
+    from condmon.operators.ordinal import first_k_per_group, ordinal_within
+    from condmon.operators.supervised import rul_cycles
+
+    df = spark.createDataFrame([(None if i % 2 else "g", i) for i in range(100)], "g string, i int")
+    out = ordinal_within(df, ["g"], ["i"], total_name="n")
+    assert out.count() == 100 and {r["n"] for r in out.collect()} == {50}
+    assert sorted(r["i"] for r in first_k_per_group(df, ["g"], ["i"], 3).collect()) == [0, 1, 2, 3, 4, 5]
+    sets = df.selectExpr("g AS test_set", "CAST(i AS STRING) AS file", "1.0 AS b3_max")
+    assert rul_cycles(sets).count() == 100

@@ -80,18 +80,56 @@ def test_file_report(spark, tree):
 
 def test_experiment_samples_keep_file_order(spark, tmp_path):
     from condmon.operators.cleaning import elapsed_time
-    from condmon.sources.experiment_files import EXPERIMENT_COLUMNS, read_experiment_samples
+    from condmon.sources.experiment_files import EXPERIMENT_COLUMNS, read_experiments
 
     header = ",".join(EXPERIMENT_COLUMNS + ["Machining_Process"])
     body = [",".join([str(float(k))] * len(EXPERIMENT_COLUMNS) + [f'"Layer {k % 3 + 1} Up"']) for k in (5, 3, 9, 1)]
     (tmp_path / "experiment_07.csv").write_text(header + "\n" + "\n".join(body) + "\n")
     (tmp_path / "train.csv").write_text("No,material\n1,wax\n")
-    out = elapsed_time(read_experiment_samples(spark, str(tmp_path))).orderBy("seq").collect()
+    out = elapsed_time(read_experiments(spark, str(tmp_path))).orderBy("seq").collect()
     assert [(r["seq"], r["X1_ActualPosition"], r["elapsed_s"]) for r in out] == [
         (0, 5.0, 0.0), (1, 3.0, 0.1), (2, 9.0, 0.2), (3, 1.0, 0.30000000000000004)]
     assert out[0]["Machining_Process"] == "Layer 3 Up" and out[0]["experiment"] == "experiment_07"
 
 
+def test_columns_by_header_name(spark, tmp_path):
+    """Swapped, extra and missing header columns give pandas' values."""
+    import pandas as pd
+
+    from condmon.sources.experiment_files import read_experiments, read_metadata
+
+    files = {
+        "experiment_01.csv": "X1_ActualPosition,Y1_ActualPosition,Machining_Process\n1,2,Prep\n3,4,End\n",
+        "experiment_02.csv": "time,Machining_Process,Y1_ActualPosition,X1_ActualPosition\n9.5,Prep,20,10\n\n9.6,\"a,b\",,30\n",
+        "experiment_03.CSV": "X1_ActualPosition\n7\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "train.csv").write_text("tool_condition,No,operator\nworn,2,x\n,1,\n")
+    got = read_experiments(spark, str(tmp_path)).toPandas()
+    assert list(got.columns) == ["experiment", "seq", "X1_ActualPosition", "Y1_ActualPosition", "Machining_Process", "time"]
+    want = pd.concat(pd.read_csv(tmp_path / n).assign(experiment=n[:13]) for n in files)
+    for c in ("X1_ActualPosition", "Y1_ActualPosition", "time"):
+        a = got.sort_values(["experiment", "seq"])[c].tolist()
+        assert [x for x in a if x == x] == [x for x in want[c].tolist() if x == x]
+        assert [x == x for x in a] == [x == x for x in want[c].tolist()]
+    assert set(got["Machining_Process"].dropna()) == {"Prep", "End", "a,b"}
+    meta = read_metadata(spark, str(tmp_path)).orderBy("No")
+    assert meta.columns == ["No", "tool_condition", "operator"]
+    assert [tuple(r) for r in meta.collect()] == [(1, None, None), (2, "worn", "x")]
+
+
+def test_training_stops_at_an_unreadable_file(spark, tree):
+    with pytest.raises(Exception, match="line wider than the first"):
+        read_snapshot_files(spark, tree, on_wide="fail").collect()
+
+
+def test_empty_lines_are_skipped(spark, tmp_path):
+    _write(str(tmp_path), "1st_test", "f", [[1, 2, 3, 4], [], [5, 6, 7, 8]])
+    rows = read_snapshot_files(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [(r["seq"], r["b1"]) for r in rows] == [(0, 1.0), (1, 5.0)]
+
+
 def test_snapshot_files_round_trip(spark, tmp_path):
     """Samples landed as one file per snapshot and scanned back give the
     same features as the samples themselves."""

@@ -41,3 +41,25 @@ def test_classification_report(spark):
     f1 = [2 * (2 / 3) * (2 / 3) / (4 / 3), 2 * 0.6 * 0.75 / 1.35, 0.0]
     assert abs(rep["macro avg"]["f1_score"] - sum(f1) / 3) < 1e-12
     assert abs(rep["weighted avg"]["f1_score"] - (3 * f1[0] + 4 * f1[1]) / 8) < 1e-12
+
+
+def test_split_size_with_equal_rows(spark):
+    """Exact sizes when rows are equal, keys are NULL or strata are NULL."""
+    import math
+
+    from condmon.operators.splits import hash_split
+
+    for n in (1, 3, 10, 101):
+        df = spark.createDataFrame([(7, "x")] * n, "k int, v string").repartition(4)
+        assert hash_split(df, ["k"]).where("split = 'test'").count() == math.ceil(0.2 * n)
+    rows = [(None if i % 2 else 1, "a" if i % 3 else None) for i in range(90)]
+    out = hash_split(spark.createDataFrame(rows, "k int, s string").repartition(3), ["k"], strata=["s"])
+    sizes = {(r["s"], r["split"]): r["count"] for r in out.groupBy("s", "split").count().collect()}
+    assert sizes == {("a", "test"): 12, ("a", "train"): 48, (None, "test"): 6, (None, "train"): 24}
+    assert out.columns == ["k", "s", "split"]
+
+
+def test_split_of_an_empty_table(spark):
+    from condmon.operators.splits import hash_split
+
+    assert hash_split(spark.createDataFrame([], "k int"), ["k"]).count() == 0

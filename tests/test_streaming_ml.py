@@ -2,6 +2,8 @@
 
 
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from condmon.operators.features import stream_features
 from condmon.plans import catalog as C
@@ -11,19 +13,86 @@ from condmon.sources import topics as TP
 from condmon.streaming import bearing as SB
 
 
+def _until(done, seconds=20):
+    """Progress reports reach listeners a moment after a batch ends."""
+    import time
+
+    end = time.time() + seconds
+    while not done() and time.time() < end:
+        time.sleep(0.1)
+
+
+def test_totals_over_more_batches_than_spark_remembers(spark):
+    landing, sink, ckpt = work_dir(spark, "m-landing"), work_dir(spark, "m-sink"), work_dir(spark, "m-ckpt")
+    rows = [("toolwear_raw", '{"experiment":"e%d"}' % i) for i in range(105)]
+    df = spark.createDataFrame(rows, "topic string, value string").repartitionByRange(105, "value")
+    TP.write_messages(df, landing, mode="overwrite")
+    files = len(spark.read.parquet(landing).inputFiles())
+    assert files > 100
+    totals = SB.MetricTotals()
+    spark.streams.addListener(totals)
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=1)
+    q = SB.start(SB.toolwear_feature_stream(stream), sink, ckpt, "append")
+    q.awaitTermination()
+    _until(lambda: totals.total(q, "toolwear_rows", "rows") == 105)
+    spark.streams.removeListener(totals)
+    assert totals.total(q, "toolwear_rows", "rows") == 105 and len(q.recentProgress) < files
+
+
+def test_a_failed_query_ends_the_service(spark):
+    import pytest
+
+    landing = work_dir(spark, "f-landing")
+    df = spark.createDataFrame([("toolwear_raw", '{"experiment":"e"}')], "topic string, value string")
+    TP.write_messages(df, landing, mode="overwrite")
+
+    def broken(batch):
+        raise ValueError("no model")
+
+    def query(scorer):
+        stream = TP.topic_stream(spark, "files", landing)
+        return SB.start(SB.toolwear_feature_stream(stream), work_dir(spark, "f-sink"), work_dir(spark, "f-ckpt"),
+                        "append", scorer=scorer, available_now=False)
+
+    good, bad = query(None), query(broken)
+    with pytest.raises(Exception, match="no model"):
+        SB.await_any([good, bad])
+    assert not good.isActive and not bad.isActive
+    good, bad = query(None), query(broken)
+    with pytest.raises(Exception, match="no model"):
+        SB.await_all([good, bad])
+    assert not good.isActive
+
+
+def test_every_row_is_scored_or_explained(spark):
+    from condmon.plans import ml
+
+    train = spark.createDataFrame([(i, float(i % 10), "worn" if i % 10 >= 5 else "unworn") for i in range(200)],
+                                  "id int, feedrate double, tool_condition string")
+    model = ml.train_wear(train, ["id"], params={"maxIter": 3}).model
+    flat = spark.createDataFrame([("a", 1.0), ("b", 9.0), ("c", None)], "experiment string, feedrate double")
+    got = {r["experiment"]: (r["tool_condition_prediction"], r["unscoreable"]) for r in ml.score_wear(model, flat).collect()}
+    assert got == {"a": ("unworn", None), "b": ("worn", None), "c": (None, "feedrate")}
+
+
 def test_stream_equals_batch_and_restart(spark):
     msgs = TP.bearing_messages(T.bearing_records(spark, SF_SMALL))
     landing = work_dir(spark, "t-landing")
     TP.write_messages(msgs.repartition(4), landing, mode="overwrite")
     sink, ckpt = work_dir(spark, "t-sink"), work_dir(spark, "t-ckpt")
     stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=1)
+    totals = SB.MetricTotals()
+    spark.streams.addListener(totals)
     q = SB.start(SB.bearing_feature_stream(stream), sink, ckpt, "update")
     q.awaitTermination()
-    assert SB.observed(q, "bearing_samples", "samples") == msgs.count()
+    n = msgs.count()
+    _until(lambda: totals.total(q, "bearing_samples", "samples") == n)
+    spark.streams.removeListener(totals)
+    assert totals.total(q, "bearing_samples", "samples") == n
     written = SB.read_sink(spark, sink)
     n1 = written.count()
     assert written.select("batch_id").distinct().count() >= 2
-    latest = SB.latest_per_key(written, ["test_set", "file", "timestamp"]).drop("batch_id")
+    latest = SB.latest_per_key(written, ["test_set", "file"]).drop("batch_id")
     batch = stream_features(T.bearing_records(spark, SF_SMALL))
     a = C.compare_form(latest)
     b = C.compare_form(batch).select(*a.columns)
@@ -81,3 +150,26 @@ def test_jdbc_sink_plumbing(spark, monkeypatch):
     write = SB.batch_writer("unused", columns=["a"], jdbc={"url": "jdbc:x", "table": "public.t", "properties": {"user": "u"}})
     write(spark.createDataFrame([(1, 2), (3, 4)], "a int, b int"), 7)
     assert calls == [("jdbc:x", "public.t", {"user": "u"}, ["a", "batch_id"], 2)]
+
+
+def test_nan_in_records_becomes_null(spark):
+    value = '{"dataset":NaN,"experiment":"e","timestamp":NaN,"payload":{"X1_ActualPosition":NaN},"metadata":{"tool_condition":NaN,"feedrate":2}}'
+    df = spark.createDataFrame([("toolwear_raw", value)], "topic string, value string")
+    row = TP.parse_toolwear(df).collect()[0]
+    assert row["dataset"] is None and row["timestamp"] is None and row["payload"]["X1_ActualPosition"] is None
+    assert row["metadata"]["tool_condition"] is None and row["metadata"]["feedrate"] == 2.0
+
+
+def test_ordered_replay(spark):
+    """Landed in order, the batches of a stream meet the names in order."""
+    rows = [("bearing_raw", '{"test_set":"%d","file":"f%03d"}' % (i % 2, i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "topic string, value string").repartition(5)
+    landing, sink, ckpt = work_dir(spark, "o-landing"), work_dir(spark, "o-sink"), work_dir(spark, "o-ckpt")
+    TP.land_in_order(df, landing, [F.get_json_object("value", "$.test_set"), F.get_json_object("value", "$.file")], 4)
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=1)
+    SB.start(TP.parse_bearing(stream), sink, ckpt, "append").awaitTermination()
+    span = SB.read_sink(spark, sink).groupBy("batch_id").agg(
+        F.min(F.struct("test_set", "file")).alias("lo"), F.max(F.struct("test_set", "file")).alias("hi"), F.count("*").alias("n"))
+    got = span.orderBy("batch_id").collect()
+    assert sum(r["n"] for r in got) == 60 and len(got) == 4
+    assert all(a["hi"] < b["lo"] for a, b in zip(got, got[1:]))
