@@ -37,6 +37,12 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
+    """``df`` in as many partitions as its ``rows`` need: after a shuffle that
+    was dealt for larger tables, a small result need not be many files."""
+    return df.coalesce(rows // per_task + 1)
+
+
 def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Lower the session's Arrow batch size to ``rows`` (never raise it)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -77,10 +83,16 @@ def bucket_bits(rows: int) -> int:
 
 
 def running_totals(
-    df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str], sums: Sequence[str] = ()
+    df: DataFrame,
+    group: Sequence[str],
+    bucket: str,
+    order: Sequence[str],
+    sums: Sequence[str] = (),
+    total: str | None = None,
 ) -> DataFrame:
     """Add ``rank`` (0-based) and ``<s>_before`` (sum over the earlier rows)
-    within ``group``, ordered by ``(bucket, *order)``.
+    within ``group``, ordered by ``(bucket, *order)``, and the rows of the
+    group as ``total`` when named.
 
     ``group`` and ``bucket`` columns must not be null and ``bucket`` must grow
     with ``order``.  A hot group is spread over its buckets: rows are ranked
@@ -90,13 +102,14 @@ def running_totals(
     keys = [*group, bucket]
     one = F.lit(1).cast("long")
     per = df.groupBy(*keys).agg(F.sum(one).alias("_n"), *[F.sum(s).alias(f"_sum_{s}") for s in sums])
-    blocks = Window.partitionBy(*group) if group else Window.partitionBy()
-    blocks = blocks.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group) if group else Window.partitionBy()
+    blocks = whole.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     offsets = per.select(
         *keys,
         F.coalesce(F.sum("_n").over(blocks), zero).alias("_off"),
         *[F.coalesce(F.sum(f"_sum_{s}").over(blocks), zero).alias(f"_off_{s}") for s in sums],
+        *([F.sum("_n").over(whole).alias(total)] if total else []),
     )
     inside = Window.partitionBy(*keys).orderBy(*order)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)

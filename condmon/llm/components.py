@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from condmon.llm.common import save
+from condmon.llm.common import gathered, save
 
 
 def _mark(edges: DataFrame):
@@ -25,14 +25,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     star = edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
     star = save(star, "edges")
     mark = _mark(star)
+    star = gathered(star, mark[0])
     while mark[0]:
         both = star.union(star.select("lo", "hi")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        large = save(large, "large-star")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        large = gathered(save(gathered(large, mark[0]), "large-star"), mark[0])
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        star = save(small.union(least.select("hi", F.col("m").alias("lo"))).distinct(), "small-star")
+        star = small.union(least.select("hi", F.col("m").alias("lo"))).distinct()
+        star = gathered(save(gathered(star, mark[0]), "small-star"), mark[0])
         last, mark = mark, _mark(star)
         if mark == last:
             break

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from condmon.llm.common import map_texts, pieces, save
+from condmon.llm.common import gathered, map_texts, pieces, save
 from condmon.llm.components import connected_components
 
 SHINGLE = 3
@@ -183,7 +183,7 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         raise ValueError(f"the masks cover a radius of {RADIUS}")
     if bucket < 64:
         raise ValueError("buckets of fewer than 64 fingerprints cannot always be refined")
-    spark = fps.sparkSession
+    spark, n = fps.sparkSession, fps.count()
     masks = [_signed(m) for m in cover_masks(list(range(_BITS)))]
     rows = fps.select("fp", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
     found = None
@@ -192,11 +192,11 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         sizes = rows.groupBy("mask", "key").agg(
             F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")
         )
-        sizes = save(sizes.where("n > 1"), "simhash-buckets")
+        sizes = gathered(save(gathered(sizes.where("n > 1"), n), "simhash-buckets"), n)
         pairs = sizes.where("n = 2").select("a", "b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
         some = rows.join(sizes.where(f"n > 2 AND n <= {bucket}").select("mask", "key"), ["mask", "key"], "left_semi")
         lists = some.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
-        edges = save(pairs.union(_local_links(lists, radius)).distinct(), "simhash-links")
+        edges = save(pairs.union(gathered(_local_links(lists, radius), n)), "simhash-links")
         found = edges if found is None else found.union(edges)
         hot = sizes.where(f"n > {bucket}")
         if hot.isEmpty():
@@ -213,7 +213,7 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
 
 def components_of(fps: DataFrame) -> DataFrame:
     """``fp, root``: the component's smallest fingerprint per distinct ``fp``."""
-    distinct = save(fps.select("fp").distinct(), "simhash-fps")
+    distinct = save(gathered(fps.select("fp").distinct(), fps.count()), "simhash-fps")
     roots = connected_components(links(distinct))
     return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root")
