@@ -2,16 +2,18 @@
 tables (the driver runs the same comparison at sf0.01)."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from condmon.plans import registry
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and v != v):
+    if v is None or v is pd.NA or (isinstance(v, float) and v != v):
         return None
     if isinstance(v, float):
         return round(v, 9) + 0.0
@@ -28,7 +30,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+#: Fit 500 trees, minutes each; the driver's and the local oracle check run them.
+LONG = {"rul_gbt_predict", "stream_serve_both"}
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.oracle_sql()) - LONG))
 def test_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL).toPandas()
     odf = con.execute(E.oracle_sql()[name]).df()
