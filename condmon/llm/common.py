@@ -37,9 +37,31 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_keys(docs: DataFrame) -> list[Column]:
+    """``_id, _th``: a non-null key and a hash of the whole row, by which a
+    decision taken on a narrow table finds its row again in a second scan.
+    Rows equal in both are repeated rows."""
+    kinds = [(f"`{f.name}`", f.dataType.typeName()) for f in docs.schema.fields]
+    cols = [F.col(c) for c, kind in kinds if kind not in ("map", "variant")]
+    nulls = F.concat(*[c.isNull().cast("int").cast("string") for c in cols])
+    return [group_key(F.col("doc_id").cast("string")).alias("_id"), F.xxhash64(nulls, *cols).alias("_th")]
+
+
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns as a struct, so that no name can clash), ``_id, _th``."""
+    return docs.select(F.struct("*").alias("row"), *row_keys(docs))
+
+
+def first_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of each group of equal ``keys`` (which repeated rows share)."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+
+
 def gathered(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
     """``df`` in as many partitions as its ``rows`` need: after a shuffle that
-    was dealt for larger tables, a small result need not be many files."""
+    was dealt for larger tables, a small result need not be many files.
+    ``rows`` must count what the last stage reads, which these tasks then do."""
     return df.coalesce(rows // per_task + 1)
 
 

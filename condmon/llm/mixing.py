@@ -31,7 +31,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from condmon.llm.common import WORD, bucket_bits, group_key, running_totals, save, shuffle_key, top_bits, word_count
+from condmon.llm.common import (
+    WORD,
+    bucket_bits,
+    first_of,
+    group_key,
+    keyed_rows,
+    row_keys,
+    running_totals,
+    save,
+    shuffle_key,
+    top_bits,
+    word_count,
+)
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -41,17 +53,17 @@ SEED = "mix-1"
 CELL_CHUNK = 4096
 
 
-def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """Narrow table ``_rid, doc_id, size, _g (source key), _k (shuffle key)``;
-    ``_rid`` is taken from ``docs`` when present."""
-    rid = F.col("_rid") if "_rid" in docs.columns else F.monotonically_increasing_id()
+def sized(docs: DataFrame, seed: str = SEED, keep=()) -> DataFrame:
+    """Narrow table ``_rid, doc_id, size, _g (source key), _k (shuffle key)``
+    and the columns ``keep``."""
     return save(
         docs.select(
-            rid.alias("_rid"),
+            F.monotonically_increasing_id().alias("_rid"),
             "doc_id",
             word_count(F.col("text")).alias("size"),
             group_key(F.col("source")).alias("_g"),
             shuffle_key(seed, F.col("doc_id")).alias("_k"),
+            *keep,
         ),
         "mix-sizes",
     )
@@ -174,16 +186,12 @@ def mix_documents(docs: DataFrame, seed: str = SEED, block_tokens: int = BLOCK_T
     pass over a document.  The one document per source where the mix stops
     inside a text keeps its taken words, space-joined (and its ``n_chars``
     is counted anew when there is such a column)."""
-    full = save(
-        docs.select(
-            F.struct("*").alias("row"), "doc_id", "text", "source", F.monotonically_increasing_id().alias("_rid")
-        ),
-        "mix-docs",
-    )
-    rows = sized(full, seed)
+    rows = sized(docs, seed, row_keys(docs))
     targets = save(source_targets(rows), "mix-targets")
     passes = mix(rows, targets, block_tokens).groupBy("_rid", "pass").agg(F.sum("words").alias("_words"))
-    out = full.select("_rid", "row").join(passes.join(rows.select("_rid", "size"), "_rid"), "_rid")
+    passes = save(passes.join(rows.select("_rid", "size", "_id", "_th"), "_rid"), "mix-passes")
+    # repeated rows share their keys: each pass takes one of them
+    out = first_of(keyed_rows(docs).join(passes, ["_id", "_th"]), ["_id", "_th", "_rid", "pass"])
     whole = F.col("_words") == F.col("size")
     head = F.slice(F.regexp_extract_all(F.col("row.text"), F.lit(WORD), F.lit(0)), 1, F.col("_words").cast("int"))
     text = F.when(whole, F.col("row.text")).otherwise(F.array_join(head, " "))

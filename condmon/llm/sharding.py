@@ -19,10 +19,19 @@ by ``shard_plan`` and kept by ``shard_documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from condmon.llm.common import bucket_bits, group_key, running_totals, save, shuffle_key, top_bits
+from condmon.llm.common import (
+    bucket_bits,
+    group_key,
+    keyed_rows,
+    row_keys,
+    running_totals,
+    save,
+    shuffle_key,
+    top_bits,
+)
 
 SHARDS = 8
 SEED = "shard-1"
@@ -71,15 +80,15 @@ def shard_plan(docs: DataFrame, n_shards: int = SHARDS, seed: str = SEED, keep:
 def shard_documents(docs: DataFrame, n_shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """``docs`` with their ``shard`` and ``slot`` (earlier columns of these
     names are replaced)."""
-    full = save(
-        docs.select(
-            F.struct("*").alias("row"), "doc_id", "text", "source", F.monotonically_increasing_id().alias("_rid")
-        ),
-        "shard-docs",
-    )
-    plan = shard_plan(full, n_shards, seed, keep=("_rid",)).select("_rid", "shard", "slot")
+    narrow = docs.select("doc_id", "text", "source", *row_keys(docs))
+    plan = shard_plan(narrow, n_shards, seed, keep=("_id", "_th"))
+    # repeated rows share their keys and take the places in turn
+    places = plan.groupBy("_id", "_th").agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("_places"))
+    nth = F.row_number().over(Window.partitionBy("_id", "_th").orderBy("_id", "_th"))
+    out = keyed_rows(docs).join(save(places, "shard-places"), ["_id", "_th"]).withColumn("_nth", nth)
+    place = F.get("_places", F.col("_nth") - 1)
     cols = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    return full.select("_rid", "row").join(plan, "_rid").select(*[f"row.`{c}`" for c in cols], "shard", "slot")
+    return out.select(*[f"row.`{c}`" for c in cols], place["shard"].alias("shard"), place["slot"].alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from condmon.llm.common import gathered, map_texts, pieces, save
+from condmon.llm.common import first_of, gathered, keyed_rows, map_texts, pieces, row_keys, save
 from condmon.llm.components import connected_components
 
 SHINGLE = 3
@@ -183,11 +183,12 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         raise ValueError(f"the masks cover a radius of {RADIUS}")
     if bucket < 64:
         raise ValueError("buckets of fewer than 64 fingerprints cannot always be refined")
-    spark, n = fps.sparkSession, fps.count()
+    spark, n = fps.sparkSession, 15 * fps.count()  # rows of a level of tables
     masks = [_signed(m) for m in cover_masks(list(range(_BITS)))]
     rows = fps.select("fp", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
     found = None
     while True:
+        n = n if found is None else rows.count()
         rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = rows.groupBy("mask", "key").agg(
             F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")
@@ -196,7 +197,7 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         pairs = sizes.where("n = 2").select("a", "b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
         some = rows.join(sizes.where(f"n > 2 AND n <= {bucket}").select("mask", "key"), ["mask", "key"], "left_semi")
         lists = some.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
-        edges = save(pairs.union(gathered(_local_links(lists, radius), n)), "simhash-links")
+        edges = save(pairs.union(_local_links(gathered(lists, n), radius)), "simhash-links")
         found = edges if found is None else found.union(edges)
         hot = sizes.where(f"n > {bucket}")
         if hot.isEmpty():
@@ -233,11 +234,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row of each near-duplicate group of ``docs``: that of the smallest
-    ``doc_id`` (NULL last; repeated rows: any one)."""
-    full = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.monotonically_increasing_id().alias("_rid"))
-    full = save(full, "simhash-rows")
-    fps = save(fingerprints(full, keep=("_rid", "doc_id"), shingle=shingle), "simhash-docs")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_rid"))
+    ``doc_id`` (NULL last; repeated rows: one of them)."""
+    narrow = docs.select("doc_id", "text", *row_keys(docs))
+    fps = save(fingerprints(narrow, keep=("doc_id", "_id", "_th"), shingle=shingle), "simhash-docs")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id", "_th")
     best = fps.groupBy("fp").agg(F.min(rank).alias("best"))
     kept = components_of(fps).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
-    return full.select("_rid", "row").join(kept.select("best._rid"), "_rid", "left_semi").select("row.*")
+    kept = save(kept.select("best._id", "best._th"), "simhash-kept")
+    return first_of(keyed_rows(docs).join(kept, ["_id", "_th"]), ["_id", "_th"]).select("row.*")
