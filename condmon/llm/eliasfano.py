@@ -5,7 +5,7 @@
 one per value, a zero per bucket).  ``View`` answers vectorised queries on the
 words in place, so they can lie in a memory-mapped file: ``access`` (select on
 the ones) and ``find`` (the range of a bucket by select on the zeros, then the
-low bits), without decoding the sequence.
+low bits by bisection), without decoding the sequence.
 """
 
 from __future__ import annotations
@@ -46,8 +46,9 @@ def encode(values, universe: int):
     bits[n + buckets :] = 1  # beyond the last bucket: no further zeros are asked for
     words = np.packbits(bits, bitorder="little").view(np.uint64)
     ones = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)]).astype(np.uint64)
+    zeros = np.arange(size + 1, dtype=np.uint64) * np.uint64(64) - ones
     head = np.array([n, universe, low, size, len(packed), buckets], np.uint64)
-    return np.concatenate([head, packed, words, ones])
+    return np.concatenate([head, packed, words, ones, zeros])
 
 
 def _select_in_word(word, k):
@@ -71,12 +72,14 @@ class View:
     def __init__(self, words):
         import numpy as np
 
+        words = words.view(np.ndarray)  # still the mapped memory, without the subclass's cost per slice
         n, self.universe, low, size, packed, buckets = (int(x) for x in words[:HEADER])
         self.n, self.low, self.buckets = n, low, buckets
         self.packed = words[HEADER : HEADER + packed]
         self.bits = words[HEADER + packed : HEADER + packed + size]
         self.ones = words[HEADER + packed + size : HEADER + packed + 2 * size + 1].view(np.int64)
-        self.words = HEADER + packed + 2 * size + 1
+        self.zeros = words[HEADER + packed + 2 * size + 1 : HEADER + packed + 3 * size + 2].view(np.int64)
+        self.words = HEADER + packed + 3 * size + 2
         self._mask = np.uint64((1 << low) - 1)
 
     def _low(self, i):
@@ -109,18 +112,8 @@ class View:
         some = np.flatnonzero(bucket > 0)
         if len(some):
             k = bucket[some] - 1  # index of the zero that ends the bucket before
-            # zeros before word w: 64 w - ones[w], non-decreasing
-            lo, hi = np.zeros(len(k), np.int64), np.full(len(k), len(self.bits), np.int64)
-            # word guess by bisection on the counts, vectorised
-            while True:
-                open_ = hi - lo > 1
-                if not open_.any():
-                    break
-                mid = (lo + hi) >> 1
-                go = 64 * mid - self.ones[mid] <= k
-                lo = np.where(open_ & go, mid, lo)
-                hi = np.where(open_ & ~go, mid, hi)
-            rest = k - (64 * lo - self.ones[lo])
+            lo = np.searchsorted(self.zeros, k, "right") - 1
+            rest = k - self.zeros[lo]
             out[some] = lo * 64 + _select_in_word(~self.bits[lo], rest) - k
         return out
 
@@ -137,12 +130,17 @@ class View:
         bucket = (v >> np.uint64(self.low)).astype(np.int64)
         at, end = self._before(bucket), self._before(bucket + 1)
         want = v & self._mask
-        while len(ask):
-            left = at < end
-            ask, at, end, want = ask[left], at[left], end[left], want[left]
-            got = self._low(at)
-            hit = got == want
-            out[ask[hit]] = at[hit]
-            go = got < want  # successors are ordered: stop at the first larger one
-            ask, at, end, want = ask[go], at[go] + 1, end[go], want[go]
+        # the low bits ascend inside a bucket: the first successor by bisection
+        # (a bucket inside a dense stretch can hold thousands of values)
+        first, last = at.copy(), end.copy()
+        go = np.flatnonzero(first < last)
+        while len(go):
+            mid = (first[go] + last[go]) >> 1
+            less = self._low(mid) < want[go]
+            first[go] = np.where(less, mid + 1, first[go])
+            last[go] = np.where(less, last[go], mid)
+            go = go[first[go] < last[go]]
+        some = np.flatnonzero(first < end)
+        hit = some[self._low(first[some]) == want[some]]
+        out[ask[hit]] = first[hit]
         return out

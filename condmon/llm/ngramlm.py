@@ -43,6 +43,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from itertools import chain, islice
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame
@@ -58,7 +59,7 @@ STEP = 0.0005
 #: Text bytes per shard of a level.
 SHARD_BYTES = 32 << 20
 #: Distinct words, bigrams and words of a group that a task holds at once.
-WORD_BUFFER, PAIR_BUFFER, GROUP_WORDS = 300_000, 2_000_000, 300_000
+WORD_BUFFER, PAIR_BUFFER, GROUP_WORDS = 300_000, 2_000_000, 1_000_000
 END = b"\n"  # no word contains white space
 _ID_BITS = 32
 
@@ -141,10 +142,9 @@ class Level1:
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
         top = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
         rest = hashes & np.uint64((1 << 64 - self.bits) - 1)
-        for k in np.unique(top):
-            if self.offsets[k + 1] == self.offsets[k]:
-                continue
-            own = slice(*np.searchsorted(top, [k, k + 1]))
+        cuts = np.searchsorted(top, np.arange((1 << self.bits) + 1))
+        for k in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(self.offsets) > 0)):
+            own = slice(cuts[k], cuts[k + 1])
             keys, totals = self.shard(int(k))
             at = keys.find(rest[own])
             hit = np.flatnonzero(at >= 0)
@@ -251,6 +251,14 @@ class Trie:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.vocabulary + 1)))
 
 
+class _Places(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        return n
+
+
 class Lookup:
     """Words of a task -> places in growing arrays of ids and counts."""
 
@@ -261,7 +269,7 @@ class Lookup:
     def _reset(self):
         import numpy as np
 
-        self.place: dict[bytes, int] = {}
+        self.place = _Places()
         self.ids, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def __call__(self, group):
@@ -270,16 +278,18 @@ class Lookup:
 
         if len(self.place) > WORD_BUFFER:
             self._reset()
-        tokens = [w for _, words, _, last in group for w in (words + [END] if last else words)]
-        new = list(set(tokens).difference(self.place))
+        known, size = len(self.place), sum(len(words) + last for _, words, _, last in group)
+        end = (END,)
+        tokens = chain.from_iterable(part for _, words, _, last in group for part in (words, end if last else ()))
+        out = np.fromiter(map(self.place.__getitem__, tokens), np.int64, size)
+        new = len(self.place) - known
         if new:
-            hashes = np.fromiter(map(word_hash, new), np.uint64, len(new))
+            hashes = np.fromiter(map(word_hash, islice(self.place, known, None)), np.uint64, new)
             order = np.argsort(hashes)
-            ids, counts = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+            ids, counts = np.empty(new, np.int64), np.empty(new, np.int64)
             ids[order], counts[order] = self.level1.find(hashes[order])
-            self.place.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
-        return np.fromiter(map(self.place.__getitem__, tokens), np.int64, len(tokens))
+        return out
 
 
 def _contexts(group, ids, begin: int, carry: int):
