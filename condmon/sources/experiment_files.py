@@ -8,6 +8,8 @@ columns by header name; the experiment id is the file stem.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -40,13 +42,6 @@ def is_experiment_file(name) -> F.Column:
     return low.endswith(".csv") & (low != METADATA_FILE)
 
 
-def _cells(line, width: int):
-    """Cells of a CSV line as strings, by Spark's own CSV rules."""
-    ddl = ", ".join(f"c{i} string" for i in range(width))
-    r = F.from_csv(line, ddl, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
-    return F.array(*[r[f"c{i}"] for i in range(width)])
-
-
 def read_experiments(
     spark: SparkSession, root: str, schema: StructType = EXPERIMENT_SCHEMA, layout: str = "files"
 ) -> DataFrame:
@@ -74,20 +69,28 @@ def read_experiments(
     raw = raw.where(is_experiment_file("_file"))
     lines = F.filter(F.split("value", r"\r?\n"), lambda ln: ln != "")
     files = raw.select(strip_extension("_file").alias("experiment"), lines.alias("_lines")).where(F.size("_lines") > 0)
-    head = F.transform(F.split(F.get("_lines", F.lit(0)), ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
-    # the union of the headers: a few dozen names
-    names = [r[0] for r in files.select(F.explode(head)).distinct().collect()]
+    first = F.get("_lines", F.lit(0))
+    rows = files.select("experiment", first.alias("_head"), F.posexplode("_lines").alias("_no", "_line"))
+    rows = rows.where(F.col("_no") > 0)
     known = {f.name: f.dataType for f in schema.fields}
-    columns = [c for c in known if c in names] + sorted(c for c in names if c and c not in known)
-    width = max([len(names), 1])
-    rows = files.withColumn("_head", head).select("experiment", "_head", F.posexplode("_lines").alias("_no", "_line"))
-    rows = rows.where(F.col("_no") > 0).withColumn("_cells", _cells(F.col("_line"), width))
-
-    def cell(name):
-        at = F.array_position("_head", name)
-        return F.when(at > 0, F.get("_cells", (at - 1).cast("int"))).try_cast(known.get(name, DoubleType()))
-
-    return rows.select("experiment", (F.col("_no") - 1).alias("seq"), *[cell(c).alias(c) for c in columns])
+    out = None
+    # one pass per distinct header (a handful), parsed by Spark's own CSV rules
+    for header in sorted(r[0] for r in files.select(first).distinct().collect()):
+        names = [c.strip() for c in next(csv.reader([header]))]
+        fields = [
+            (c, known.get(c, DoubleType())) if c and c not in names[:i] else (f"_unnamed_{i}", StringType())
+            for i, c in enumerate(names)
+        ]
+        ddl = ", ".join(f"`{c}` {t.simpleString()}" for c, t in fields)
+        part = rows.where(F.col("_head") == header).select(
+            "experiment", (F.col("_no") - 1).alias("seq"), F.from_csv("_line", ddl).alias("_r")
+        )
+        part = part.select("experiment", "seq", *[f"_r.`{c}`" for c, _ in fields if not c.startswith("_unnamed_")])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return rows.select("experiment", F.col("_no").alias("seq"))
+    columns = [c for c in known if c in out.columns]
+    return out.select("experiment", "seq", *columns, *sorted(c for c in out.columns[2:] if c not in known))
 
 
 def read_metadata(spark: SparkSession, root: str, schema: StructType = EXPERIMENT_METADATA) -> DataFrame:
