@@ -2,7 +2,7 @@
 
 Chat logs often hold a conversation many times, each snapshot one turn longer.
 Every turn gets a rolling hash of the conversation up to it: the running sum of
-128-bit hashes keyed by position, role and text.  A conversation whose full
+128-bit hashes of turn number, role and text.  A conversation whose full
 hash is the prefix hash of a longer one is a snapshot of it and is dropped by
 an anti-join on (turns, hash); of equal conversations the smallest id stays.
 The maximal conversations are then rendered.
@@ -15,7 +15,8 @@ first turn or a conversation that everybody shares is one row.  A long
 conversation is rendered in parts of at most ``PART_TURNS`` turns; its parts
 in order are its text.
 
-Defined cases: turns are ordered by ``turn`` (NULL last), then role and text;
+Defined cases: turns are ordered by ``turn`` (NULL last), then role and text,
+and equal only with the same number, as snapshots of one log have it;
 rows that repeat conversation, turn, role and text count once; a NULL role or
 text renders as empty but differs from an empty one in comparisons; rows with
 a NULL ``conv_id`` form one conversation; control marks inside a role or text
@@ -38,17 +39,17 @@ _LANES = ("ha", "hb", "hc", "hd")
 
 
 def _lanes(seed: int) -> tuple[Column, Column]:
-    """Two 32-bit lanes of a hash of (position, role, text)."""
+    """Two 32-bit lanes of a hash of (turn, role, text)."""
     h = F.xxhash64(
-        F.lit(seed), F.col("pos"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text")
+        F.lit(seed), F.col("turn").isNull(), F.col("turn"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text")
     )
     low = h.bitwiseAND(F.lit(0xFFFFFFFF))
     return F.shiftrightunsigned(h, 32), low
 
 
 def turns(conversations: DataFrame) -> DataFrame:
-    """``g`` (conversation key), ``conv_id, pos`` (1-based), ``role, text`` and
-    the prefix hash ``ha..hd`` up to each turn."""
+    """``g`` (conversation key), ``conv_id, pos`` (1-based), ``n_turns, role,
+    text`` and the prefix hash ``ha..hd`` up to each turn."""
     rows = conversations.select("conv_id", "turn", "role", "text").distinct()
     rows = rows.withColumn("g", group_key(F.col("conv_id").cast("string")))
     order = F.struct(
@@ -56,34 +57,25 @@ def turns(conversations: DataFrame) -> DataFrame:
         F.col("text").isNull().alias("n"),
     )
     # blocks of turn numbers; a NULL turn is in the last one
-    rows = save(rows.select("g", "conv_id", "role", "text", order.alias("o"), F.coalesce(
-        F.floor(F.col("turn") / 1024).cast("long"), F.lit((1 << 62) - 1)).alias("b")), "chat-rows")
-    ranked = running_totals(rows, ["g"], "b", ["o"]).select(
-        "g", "conv_id", "role", "text", (F.col("rank") + 1).alias("pos")
-    )
-    a, b = _lanes(1)
-    c, d = _lanes(2)
-    hashed = ranked.select("*", a.alias("ha"), b.alias("hb"), c.alias("hc"), d.alias("hd"))
-    hashed = save(hashed.withColumn("b", F.floor(F.col("pos") / 1024).cast("long")), "chat-turns")
-    summed = running_totals(hashed, ["g"], "b", ["pos"], list(_LANES))
+    block = F.coalesce(F.floor(F.col("turn") / 1024).cast("long"), F.lit((1 << 62) - 1))
+    lanes = [h.alias(x) for x, h in zip(_LANES, (*_lanes(1), *_lanes(2)), strict=True)]
+    rows = rows.select("g", "conv_id", "role", "text", order.alias("o"), block.alias("b"), *lanes)
+    summed = running_totals(rows, ["g"], "b", ["o"], list(_LANES), total="n_turns")
     for x in _LANES:
         summed = summed.withColumn(x, F.col(x) + F.col(f"{x}_before")).drop(f"{x}_before")
-    return summed.drop("b", "rank")
+    return summed.withColumn("pos", F.col("rank") + 1).drop("b", "o", "rank")
 
 
 def maximal(prefixes: DataFrame) -> DataFrame:
-    """``g, n_turns, n_copies`` of the conversations that are no prefix of a
-    longer one, one per content."""
+    """``g, n_copies`` of the conversations that are no prefix of a longer
+    one, one per content."""
     keys = ["pos", *_LANES]
-    ends = prefixes.groupBy("g").agg(F.max(F.struct("pos", *_LANES)).alias("e"), F.min("conv_id").alias("conv_id"))
-    ends = save(ends.select("g", "conv_id", "e.*"), "chat-ends")
-    full = ends.groupBy(*keys).agg(
+    full = prefixes.where("pos = n_turns").groupBy(*keys).agg(
         F.min(F.struct(F.col("conv_id").isNull().alias("none"), "conv_id", "g")).alias("first"),
         F.count(F.lit(1)).alias("n_copies"),
     )
-    last = ends.select("g", F.col("pos").alias("last"))
-    inner = prefixes.select("g", *keys).join(last, "g").where("pos < last").select(*keys).distinct()
-    return full.join(inner, keys, "left_anti").select("first.g", F.col("pos").alias("n_turns"), "n_copies")
+    inner = prefixes.where("pos < n_turns").select(*keys).distinct()
+    return full.join(inner, keys, "left_anti").select("first.g", "n_copies")
 
 
 def _safe(c: Column) -> Column:
@@ -94,11 +86,11 @@ def format_chats(conversations: DataFrame, part_turns: int = PART_TURNS) -> Data
     """``conv_id, part, n_turns, n_copies, part_turns, text``: the rendered
     maximal conversations, in parts of at most ``part_turns`` turns."""
     all_turns = save(turns(conversations), "chat-prefixes")
-    kept = maximal(all_turns.select("g", "conv_id", "pos", *_LANES))
+    kept = maximal(all_turns.select("g", "conv_id", "pos", "n_turns", *_LANES))
     line = F.concat(F.lit(BEGIN), _safe(F.col("role")), F.lit("\n"), _safe(F.col("text")), F.lit(f"{END}\n"))
     part = F.floor((F.col("pos") - 1) / part_turns).cast("int")
     parts = (
-        all_turns.select("g", "conv_id", "pos", part.alias("part"), line.alias("line"))
+        all_turns.select("g", "conv_id", "pos", "n_turns", part.alias("part"), line.alias("line"))
         .join(kept, "g")
         .groupBy("g", "conv_id", "part", "n_turns", "n_copies")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("lines"))

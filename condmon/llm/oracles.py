@@ -68,7 +68,7 @@ r AS (
   FROM c),
 p AS (SELECT *, row_number() OVER (ORDER BY (r + 0.5::DOUBLE) / n, g, r) - 1 AS pos, count(*) OVER () AS total FROM r)
 SELECT doc_id, size, text_crc32, 'rows' AS law, (pos * {n} // total)::INTEGER AS shard,
-       (pos - ((pos * {n} // total) * total + {n - 1}) // {n})::BIGINT AS slot, NULL::INTEGER AS grown_shard
+       (pos - ((pos * {n} // total) * total + {n - 1}) // {n})::BIGINT AS slot, NULL::DOUBLE AS grown_shard
 FROM p"""
 
 
@@ -81,7 +81,7 @@ WITH t AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST, md5(coalesce(text, '')), text IS NULL) AS pos
   FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
 p AS (
-  SELECT conv_id, pos, md5(string_agg(md5(coalesce('r' || role, '-')) || md5(coalesce('t' || text, '-')), '')
+  SELECT conv_id, pos, md5(string_agg(md5(coalesce(turn::VARCHAR, '-')) || md5(coalesce('r' || role, '-')) || md5(coalesce('t' || text, '-')), '')
            OVER (PARTITION BY conv_id ORDER BY pos)) AS h,
          max(pos) OVER (PARTITION BY conv_id) AS n_turns
   FROM t),
