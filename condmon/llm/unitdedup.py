@@ -116,7 +116,9 @@ def repeated_units(docs: DataFrame, least: int = UNIT_WORDS) -> DataFrame:
     all_units = save(units(docs, least), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "idx")
     first = all_units.groupBy("h", "c").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.where("n > 1").select("h", "c", "first")
+    # a table of its own, so that the join below has a shuffle on either side
+    # and a digest with very many occurrences can be split over tasks
+    first = save(first.where("n > 1").select("h", "c", "first"), "unit-firsts")
     same = (
         F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
         & (F.col("th") == F.col("first.th"))
