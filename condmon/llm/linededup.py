@@ -49,7 +49,8 @@ def fingerprints(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     (its hash), ``lo`` (first line of the first window that selected it),
     ``n`` (number of those windows) and ``a, b`` (two hashes per line of the
     lines they span)."""
-    lines = docs.where(F.col("text").contains("\n")).select(
+    some = docs.where(F.col("text").contains("\n")) if window > 1 else docs
+    lines = some.select(
         F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("th"), _lines(F.col("text")).alias("l")
     )
     hashed = lines.where(F.size("l") >= window).select(
@@ -81,7 +82,9 @@ def fingerprints(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``none, doc_id, th, s``: first lines of the windows that occur earlier."""
     picked = save(fingerprints(docs, window), "line-fingerprints")
-    again = picked.groupBy("fp").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("fp")
+    # tables of their own: the joins below then have a shuffle on either side,
+    # and a line or window with very many occurrences can be split over tasks
+    again = save(picked.groupBy("fp").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("fp"), "line-repeats")
     near = picked.join(again, "fp", "left_semi")
     at = F.explode(F.expr("sequence(0, n - 1)"))
     wins = near.select("none", "doc_id", "th", "lo", "a", "b", at.alias("k")).select(
@@ -94,7 +97,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     first = wins.groupBy("da", "db").agg(
         F.min(F.struct("none", "doc_id", "th", "s")).alias("first"), F.count(F.lit(1)).alias("m")
     )
-    first = first.where("m > 1").select("da", "db", "first")
+    first = save(first.where("m > 1").select("da", "db", "first"), "line-firsts")
     same = F.struct("none", "doc_id", "th", "s").eqNullSafe(F.col("first"))
     return wins.join(first, ["da", "db"]).where(~same).select("none", "doc_id", "th", "s")
 
