@@ -1,23 +1,25 @@
 """Line dedup by winnowing over line hashes.
 
 The lines of a document that hold a word, trimmed, are hashed.  In every
-window of ``WINDOW`` consecutive lines the smallest hash (the last one on
-ties) is selected as a fingerprint, so any repeated run of at least ``WINDOW``
+window of ``window`` consecutive lines the smallest hash (the last one on
+ties) is selected as a fingerprint, so any repeated run of at least ``window``
 lines shares a fingerprint: the guarantee of winnowing.  Fingerprint positions
 are joined over all documents; around a position whose hash occurs again the
 match is extended both ways, to each of the windows that selected it.  A window
 whose whole content (a 128-bit digest) occurs earlier is a repeat, and the
 union of overlapping repeats is a later repeated run, which is deleted; the
-first occurrence, by ``(doc_id, text hash, line)``, stays.
+first occurrence, by ``(doc_id, text hash, line)``, stays.  The registered
+query has windows of one line (``WINDOW``), so every repeated line is deleted,
+alone or in a run and also where it is the whole document.
 
-Scale: DataFrame functions only.  About two of ``WINDOW + 1`` lines are
+Scale: DataFrame functions only.  About two of ``window + 1`` lines are
 selected; positions meet by their hash through a map-side count, never as
 pairs, and repeats join the first occurrence of their content, so a run that a
 third of all documents share costs one row per occurrence.  Text is shuffled
 once, to meet its own repeats.
 
 Defined cases: lines without a word are not counted and stay; NULL texts have
-no lines and stay NULL; documents with fewer than ``WINDOW`` lines are never
+no lines and stay NULL; documents with fewer than ``window`` lines are never
 changed; rows that repeat both ``doc_id`` and text are one document, each copy
 treated alike; a NULL ``doc_id`` comes last; an empty table gives no rows;
 other columns are ignored.
@@ -30,7 +32,10 @@ from pyspark.sql import functions as F
 
 from condmon.llm.common import save
 
-WINDOW = 3
+#: Lines of a window of the registered query and its SQL.
+WINDOW = 1
+#: Lines of a window where a caller names none.
+DEFAULT_WINDOW = 3
 _TRIM = "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$"
 
 
@@ -44,7 +49,7 @@ def _lines(text: Column) -> Column:
     return F.filter(split, lambda x: x["line"] != "")
 
 
-def fingerprints(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def fingerprints(docs: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
     """One row per selected position: ``none, doc_id, th`` (document), ``fp``
     (its hash), ``lo`` (first line of the first window that selected it),
     ``n`` (number of those windows) and ``a, b`` (two hashes per line of the
@@ -79,7 +84,7 @@ def fingerprints(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
     """``none, doc_id, th, s``: first lines of the windows that occur earlier."""
     picked = save(fingerprints(docs, window), "line-fingerprints")
     # tables of their own: the joins below then have a shuffle on either side,
@@ -102,7 +107,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return wins.join(first, ["da", "db"]).where(~same).select("none", "doc_id", "th", "s")
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_lines`` (with a word), ``n_removed``,
     ``removed_lines`` (comma-joined original line numbers from 0) and the
     remaining ``text``."""

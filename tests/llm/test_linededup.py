@@ -5,6 +5,7 @@ import random
 import pytest
 
 from condmon.llm import linededup
+from condmon.llm.queries import queries
 
 SPACE = " \t\n\r\x0b\x0c"
 
@@ -69,3 +70,11 @@ def test_empty_table(docs_of):
 def test_no_python_in_the_plan(docs_of):
     plan = linededup.dedup_lines(docs_of(["a\nb"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "MapInArrow" not in plan
+
+
+def test_query_removes_single_lines_and_one_line_copies(spark, docs_of, tmp_path):
+    line = " ".join(f"word{i}" for i in range(60))
+    texts = [f"a\n{line}\nb", f"c\n{line}\nd", "one line", "one line", f"e\n{line}\nb\nf"]
+    docs_of(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries()["op4_line_dedup"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == {0: texts[0], 1: "c\nd", 2: "one line", 3: "", 4: "e\nf"}
