@@ -62,7 +62,7 @@ def op9_shard_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unitdedup.dedup_units(read_table(spark, sf_dir, "documents"))
+    return unitdedup.dedup_units(read_table(spark, sf_dir, "documents"), whole=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

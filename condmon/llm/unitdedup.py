@@ -8,7 +8,13 @@ case, words only) and digested; digests are grouped over all documents, the
 occurrence of the smallest ``(doc_id, text hash, position)`` is kept, and
 every other one is a repeat.  Atoms covered by repeats form runs; runs of at
 least ``RUN_WORDS`` words are removed.  Shorter ones are everyday phrases and
-stay.  Removed spans are given as character offsets of the original text.
+stay.  With ``whole`` (the registered query) whole lines, paragraphs and texts
+are units too, whatever their length, and a repeated one is always removed.
+Removed spans are given as character offsets of the original text.
+
+In scripts without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every
+letter counts as a word, and texts are also cut after full-width sentence ends
+and at white space that follows such a letter.
 
 Scale: one row of a 96-bit digest and its position per unit is shuffled, never
 text; groups are reduced to their first occurrence by a map-side minimum and
@@ -18,8 +24,9 @@ anywhere.  Text is shuffled once, to meet its own repeats.
 Defined cases: NULL and empty texts have no units and stay as they are; rows
 that repeat both ``doc_id`` and text are one document, each copy treated
 alike; the same text under another id is a repeat of the smallest id (NULL
-last); texts of fewer than ``UNIT_WORDS`` words have no units; an empty table
-gives no rows; other columns are ignored.
+last); texts of fewer than ``UNIT_WORDS`` words have no units but whole ones;
+lines without a word are no units and go only with removed atoms on both sides;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,29 +41,69 @@ from condmon.llm.common import bound_batches, save
 UNIT_WORDS = 8
 RUN_WORDS = 25
 
+#: Letters of scripts without spaces between words.
+_DENSE = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_STOP = "。！？｡．।။។"
+_CLOSE = "”’」』）】》"
 _CUT = re.compile(
     r"\s*\n\s*|(?<=[.!?…])\s+|\s+(?=[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][^\W\dA-ZÀ-ÖØ-Þ])"
 )
 _WORDS = re.compile(r"\w+")
+#: The same for texts that hold such a letter or sentence end.
+_DENSE_TEXT = re.compile(rf"[{_DENSE}{_STOP}]")
+_DENSE_CUT = re.compile(
+    rf"{_CUT.pattern}|(?<=[{_DENSE}])\s+"
+    rf"|(?<=[{_STOP}])(?![{_STOP}{_CLOSE}])\s*|(?<=[{_STOP}][{_CLOSE}])\s*"
+)
+_DENSE_WORDS = re.compile(rf"[{_DENSE}]|[^\W{_DENSE}]+")
 
+#: Kinds of units; a unit's code is its first atom times KINDS plus its kind.
+KINDS = 4
+ROW, LINE, PARAGRAPH, TEXT = range(KINDS)
 
-def atoms(text: str) -> list[tuple[int, int, int, str]]:
-    """(start, end, words, normalised) of the atoms that hold a word."""
-    out, at = [], 0
-    for cut in _CUT.finditer(text):
+
+def atoms(text: str) -> list[tuple[int, int, int, str, int]]:
+    """(start, end, words, normalised, begins) of the atoms that hold a word;
+    ``begins`` is the largest kind of whole that begins there."""
+    dense = not text.isascii() and _DENSE_TEXT.search(text) is not None
+    out, at, begins = [], 0, TEXT
+    for cut in (_DENSE_CUT if dense else _CUT).finditer(text):
         if cut.start() > at:
-            out.append((at, cut.start()))
+            out.append((at, cut.start(), begins))
+            begins = ROW
         at = cut.end()
+        begins = max(begins, min(cut.group().count("\n"), PARAGRAPH))
     if at < len(text):
-        out.append((at, len(text)))
-    found = []
-    for s, e in out:
-        words = _WORDS.findall(text[s:e].lower())
+        out.append((at, len(text), begins))
+    found, begins = [], ROW
+    for s, e, b in out:
+        part = text[s:e].lower()
+        words = _WORDS.findall(part)
+        begins = max(begins, b)  # a line may begin with an atom without words
         if words:
-            found.append((s, e, len(words), " ".join(words)))
+            n = (len(_DENSE_WORDS.findall(part)) or 1) if dense else len(words)
+            found.append((s, e, n, " ".join(words), begins))
+            begins = ROW
     return found
 
 
+def wholes(a: list[tuple[int, int, int, str, int]]) -> dict[int, int]:
+    """End (exclusive) of the whole lines, paragraphs and the text by code;
+    one that is the same as a smaller whole is left out."""
+    out = {}
+    last = [len(a)] * KINDS  # beginning of the next whole of each kind
+    for i in range(len(a) - 1, -1, -1):
+        least = 0
+        for kind in range(LINE, a[i][4] + 1):
+            if last[kind] > least:
+                least = out[i * KINDS + kind] = last[kind]
+            last[kind] = i
+    return out
+
+
 def unit_ends(counts: list[int], least: int = UNIT_WORDS) -> list[int]:
     """End (exclusive) of the unit that begins at each atom, for the atoms
     whose unit is complete."""
@@ -72,9 +119,9 @@ def unit_ends(counts: list[int], least: int = UNIT_WORDS) -> list[int]:
     return ends
 
 
-def units(docs: DataFrame, least: int = UNIT_WORDS) -> DataFrame:
-    """``doc_id, th, idx, h, c`` for every unit; ``h, c`` is its digest and
-    ``th`` tells apart different texts under one id."""
+def units(docs: DataFrame, least: int = UNIT_WORDS, whole: bool = False) -> DataFrame:
+    """``doc_id, th, idx, h, c`` for every unit; ``idx`` is its code, ``h, c``
+    its digest and ``th`` tells apart different texts under one id."""
     bound_batches(docs.sparkSession)
     src = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").where("text IS NOT NULL")
     id_type = src.schema["doc_id"].dataType.simpleString()
@@ -99,10 +146,16 @@ def units(docs: DataFrame, least: int = UNIT_WORDS) -> DataFrame:
                 a = atoms(text.as_py())
                 norm = [x[3] for x in a]
                 ends = unit_ends([x[2] for x in a], least)
+                spans = wholes(a) if whole else {}
+                same = {(code // KINDS, j) for code, j in spans.items()}
                 for i, j in enumerate(ends):
+                    if (i, j) not in same:
+                        spans[i * KINDS + ROW] = j
+                for code, j in spans.items():
+                    i = code // KINDS
                     found.append(digest(norm[i] if j == i + 1 else " ".join(norm[i:j])))
-                rows += [r] * len(ends)
-                idx += range(len(ends))
+                rows += [r] * len(spans)
+                idx += spans
                 if len(found) > 200_000:
                     yield emit(batch.column(0), batch.column(1), rows, idx, found)
                     rows, idx, found = [], [], []
@@ -111,9 +164,9 @@ def units(docs: DataFrame, least: int = UNIT_WORDS) -> DataFrame:
     return src.mapInArrow(run, f"doc_id {id_type}, th bigint, idx int, h bigint, c int")
 
 
-def repeated_units(docs: DataFrame, least: int = UNIT_WORDS) -> DataFrame:
+def repeated_units(docs: DataFrame, least: int = UNIT_WORDS, whole: bool = False) -> DataFrame:
     """``doc_id, th, idx, first_id``: units that occur earlier."""
-    all_units = save(units(docs, least), "units")
+    all_units = save(units(docs, least, whole), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "idx")
     first = all_units.groupBy("h", "c").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
     # a table of its own, so that the join below has a shuffle on either side
@@ -130,19 +183,32 @@ def repeated_units(docs: DataFrame, least: int = UNIT_WORDS) -> DataFrame:
 
 
 def removed_spans(text: str, repeats, least: int = UNIT_WORDS, run_words: int = RUN_WORDS):
-    """(number of atoms, character spans to remove) of a text, given the atoms
-    at which repeated units begin."""
+    """(number of atoms, character spans to remove) of a text, given the codes
+    of its repeated units."""
     a = atoms(text)
     ends = unit_ends([x[2] for x in a], least)
-    cover = bytearray(len(a))
-    for i in repeats:
-        cover[i : ends[i]] = b"\x01" * (ends[i] - i)
+    whole = wholes(a) if repeats else {}
+    cover, always = bytearray(len(a)), bytearray(len(a))
+    for code in repeats:
+        i, kind = divmod(code, KINDS)
+        j = whole[code] if kind else ends[i]
+        cover[i:j] = b"\x01" * (j - i)
+        if kind:
+            always[i:j] = b"\x01" * (j - i)
     spans, i = [], 0
     while i < len(a):
         j = i
         while j < len(a) and cover[j]:
             j += 1
         if j > i and sum(x[2] for x in a[i:j]) >= run_words:
+            always[i:j] = b"\x01" * (j - i)
+        i = j + 1 if j == i else j
+    i = 0
+    while i < len(a):
+        j = i
+        while j < len(a) and always[j]:
+            j += 1
+        if j > i:
             spans.append((a[i][0], a[j - 1][1]))
         i = j + 1 if j == i else j
     return len(a), spans
@@ -160,13 +226,15 @@ def cut_text(text: str, spans) -> str:
     return "".join(parts)
 
 
-def dedup_units(docs: DataFrame, least: int = UNIT_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+def dedup_units(
+    docs: DataFrame, least: int = UNIT_WORDS, run_words: int = RUN_WORDS, whole: bool = False
+) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_atoms, n_removed_chars, spans`` (of the
     original text), ``first_ids`` (documents that keep an earlier occurrence
     of a repeated unit, when a span is removed) and the remaining ``text``."""
     none = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"))
     own = (
-        repeated_units(docs, least)
+        repeated_units(docs, least, whole)
         .groupBy(none.alias("key"), "th")
         .agg(F.collect_set("idx").alias("idx"), F.collect_set("first_id").alias("first_ids"))
     )

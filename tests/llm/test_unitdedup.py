@@ -93,3 +93,58 @@ def test_edge_cases(docs_of):
     assert by[None]["text"] == "" and list(by[None]["first_ids"]) == [3]
     assert by[6]["text"] == long and by[7]["text"] == ""
     assert U.dedup_units(docs_of([])).count() == 0
+
+
+def test_whole_lines_and_texts_are_removed_whatever_their_length(docs_of):
+    rng = random.Random(9)
+    own = [sentence(rng, 12) for _ in range(12)]
+    line = "All Rights reserved by the Owner of this page."
+    texts = [
+        f"{own[0]}\n{line}\n{own[1]}",
+        f"{own[2]}\n{line}\n{own[3]}",
+        f"{own[4]} {line} {own[5]}",  # inside a line: under RUN_WORDS, stays
+        "Two words",
+        "two words",
+        f"{own[6]}\n\nin two\nlines\n\n{own[7]}",
+        f"{own[8]}\n\nin\ntwo lines\n\n{own[9]}",  # a paragraph wrapped anew
+        "---",
+        "---",
+    ]
+    got = {r["doc_id"]: r["text"] for r in U.dedup_units(docs_of(texts), whole=True).collect()}
+    gone = {1: f"{own[2]}\n{own[3]}", 4: "", 6: f"{own[8]}\n\n{own[9]}"}
+    assert got == {**dict(enumerate(texts)), **gone}
+
+
+def test_scripts_without_spaces(docs_of):
+    rng = random.Random(10)
+    han = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(30)) + "。" for _ in range(8)]
+    short = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(5))
+    texts = [
+        han[0] + han[1] + han[2],
+        han[3] + han[1] + han[4],  # inside a line, in letters enough for a run
+        f"{han[5]}\n{short}\n{han[6]}",
+        f"{short}\n{han[7]}",
+    ]
+    got = {r["doc_id"]: r["text"] for r in U.dedup_units(docs_of(texts), whole=True).collect()}
+    assert got == {**dict(enumerate(texts)), 1: han[3] + han[4], 3: han[7]}
+
+
+def test_query_removes_every_repeated_line_of_the_smallest_tables(spark, docs_rows):
+    rows = sorted(docs_rows, key=lambda r: r["doc_id"])
+    base = brute([(r["doc_id"], r["text"]) for r in rows])
+    assert collect(U.dedup_units(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))) == base
+    got = collect(queries()["op10_unit_dedup"](spark, SF_SMALL))
+    seen, more = set(), 0
+    for r in rows:
+        text, spans, at = r["text"] or "", got[r["doc_id"]][1], 0
+        assert all(any(s <= x and y <= e for s, e in spans) for x, y in base[r["doc_id"]][1])
+        for line in text.split("\n"):
+            lo = at + len(line) - len(line.lstrip())
+            hi, at = at + len(line.rstrip()), at + len(line) + 1
+            key = " ".join(x[3] for x in U.atoms(line))
+            if key and key in seen:
+                words = [(a[0] + lo, a[1] + lo) for a in U.atoms(line.strip())]
+                assert all(any(s <= x and y <= e for s, e in spans) for x, y in words)
+                more += not any(s <= lo and hi <= e for s, e in base[r["doc_id"]][1])
+            seen.add(key)
+    assert more > 50
