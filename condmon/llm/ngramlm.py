@@ -28,7 +28,10 @@ Scale: counts are taken over all training documents.  A map task counts its
 own words and bigrams in bounded buffers and sends sorted, compressed runs
 for each shard; shards are hash ranges whose number grows with the text, so
 each is merged and written by one task within bounded memory (a context has at
-most one child per vocabulary word, however many rows it holds).  Files are
+most one child per vocabulary word, however many rows it holds).  A hot context
+has a run for every buffer of the input, so the runs of a bigram shard are first
+merged in groups of about ``FAN``, in rounds, until the last task gets at most
+``FAN`` of them.  Files are
 written under a private name and renamed, so a task that runs again replaces
 them.  The shared folder must be a file path on all machines, as a mapped
 file has to be; pass ``folder`` if ``spark.checkpoint.dir`` is not.
@@ -49,7 +52,7 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from condmon.llm.common import bound_batches, held_out, map_texts, pieces
+from condmon.llm.common import bound_batches, held_out, map_texts, pieces, save
 from condmon.session import work_dir
 
 FOLDS, HELD_OUT = 5, 1
@@ -60,6 +63,8 @@ STEP = 0.0005
 SHARD_BYTES = 32 << 20
 #: Distinct words, bigrams and words of a group that a task holds at once.
 WORD_BUFFER, PAIR_BUFFER, GROUP_WORDS = 300_000, 2_000_000, 1_000_000
+#: Runs of a bigram shard that its last merge gets at most.
+FAN = 64
 END = b"\n"  # no word contains white space
 _ID_BITS = 32
 
@@ -458,6 +463,31 @@ def _count_pairs(train: DataFrame, trie: Trie) -> DataFrame:
     return train.mapInArrow(run, _BLOB)
 
 
+def _few_runs(blobs: DataFrame, fan: int = FAN) -> DataFrame:
+    """The same counts in at most ``fan`` (2 or more) runs per shard.  A task
+    merges about ``fan`` runs of a shard; only the largest number of runs of a
+    shard comes to the driver, once per round."""
+
+    def merge(table):
+        import numpy as np
+        import pyarrow as pa
+
+        keys, counts = _merge(table)
+        shards = np.full(len(keys), table.column("shard")[0].as_py())
+        return pa.Table.from_batches([_blobs(shards, keys, counts)])
+
+    blobs = save(blobs, "ngram-runs")
+    while True:
+        most = blobs.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
+        if most <= fan:
+            return blobs
+        # ids of a written table, hashed as they may go in step with the shards
+        salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-most // fan)))
+        blobs = save(
+            blobs.withColumn("salt", salt).groupBy("shard", "salt").applyInArrow(merge, _BLOB), "ngram-runs"
+        )
+
+
 def _write_pairs(blobs: DataFrame, trie: Trie) -> DataFrame:
     shared = blobs.sparkSession.sparkContext.broadcast(trie)
 
@@ -519,7 +549,7 @@ def train(docs: DataFrame, folder: str | None = None, shard_bytes: int = SHARD_B
     trie = Trie(folder, bits, np.cumsum(n), sum(r["tokens"] for r in meta), int(shards))
     if trie.vocabulary >= 1 << _ID_BITS:
         raise ValueError("the vocabulary outgrows 32-bit word ids")
-    _write_pairs(_count_pairs(texts, trie), trie).agg(F.sum("n")).first()
+    _write_pairs(_few_runs(_count_pairs(texts, trie)), trie).agg(F.sum("n")).first()
     return trie
 
 

@@ -121,3 +121,27 @@ def test_elias_fano_round_trip(universe, n):
     repeated = np.sort(np.concatenate([v, v]))
     view = eliasfano.View(eliasfano.encode(repeated, universe))
     assert (view.access(np.arange(len(repeated))) == repeated).all()
+
+
+def test_last_merge_gets_few_runs(spark):
+    import pyarrow as pa
+
+    rng, want, rows = np.random.default_rng(3), Counter(), []
+    for _ in range(150):  # a hot shard 0 with a run per buffer, and a small one
+        keys = np.unique(rng.integers(0, 500, 40))
+        shards = np.where(keys < 490, 0, 1)
+        counts = rng.integers(1, 9, len(keys))
+        want.update(dict(zip(keys.tolist(), counts.tolist(), strict=True)))
+        rows += ngramlm._blobs(shards, keys, counts).to_pylist()
+    blobs = spark.createDataFrame([(r["shard"], r["keys"], r["counts"]) for r in rows], ngramlm._BLOB)
+    out = ngramlm._few_runs(blobs, 4).collect()
+    runs = Counter(r["shard"] for r in out)
+    assert set(runs) == {0, 1} and max(runs.values()) <= 4
+    got = Counter()
+    for shard in runs:
+        some = [r for r in out if r["shard"] == shard]
+        table = pa.table({c: [bytes(r[c]) for r in some] for c in ("keys", "counts")})
+        keys, counts = ngramlm._merge(table)
+        assert all((k < 490) == (shard == 0) for k in keys.tolist())
+        got.update(dict(zip(keys.tolist(), counts.tolist(), strict=True)))
+    assert got == want
