@@ -184,8 +184,9 @@ def mix_totals(docs: DataFrame, seed: str = SEED, block_tokens: int = BLOCK_TOKE
 def mix_documents(docs: DataFrame, seed: str = SEED, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The mixed documents, with the columns of ``docs``: one row for each
     pass over a document.  The one document per source where the mix stops
-    inside a text keeps its taken words, space-joined (and its ``n_chars``
-    is counted anew when there is such a column)."""
+    inside a text keeps its beginning up to the last taken word, lines and
+    spaces as they are (and its ``n_chars`` is counted anew when there is such
+    a column)."""
     rows = sized(docs, seed, row_keys(docs))
     targets = save(source_targets(rows), "mix-targets")
     passes = mix(rows, targets, block_tokens).groupBy("_rid", "pass").agg(F.sum("words").alias("_words"))
@@ -193,8 +194,10 @@ def mix_documents(docs: DataFrame, seed: str = SEED, block_tokens: int = BLOCK_T
     # repeated rows share their keys: each pass takes one of them
     out = first_of(keyed_rows(docs).join(passes, ["_id", "_th"]), ["_id", "_th", "_rid", "pass"])
     whole = F.col("_words") == F.col("size")
-    head = F.slice(F.regexp_extract_all(F.col("row.text"), F.lit(WORD), F.lit(0)), 1, F.col("_words").cast("int"))
-    text = F.when(whole, F.col("row.text")).otherwise(F.array_join(head, " "))
+    # words, each with the white space before it
+    parts = F.split(F.col("row.text"), f"(?<={WORD[:-1]})(?=[\\x20\\x09-\\x0D])")
+    head = F.array_join(F.slice(parts, 1, F.col("_words").cast("int")), "")
+    text = F.when(whole, F.col("row.text")).otherwise(head)
     cols = []
     for c in docs.columns:
         v = F.col(f"row.`{c}`")

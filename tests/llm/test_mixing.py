@@ -123,3 +123,10 @@ def test_mixed_documents(docs_of):
     assert {r["n_chars"] for r in rows if r["doc_id"] == 1} == {len(text)}
     again = mixing.mix_documents(docs, block_tokens=64).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
+
+
+def test_cut_document_keeps_its_lines(docs_of):
+    long = "\n" + "".join(f"w{i}" + [" ", "\n", "\r\n", "\t ", "\n\n"][i % 5] for i in range(3_000))
+    docs = docs_of(["a  b", long, None, "c"], sources=["a", "b", "b", "a"])
+    (text,) = [r["text"] for r in mixing.mix_documents(docs, block_tokens=64).collect() if r["doc_id"] == 1]
+    assert long.startswith(text) and size(text) == 3_003 - 9 and text.endswith("w2993")
