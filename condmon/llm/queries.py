@@ -19,6 +19,7 @@ from condmon.llm import (
     sharding,
     simhash,
     unitdedup,
+    whitening,
 )
 from condmon.llm.common import read_table
 
@@ -65,6 +66,10 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unitdedup.dedup_units(read_table(spark, sf_dir, "documents"), whole=True)
 
 
+def op13_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -77,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_shard_interleaved": op9_shard_interleaved,
         "op10_unit_dedup": op10_unit_dedup,
+        "op13_whiten_embeddings": op13_whiten_embeddings,
         "pipeline": corpus_pipeline.run,
     }
 
