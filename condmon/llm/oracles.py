@@ -123,3 +123,80 @@ SELECT d.doc_id, (SELECT count(*) FROM n WHERE n.doc_id = d.doc_id) AS n_lines,
        coalesce(removed_lines, '') AS removed_lines,
        CASE WHEN n_removed > 0 THEN coalesce(k.text, '') ELSE d.text END AS text
 FROM documents d LEFT JOIN a USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+
+def repair_sql() -> str:
+    """The cheapest edits row by row, scripts and repaired lines as text."""
+    spaces = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    far = 1 << 40  # cost of a state that cannot be reached
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+    def cell(frm: str, cost: str, letter: str, line: str | None = None) -> str:
+        lines = f"list_append({frm}.r, {line})" if line else f"{frm}.r"
+        return f"{{'c': {frm}.c + {cost}, 'a': {frm}.a || '{letter}', 'r': {lines}}}"
+
+    def off(cond: str, made: str) -> str:
+        return f"CASE WHEN {cond} THEN {made} ELSE {{'c': {far}::BIGINT, 'a': '', 'r': []::VARCHAR[]}} END"
+
+    own = "f.role || ':' || f.text"
+    stay = "NOT f.forced AND f.initial = "
+    keep = lambda s, i: off(f"{stay}'{i}'", cell(s, "f.extra", "K", own))
+    turn = lambda s, r: off("NOT f.forced", cell(s, "f.extra + 3", "R", f"'{r}:' || f.text"))
+    gone = lambda s: cell(s, "4", "D")
+    new = lambda s, r: cell(s, "3", "I", f"'{r}:'")
+    least = lambda *x: f"list_min([{', '.join(x)}])"
+    unreached = f"{{'c': {far}::BIGINT, 'a': '', 'r': []::VARCHAR[]}}"
+    return f"""
+WITH RECURSIVE bits(b, i, c) AS (
+  SELECT range, 0, range::BIGINT FROM range(256)
+  UNION ALL SELECT b, i + 1, {step} FROM bits WHERE i < 8),
+crc AS (SELECT list(c ORDER BY b) AS tab FROM bits WHERE i = 8),
+h AS (
+  SELECT *, hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS x FROM conversations),
+k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(strlen(x) // 2), lambda i: ('0x' || substr(x, (2 * i + 1)::BIGINT, 2))::BIGINT)),
+           lambda a, b: xor(a >> 8, crc.tab[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS fault
+  FROM h, crc),
+d AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END))
+  FROM k WHERE fault <> 0),
+o AS (
+  SELECT conv_id, turn, role, text, rtrim(text, {spaces}) AS t, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM d),
+s AS (
+  SELECT *, CASE WHEN t = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                 WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair
+  FROM o),
+f AS (
+  SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS forced, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM s),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS s0, {unreached} AS s1,
+         {{'c': 3::BIGINT, 'a': 'I', 'r': ['user:']}} AS s2, {{'c': 6::BIGINT, 'a': 'II', 'r': ['user:', 'assistant:']}} AS s3
+  FROM ids
+  UNION ALL
+  SELECT conv_id, pos, n0, n1, i2, {least('n3', new('i2', 'assistant'))}
+  FROM (
+    SELECT *, {least('n2', new('n0', 'user'), new('n1', 'user'), new('n3', 'user'))} AS i2
+    FROM (
+      SELECT f.conv_id, f.pos, {gone('s0')} AS n0, {least(gone('s1'), keep('s0', 's'))} AS n1,
+             {least(gone('s2'), *[keep(s, 'u') for s in ('s0', 's1', 's3')], *[turn(s, 'user') for s in ('s0', 's1', 's3')])} AS n2,
+             {least(gone('s3'), keep('s2', 'a'), turn('s2', 'assistant'))} AS n3
+      FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.pos = dp.pos + 1))),
+z AS (
+  SELECT conv_id, arg_max({least('s0', 's3')}, pos) AS best FROM dp GROUP BY conv_id),
+q AS (
+  SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id)
+SELECT z.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+       sha256(array_to_string(best.r, chr(10))) AS repaired_sha256
+FROM z LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM z.conv_id"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from condmon.llm import (
     chat,
+    convrepair,
     decontam,
     linededup,
     mixing,
@@ -66,6 +67,11 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unitdedup.dedup_units(read_table(spark, sf_dir, "documents"), whole=True)
 
 
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return convrepair.repair_report(rows, convrepair.damage(rows))
+
+
 def op13_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_shard_interleaved": op9_shard_interleaved,
         "op10_unit_dedup": op10_unit_dedup,
+        "op12_repair_conversations": op12_repair_conversations,
         "op13_whiten_embeddings": op13_whiten_embeddings,
         "pipeline": corpus_pipeline.run,
     }
@@ -93,4 +100,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": oracles.line_dedup_sql(),
         "op5_mix_sources": oracles.mix_sql(),
         "op9_shard_interleaved": oracles.shard_sql(),
+        "op12_repair_conversations": oracles.repair_sql(),
     }
