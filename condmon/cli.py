@@ -38,6 +38,8 @@ def main(argv=None) -> int:
         t.add_argument("--root", required=True)
         t.add_argument("--model", required=True)
         t.add_argument("--trees", type=int)
+        if name == "train-toolwear":
+            t.add_argument("--grouped", action="store_true", help="keep an experiment on one side of the split")
     srv = sub.add_parser("serve")
     srv.add_argument("--bearing-model", required=True)
     srv.add_argument("--toolwear-model", required=True)
@@ -61,8 +63,10 @@ def main(argv=None) -> int:
         from condmon.plans import training
 
         params = {"maxIter": a.trees} if a.trees else None
-        fn = training.train_rul_model if a.cmd == "train-bearing" else training.train_wear_model
-        trained = fn(spark, a.root, a.model, params)
+        if a.cmd == "train-bearing":
+            trained = training.train_rul_model(spark, a.root, a.model, params)
+        else:
+            trained = training.train_wear_model(spark, a.root, a.model, params, a.grouped)
         trained.metrics.show(truncate=False)
         return 0
     if a.cmd == "serve":

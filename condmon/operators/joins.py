@@ -9,7 +9,8 @@
   candidate, so the exact rule matches nothing).
 * ``ordinal_join`` — the i-th experiment by name gets the i-th metadata row
   by ``No``, up to the shorter side; metadata columns overwrite sample
-  columns of the same name.
+  columns of the same name.  Sides of different length give a warning, and
+  ``unpaired`` names what is past the shorter one.
 
 No side is hinted: AQE broadcasts the metadata when it measures small (in
 bytes) at run time, and splits a hot experiment when it does not.
@@ -17,6 +18,7 @@ bytes) at run time, and splits a hot experiment when it does not.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -91,11 +93,16 @@ def ordinal_join(
     Both ordinal sides are distinct experiments and metadata rows, numbered
     with ``ordinal_within`` (no single-task window); the pairing is then a
     join on the ordinal, and the samples join the pairing on the
-    experiment.
+    experiment.  Sides of different length give a warning, as the longer
+    one's last rows are not used.
     """
-    exps = samples.select(experiment_col).distinct()
-    exps = ordinal_within(exps, [], [experiment_col], name="_ord")
-    meta_ord = ordinal_within(meta, [], [order_col], name="_ord")
+    exps, meta_ord = _ordinal_sides(samples, meta, experiment_col, order_col)
+    n_exps, n_meta = exps.count(), meta_ord.count()
+    if n_exps != n_meta:
+        warnings.warn(
+            f"{n_exps} experiments and {n_meta} metadata rows: only the first {min(n_exps, n_meta)} are paired",
+            stacklevel=2,
+        )
     pairing = exps.join(meta_ord, "_ord").drop("_ord")
     overlap = [c for c in meta.columns if c in samples.columns and c != experiment_col]
     base = samples.drop(*overlap)
@@ -103,6 +110,29 @@ def ordinal_join(
     return base.join(pairing, experiment_col)
 
 
+def _ordinal_sides(
+    samples: DataFrame, meta: DataFrame, experiment_col: str, order_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """Experiments and metadata rows, each numbered in ``_ord`` from 1."""
+    exps = ordinal_within(samples.select(experiment_col).distinct(), [], [experiment_col], name="_ord")
+    return exps, ordinal_within(meta, [], [order_col], name="_ord")
+
+
+def unpaired(
+    samples: DataFrame, meta: DataFrame, experiment_col: str = "experiment", order_col: str = "No"
+) -> DataFrame:
+    """What ``ordinal_join`` leaves out: ``ordinal``, ``side``
+    (``'experiment'`` or ``'metadata'``), the experiment's name or the metadata
+    row's ``order_col``.  A full outer pairing of the two numbered sides."""
+    exps, meta_ord = _ordinal_sides(samples, meta, experiment_col, order_col)
+    left = exps.select(F.col("_ord").alias("ordinal"), F.col(experiment_col), F.lit(True).alias("_e"))
+    right = meta_ord.select(F.col("_ord").alias("ordinal"), F.col(order_col), F.lit(True).alias("_m"))
+    both = left.join(right, "ordinal", "full_outer")
+    return both.where("_e IS NULL OR _m IS NULL").select(
+        "ordinal", F.when(F.col("_m").isNull(), "experiment").otherwise("metadata").alias("side"), experiment_col, order_col
+    )
+
+
 def flatten_metadata(df: DataFrame, meta_cols: Sequence[str], struct_col: str = "metadata") -> DataFrame:
     """``metadata`` struct to columns (metadata wins on a name clash)."""
     base = [c for c in df.columns if c != struct_col and c not in meta_cols]

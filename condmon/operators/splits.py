@@ -10,6 +10,11 @@ No global sort: the hash range is cut into about ``sqrt(N)`` buckets; bucket
 counts per stratum give a running total that finds the one boundary bucket
 per stratum; only that bucket's rows (about ``sqrt(N)``) are ranked, to find
 the last test row, and every row is then compared with it map-side.
+
+With ``group_col`` whole groups (experiments) go to one side, so no group is
+learned from and tested on.  The rows are reduced to one row per group, and the
+running totals of the group sizes are taken inside hash buckets, offset by one
+row per bucket.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ def hash_split(
     seed: int = 42,
     strata: Sequence[str] = (),
     split_col: str = "split",
+    group_col: str | None = None,
 ) -> DataFrame:
     """Add ``split`` = ``'test'`` / ``'train'``; ``strata`` makes the split
     stratified (each stratum, NULL included, gets ``ceil(fraction *
@@ -47,7 +53,13 @@ def hash_split(
     with its stratum's cutoff (a table of one row per stratum).  When the
     boundary cuts through rows with equal keys, a written copy of the rows
     tells them apart.
+
+    With ``group_col`` the rows of a group stay together and ``key_cols`` are
+    not looked at: see ``group_split``.
     """
+    if group_col is not None:
+        sides = group_split(df, group_col, test_fraction, seed, strata, split_col)
+        return join_null_safe(df, sides, [group_col])
     # without strata every row is in one stratum
     strata = list(strata)
     bits = min(32, max(1, (df.count().bit_length() + 1) // 2))
@@ -92,6 +104,51 @@ def hash_split(
     return out.drop("_h", "_b", "_eb", "_cut", "_same", "_need", "_row", "_nth")
 
 
+def group_split(
+    df: DataFrame,
+    group_col: str,
+    test_fraction: float = 0.2,
+    seed: int = 42,
+    strata: Sequence[str] = (),
+    split_col: str = "split",
+) -> DataFrame:
+    """``group_col, split``: the side of each group (NULL is a group), one row
+    per group.
+
+    Groups are taken in the order of their hash; a group is a test group while
+    the middle of its rows, in the running total of its stratum, lies within
+    ``ceil(fraction * N_stratum)`` — the whole groups whose total is nearest to
+    that share.  Groups larger than the share come after all others, so a
+    group with a third of all rows is tested on only where smaller ones do not
+    fill the share.  A group whose rows lie in several strata counts in the
+    least of them (NULLs first).
+    """
+    names = [f"_s{i}" for i in range(len(strata))]
+    aggs = [F.count(F.lit(1)).alias("_size")]
+    if names:
+        aggs.append(F.min(F.struct(*[F.col(c).alias(n) for n, c in zip(names, strata, strict=True)])).alias("_least"))
+    groups = df.groupBy(group_col).agg(*aggs)
+    groups = materialize(groups.select(group_col, "_size", *[f"_least.{n}" for n in names]))
+    target = F.ceil(F.lit(test_fraction) * F.sum("_size")).alias("_k")
+    if names:
+        groups = join_null_safe(groups, groups.groupBy(*names).agg(target), names)
+    else:
+        groups = groups.withColumn("_k", F.lit(groups.agg(target).first()["_k"]))
+    bits = min(31, max(1, (groups.count().bit_length() + 1) // 2))
+    late = (F.col("_size") > F.col("_k")).cast("bigint")
+    groups = groups.withColumn("_h", key_hash([group_col], seed)).withColumn(
+        "_b", F.shiftleft(late, bits) + F.shiftright("_h", 32 - bits)
+    )
+    whole = Window.partitionBy(*(names or [F.lit(0)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = groups.groupBy(*names, "_b").agg(F.sum("_size").alias("_n"))
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(whole), F.lit(0))).drop("_n")
+    inside = Window.partitionBy(*names, "_b").orderBy("_h", group_col).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("_in", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    ranked = join_null_safe(groups, blocks, [*names, "_b"])
+    middle = 2 * (F.col("_off") + F.col("_in")) + F.col("_size")
+    return ranked.select(group_col, F.when(middle <= 2 * F.col("_k"), "test").otherwise("train").alias(split_col))
+
+
 def _with_cutoff(rows: DataFrame, cutoff: DataFrame, strata: list, key_cols: Sequence[str]) -> DataFrame:
     """Every row with its stratum's cutoff; without strata the one cutoff row
     becomes literals rather than a join without a key."""

@@ -563,6 +563,27 @@ SELECT s.experiment, {r6('s.M1_sequence_number')} AS M1_sequence_number, {cols}
 FROM mach s JOIN e ON s.experiment = e.experiment JOIN m ON e.o = m.o"""
 
 
+def q_metadata_unpaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Experiments and metadata rows past the shorter side of the ordinal
+    pairing: the nation list is shorter than the experiments, and longer than
+    the machining stages taken as experiments."""
+    samples, meta = T.machine_rows(spark, sf_dir), T.ordinal_metadata(spark, sf_dir)
+    long = J.unpaired(samples, meta).withColumn("pairing", F.lit("experiments"))
+    short = J.unpaired(samples.select(F.col("Machining_Process").alias("experiment")), meta)
+    return long.unionByName(short.withColumn("pairing", F.lit("stages"))).withColumn("No", F.col("No").cast("double"))
+
+
+def sql_metadata_unpaired() -> str:
+    return f"""WITH {SQL_MACHINE},{SQL_ORDINAL_META},
+x AS (SELECT DISTINCT 'experiments' AS pairing, experiment FROM mach UNION SELECT 'stages', Machining_Process FROM mach),
+e AS (SELECT *, row_number() OVER (PARTITION BY pairing ORDER BY experiment) AS o FROM x),
+m AS (SELECT p.pairing, No, row_number() OVER (PARTITION BY p.pairing ORDER BY No) AS o
+      FROM ometa CROSS JOIN (SELECT DISTINCT pairing FROM x) p)
+SELECT coalesce(e.pairing, m.pairing) AS pairing, coalesce(e.o, m.o) AS ordinal,
+       CASE WHEN m.o IS NULL THEN 'experiment' ELSE 'metadata' END AS side, experiment, CAST(No AS DOUBLE) AS No
+FROM e FULL JOIN m ON e.o = m.o AND e.pairing = m.pairing WHERE e.o IS NULL OR m.o IS NULL"""
+
+
 def q_dropna_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = J.flatten_metadata(_machine_with_metadata(spark, sf_dir), _META_OUT)
     return compare_form(CL.drop_incomplete(joined))
@@ -642,6 +663,28 @@ r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY h, doc_id) AS r
 SELECT doc_id, quality, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM r"""
 
 
+def q_split_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stratified split that keeps the samples of an experiment together;
+    experiments without metadata are a stratum of their own."""
+    rows = J.flatten_metadata(_machine_with_metadata(spark, sf_dir), ["tool_condition"])
+    rows = rows.select("experiment", "M1_sequence_number", "tool_condition")
+    out = SP.hash_split(rows, ["M1_sequence_number"], 0.2, 42, strata=["tool_condition"], group_col="experiment")
+    return compare_form(out)
+
+
+def sql_split_grouped() -> str:
+    return f"""WITH {SQL_MACHINE},{SQL_LOOKUP_META},
+d AS (SELECT s.experiment, s.M1_sequence_number, m.tool_condition FROM mach s
+      LEFT JOIN lmeta m ON s.experiment = 'experiment_' || lpad(CAST(m.No AS VARCHAR), 6, '0')),
+g AS (SELECT experiment, tool_condition, count(*) AS size,
+             ('0x' || substr(md5(experiment || '|42'), 1, 8))::BIGINT AS h FROM d GROUP BY ALL),
+k AS (SELECT *, ceil(0.2 * sum(size) OVER (PARTITION BY tool_condition)) AS k FROM g),
+r AS (SELECT *, sum(size) OVER (PARTITION BY tool_condition ORDER BY size > k, h, experiment ROWS UNBOUNDED PRECEDING) AS upto FROM k)
+SELECT d.experiment, {r6('d.M1_sequence_number')} AS M1_sequence_number, d.tool_condition,
+       CASE WHEN 2 * (upto - size) + size <= 2 * k THEN 'test' ELSE 'train' END AS split
+FROM d JOIN r ON d.experiment = r.experiment"""
+
+
 def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSE of a fixed rule (``b2 / 2``) against ``b1`` per test set."""
     rows = T.signal_rows(spark, sf_dir).withColumn("pred", F.col("b2") / 2)

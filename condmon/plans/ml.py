@@ -141,17 +141,19 @@ def train_wear(
     candidates: Sequence[str] = TOOLWEAR_CANDIDATE_FEATURES,
     params: dict | None = None,
     keep: Sequence[str] = (),
+    group_col: str | None = None,
 ) -> Trained:
     """Drop incomplete rows (B15), pick present candidates (B13), stratified
-    80/20 split (K2), fit, accuracy and per-class report (D20, D21)."""
+    80/20 split (K2), fit, accuracy and per-class report (D20, D21).  With
+    ``group_col`` no group (experiment) is both learned from and tested on."""
     if label_col not in data.columns:
         raise ValueError(f"expected a '{label_col}' column")
     clean = CL.drop_incomplete(data)
     feature_cols = CL.existing_columns(clean, candidates)
     # written once, without the columns that only the drop needed
-    names = dict.fromkeys([*key_cols, *keep, label_col, *feature_cols])
+    names = dict.fromkeys([*key_cols, *keep, *([group_col] if group_col else []), label_col, *feature_cols])
     clean = materialize(clean.select(*names))
-    split = materialize(hash_split(clean, key_cols, TEST_FRACTION, SPLIT_SEED, strata=[label_col]))
+    split = materialize(hash_split(clean, key_cols, TEST_FRACTION, SPLIT_SEED, strata=[label_col], group_col=group_col))
     test = split.where(F.col("split") == "test").drop("split")
     model = wear_pipeline(feature_cols, label_col, params).fit(training_rows(split))
     pred = decode_prediction(model, model.transform(test))

@@ -27,12 +27,14 @@ def queries() -> dict[str, QueryFn]:
         "json_malformed_quarantine": C.q_json_malformed_quarantine,
         "metadata_lookup_join": C.q_metadata_lookup_join,
         "metadata_ordinal_join": C.q_metadata_ordinal_join,
+        "metadata_unpaired": C.q_metadata_unpaired,
         "dropna_any": C.q_dropna_any,
         "experiment_row_counts": C.q_experiment_row_counts,
         "files_streamed": C.q_files_streamed,
         "first_files_sample": C.q_first_files_sample,
         "split_random": C.q_split_random,
         "split_stratified": C.q_split_stratified,
+        "split_grouped": C.q_split_grouped,
         "regression_metrics": C.q_regression_metrics,
         "classification_report": C.q_classification_report,
         "label_encode_decode": C.q_label_encode_decode,
@@ -66,12 +68,14 @@ def oracle_sql() -> dict[str, str]:
         "json_malformed_quarantine": C.sql_json_malformed_quarantine(),
         "metadata_lookup_join": C.sql_metadata_lookup_join(),
         "metadata_ordinal_join": C.sql_metadata_ordinal_join(),
+        "metadata_unpaired": C.sql_metadata_unpaired(),
         "dropna_any": C.sql_dropna_any(),
         "experiment_row_counts": C.sql_experiment_row_counts(),
         "files_streamed": C.sql_files_streamed(),
         "first_files_sample": C.sql_first_files_sample(),
         "split_random": C.sql_split_random(),
         "split_stratified": C.sql_split_stratified(),
+        "split_grouped": C.sql_split_grouped(),
         "regression_metrics": C.sql_regression_metrics(),
         "classification_report": C.sql_classification_report(),
         "label_encode_decode": C.sql_label_encode_decode(),

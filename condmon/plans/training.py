@@ -65,11 +65,12 @@ def toolwear_training_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def train_wear_model(
-    spark: SparkSession, root: str, model_path: str | None = None, params: dict | None = None
+    spark: SparkSession, root: str, model_path: str | None = None, params: dict | None = None, grouped: bool = False
 ) -> ml.Trained:
+    """``grouped`` keeps the rows of an experiment on one side of the split."""
     data = toolwear_training_table(spark, root)
     # a sample's id is its place in its file; equal rows stay separate
-    trained = ml.train_wear(data, key_cols=["experiment", "seq"], params=params)
+    trained = ml.train_wear(data, key_cols=["experiment", "seq"], params=params, group_col="experiment" if grouped else None)
     if model_path:
         ml.save(trained.model, model_path)
     return trained

@@ -72,3 +72,20 @@ def test_required_input_checks(spark):
         CL.existing_columns(df, ["X1_ActualPosition"])
     with pytest.raises(ValueError):
         ml.train_wear(df.drop("tool_condition"), ["a"])
+
+
+def test_unpaired_sides_are_named_and_warned_of(spark):
+    import pytest
+
+    from condmon.operators.joins import ordinal_join, unpaired
+
+    samples = spark.createDataFrame([(f"e{i}", float(i)) for i in range(4) for _ in range(3)], "experiment string, x double")
+    meta = spark.createDataFrame([(i, f"m{i}") for i in (10, 20, 30, 40, 50, 60)], "No int, material string")
+    left = {(r["ordinal"], r["side"], r["experiment"], r["No"]) for r in unpaired(samples, meta).collect()}
+    assert left == {(5, "metadata", None, 50), (6, "metadata", None, 60)}
+    with pytest.warns(UserWarning, match="4 experiments and 6 metadata rows"):
+        assert ordinal_join(samples, meta).count() == 12
+    short = meta.where("No < 30")
+    left = {(r["ordinal"], r["side"], r["experiment"], r["No"]) for r in unpaired(samples, short).collect()}
+    assert left == {(3, "experiment", "e2", None), (4, "experiment", "e3", None)}
+    assert unpaired(samples, meta.where("No < 50")).count() == 0

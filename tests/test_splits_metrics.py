@@ -63,3 +63,57 @@ def test_split_of_an_empty_table(spark):
     from condmon.operators.splits import hash_split
 
     assert hash_split(spark.createDataFrame([], "k int"), ["k"]).count() == 0
+
+
+def _grouped(sizes, fraction, seed=42):
+    """sizes: {(stratum, group): rows} -> test groups, by the stated rule."""
+    out = set()
+    for s in {s for s, _ in sizes}:
+        mine = [(g, n) for (t, g), n in sizes.items() if t == s]
+        k = math.ceil(fraction * sum(n for _, n in mine))
+        before = 0
+        for g, n in sorted(mine, key=lambda x: (x[1] > k, _h(x[0], seed), x[0])):
+            if 2 * before + n <= 2 * k:
+                out.add(g)
+            before += n
+    return out
+
+
+def test_grouped_split(spark):
+    sizes = {("ab"[g % 2], f"e{g:03d}"): 5 + g * 7 % 31 for g in range(90)}
+    sizes["a", "hot"] = sum(n for (s, _), n in sizes.items() if s == "a")  # half of its stratum, a third of all rows
+    rows = [(s, g, i) for (s, g), n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "s string, g string, i int")
+    got = hash_split(df, ["i"], 0.2, 42, strata=["s"], group_col="g").collect()
+    assert len(got) == len(rows)
+    sides = {}
+    for r in got:
+        sides.setdefault(r["g"], set()).add(r["split"])
+    assert all(len(v) == 1 for v in sides.values())
+    test = {g for g, v in sides.items() if v == {"test"}}
+    assert test == _grouped(sizes, 0.2) and "hot" not in test
+    for s in "ab":
+        total = sum(n for (t, _), n in sizes.items() if t == s)
+        assert abs(sum(n for (t, g), n in sizes.items() if t == s and g in test) - 0.2 * total) < 20
+
+
+def test_grouped_split_edge_cases(spark):
+    ddl = "g string, s string"
+    assert hash_split(spark.createDataFrame([], ddl), [], group_col="g").collect() == []
+    # groups that are all larger than the share: one is tested on
+    df = spark.createDataFrame([(g, None) for g in "abc" for _ in range(10)], ddl)
+    assert sum(r["split"] == "test" for r in hash_split(df, [], 0.2, group_col="g").collect()) == 10
+    # a NULL group stays together; a group in two strata counts in the least
+    df = spark.createDataFrame([(None, "x")] * 4 + [("a", "x"), ("a", "y"), ("b", "y")], ddl)
+    got = hash_split(df, [], 0.5, strata=["s"], group_col="g").collect()
+    assert len(got) == 7 and all(len({r["split"] for r in got if r["g"] == g}) == 1 for g in (None, "a", "b"))
+
+
+def test_grouped_wear_training(spark):
+    from condmon.plans import ml
+
+    rows = [(f"e{g:02d}", float(i), "worn" if g % 2 else "unworn", float(g % 2) + i / 100) for g in range(20) for i in range(10)]
+    df = spark.createDataFrame(rows, "experiment string, seq double, tool_condition string, feedrate double")
+    trained = ml.train_wear(df, ["experiment", "seq"], params={"maxIter": 2}, group_col="experiment")
+    tested = trained.test_predictions.groupBy("experiment").count().collect()
+    assert len(tested) == 4 and {r["count"] for r in tested} == {10}
