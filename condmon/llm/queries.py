@@ -19,6 +19,7 @@ from condmon.llm import (
     quality_zstd,
     sharding,
     simhash,
+    toxicity,
     unitdedup,
     whitening,
 )
@@ -67,6 +68,10 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unitdedup.dedup_units(read_table(spark, sf_dir, "documents"), whole=True)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations")
     return convrepair.repair_report(rows, convrepair.damage(rows))
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_shard_interleaved": op9_shard_interleaved,
         "op10_unit_dedup": op10_unit_dedup,
+        "op11_toxicity": op11_toxicity,
         "op12_repair_conversations": op12_repair_conversations,
         "op13_whiten_embeddings": op13_whiten_embeddings,
         "pipeline": corpus_pipeline.run,
