@@ -1,6 +1,7 @@
 """Unit dedup against a brute force, pasted passages, edge cases."""
 
 import random
+import re
 
 from condmon.llm import unitdedup as U
 from condmon.llm.queries import queries
@@ -8,45 +9,93 @@ from condmon.llm.queries import queries
 from .conftest import SF_SMALL
 
 
-def brute(docs):
+def parts(text):
+    """Atoms of a text without dense scripts, read letter by letter: (start,
+    end, words, newlines before it) of those that hold a word."""
+    assert not U._DENSE_TEXT.search(text)
+    out, at, newlines, i = [], 0, 0, 0
+
+    def close(end):
+        nonlocal newlines
+        words = re.findall(r"\w+", text[at:end].lower())
+        if words:
+            out.append((at, end, words, newlines))
+            newlines = 0
+
+    while i < len(text):
+        if not text[i].isspace():
+            i += 1
+            continue
+        j = i
+        while j < len(text) and text[j].isspace():
+            j += 1
+        gap = text[i:j]
+        upper = j < len(text) and (text[j] in UPPER or "\u0391" <= text[j] <= "\u03a9" or "\u0410" <= text[j] <= "\u042f")
+        lower = j + 1 < len(text) and re.match(r"\w", text[j + 1]) and not text[j + 1].isdecimal() and text[j + 1] not in UPPER
+        if "\n" in gap or i and text[i - 1] in ".!?…" or upper and lower:
+            close(i)
+            at, newlines = j, max(newlines, gap.count("\n"))
+        i = j
+    close(len(text))
+    return out
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
+
+
+def brute(docs, whole=False):
     """docs: (id, text) in rank order -> {id: (atoms, spans, first ids)}"""
     seen, out = {}, {}
     for d, text in docs:
-        a = U.atoms(text or "")
-        starts, ids = [], set()
+        a = parts(text or "")
+        found = {}  # (first atom, end): a whole line, paragraph or text
         for i in range(len(a)):
             n, j = 0, i
             while j < len(a) and n < U.UNIT_WORDS:
-                n += a[j][2]
+                n += len(a[j][2])
                 j += 1
-            if n < U.UNIT_WORDS:
-                break
-            key = " ".join(x[3] for x in a[i:j])
+            if n >= U.UNIT_WORDS:
+                found[i, j] = False
+        for least in (1, 2, 10**9) if whole else ():
+            heads = [i for i in range(len(a)) if i == 0 or a[i][3] >= least]
+            found.update({(i, j): True for i, j in zip(heads, [*heads[1:], len(a)], strict=True)} if a else {})
+        cover, always, ids = set(), set(), set()
+        for (i, j), is_whole in sorted(found.items(), key=lambda x: (x[0][0], x[1], x[0][1])):
+            key = " ".join(w for x in a[i:j] for w in x[2])
             if key in seen:
-                starts.append((i, j))
+                cover.update(range(i, j))
+                always.update(range(i, j) if is_whole else ())
                 ids.add(seen[key])
             else:
                 seen[key] = d
-        cover = {k for i, j in starts for k in range(i, j)}
-        spans, i = [], 0
-        while i < len(a):
-            j = i
-            while j in cover:
-                j += 1
-            if j > i and sum(x[2] for x in a[i:j]) >= U.RUN_WORDS:
-                spans.append((a[i][0], a[j - 1][1]))
-            i = max(j, i + 1)
+        for run in runs(cover):
+            if sum(len(a[k][2]) for k in run) >= U.RUN_WORDS:
+                always.update(run)
+        spans = [(a[run[0]][0], a[run[-1]][1]) for run in runs(always)]
         out[d] = (len(a), spans, sorted(ids) if spans else [])
     return out
 
 
+def runs(numbers):
+    """Maximal runs of consecutive numbers."""
+    out = []
+    for k in sorted(numbers):
+        if out and out[-1][-1] == k - 1:
+            out[-1].append(k)
+        else:
+            out.append([k])
+    return out
+
+
 def collect(df):
     return {r["doc_id"]: (r["n_atoms"], [tuple(s) for s in r["spans"]], list(r["first_ids"])) for r in df.collect()}
 
 
 def test_query_against_brute_force(spark, docs_rows):
     rows = sorted(docs_rows, key=lambda r: r["doc_id"])
-    assert collect(queries()["op10_unit_dedup"](spark, SF_SMALL)) == brute([(r["doc_id"], r["text"]) for r in rows])
+    want = brute([(r["doc_id"], r["text"]) for r in rows], whole=True)
+    assert collect(queries()["op10_unit_dedup"](spark, SF_SMALL)) == want
+    assert sum(bool(spans) for _, spans, _ in want.values()) > 20
 
 
 def sentence(rng, n):
