@@ -26,9 +26,11 @@ from condmon.operators import splits as SP
 from condmon.sources import topics as TP
 from condmon.schemas import TOOLWEAR_RECORD, TOOLWEAR_TOPIC, TOPIC_RECORD
 from condmon.schemas import BATCH_FEATURES, CHANNELS, PAYLOAD_SENSORS, STREAM_FEATURES, feature_columns
-from condmon.session import materialize
+from condmon.session import materialize, work_dir
 from condmon.sources import bearing_files as BF
 from condmon.sources import experiment_files as EF
+from condmon.sources import landing as LD
+from condmon.sources import lines as LN
 from condmon.sources import driver_tables as T
 
 
@@ -265,51 +267,115 @@ SELECT file, CAST(seq AS INTEGER) AS seq, test_set, CAST(w AS INTEGER) AS width,
 FROM parsed"""
 
 
-def _landed_snapshots(spark: SparkSession, sf_dir: str) -> str:
-    """Land the snapshot texts as one file each; returns the folder."""
-    from condmon.session import work_dir
+# What is planted beside them: a file with a cell that is no number, a text
+# that is no archive although its name says so, and a file of an empty line.
+SQL_LANDED = SQL_SNAPSHOTS + """,
+landed AS (
+  SELECT file, test_set, lines, true AS readable FROM x
+  UNION ALL SELECT file || 'n', test_set, list_prepend(regexp_replace(lines[1], '^[^\t]*', 'n/a'), lines[2:]), true
+    FROM x WHERE CAST(substr(file, 2) AS INTEGER) % 13 = 0
+  UNION ALL SELECT file || '.gz', test_set, lines, false FROM x WHERE CAST(substr(file, 2) AS INTEGER) % 17 = 0
+  UNION ALL SELECT file || 'e', test_set, [''], true FROM x WHERE CAST(substr(file, 2) AS INTEGER) % 19 = 0)"""
 
-    root = work_dir(spark, "snapshot-files")
-    BF.write_snapshot_texts(T.snapshot_texts(spark, sf_dir), root)
-    return root
+_landed: dict[tuple, str] = {}
+
+
+def _landed_snapshots(spark: SparkSession, sf_dir: str) -> str:
+    """The snapshot texts as files under their true names in a folder per test
+    set, with the planted ones; landed once per application.  Returns the
+    root."""
+    key = (spark.sparkContext.applicationId, "snapshots", sf_dir)
+    if key not in _landed:
+        texts = T.snapshot_texts(spark, sf_dir).withColumn("id", F.substring("file", 2, 9).cast("int"))
+        plant = lambda rest, suffix, value: texts.where(F.col("id") % rest == 0).select(
+            "test_set", F.concat("file", F.lit(suffix)).alias("file"), value.alias("value")
+        )
+        files = texts.select("test_set", "file", "value")
+        files = files.unionByName(plant(13, "n", F.regexp_replace("value", "^[^\t]*", "n/a")))
+        files = files.unionByName(plant(17, ".gz", F.col("value"))).unionByName(plant(19, "e", F.lit("")))
+        lines = files.select(
+            F.col("test_set").alias("folder"), F.col("file").alias("name"), F.posexplode(F.split("value", "\n")).alias("no", "line")
+        )
+        root = work_dir(spark, "snapshot-files")
+        LD.land_files(lines, root, in_name_order=True)
+        _landed[key] = root
+    return _landed[key]
 
 
 def q_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw snapshot files, landed and scanned back under both guards."""
+    """Raw snapshot files under their true names, scanned under both guards."""
     root = _landed_snapshots(spark, sf_dir)
     parts = [
-        BF.read_snapshot_files(spark, root, policy=p, layout="partitioned").withColumn("policy", F.lit(p))
+        BF.read_snapshot_files(spark, root, policy=p, ignore_corrupt=True).withColumn("policy", F.lit(p))
         for p in BF.POLICIES
     ]
     return compare_form(parts[0].unionByName(parts[1]))
 
 
-def sql_snapshot_files() -> str:
-    return f"""WITH {SQL_SNAPSHOTS},
-k AS (SELECT file, test_set, list_filter(lines, lambda s: s <> '') AS lines FROM x),
+_SQL_GUARDED = """
+k AS (SELECT file, test_set, list_filter(lines, lambda s: s <> '') AS lines FROM landed WHERE readable),
 g AS (SELECT *, len(string_split(lines[1], chr(9))) AS w,
-             list_max(list_transform(lines, lambda s: len(string_split(s, chr(9))))) AS m FROM k),
+             list_max(list_transform(lines, lambda s: len(string_split(s, chr(9))))) AS m FROM k)"""
+
+
+def sql_snapshot_files() -> str:
+    return f"""WITH {SQL_LANDED},{_SQL_GUARDED},
 p AS (SELECT 'by_width' AS policy, * FROM g WHERE m <= w AND w IN (8, 4)
       UNION ALL SELECT 'by_test', * FROM g WHERE m <= w AND w = CASE test_set WHEN '1st_test' THEN 8 ELSE 4 END),
 n AS (SELECT policy, file, test_set, w, string_split(unnest(lines), chr(9)) AS p, generate_subscripts(lines, 1) - 1 AS seq FROM p)
-SELECT policy, file, test_set, CAST(seq AS INTEGER) AS seq, {_sql_channels('p', 'w')} FROM n"""
+SELECT policy, file, test_set, CAST(seq AS BIGINT) AS seq, {_sql_channels('p', 'w')} FROM n"""
 
 
 def q_snapshot_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the guards see of every landed snapshot file, and why one is skipped."""
-    return BF.snapshot_file_report(spark, _landed_snapshots(spark, sf_dir), layout="partitioned")
+    """What the guards see of every landed snapshot file, readable or not, and
+    why one is skipped."""
+    return BF.snapshot_file_report(spark, _landed_snapshots(spark, sf_dir))
 
 
 def sql_snapshot_report() -> str:
-    return f"""WITH {SQL_SNAPSHOTS},
-k AS (SELECT file, test_set, list_filter(lines, lambda s: s <> '') AS lines FROM x),
-g AS (SELECT *, len(string_split(lines[1], chr(9))) AS w,
-             list_max(list_transform(lines, lambda s: len(string_split(s, chr(9))))) AS m FROM k)
-SELECT test_set, file, CAST(w AS INTEGER) AS width, CAST(m AS INTEGER) AS max_width, CAST(len(lines) AS INTEGER) AS lines,
-       0 AS non_numeric_cells, w IN (8, 4) AS keep_by_width,
-       w = CASE test_set WHEN '1st_test' THEN 8 ELSE 4 END AS keep_by_test,
-       CASE WHEN m > w THEN 'line wider than the first' WHEN w NOT IN (8, 4) THEN 'unexpected width' END AS reason
-FROM g"""
+    return f"""WITH {SQL_LANDED},{_SQL_GUARDED},
+r AS (SELECT l.test_set, l.file, l.readable, strlen(array_to_string(l.lines, chr(10))) + 1 AS size, w, m, coalesce(len(g.lines), 0) AS n,
+             coalesce(len(list_filter(string_split(array_to_string(g.lines, chr(9)), chr(9)),
+                                      lambda c: len(g.lines) > 0 AND TRY_CAST(trim(c) AS DOUBLE) IS NULL)), 0) AS bad
+      FROM landed l LEFT JOIN g ON l.file = g.file AND l.test_set = g.test_set)
+SELECT test_set, file, CAST(size AS BIGINT) AS size, CASE WHEN n > 0 THEN CAST(w AS DOUBLE) END AS width, CAST(m AS DOUBLE) AS max_width,
+       CAST(n AS BIGINT) AS lines, CAST(bad AS BIGINT) AS non_numeric_cells, coalesce(n > 0 AND w IN (8, 4), false) AS keep_by_width,
+       coalesce(n > 0 AND w = CASE test_set WHEN '1st_test' THEN 8 ELSE 4 END, false) AS keep_by_test,
+       CASE WHEN NOT readable THEN 'unreadable' WHEN n = 0 THEN 'empty' WHEN m > w THEN 'line wider than the first'
+            WHEN w NOT IN (8, 4) THEN 'unexpected width' WHEN bad > 0 THEN 'non-numeric cells' END AS reason
+FROM r"""
+
+
+#: Micro-batches of a replay of raw files.
+REPLAY_BATCHES = 8
+
+
+def q_stream_raw_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw snapshot files replayed in name order, test set after test set,
+    through the publishing guard: per kept file the micro-batch that had it,
+    its samples and their sums."""
+    from condmon.streaming import bearing as SB
+
+    root = _landed_snapshots(spark, sf_dir)
+    files = LN.list_files(spark, root, recursive=True).count()
+    stream = BF.snapshot_stream(spark, root, -(-files // REPLAY_BATCHES))
+    sink, ckpt = work_dir(spark, "replay-sink"), work_dir(spark, "replay-ckpt")
+    q = SB.start(BF.parse_snapshot_texts(stream, policy="by_test"), sink, ckpt, "append")
+    q.awaitTermination()
+    rows = SB.read_sink(spark, sink).groupBy("test_set", "file", F.col("batch_id").cast("long").alias("batch_id"))
+    return compare_form(rows.agg(F.count(F.lit(1)).alias("samples"), *[F.sum(c).alias(c) for c in CHANNELS]))
+
+
+def sql_stream_raw_replay() -> str:
+    return f"""WITH {SQL_LANDED},{_SQL_GUARDED},
+o AS (SELECT file, test_set, (row_number() OVER (ORDER BY test_set, file) - 1)
+             // ((count(*) OVER () + {REPLAY_BATCHES - 1}) // {REPLAY_BATCHES}) AS batch_id FROM landed),
+p AS (SELECT * FROM g WHERE m <= w AND w = CASE test_set WHEN '1st_test' THEN 8 ELSE 4 END),
+n AS (SELECT file, test_set, w, string_split(unnest(lines), chr(9)) AS p FROM p),
+c AS (SELECT file, test_set, {_sql_channels('p', 'w')} FROM n)
+SELECT test_set, file, CAST(batch_id AS BIGINT) AS batch_id, count(*) AS samples,
+       {', '.join(f"{r6(f'sum({ch})')} AS {ch}" for ch in CHANNELS)}
+FROM c JOIN o USING (test_set, file) GROUP BY test_set, file, batch_id"""
 
 
 # ---------------------------------------------------------------------------
@@ -751,8 +817,6 @@ def q_rul_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted one's and lies in the label's range, and whether the model is
     closer to the labels of all rows than their mean is."""
     from condmon.plans import ml
-    from condmon.session import work_dir
-
     sup = materialize(_supervised(spark, sf_dir))
     trained = ml.train_rul(sup, _rul_columns(sup))
     path = work_dir(spark, "rul-model")
@@ -821,8 +885,6 @@ FROM r WHERE rn <= ceil(0.2 * n)"""
 def _land(spark: SparkSession, messages: DataFrame, name: str, files: int | None = None) -> str:
     """Write topic records as parquet in the shared work folder, in ``files``
     files when given; returns the folder."""
-    from condmon.session import work_dir
-
     path = work_dir(spark, name)
     TP.write_messages(messages.repartition(files) if files else messages, path, mode="overwrite")
     return path
@@ -836,7 +898,6 @@ def q_stream_update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replay the bearing records through the streaming aggregation in four
     micro-batches (update mode, batch-tagged sink), then keep the latest
     version per snapshot — which must equal the batch aggregate."""
-    from condmon.session import work_dir
     from condmon.streaming import bearing as SB
 
     landing = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "bearing-landing", REPLAY_FILES)
@@ -854,7 +915,6 @@ def q_stream_append_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     from its folder; one row per record, without a prediction where the
     record has no metadata."""
     from condmon.plans import ml
-    from condmon.session import work_dir
     from condmon.streaming import bearing as SB
 
     model_path = work_dir(spark, "wear-model")
@@ -938,7 +998,6 @@ def q_stream_serve_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     prediction exists) and one per tool-wear record and outcome (a count)."""
     from condmon.plans import ml
     from condmon.plans.serving import serve
-    from condmon.session import work_dir
     from condmon.streaming import bearing as SB
 
     sup = materialize(_supervised(spark, sf_dir))
@@ -978,45 +1037,60 @@ GROUP BY ALL"""
 # ---------------------------------------------------------------------------
 # Raw experiment files
 # ---------------------------------------------------------------------------
-def _land_experiments(spark: SparkSession, sf_dir: str) -> str:
-    """Events as experiment CSV files with a header, ten user ids to a file, and
-    the nation list as ``train.csv``; columns come in another order in every
-    second file, which also lacks ``S1_OutputPower``."""
-    from condmon.session import work_dir
-
-    root = work_dir(spark, "experiment-files")
+def _landed_experiments(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of experiment CSV files with a header, ten user ids to a file,
+    the metadata file beside them, and notes that are neither; landed once per
+    application.  In every second file, whose name ends in upper case, columns
+    come in another order and ``S1_OutputPower`` lacks."""
+    key = (spark.sparkContext.applicationId, "experiments", sf_dir)
+    if key in _landed:
+        return _landed[key]
     cols = ["time", *PAYLOAD_SENSORS, "M1_CURRENT_PROGRAM_NUMBER", "Machining_Process"]
     other = [c for c in reversed(cols) if c != "S1_OutputPower"]
     rows = T.machine_rows(spark, sf_dir)
     ident = (F.substring("experiment", 12, 6).cast("int") / 10).cast("int")
-    line = lambda names: F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
-    rows = rows.select(
-        ident.alias("id"), "M1_sequence_number", F.when(ident % 2 == 0, line(cols)).otherwise(line(other)).alias("line")
+    even = F.col("id") % 2 == 0
+    csv_line = lambda names: F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
+    name = F.concat(F.lit("experiment_"), F.lpad(F.col("id").cast("string"), 6, "0"), F.when(even, ".csv").otherwise(".CSV"))
+    rows = rows.withColumn("id", ident)
+    body = rows.select(
+        name.alias("name"), F.col("M1_sequence_number").alias("no"), F.when(even, csv_line(cols)).otherwise(csv_line(other)).alias("line")
+    )
+    heads = rows.select("id").distinct().select(
+        name.alias("name"), F.lit(-1.0).alias("no"), F.when(even, ",".join(cols)).otherwise(",".join(other)).alias("line")
     )
-    files = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("M1_sequence_number", "line"))).alias("l"))
-    head = F.when(F.col("id") % 2 == 0, ",".join(cols)).otherwise(",".join(other))
-    files = files.select(
-        F.concat(F.lit("experiment_"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("stem"),
-        F.concat(head, F.lit("\n"), F.array_join("l.line", "\n")).alias("value"),
+    notes = rows.where("id % 7 = 0").select(
+        F.regexp_replace(name, "[.].*", ".txt").alias("name"), F.col("M1_sequence_number").alias("no"), F.lit("no,data").alias("line")
     )
-    files.write.mode("overwrite").partitionBy("stem").text(root)
+    meta = T.lookup_metadata(spark, sf_dir)
+    train = meta.select(F.lit(EF.METADATA_FILE).alias("name"), F.col("No").cast("double").alias("no"), csv_line(meta.columns).alias("line"))
+    train_head = spark.createDataFrame([(EF.METADATA_FILE, -1e9, ",".join(meta.columns))], train.schema)
+    files = body.unionByName(heads).unionByName(notes).unionByName(train).unionByName(train_head)
+    root = work_dir(spark, "experiment-files")
+    LD.land_files(files.withColumn("folder", F.lit("")), root)
+    _landed[key] = root
     return root
 
 
 def q_experiment_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Experiment CSVs landed with differing headers and read back by header
-    name, numbered in file order."""
-    out = EF.read_experiments(spark, _land_experiments(spark, sf_dir), layout="partitioned")
-    return compare_form(out)
+    """Experiment CSVs under their true names, read by header name, numbered in
+    file order and joined to the metadata file of their folder."""
+    root = _landed_experiments(spark, sf_dir)
+    meta = EF.read_metadata(spark, root)
+    out = J.lookup_join(EF.read_experiments(spark, root), meta, "experiment", key_rule="suffix", pad=6)
+    out = J.flatten_metadata(out, [c for c in _META_OUT if c != "material"])
+    return compare_form(out.withColumn("No", F.col("No").cast("double")))
 
 
 def sql_experiment_files() -> str:
     cols = ["time", *PAYLOAD_SENSORS, "M1_CURRENT_PROGRAM_NUMBER"]
     sel = ", ".join(
-        r6(f"CASE WHEN id % 2 = 0 THEN {c} END" if c == "S1_OutputPower" else c) + f" AS {c}" for c in cols
+        r6(f"CASE WHEN id % 2 = 0 THEN {c} END" if c == "S1_OutputPower" else f"f.{c}") + f" AS {c}" for c in cols
     )
-    return f"""WITH {SQL_MACHINE},
+    return f"""WITH {SQL_MACHINE},{SQL_LOOKUP_META},
 f AS (SELECT *, CAST(substr(experiment, 12, 6) AS INTEGER) // 10 AS id FROM mach)
 SELECT 'experiment_' || lpad(CAST(id AS VARCHAR), 6, '0') AS experiment,
-       CAST(row_number() OVER (PARTITION BY id ORDER BY M1_sequence_number) - 1 AS INTEGER) AS seq, {sel}, Machining_Process
-FROM f"""
+       row_number() OVER (PARTITION BY id ORDER BY M1_sequence_number) - 1 AS seq, {sel}, Machining_Process,
+       CAST(No AS DOUBLE) AS No, {r6('m.feedrate')} AS feedrate, {r6('m.clamp_pressure')} AS clamp_pressure,
+       tool_condition, machining_finalized, passed_visual_inspection
+FROM f LEFT JOIN lmeta m ON m.No = id"""

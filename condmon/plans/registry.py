@@ -48,6 +48,7 @@ def queries() -> dict[str, QueryFn]:
         "elapsed_time": C.q_elapsed_time,
         "snapshot_files": C.q_snapshot_files,
         "snapshot_report": C.q_snapshot_report,
+        "stream_raw_replay": C.q_stream_raw_replay,
         "experiment_files": C.q_experiment_files,
     }
 
@@ -86,6 +87,7 @@ def oracle_sql() -> dict[str, str]:
         "elapsed_time": C.sql_elapsed_time(),
         "snapshot_files": C.sql_snapshot_files(),
         "snapshot_report": C.sql_snapshot_report(),
+        "stream_raw_replay": C.sql_stream_raw_replay(),
         "experiment_files": C.sql_experiment_files(),
         "rul_gbt_predict": C.sql_rul_gbt_predict(),
         "wear_gbt_predict": C.sql_wear_gbt_predict(),

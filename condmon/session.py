@@ -99,6 +99,14 @@ def materialize(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
+def stage(df, name: str):
+    """Write ``df`` once to the shared folder as Parquet and read it back: for
+    large intermediate rows that several passes must see alike."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Settings for a large cluster (pass with ``--conf`` to spark-submit).  The
 # library reads, and never sets, the session's configuration.
 CLUSTER_CONF = {

@@ -18,11 +18,12 @@ with NULL samples.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from condmon.functions.features import nan_to_null
 from condmon.schemas import CHANNELS, TEST_SET_WIDTH
+from condmon.sources import lines as LN
 
 POLICIES = ("by_width", "by_test")
 
@@ -107,31 +108,36 @@ def write_snapshot_files(samples: DataFrame, root: str, channels=CHANNELS) -> No
     )
 
 
-def write_snapshot_texts(files: DataFrame, root: str) -> None:
-    """Land whole snapshot files ``test_set, file, value`` (one row per file)
-    under ``test_set=<set>/file=<name>/``."""
-    files.select("test_set", "file", "value").write.mode("overwrite").partitionBy("test_set", "file").text(root)
+LAYOUTS = ("folders", "partitioned")
 
 
-def _snapshot_texts(spark: SparkSession, root: str, recursive: bool, ignore_corrupt: bool, layout: str) -> DataFrame:
-    """``test_set, file, value``: one row per snapshot file, read whole."""
-    reader = spark.read.option("ignoreCorruptFiles", ignore_corrupt)
+def _layout(layout: str) -> list[str]:
+    """The partition folders that a layout's files lie in."""
+    if layout not in LAYOUTS:
+        raise ValueError("layout must be 'folders' or 'partitioned'")
+    return ["test_set", "file"] if layout == "partitioned" else []
+
+
+def _named(df: DataFrame, layout: str) -> DataFrame:
+    """With ``test_set`` and ``file`` of the column ``path``."""
     if layout == "partitioned":
-        # ``text()`` has its own ``wholetext`` keyword (default False) that
-        # overrides a reader option, so it is passed here; names like
-        # 2004.02 must not become numbers
-        return reader.text(root, wholetext=True).select(
-            F.col("test_set").cast("string").alias("test_set"), F.col("file").cast("string").alias("file"), "value"
-        )
-    if layout == "folders":
-        if recursive:
-            reader = reader.option("recursiveFileLookup", True)
-        return reader.text(root, wholetext=True).select(
-            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("test_set"),
-            F.col("_metadata.file_name").alias("file"),
-            "value",
-        )
-    raise ValueError("layout must be 'folders' or 'partitioned'")
+        return df
+    return df.withColumns({"test_set": LN.folder_name(), "file": LN.file_name()})
+
+
+def snapshot_stream(spark: SparkSession, root: str, files_per_trigger: int, ignore_corrupt: bool = True) -> DataFrame:
+    """Streaming ``test_set, file, value`` of raw snapshot files read whole,
+    ``files_per_trigger`` per micro-batch in the order of their modification
+    times (A7); ``parse_snapshot_texts`` turns them into samples."""
+    files = (
+        spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+        .option("recursiveFileLookup", True)
+        .option("ignoreCorruptFiles", ignore_corrupt)
+        .text(root, wholetext=True)
+    )
+    return files.select(
+        LN.folder_name("_metadata.file_path").alias("test_set"), LN.file_name("_metadata.file_path").alias("file"), "value"
+    )
 
 
 def _file_lines(value: str = "value") -> Column:
@@ -157,7 +163,7 @@ def parse_snapshot_texts(files: DataFrame, policy: str = "by_width", on_wide: st
         raise ValueError("on_wide must be 'skip' or 'fail'")
     widths = _line_widths(F.col("_lines"))
     rows = files.withColumn("_lines", _file_lines()).where(F.size("_lines") > 0)
-    rows = rows.select("test_set", "file", "_lines", F.element_at(widths, 1).alias("width"), F.array_max(widths).alias("_max"))
+    rows = rows.select("test_set", "file", "_lines", F.try_element_at(widths, F.lit(1)).alias("width"), F.array_max(widths).alias("_max"))
     wide = F.col("_max") > F.col("width")
     if on_wide == "skip":
         rows = rows.where(~wide)
@@ -186,43 +192,78 @@ def read_snapshot_files(
     ``test_set=…/file=…`` folders of the writers above.  Unreadable files are
     an error unless ``ignore_corrupt`` (publishing) skips them.
 
-    Each file is read whole (``wholetext``) so that line order — needed for
-    the first-line width and for ``seq`` — is known; snapshot files are
-    small (tens of thousands of lines) and many, so files parallelise.  A
-    file beyond 2 GB cannot be a row and fails the read.
+    Lines are read in splits of any size and numbered from a table of one row
+    per split (``sources.lines``), so a single file of any length spreads over
+    all tasks and no row holds a file; the guards drop whole files in that
+    table, before its join with the lines.  Empty lines are skipped.
     """
-    files = _snapshot_texts(spark, root, recursive, ignore_corrupt, layout)
-    return parse_snapshot_texts(files, policy, on_wide)
-
-
-def file_report(files: DataFrame) -> DataFrame:
-    """One row per whole snapshot file ``test_set, file, value`` with what the
-    guards see (B3): first-line width, widest line, line count, non-numeric
-    cells, both guard verdicts and the reason a file would be skipped (NULL
-    when kept by width)."""
-    lines = files.withColumn("_lines", _file_lines())
-    cells = F.flatten(F.transform("_lines", lambda ln: F.split(ln, "\t")))
-    bad_cells = F.size(F.filter(cells, lambda c: F.trim(c).try_cast("double").isNull()))
-    widths = _line_widths(F.col("_lines"))
-    rep = lines.select(
-        "test_set",
-        "file",
-        F.try_element_at(widths, F.lit(1)).alias("width"),
-        F.array_max(widths).alias("max_width"),
-        F.size("_lines").alias("lines"),
-        bad_cells.alias("non_numeric_cells"),
+    if policy not in POLICIES:
+        raise ValueError(f"policy must be one of {POLICIES}")
+    if on_wide not in ("skip", "fail"):
+        raise ValueError("on_wide must be 'skip' or 'fail'")
+    keep = _layout(layout)
+    raw = LN.scan_lines(spark, root, recursive and layout == "folders", ignore_corrupt, keep=keep)
+    lines = LN.stage_lines(raw)
+    blocks = LN.blocks_of(lines, widest=F.max(F.size(line_parts("value"))), **{c: F.first(c) for c in keep})
+    blocks = blocks.withColumn("widest", F.max("widest").over(Window.partitionBy("path")))
+    blocks = _named(blocks.withColumn("width", F.size(line_parts("head"))), layout)
+    wide = F.col("widest") > F.col("width")
+    if on_wide == "skip":
+        blocks = blocks.where(~wide)
+    else:
+        message = F.concat(F.lit("line wider than the first in "), "test_set", F.lit("/"), "file")
+        blocks = blocks.withColumn("width", F.when(wide, F.raise_error(message).cast("int")).otherwise(F.col("width")))
+    blocks = blocks.where(keep_by_width("width") if policy == "by_width" else keep_by_test("test_set", "width"))
+    rows = LN.numbered(lines.drop(*keep), blocks, "width", "test_set", "file")
+    return rows.select("test_set", "file", F.col("no").alias("seq"), *channel_values(line_parts("value"), "width"))
+
+
+def snapshot_file_report(spark: SparkSession, root: str, recursive: bool = True, layout: str = "folders") -> DataFrame:
+    """One row per file under ``root``, readable or not, with what the guards
+    see (B3): ``size`` in bytes, first-line width, widest line, number of lines
+    that are not empty, non-numeric cells, both guard verdicts and the reason a
+    file would be skipped (NULL when kept by width).
+
+    The listing of all files meets the files that gave lines in one scan that
+    skips what cannot be read: a file of some size without any line, not even
+    an empty one, is ``unreadable``.  A file that breaks off midway counts by
+    the lines before.
+    """
+    keep = _layout(layout)
+    deep = recursive and layout == "folders"
+    files = LN.list_files(spark, root, deep, keep)
+    lines = LN.scan_lines(spark, root, deep, ignore_corrupt=True, empty=True)
+    cells = line_parts("value")
+    width, full = F.size(cells), F.col("value") != ""
+    bad = F.size(F.filter(cells, lambda c: F.trim(c).try_cast("double").isNull()))
+    per = lines.groupBy("path", "block").agg(
+        F.min_by(F.when(full, width), F.when(full, F.col("pos"))).alias("_first"),
+        F.max(F.when(full, width)).alias("_max"),
+        F.count_if(full).alias("_lines"),
+        F.sum(F.when(full, bad)).alias("_bad"),
+    )
+    seen = per.groupBy("path").agg(
+        F.min_by("_first", F.when(F.col("_first").isNotNull(), F.col("block"))).alias("width"),
+        F.max("_max").alias("max_width"),
+        F.sum("_lines").alias("lines"),
+        F.coalesce(F.sum("_bad"), F.lit(0)).alias("non_numeric_cells"),
     )
+    rep = _named(files.join(seen, "path", "left"), layout).withColumn("_read", F.col("lines").isNotNull())
+    rep = rep.fillna(0, ["lines", "non_numeric_cells"])
     return rep.select(
-        "*",
-        keep_by_width("width").alias("keep_by_width"),
-        keep_by_test("test_set", "width").alias("keep_by_test"),
-        F.when(F.col("lines") == 0, "empty")
+        "test_set",
+        "file",
+        "size",
+        "width",
+        "max_width",
+        "lines",
+        "non_numeric_cells",
+        F.coalesce(keep_by_width("width"), F.lit(False)).alias("keep_by_width"),
+        F.coalesce(keep_by_test("test_set", "width"), F.lit(False)).alias("keep_by_test"),
+        F.when(~F.col("_read") & (F.col("size") > 0), "unreadable")
+        .when(F.col("lines") == 0, "empty")
         .when(F.col("max_width") > F.col("width"), "line wider than the first")
         .when(~keep_by_width("width"), "unexpected width")
         .when(F.col("non_numeric_cells") > 0, "non-numeric cells")
         .alias("reason"),
     )
-
-
-def snapshot_file_report(spark: SparkSession, root: str, recursive: bool = True, layout: str = "folders") -> DataFrame:
-    return file_report(_snapshot_texts(spark, root, recursive, False, layout))

@@ -16,6 +16,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from condmon.functions.timestamps import strip_extension
 from condmon.schemas import EXPERIMENT_METADATA
+from condmon.session import materialize
+from condmon.sources import lines as LN
 
 METADATA_FILE = "train.csv"
 
@@ -53,44 +55,50 @@ def read_experiments(
     Columns are found by header name in each file: their order may differ, and
     a file without a column has NULL there.  A column that no header names is
     left out.  ``layout="partitioned"`` reads ``stem=<experiment>/`` folders of
-    one text file each instead of ``<experiment>.csv``.  A file is one row while it is numbered (``wholetext``); one
-    beyond 2 GB fails the read.
+    one text file each instead of ``<experiment>.csv``.
+
+    Lines are read in splits of any size and numbered from a table of one row
+    per split, which also carries the number of the file's header
+    (``sources.lines``); no row holds a file.  A line is parsed once, by Spark's
+    own CSV rules, into cells, and the header says which cell a column is.
     """
     if layout == "partitioned":
-        raw = spark.read.text(root, wholetext=True).select(
-            "value", F.concat(F.col("stem").cast("string"), F.lit(".csv")).alias("_file")
-        )
+        keep, raw = ["stem"], LN.scan_lines(spark, root, keep=["stem"])
+        name = F.concat("stem", F.lit(".csv"))
     elif layout == "files":
-        raw = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(root, wholetext=True).select(
-            "value", F.col("_metadata.file_name").alias("_file")
-        )
+        keep, raw = [], LN.scan_lines(spark, root, glob="*.[cC][sS][vV]")
+        name = LN.file_name()
     else:
         raise ValueError("layout must be 'files' or 'partitioned'")
-    raw = raw.where(is_experiment_file("_file"))
-    lines = F.filter(F.split("value", r"\r?\n"), lambda ln: ln != "")
-    files = raw.select(strip_extension("_file").alias("experiment"), lines.alias("_lines")).where(F.size("_lines") > 0)
-    first = F.get("_lines", F.lit(0))
-    rows = files.select("experiment", first.alias("_head"), F.posexplode("_lines").alias("_no", "_line"))
-    rows = rows.where(F.col("_no") > 0)
+    lines = LN.stage_lines(raw.where(is_experiment_file(name)))
+    blocks = LN.blocks_of(lines, **{c: F.first(c) for c in keep})
+    blocks = materialize(blocks.withColumn("experiment", strip_extension(name)))
+    headers = sorted(r[0] for r in blocks.select("head").distinct().collect())  # a handful
+    number = F.lit(None).cast("int")
+    for i, header in enumerate(headers):
+        number = F.when(F.col("head") == header, i).otherwise(number)
+    rows = LN.numbered(lines.drop(*keep), blocks.withColumn("header", number), "experiment", "header").where("no > 0")
+    seq = (F.col("no") - 1).alias("seq")
+    if not headers:
+        return rows.select("experiment", seq)
+    names = [[c.strip() for c in next(csv.reader([header]))] for header in headers]
+    # the first of several columns of one name counts, as a nameless one does not
+    at = [{c: row.index(c) for c in row if c} for row in names]
+    cells = ", ".join(f"c{i} string" for i in range(max(map(len, names))))
     known = {f.name: f.dataType for f in schema.fields}
-    out = None
-    # one pass per distinct header (a handful), parsed by Spark's own CSV rules
-    for header in sorted(r[0] for r in files.select(first).distinct().collect()):
-        names = [c.strip() for c in next(csv.reader([header]))]
-        fields = [
-            (c, known.get(c, DoubleType())) if c and c not in names[:i] else (f"_unnamed_{i}", StringType())
-            for i, c in enumerate(names)
-        ]
-        ddl = ", ".join(f"`{c}` {t.simpleString()}" for c, t in fields)
-        part = rows.where(F.col("_head") == header).select(
-            "experiment", (F.col("_no") - 1).alias("seq"), F.from_csv("_line", ddl).alias("_r")
-        )
-        part = part.select("experiment", "seq", *[f"_r.`{c}`" for c, _ in fields if not c.startswith("_unnamed_")])
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        return rows.select("experiment", F.col("_no").alias("seq"))
-    columns = [c for c in known if c in out.columns]
-    return out.select("experiment", "seq", *columns, *sorted(c for c in out.columns[2:] if c not in known))
+    found = {c for row in at for c in row}
+    columns = [c for c in known if c in found] + sorted(found - set(known))
+    parsed = rows.select("experiment", seq, "header", F.from_csv("value", cells).alias("_c"))
+
+    def column(name: str):
+        cell = F.lit(None).cast("string")
+        for i, row in enumerate(at):
+            if name in row:
+                cell = F.when(F.col("header") == i, F.col(f"_c.c{row[name]}")).otherwise(cell)
+        kind = known.get(name, DoubleType())
+        return (cell if isinstance(kind, StringType) else cell.try_cast(kind)).alias(name)
+
+    return parsed.select("experiment", "seq", *map(column, columns))
 
 
 def read_metadata(spark: SparkSession, root: str, schema: StructType = EXPERIMENT_METADATA) -> DataFrame:

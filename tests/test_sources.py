@@ -153,3 +153,110 @@ def test_snapshot_files_round_trip(spark, tmp_path):
         for c in a[k].asDict():
             if c not in ("test_set", "file"):
                 assert a[k][c] == pytest.approx(b[k][c], rel=1e-12, abs=1e-12), (k, c)
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are read in splits of a few hundred bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def _mixed_tree(root):
+    rng = __import__("random").Random(3)
+    for i in range(12):
+        width = (8, 4, 4, 3)[i % 4]
+        lines = [[rng.randint(-99, 99) for _ in range(width)] for _ in range((5, 700, 60)[i % 3])]
+        if i % 5 == 0:
+            lines.insert(len(lines) // 2, [])
+        if i == 6:
+            lines.append([1] * 9)  # the last of hundreds of lines is wider
+        _write(root, ("1st_test", "2nd_test")[i % 2], f"2004.01.{i + 1:02d} 00+%", lines)
+
+
+def test_splittable_files_equal_whole_files(spark, tmp_path, small_splits):
+    """First-line width, wider-line check, sequence and names, in many splits."""
+    from condmon.sources import bearing_files as BF
+    from condmon.sources import lines as LN
+
+    _mixed_tree(str(tmp_path))
+    blocks = LN.blocks_of(LN.stage_lines(LN.scan_lines(spark, str(tmp_path), recursive=True)))
+    assert blocks.count() > 3 * blocks.select("path").distinct().count()
+    whole = spark.read.option("recursiveFileLookup", True).text(str(tmp_path), wholetext=True).select(
+        LN.folder_name("_metadata.file_path").alias("test_set"), LN.file_name("_metadata.file_path").alias("file"), "value"
+    )
+    for policy in BF.POLICIES:
+        want = sorted(BF.parse_snapshot_texts(whole, policy).collect())
+        got = sorted(read_snapshot_files(spark, str(tmp_path), policy).collect())
+        assert got == want and len(got) > 500
+    assert {r["file"] for r in got} <= {f"2004.01.{i + 1:02d} 00+%" for i in range(12)} and all(r["seq"] >= 0 for r in got)
+    with pytest.raises(Exception, match="line wider than the first"):
+        read_snapshot_files(spark, str(tmp_path), on_wide="fail").collect()
+
+
+def test_no_row_holds_a_file(spark, tmp_path, small_splits):
+    _mixed_tree(str(tmp_path))
+    df = read_snapshot_files(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "parquet" in plan and "wholetext" not in plan
+
+
+def test_splittable_experiment_files(spark, tmp_path, small_splits):
+    import pandas as pd
+
+    from condmon.sources.experiment_files import read_experiments
+
+    heads = ["time,X1_ActualPosition,Machining_Process", "Machining_Process,time,X1_ActualPosition", "X1_ActualPosition"]
+    for i in range(6):
+        body = [f"{k / 10},{k},\"a, {k}\"" if i % 3 == 0 else f"Prep,{k / 10},{k}" if i % 3 == 1 else str(k) for k in range(200 * i + 1)]
+        (tmp_path / f"experiment_{i:02d}.{'csv' if i % 2 else 'CSV'}").write_text(heads[i % 3] + "\n" + "\n".join(body) + "\n")
+    (tmp_path / "train.csv").write_text("No\n1\n")
+    (tmp_path / "experiment_99.txt").write_text("no,data\n1,2\n")
+    got = read_experiments(spark, str(tmp_path)).toPandas().sort_values(["experiment", "seq"])
+    for i in range(6):
+        want = pd.read_csv(next(tmp_path.glob(f"experiment_{i:02d}.*")))
+        mine = got[got.experiment == f"experiment_{i:02d}"]
+        assert mine.seq.tolist() == list(range(len(want)))
+        for c in want.columns:
+            assert mine[c].tolist() == want[c].tolist(), (i, c)
+    assert set(got.experiment) == {f"experiment_{i:02d}" for i in range(6)}
+
+
+def test_report_names_every_file(spark, tmp_path):
+    """Unreadable, empty, wide and non-numeric files each have a row."""
+    from condmon.sources.bearing_files import snapshot_file_report
+
+    _write(str(tmp_path), "1st_test", "good", [[1, 2, 3, 4], [5, 6, 7, 8]])
+    _write(str(tmp_path), "1st_test", "cells", [["n/a", 2, 3, 4], [5, "x", 7, 8]])
+    _write(str(tmp_path), "2nd_test", "wide", [[1, 2, 3, 4], [5, 6, 7, 8, 9]])
+    _write(str(tmp_path), "2nd_test", "blank", [[], []])
+    folder = tmp_path / "2nd_test" / "2nd_test"
+    (folder / "nothing").write_text("")
+    (folder / "broken.gz").write_bytes(b"1\t2\t3\t4\n")
+    (folder / "bytes").write_bytes(b"\xff\xfe\t2\t3\t4\n")
+    rep = {r["file"]: r for r in snapshot_file_report(spark, str(tmp_path)).collect()}
+    assert {f: r["reason"] for f, r in rep.items()} == {
+        "good": None, "cells": "non-numeric cells", "wide": "line wider than the first", "blank": "empty",
+        "nothing": "empty", "broken.gz": "unreadable", "bytes": "non-numeric cells",
+    }
+    assert rep["cells"]["non_numeric_cells"] == 2 and rep["broken.gz"]["size"] == 8 and rep["good"]["lines"] == 2
+    kept = read_snapshot_files(spark, str(tmp_path), ignore_corrupt=True).select("file").distinct().collect()
+    assert {r["file"] for r in kept} == {"good", "cells", "bytes"}
+
+
+def test_files_landed_in_order(spark, tmp_path):
+    from condmon.sources.landing import land_files
+
+    rows = [(f, f"n {k:02d}+.csv", i, f"{f} {k} {i}") for f in ("b", "a") for k in range(5) for i in reversed(range(300))]
+    df = spark.createDataFrame(rows, "folder string, name string, no int, line string")
+    assert land_files(df, str(tmp_path / "x"), in_name_order=True) == 10
+    files = sorted((tmp_path / "x").glob("*/*.csv"), key=lambda p: p.stat().st_mtime)
+    assert [(p.parent.name, p.name) for p in files] == [(f, f"n {k:02d}+.csv") for f in "ab" for k in range(5)]
+    assert files[7].read_text().splitlines() == [f"b 2 {i}" for i in range(300)]
+    assert land_files(df.where("folder = 'a'").withColumn("folder", __import__("pyspark").sql.functions.lit("")), str(tmp_path / "y")) == 5
+    assert len(list((tmp_path / "y").glob("*.csv"))) == 5
