@@ -32,18 +32,30 @@ from condmon.operators.keys import join_null_safe
 from condmon.schemas import ENTROPY_BINS
 
 
-def bin_of(x: Column, lo: Column, hi: Column, bins: int = ENTROPY_BINS) -> Column:
-    """Bin number of a sample in a group with the range ``lo..hi``."""
+def widened(lo: Column, hi: Column) -> tuple[Column, Column]:
+    """The range of a histogram over ``lo..hi``: one wide if it is a point."""
     flat = lo == hi
-    lo, hi = F.when(flat, lo - 0.5).otherwise(lo), F.when(flat, hi + 0.5).otherwise(hi)
-    step = (hi - lo) / bins
+    return F.when(flat, lo - 0.5).otherwise(lo), F.when(flat, hi + 0.5).otherwise(hi)
 
-    def edge(k):
-        return k * step + lo
 
-    first = F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))
-    down = F.when(x < edge(first), first - 1).otherwise(first)
-    return F.when((down != bins - 1) & (x >= edge(down + 1)), down + 1).otherwise(down)
+def with_bins(df: DataFrame, bins_of: dict, bins: int = ENTROPY_BINS) -> DataFrame:
+    """Adds, per name in ``bins_of``, the bin number of a sample ``x`` in the
+    ``widened`` range ``lo..hi``, all three given as columns' names.
+
+    The first guess may be one off by rounding and is compared with the edges
+    of its bin.  It is a column of its own, as an expression in which it stood
+    several times would be evaluated as often.
+    """
+    first, down, last = {}, {}, {}
+    for name, (x, lo, hi) in bins_of.items():
+        x, lo, hi = F.col(x), F.col(lo), F.col(hi)
+        step = (hi - lo) / bins
+        guess = F.col(f"_first_{name}")
+        first[f"_first_{name}"] = F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
+        down[f"_down_{name}"] = guess - (x < guess * step + lo).cast("int")
+        low = F.col(f"_down_{name}")
+        last[name] = low + ((low != bins - 1) & (x >= (low + 1) * step + lo)).cast("int")
+    return df.withColumns(first).withColumns(down).withColumns(last).drop(*first, *down)
 
 
 def plogp(count: Column, n: Column) -> Column:
@@ -64,7 +76,9 @@ def histogram_entropy(
     stats = long_df.groupBy(*keys).agg(
         F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(x).alias("_n"), F.count(F.lit(1)).alias("_rows")
     )
-    binned = join_null_safe(long_df, stats, keys).withColumn("_bin", bin_of(x, F.col("_lo"), F.col("_hi"), bins))
+    lo, hi = widened(F.col("_lo"), F.col("_hi"))
+    stats = stats.withColumns({"_lo": lo, "_hi": hi})
+    binned = with_bins(join_null_safe(long_df, stats, keys), {"_bin": (value, "_lo", "_hi")}, bins)
     hist = binned.groupBy(*keys, "_n", "_rows", "_bin").agg(F.count(F.lit(1)).alias("_cnt"))
     # NULL samples are a NULL bin, so that every group keeps a row
     ent = hist.groupBy(*keys).agg(

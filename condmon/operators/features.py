@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from condmon.functions import features as FX
 from condmon.functions.timestamps import snapshot_time
-from condmon.operators.entropy import bin_of, channel_range_aggs, plogp
+from condmon.operators.entropy import channel_range_aggs, widened, with_bins
 from condmon.operators.keys import join_null_safe
-from condmon.session import materialize
+from condmon.session import stage
 from condmon.schemas import BATCH_FEATURES, CHANNELS, ENTROPY_BINS, STREAM_FEATURES
 
 SNAPSHOT_KEY = ("test_set", "file")
@@ -66,48 +66,44 @@ def feature_table(
     1. one aggregation per snapshot with the plain features (mean of
        ``|x|``, rms, max, peak-to-peak, clearance and the ratios) and the
        per-channel count, sum, min and max; this table (one row per
-       snapshot) is checkpointed;
-    2. the wide sample rows join (1) once; each channel's sample gets its
-       histogram bin and its central terms ``(x - mean)^2..4``, which are
-       summed per ``(snapshot, channel, bin)`` — at most ``bins`` rows per
-       channel and task leave the partial aggregation — and then per snapshot,
-       for the entropy and the second pass of two-pass moments (std, skew,
-       kurtosis as pandas computes them).
-
-    The two results are joined on the snapshot key (one row per snapshot
-    on both sides; AQE picks the join from their measured size).
+       snapshot) is numbered and written, so that its size is known;
+    2. the wide sample rows meet its ranges and sums once more, for the central
+       sums ``(x - mean)^2..4`` of all channels (the two-pass moments std, skew
+       and kurtosis as pandas computes them) in one aggregation per snapshot,
+       and for the histograms: only (snapshot number, channel and bin in one
+       integer) is exploded and counted, at most ``bins`` rows per channel and
+       task after partial aggregation.
+
+    The join of the samples to (1) is a broadcast while that table measures
+    small, else a shuffle of the samples on the snapshot key, which AQE splits
+    where a snapshot is hot.  The results are joined per snapshot.
     """
     keys = list(keys)
     plain = [f for f in BATCH_FEATURES if f not in ("entropy", "std", "skew", "kurtosis")]
     moments = rows.groupBy(*keys).agg(*FX.feature_aggs(channels, plain), *channel_range_aggs(channels))
+    ident = keys
     if checkpoint:
-        moments = materialize(moments)
-    stats = moments.select(*keys, *[f"_{s}_{ch}" for ch in channels for s in ("lo", "hi", "n", "sx")])
+        moments = stage(moments.withColumn("_id", F.monotonically_increasing_id()), "moments")
+        ident = ["_id"]
+    stats = moments.select(*dict.fromkeys([*keys, *ident]), *[f"_{s}_{ch}" for ch in channels for s in ("n", "sx")], *[
+        c.alias(n) for ch in channels
+        for n, c in zip((f"_lo_{ch}", f"_hi_{ch}"), widened(F.col(f"_lo_{ch}"), F.col(f"_hi_{ch}")), strict=True)
+    ])
     wide = join_null_safe(rows.select(*keys, *channels), stats, keys)
-    terms = []
-    for i, ch in enumerate(channels):
-        x = F.col(ch)
-        n = F.col(f"_n_{ch}")
-        d = x - F.try_divide(F.col(f"_sx_{ch}"), n)
-        terms.append(
-            F.struct(
-                F.lit(i).alias("ch"), n.alias("n"), bin_of(x, F.col(f"_lo_{ch}"), F.col(f"_hi_{ch}"), bins).alias("bin"),
-                (d * d).alias("p2"), (d * d * d).alias("p3"), (d * d * d * d).alias("p4"),
-            )
-        )
-    long_df = wide.select(*keys, F.explode(F.array(*terms)).alias("t")).select(*keys, "t.*")
-    hist = long_df.groupBy(*keys, "ch", "n", "bin").agg(
-        F.count(F.lit(1)).alias("cnt"), *[F.sum(f"p{i}").alias(f"p{i}") for i in (2, 3, 4)]
+    central = []
+    for ch in channels:
+        d = F.col(ch) - F.try_divide(F.col(f"_sx_{ch}"), F.col(f"_n_{ch}"))
+        central += [F.sum(p).alias(f"_m{i}_{ch}") for i, p in ((2, d * d), (3, d * d * d), (4, d * d * d * d))]
+    central = wide.groupBy(*ident).agg(*central)
+    binned = with_bins(wide, {f"_bin_{ch}": (ch, f"_lo_{ch}", f"_hi_{ch}") for ch in channels}, bins)
+    codes = F.array(*[F.col(f"_bin_{ch}") + i * bins for i, ch in enumerate(channels)])
+    counted = binned.select(*ident, F.explode(codes).alias("_code")).where("_code IS NOT NULL")
+    counted = counted.groupBy(*ident, "_code").agg(F.count(F.lit(1)).alias("_c"))
+    clogc = F.col("_c") * F.log(F.col("_c"))
+    hists = counted.groupBy(*ident).agg(
+        *[F.sum(F.when(F.floor(F.col("_code") / bins) == i, clogc)).alias(f"_clogc_{ch}") for i, ch in enumerate(channels)]
     )
-    aggs = []
-    for i, ch in enumerate(channels):
-        mine = F.col("ch") == i
-        aggs.append(
-            F.sum(F.when(mine & F.col("bin").isNotNull(), plogp(F.col("cnt"), F.col("n")))).alias(f"_plogp_{ch}")
-        )
-        aggs += [F.sum(F.when(mine, F.col(f"p{i}"))).alias(f"_m{i}_{ch}") for i in (2, 3, 4)]
-    sums = hist.groupBy(*keys).agg(*aggs)
-    out = join_null_safe(moments, sums, keys, "left")
+    out = join_null_safe(join_null_safe(moments, central, ident, "left"), hists, ident, "left")
     select = [*keys]
     if file_col in keys:
         select.append(snapshot_time(file_col).alias("event_ts"))
@@ -120,8 +116,8 @@ def feature_table(
 
 
 def _two_pass_features(ch: str) -> dict:
-    """std, skew, kurtosis and entropy of one channel from its count, range
-    and central sums."""
+    """std, skew, kurtosis and entropy of one channel from its count, range,
+    central sums and the sum of ``c * ln(c)`` over its bin counts."""
     n = F.col(f"_n_{ch}").cast("double")
     rows = F.col("_rows").cast("double")
     flat = F.col(f"_hi_{ch}") == F.col(f"_lo_{ch}")
@@ -130,5 +126,5 @@ def _two_pass_features(ch: str) -> dict:
         "std": F.when(n >= 2, F.sqrt(m2 / (n - 1))),
         "skew": FX.skew_from_sums(n, m2, m3),
         "kurtosis": FX.kurtosis_from_sums(n, m2, m4),
-        "entropy": F.when(n < rows, F.lit(None).cast("double")).otherwise(-F.col(f"_plogp_{ch}") + 0.0),
+        "entropy": F.when((n == rows) & (n > 0), F.log(n) - F.col(f"_clogc_{ch}") / n + 0.0),
     }

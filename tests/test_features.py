@@ -88,3 +88,15 @@ def test_small_signals_as_pandas(spark):
         for name, want in (("skew", s.skew()), ("kurtosis", s.kurtosis())):
             assert table[f][f"b1_{name}"] == pytest.approx(want, rel=1e-6, abs=1e-9), (f, name)
             assert batch[f][f"b1_{name}"] == pytest.approx(want, rel=1e-6, abs=1e-9), (f, name)
+
+
+def test_feature_table_explodes_bin_codes_only(spark):
+    """No row that carries moments or samples is exploded."""
+    import re
+
+    from condmon.operators.features import feature_table
+
+    df = wide(spark, {"2004.01.01.00.00.00": [1.0, 2.0, 5.0]})
+    plan = feature_table(df)._jdf.queryExecution().optimizedPlan().toString()
+    made = re.findall(r"Generate explode\((.*)\), .*, \[(.*)\]", plan)
+    assert len(made) == 1 and made[0][1].startswith("_code") and "struct" not in made[0][0]
