@@ -813,30 +813,22 @@ def _rul_columns(sup: DataFrame) -> list[str]:
 
 def q_rul_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full model (500 trees) fitted, saved, loaded and applied to the
-    hold-out; per row whether the loaded model's prediction exists, equals the
-    fitted one's and lies in the label's range, and whether the model is
-    closer to the labels of all rows than their mean is."""
+    hold-out, on a feature for which its predictions have a closed form.
+
+    A feature of four values (the quarter of the snapshot) is told apart by
+    any tree of depth 3, the first tree has full weight, and the others find
+    nothing left: every prediction is the mean label of the training rows of
+    its quarter."""
     from condmon.plans import ml
-    sup = materialize(_supervised(spark, sf_dir))
-    trained = ml.train_rul(sup, _rul_columns(sup))
+
+    quarter = F.ceil(F.element_at(F.split("file", r"\."), 2).cast("int") / 3).cast("double")
+    cycles = rul_cycles(T.signal_rows(spark, sf_dir).select("test_set", "file").distinct())
+    rows = materialize(cycles.select("test_set", "file", quarter.alias("quarter"), F.col("rul").cast("double").alias("rul")))
+    trained = ml.train_rul(rows, ["quarter"])
     path = work_dir(spark, "rul-model")
     ml.save(trained.model, path)
-    pred = materialize(trained.test_predictions.select("test_set", "file", "rul", "rul_prediction", *trained.feature_cols))
-    again = ml.score_rul(ml.load(path), pred.drop("rul_prediction"), keep=("test_set", "file", "rul", *trained.feature_cols))
-    both = pred.join(again.select("test_set", "file", F.col("rul_prediction").alias("reloaded")), ["test_set", "file"])
-    top = sup.agg(F.max("rul")).first()[0]
-    all_rows = ml.score_rul(trained.model, sup, keep=("rul",))
-    err = all_rows.agg(
-        F.avg(F.pow(F.col("rul_prediction") - F.col("rul"), 2)), F.var_pop(F.col("rul").cast("double"))
-    ).first()
-    return both.select(
-        "test_set",
-        "file",
-        "rul",
-        F.coalesce(F.abs(F.col("rul_prediction") - F.col("reloaded")) < 1e-9, F.lit(False)).alias("reload_equal"),
-        F.coalesce(F.col("rul_prediction").between(1 - 0.1 * top, 1.1 * top), F.lit(False)).alias("in_range"),
-        F.lit(bool(err[0] < err[1])).alias("beats_mean"),
-    )
+    held_out = trained.test_predictions.select("test_set", "file", "quarter", "rul")
+    return compare_form(ml.score_rul(ml.load(path), held_out, keep=("test_set", "file", "rul")))
 
 
 _SQL_RUL = """
@@ -848,9 +840,12 @@ u AS (SELECT test_set, file, n - cycle + 1 AS rul FROM c)"""
 
 def sql_rul_gbt_predict() -> str:
     return f"""WITH {SQL_SIGNAL},{_SQL_RUL},
-h AS (SELECT *, ('0x' || substr(md5(test_set || '|' || file || '|42'), 1, 8))::BIGINT AS h FROM u),
-r AS (SELECT *, row_number() OVER (ORDER BY h, test_set, file) AS rn, count(*) OVER () AS n FROM h)
-SELECT test_set, file, rul, true AS reload_equal, true AS in_range, true AS beats_mean FROM r WHERE rn <= ceil(0.2 * n)"""
+h AS (SELECT *, ('0x' || substr(md5(test_set || '|' || file || '|42'), 1, 8))::BIGINT AS h,
+             ceil(CAST(string_split(file, '.')[2] AS INTEGER) / 3) AS quarter FROM u),
+r AS (SELECT *, row_number() OVER (ORDER BY h, test_set, file) AS rn, count(*) OVER () AS n FROM h),
+m AS (SELECT quarter, avg(rul) AS mean FROM r WHERE rn > ceil(0.2 * n) GROUP BY quarter)
+SELECT test_set, file, {r6('rul')} AS rul, {r6('mean')} AS rul_prediction
+FROM r JOIN m USING (quarter) WHERE rn <= ceil(0.2 * n)"""
 
 
 def _wear_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -909,6 +904,222 @@ def q_stream_update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_form(latest)
 
 
+def _arrive_and_run(spark: SparkSession, parts, make_stream, mode: str, crash_at: int | None = None, listener=None):
+    """Records arrive part by part (``parts``: frames of topic records); after
+    each the stream resumes from its checkpoint and drains what is new.  At
+    part ``crash_at`` the first attempt fails after its batch was written, so
+    the batch is replayed.  Returns the sink's rows, how often each batch was
+    written, and the last query."""
+    from pyspark.errors import StreamingQueryException
+
+    from condmon.streaming import bearing as SB
+
+    landing, sink, ckpt = work_dir(spark, "arrivals"), work_dir(spark, "arrivals-sink"), work_dir(spark, "arrivals-ckpt")
+    written: dict[int, int] = {}
+
+    def start(crash: bool):
+        write = SB.batch_writer(sink)
+
+        def writer(df: DataFrame, batch_id: int) -> None:
+            write(df, batch_id)
+            written[batch_id] = written.get(batch_id, 0) + 1
+            if crash:
+                raise RuntimeError("stopped after the write")
+
+        stream = make_stream(TP.topic_stream(spark, "files", landing))
+        w = stream.writeStream.outputMode(mode).foreachBatch(writer).option("checkpointLocation", ckpt)
+        return w.trigger(availableNow=True).start()
+
+    query = None
+    for i, part in enumerate(parts):
+        TP.write_messages(part, landing)
+        if i == crash_at:
+            try:
+                start(True).awaitTermination()
+            except StreamingQueryException as stopped:
+                if "stopped after the write" not in str(stopped):
+                    raise
+        query = start(False)
+        query.awaitTermination()
+        if listener:
+            listener.wait(query)
+    return SB.read_sink(spark, sink), written, query
+
+
+def _yearly_messages(spark: SparkSession, sf_dir: str) -> tuple[list[DataFrame], str]:
+    """The bearing records of each year, from the first to the last, and the
+    first year."""
+    records = T.bearing_records(spark, sf_dir)
+    year = F.substring("file", 1, 4).cast("int")
+    first, last = records.agg(F.min(year), F.max(year)).first()
+    parts = [TP.bearing_messages(records.where(F.col("file").startswith(str(y)))) for y in range(first, last + 1)]
+    return parts, str(first)
+
+
+def q_stream_finalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per snapshot from a watermarked append-mode aggregation.
+
+    The years arrive one after another.  With the last one come second copies
+    of the first year's records with other values: they lie before the
+    watermark and are dropped by rule.  Two records far in the future end the
+    stream: the first moves the watermark past all snapshots, and neither is
+    ever emitted itself."""
+    from condmon.streaming import bearing as SB
+
+    parts, first = _yearly_messages(spark, sf_dir)
+    records = T.bearing_records(spark, sf_dir)
+    late = records.where(F.col("file").startswith(first)).withColumn("b1", F.col("b1") + 1000)
+    parts[-1] = parts[-1].unionByName(TP.bearing_messages(late))
+    end = spark.range(1).select(
+        F.lit("bearing").alias("dataset"), F.lit("end").alias("test_set"), F.lit("end").alias("timestamp"),
+        F.lit("2200.01.01.00.00.00").alias("file"), *[F.lit(0.0).alias(c) for c in CHANNELS],
+    )
+    parts += [TP.bearing_messages(end)] * 2
+    out, _, _ = _arrive_and_run(spark, parts, lambda s: SB.bearing_feature_stream(s, finalize_after="1 hour"), "append")
+    return compare_form(out.drop("event_ts", "batch_id"))
+
+
+def q_stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stateless stream that is stopped after each part and resumes from its
+    checkpoint; the third batch fails after its write and is replayed.  Per
+    record the batch that holds it and how often that batch was written."""
+    from condmon.streaming import bearing as SB
+
+    rows = T.machine_rows(spark, sf_dir)
+    parts = [TP.toolwear_messages(rows.where(F.col("M1_sequence_number") % 4 == k)) for k in range(4)]
+    out, written, _ = _arrive_and_run(spark, parts, SB.toolwear_feature_stream, "append", crash_at=2)
+    tries = F.lit(None).cast("int")
+    for batch, n in written.items():  # one entry per batch
+        tries = F.when(F.col("batch_id") == batch, n).otherwise(tries)
+    out = out.withColumn("writes", tries)
+    return compare_form(out.select("experiment", "M1_sequence_number", "X1_ActualPosition", F.col("batch_id").cast("long").alias("batch_id"), "writes"))
+
+
+def sql_stream_recovery() -> str:
+    return f"""WITH {SQL_MACHINE}
+SELECT experiment, {r6('M1_sequence_number')} AS M1_sequence_number, {r6('X1_ActualPosition')} AS X1_ActualPosition,
+       CAST(M1_sequence_number AS BIGINT) % 4 AS batch_id,
+       CASE WHEN CAST(M1_sequence_number AS BIGINT) % 4 = 2 THEN 2 ELSE 1 END AS writes
+FROM mach"""
+
+
+def q_stream_recovery_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the stateful aggregation: after a replayed batch the state
+    counts no sample twice and loses none, so the latest version of every
+    snapshot is the batch aggregate."""
+    from condmon.streaming import bearing as SB
+
+    rows = T.bearing_records(spark, sf_dir)
+    parts = [TP.bearing_messages(rows.where(F.col("b4") % 3 == k)) for k in (-2, -1, 0, 1, 2)]
+    out, _, _ = _arrive_and_run(spark, parts, SB.bearing_feature_stream, "update", crash_at=1)
+    return compare_form(SB.latest_per_key(out, ["test_set", "file"]).drop("batch_id"))
+
+
+def q_stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that both streams publish with every micro-batch, gathered
+    by a listener across restarts: samples per year and records per part."""
+    from condmon.streaming import bearing as SB
+
+    totals = SB.MetricTotals()
+    spark.streams.addListener(totals)
+    try:
+        _, _, bearing = _arrive_and_run(
+            spark, _yearly_messages(spark, sf_dir)[0], SB.bearing_feature_stream, "update", listener=totals
+        )
+        rows = T.machine_rows(spark, sf_dir)
+        parts = [TP.toolwear_messages(rows.where(F.col("M1_sequence_number") % 3 == k)) for k in range(3)]
+        _, _, tool = _arrive_and_run(spark, parts, SB.toolwear_feature_stream, "append", listener=totals)
+    finally:
+        spark.streams.removeListener(totals)
+    return totals.table(spark, {"bearing": bearing, "toolwear": tool})
+
+
+def sql_stream_batch_metrics() -> str:
+    return """SELECT 'bearing' AS stream, CAST(year(l_shipdate) - (SELECT min(year(l_shipdate)) FROM lineitem) AS BIGINT) AS batch_id,
+       'bearing_samples.samples' AS metric, count(*) AS value FROM lineitem GROUP BY ALL
+UNION ALL
+SELECT 'toolwear', CAST(event_id % 3 AS BIGINT), 'toolwear_rows.rows', count(*) FROM events GROUP BY ALL"""
+
+
+def q_stream_as_soon_as_possible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving trigger: micro-batches start as soon as possible and the
+    query goes on until it is stopped; then the batch aggregate."""
+    from condmon.streaming import bearing as SB
+
+    landing = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "asap-landing", REPLAY_FILES)
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=FILES_PER_TRIGGER)
+    sink, ckpt = work_dir(spark, "asap-sink"), work_dir(spark, "asap-ckpt")
+    q = SB.start(SB.bearing_feature_stream(stream), sink, ckpt, "update", available_now=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return compare_form(SB.latest_per_key(SB.read_sink(spark, sink), ["test_set", "file"]).drop("batch_id"))
+
+
+def q_publish_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per topic that each choice of datasets publishes; a choice that
+    names none publishes nothing."""
+    bearing = TP.bearing_messages(T.bearing_records(spark, sf_dir))
+    tool = TP.toolwear_messages(T.machine_rows(spark, sf_dir))
+    out = None
+    for choice in ("bearing", "ToolWear", "BOTH", "neither", ""):
+        chosen = TP.select_datasets(choice, bearing, tool)
+        if chosen is not None:
+            part = chosen.groupBy(F.lit(choice).alias("choice"), "topic").agg(F.count(F.lit(1)).alias("records"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def sql_publish_selected() -> str:
+    from condmon.schemas import BEARING_TOPIC
+
+    return f"""WITH n AS (SELECT '{BEARING_TOPIC}' AS topic, count(*) AS records FROM lineitem
+      UNION ALL SELECT '{TOOLWEAR_TOPIC}', count(*) FROM events)
+SELECT choice, topic, records FROM n, (VALUES ('bearing', true, false), ('ToolWear', false, true), ('BOTH', true, true)) c(choice, b, t)
+WHERE CASE WHEN topic = '{BEARING_TOPIC}' THEN b ELSE t END"""
+
+
+def q_training_input_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the training jobs say of incomplete inputs made from the tables:
+    each test set left out in turn, no label column, no known feature."""
+    import warnings
+
+    from condmon.plans import ml
+    from condmon.plans.training import require_sets
+
+    def outcome(check) -> str:
+        with warnings.catch_warnings(record=True) as said:
+            warnings.simplefilter("always")
+            try:
+                check()
+            except (RuntimeError, ValueError) as e:
+                return f"{type(e).__name__}: {e}"
+        own = [w for w in said if w.category is UserWarning]
+        return f"warning: {own[0].message}" if own else "passes"
+
+    sets = T.signal_rows(spark, sf_dir).select("test_set").distinct()
+    tool = _wear_training_rows(spark, sf_dir)
+    known = ["experiment", "M1_sequence_number", "tool_condition"]
+    cases = {"all sets": outcome(lambda: require_sets(spark, sets))}
+    for name in ("1st_test", "2nd_test", "3rd_test"):
+        cases[f"without {name}"] = outcome(lambda n=name: require_sets(spark, sets.where(F.col("test_set") != n)))
+    cases["no label"] = outcome(lambda: ml.train_wear(tool.drop("tool_condition"), known[:2]))
+    cases["no feature"] = outcome(lambda: CL.existing_columns(tool.select("experiment", "tool_condition"), ["feedrate"]))
+    return spark.createDataFrame(list(cases.items()), "input string, outcome string")
+
+
+def sql_training_input_checks() -> str:
+    return f"""WITH {SQL_SIGNAL},
+s AS (SELECT DISTINCT test_set FROM sig),
+w AS (SELECT '1st_test' AS t UNION SELECT '2nd_test' UNION SELECT '3rd_test')
+SELECT 'all sets' AS input, CASE WHEN count(*) = 3 THEN 'passes' END AS outcome FROM s
+UNION ALL SELECT 'without ' || t, CASE t WHEN '3rd_test' THEN 'warning: no snapshots of 3rd_test; training on the other sets'
+                                         ELSE 'RuntimeError: no snapshots of ' || t END FROM w JOIN s ON t = test_set
+UNION ALL SELECT 'no label', 'ValueError: expected a ''tool_condition'' column'
+UNION ALL SELECT 'no feature', 'ValueError: no candidate feature column is present in the data'"""
+
+
 def q_stream_append_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool-wear records through the stateless stream, scored per
     micro-batch by the full wear model trained on the same data and loaded

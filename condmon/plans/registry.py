@@ -43,6 +43,13 @@ def queries() -> dict[str, QueryFn]:
         "stream_serve_both": C.q_stream_serve_both,
         "rul_gbt_predict": C.q_rul_gbt_predict,
         "wear_gbt_predict": C.q_wear_gbt_predict,
+        "stream_finalized": C.q_stream_finalized,
+        "stream_recovery": C.q_stream_recovery,
+        "stream_recovery_state": C.q_stream_recovery_state,
+        "stream_batch_metrics": C.q_stream_batch_metrics,
+        "stream_as_soon_as_possible": C.q_stream_as_soon_as_possible,
+        "publish_selected": C.q_publish_selected,
+        "training_input_checks": C.q_training_input_checks,
         "unreliable_rows": C.q_unreliable_rows,
         "active_machining": C.q_active_machining,
         "elapsed_time": C.q_elapsed_time,
@@ -82,6 +89,13 @@ def oracle_sql() -> dict[str, str]:
         "label_encode_decode": C.sql_label_encode_decode(),
         # the streamed result must equal the batch aggregate
         "stream_update_latest": C.sql_bearing_features_stream(),
+        "stream_finalized": C.sql_bearing_features_stream(),
+        "stream_recovery": C.sql_stream_recovery(),
+        "stream_recovery_state": C.sql_bearing_features_stream(),
+        "stream_batch_metrics": C.sql_stream_batch_metrics(),
+        "stream_as_soon_as_possible": C.sql_bearing_features_stream(),
+        "publish_selected": C.sql_publish_selected(),
+        "training_input_checks": C.sql_training_input_checks(),
         "unreliable_rows": C.sql_unreliable_rows(),
         "active_machining": C.sql_active_machining(),
         "elapsed_time": C.sql_elapsed_time(),

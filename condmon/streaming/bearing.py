@@ -61,14 +61,17 @@ def toolwear_feature_stream(records: DataFrame, observe: bool = True) -> DataFra
 
 
 class MetricTotals(StreamingQueryListener):
-    """Running totals of observed metrics over all micro-batches of a session
-    (D22).  ``recentProgress`` forgets old batches; a listener sees each once.
+    """Observed metrics of all micro-batches of a session (D22), per batch and
+    as running totals.  ``recentProgress`` forgets old batches; a listener sees
+    each once.
 
         totals = MetricTotals(); spark.streams.addListener(totals)
     """
 
     def __init__(self):
         self.totals: dict[tuple[str, str, str], int] = {}
+        self.batches: dict[tuple[str, int, str, str], int] = {}
+        self.ended: set[str] = set()
 
     def onQueryStarted(self, event):
         pass
@@ -79,16 +82,37 @@ class MetricTotals(StreamingQueryListener):
             for field, value in row.asDict().items():
                 key = (str(p.id), name, field)
                 self.totals[key] = self.totals.get(key, 0) + int(value or 0)
+                self.batches[str(p.id), int(p.batchId), name, field] = int(value or 0)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        self.ended.add(str(event.runId))
 
     def total(self, query: StreamingQuery, name: str, field: str) -> int:
         return self.totals.get((str(query.id), name, field), 0)
 
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until the events of a query's run have arrived: they come after it
+        has ended."""
+        limit = time.time() + seconds
+        while str(query.runId) not in self.ended:
+            if time.time() > limit:
+                raise TimeoutError("the stream's last events have not arrived")
+            time.sleep(0.05)
+
+    def table(self, spark, queries: dict[str, StreamingQuery]) -> DataFrame:
+        """``stream, batch_id, metric, value`` per micro-batch of the named
+        queries: one row per batch and metric, of which the driver is told."""
+        names = {str(q.id): name for name, q in queries.items()}
+        rows = [
+            (names[q], batch, f"{metric}.{field}", value)
+            for (q, batch, metric, field), value in sorted(self.batches.items())
+            if q in names
+        ]
+        return spark.createDataFrame(rows, "stream string, batch_id bigint, metric string, value bigint")
+
 
 def batch_writer(sink_path: str, scorer: Scorer | None = None, columns: Sequence[str] | None = None,
                  jdbc: dict | None = None):
