@@ -96,24 +96,31 @@ FROM t JOIN k USING (conv_id) GROUP BY ALL"""
 
 def line_dedup_sql() -> str:
     """Windows of whole lines compared as text."""
-    w = linededup.WINDOW
+    w = linededup.WORDS
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return f"""
 WITH l AS (
   SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ln,
          unnest(string_split(text, chr(10))) AS raw
   FROM documents),
 n AS (
-  SELECT doc_id, ln, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line,
-         row_number() OVER (PARTITION BY doc_id ORDER BY ln) - 1 AS pos
-  FROM l WHERE trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''),
+  SELECT doc_id, ln, trim(raw, {space}) AS line, row_number() OVER (PARTITION BY doc_id ORDER BY ln) - 1 AS pos,
+         greatest(len(regexp_extract_all(raw, '{_WORD}')), length(trim(raw, {space})) // {linededup.WORD_CHARS}) AS words
+  FROM l WHERE trim(raw, {space}) <> ''),
+c AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto, sum(words) OVER (PARTITION BY doc_id) AS total,
+         count(*) OVER (PARTITION BY doc_id) AS n_lines FROM n),
+e AS (  -- the line with which the words from each line on suffice
+  SELECT a.doc_id, a.pos, b.pos AS last FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.pos < a.pos + {w}
+    AND b.upto - (a.upto - a.words) >= {w} AND b.upto - b.words - (a.upto - a.words) < {w}
+  UNION ALL SELECT doc_id, 0, n_lines - 1 FROM c WHERE pos = 0 AND total < {w}),
 v AS (
-  SELECT doc_id, pos, string_agg(line, chr(10)) OVER x AS content, count(*) OVER x AS c FROM n
-  WINDOW x AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING)),
+  SELECT e.doc_id, e.pos, e.last, string_agg(n.line, chr(10) ORDER BY n.pos) AS content
+  FROM e JOIN n ON e.doc_id = n.doc_id AND n.pos BETWEEN e.pos AND e.last GROUP BY ALL),
 r AS (
-  SELECT doc_id, pos FROM (
-    SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) AS nth FROM v WHERE c = {w}) WHERE nth > 1),
+  SELECT doc_id, pos, last FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) AS nth FROM v) WHERE nth > 1),
 g AS (
-  SELECT DISTINCT n.doc_id, n.ln FROM n JOIN r ON n.doc_id = r.doc_id AND n.pos BETWEEN r.pos AND r.pos + {w - 1}),
+  SELECT DISTINCT n.doc_id, n.ln FROM n JOIN r ON n.doc_id = r.doc_id AND n.pos BETWEEN r.pos AND r.last),
 a AS (
   SELECT doc_id, count(*) AS n_removed, string_agg(ln::VARCHAR, ',' ORDER BY ln) AS removed_lines FROM g GROUP BY doc_id),
 k AS (

@@ -41,7 +41,7 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(read_table(spark, sf_dir, "documents"), linededup.WINDOW)
+    return linededup.dedup_lines(read_table(spark, sf_dir, "documents"), words=linededup.WORDS)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
