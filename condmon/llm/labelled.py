@@ -2,7 +2,9 @@
 
 Only rows outside the held-out fold (``crc32(doc_id as text) mod 5 = 0``) are
 learned from.  The sample is bounded by ``PER_CLASS`` documents per class of at
-most ``MAX_CHARS`` characters each; whole texts are used.  Statistics of the
+most ``MAX_CHARS`` characters each; whole texts are used.  It is drawn from the
+labelled documents that have such a text, so ids without one do not thin it
+out.  Statistics of the
 labels (the class shares) cover all training labels.
 """
 
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from condmon.llm.common import held_out, shuffle_key
+from condmon.llm.common import held_out, save, shuffle_key
 
 FOLDS, HELD_OUT = 5, 0
 PER_CLASS = 1500
@@ -38,9 +40,11 @@ def training_sample(
     counts = {r["good"]: r["count"] for r in known.groupBy("good").count().collect()}
     total = sum(counts.values())
     share = {c: counts.get(c, 0) / total if total else 0.5 for c in (0, 1)}
+    usable = docs.where(F.length("text").between(1, max_chars)).select("doc_id").distinct()
+    there = save(known.join(usable, "doc_id", "left_semi"), "labels")
     picked = []
     for c in (0, 1):
-        top = known.where(F.col("good") == c).orderBy(shuffle_key(seed, F.col("doc_id")), "doc_id").limit(per_class)
+        top = there.where(F.col("good") == c).orderBy(shuffle_key(seed, F.col("doc_id")), "doc_id").limit(per_class)
         picked += [(r["doc_id"], c) for r in top.select("doc_id").collect()]
     if not picked:
         return [], share

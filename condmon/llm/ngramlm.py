@@ -22,7 +22,8 @@ The trie has two levels of files in the shared folder:
 
 Tasks map the files into memory and look up batches of sorted bigrams: the
 pointers give a context's range, a successor search its child; nothing is
-decoded as a whole and nothing of the model is on the heap or the driver.
+decoded as a whole and nothing of the model is on the heap or the driver.  A task keeps the
+``OPEN_SHARDS`` shards of a level that it used last.
 
 Scale: counts are taken over all training documents.  A map task counts its
 own words and bigrams in bounded buffers and sends sorted, compressed runs
@@ -36,6 +37,8 @@ written under a private name and renamed, so a task that runs again replaces
 them.  The shared folder must be a file path on all machines, as a mapped
 file has to be; pass ``folder`` if ``spark.checkpoint.dir`` is not.
 
+Limit: 2^31 distinct words, beyond which ``train`` raises an error.
+
 Defined cases: NULL counts as the empty text (one end token); without
 training rows every token is unknown; very long texts are read in parts;
 repeated rows count and score like any others; a NULL ``doc_id`` hashes as
@@ -65,6 +68,8 @@ SHARD_BYTES = 32 << 20
 WORD_BUFFER, PAIR_BUFFER, GROUP_WORDS = 300_000, 2_000_000, 1_000_000
 #: Runs of a bigram shard that its last merge gets at most.
 FAN = 64
+#: Shards of a level that a task keeps mapped at once.
+OPEN_SHARDS = 1024
 END = b"\n"  # no word contains white space
 _ID_BITS = 32
 
@@ -122,6 +127,17 @@ def _pad(codes):
     return out.view(np.uint64)
 
 
+def _kept(open_shards: dict, k: int, load):
+    """The shard ``k`` of ``open_shards``, which holds the last used ones."""
+    if k in open_shards:
+        open_shards[k] = open_shards.pop(k)
+    else:
+        while len(open_shards) >= OPEN_SHARDS:
+            open_shards.pop(next(iter(open_shards)))  # its mapping ends with its last view
+        open_shards[k] = load(k)
+    return open_shards[k]
+
+
 class Level1:
     """Words: hash -> id, id -> count."""
 
@@ -130,15 +146,16 @@ class Level1:
         self.open: dict[int, tuple] = {}
 
     def shard(self, k: int):
+        return _kept(self.open, k, self._load)
+
+    def _load(self, k: int):
         import numpy as np
 
         from condmon.llm.eliasfano import View
 
-        if k not in self.open:
-            words = np.memmap(os.path.join(self.folder, f"words-{k:06d}"), np.uint64, "r")
-            hashes = View(words)
-            self.open[k] = hashes, View(words[hashes.words :])
-        return self.open[k]
+        words = np.memmap(os.path.join(self.folder, f"words-{k:06d}"), np.uint64, "r")
+        hashes = View(words)
+        return hashes, View(words[hashes.words :])
 
     def find(self, hashes):
         """Ids and counts of sorted word hashes (-1 and 0 if unknown)."""
@@ -186,22 +203,22 @@ class Level2:
         return -(-k * self.contexts // self.shards)
 
     def shard(self, k: int):
+        return _kept(self.open, k, self._load)
+
+    def _load(self, k: int):
         import numpy as np
 
         from condmon.llm.eliasfano import View
 
-        if k not in self.open:
-            path = os.path.join(self.folder, f"pairs-{k:06d}")
-            if not os.path.exists(path):  # no bigram of these contexts
-                self.open[k] = None
-            else:
-                words = np.memmap(path, np.uint64, "r")
-                pointers = View(words)
-                children = View(words[pointers.words :])
-                rest = words[pointers.words + children.words :]
-                n = -(-children.n // 4)
-                self.open[k] = pointers, children, rest[:n].view(np.uint16), rest[n:].view(np.uint16)
-        return self.open[k]
+        path = os.path.join(self.folder, f"pairs-{k:06d}")
+        if not os.path.exists(path):  # no bigram of these contexts
+            return None
+        words = np.memmap(path, np.uint64, "r")
+        pointers = View(words)
+        children = View(words[pointers.words :])
+        rest = words[pointers.words + children.words :]
+        n = -(-children.n // 4)
+        return pointers, children, rest[:n].view(np.uint16), rest[n:].view(np.uint16)
 
     def find(self, keys, tail):
         """log10 P for sorted, distinct keys ``context << 32 | word``; ``tail``
@@ -547,8 +564,8 @@ def train(docs: DataFrame, folder: str | None = None, shard_bytes: int = SHARD_B
     for r in meta:
         n[r["shard"] + 1] = r["n"]
     trie = Trie(folder, bits, np.cumsum(n), sum(r["tokens"] for r in meta), int(shards))
-    if trie.vocabulary >= 1 << _ID_BITS:
-        raise ValueError("the vocabulary outgrows 32-bit word ids")
+    if trie.vocabulary >= 1 << _ID_BITS - 1:  # a context and a word share a signed 64-bit key
+        raise ValueError("more than 2^31 distinct words")
     _write_pairs(_few_runs(_count_pairs(texts, trie)), trie).agg(F.sum("n")).first()
     return trie
 

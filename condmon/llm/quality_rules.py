@@ -8,8 +8,11 @@ sample that the weights have not seen, and scored in Arrow batches against
 the fixed threshold ``KEEP``.
 
 Scale: one scan of whole texts, no shuffle; texts are taken in groups of at
-most ``GROUP_WORDS`` words (or one text), so memory follows the longest text;
-the broadcast model is one table of ``2 ** BITS`` weights.
+most ``GROUP_WORDS`` words.  A text of over ``LONG_BYTES`` is read in pieces:
+sums run on across them, with a word and two bytes carried over, and what
+looks at the whole text keeps a number per word and a digest per line; its
+three-word windows are then compared in parts of at most ``WINDOWS``.  The
+broadcast model is one table of ``2 ** BITS`` weights.
 
 Base rules per text, with words as maximal runs without ASCII whitespace:
 ``n_words``; ``word_chars`` (code points in words); ``n_symbols`` (characters
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from condmon.llm.calibration import apply_platt, fit_platt
-from condmon.llm.common import map_texts
+from condmon.llm.common import map_texts, pieces
 from condmon.llm.labelled import training_sample
 
 SEED = "quality-rules-1"
@@ -43,6 +46,8 @@ SYMBOLS = b"#*$%&|<>"
 BITS = 18
 KEEP = 0.3
 GROUP_WORDS = 200_000
+LONG_BYTES = 1 << 20
+WINDOWS = 2_000_000
 _MIX = 0x9E3779B97F4A7C15
 
 
@@ -101,8 +106,7 @@ class Features:
         if len(b) < 3:
             yield np.zeros(0, np.int64), np.zeros(0, np.int32)
             return
-        gram = b[:-2].astype(np.uint32) | b[1:-1].astype(np.uint32) << 8 | b[2:].astype(np.uint32) << 16
-        slot = ((gram + np.uint32(1)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+        slot = _gram_slots(b)
         owner = np.repeat(np.arange(len(self.n_bytes), dtype=np.int32), self.n_bytes)
         inside = owner[2:] == owner[:-2]
         yield owner[2:][inside], slot[inside].astype(np.int32)
@@ -122,12 +126,7 @@ class Features:
         import numpy as np
 
         starts = np.cumsum(self.n_bytes) - self.n_bytes
-        kind = np.zeros(256, np.uint8)  # 1: begins a code point of a word, 2: a symbol
-        kind[:] = 1
-        kind[0x80:0xC0] = 0
-        kind[[0x20, *range(0x09, 0x0E)]] = 0
-        symbol = np.zeros(256, np.uint8)
-        symbol[list(SYMBOLS)] = 1
+        kind, symbol = _kinds()
         chars, symbols = _sums(kind[self.bytes], starts, self.n_bytes), _sums(symbol[self.bytes], starts, self.n_bytes)
         lines = [duplicate_lines(t) for t in self.texts]
         ends = np.cumsum(self.n_words)
@@ -135,6 +134,63 @@ class Features:
         return chars, symbols, lines, repeats
 
 
+def _gram_slots(b):
+    """Table index of every three bytes in a row."""
+    import numpy as np
+
+    gram = b[:-2].astype(np.uint32) | b[1:-1].astype(np.uint32) << 8 | b[2:].astype(np.uint32) << 16
+    return ((gram + np.uint32(1)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+
+
+def _kinds():
+    """Per byte: whether it begins a code point of a word, and is a symbol."""
+    import numpy as np
+
+    kind = np.ones(256, np.uint8)
+    kind[0x80:0xC0] = 0
+    kind[[0x20, *range(0x09, 0x0E)]] = 0
+    symbol = np.zeros(256, np.uint8)
+    symbol[list(SYMBOLS)] = 1
+    return kind, symbol
+
+
+def long_text(text: bytes, weights=None):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the
+    logit of a text, read in pieces."""
+    import numpy as np
+    import xxhash
+
+    mix, down = np.uint64(_MIX), np.uint64(64 - BITS)
+    kind, symbol = _kinds()
+    index: dict[bytes, int] = {}
+    parts, totals, counts = [], np.zeros(3), np.zeros(3, np.int64)
+    n_words = chars = symbols = 0
+    last, tail = np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+    for piece in pieces(text, LONG_BYTES):
+        words = piece.split()
+        ids = np.array([index.setdefault(w, len(index)) for w in words], np.int32)
+        parts.append(ids)
+        n_words += len(ids)
+        data = np.frombuffer(piece, np.uint8)
+        chars += int(kind[data].sum(dtype=np.int64))
+        symbols += int(symbol[data].sum(dtype=np.int64))
+        if weights is None:
+            continue
+        own, back = np.unique(ids, return_inverse=True)
+        first = np.empty(len(own), np.int64)
+        first[back[::-1]] = np.arange(len(ids))[::-1]
+        h = np.fromiter((xxhash.xxh64_intdigest(words[i]) for i in first), np.uint64, len(own))[back]
+        run, data = np.concatenate([last, h]), np.concatenate([tail, data])
+        pair = (run[:-1] * mix + run[1:]) * mix
+        for k, slot in enumerate((h * mix >> down, pair >> down, _gram_slots(data) if len(data) > 2 else data[:0])):
+            totals[k] += weights[slot.astype(np.int64)].sum(dtype=np.float64)
+            counts[k] += len(slot)
+        last, tail = run[-1:], data[-2:]
+    ids = np.concatenate(parts)
+    logit = float((totals / np.maximum(counts, 1)).sum())
+    return n_words, chars, symbols, duplicate_lines(text), repeated_words(ids), logit
+
+
 def _sums(values, starts, lengths):
     import numpy as np
 
@@ -143,16 +199,28 @@ def _sums(values, starts, lengths):
 
 
 def duplicate_lines(text: bytes) -> int:
-    lines = text.split(b"\n")
-    if len(lines) < 2:
-        return 0
+    """Lines with a word that equal an earlier one, told by a 128-bit digest
+    where they are long."""
+    import xxhash
+
     seen: set[bytes] = set()
-    n = 0
-    for line in lines:
-        if line in seen:
+    n, start = 0, 0
+    while start <= len(text):
+        end = text.find(b"\n", start)
+        if end < 0:
+            end = len(text)
+        if not start and end == len(text):
+            return 0
+        line = text[start:end]
+        start = end + 1
+        if len(line) > 64:
+            key = b"\n" + xxhash.xxh3_128_digest(line)
+        else:
+            key = line
+        if key in seen:
             n += 1
         elif line.strip():
-            seen.add(line)
+            seen.add(key)
     return n
 
 
@@ -162,21 +230,35 @@ def repeated_words(ids) -> int:
 
     if len(ids) < 4:
         return 0
-    if int(ids.max()) < 1 << 21:
-        key = ids[:-2] << 42 | ids[1:-1] << 21 | ids[2:]
+    cover = np.zeros(len(ids), bool)
+    parts = -(-len(ids) // WINDOWS)
+    # equal windows have equal numbers of their words, so they are in one part
+    part = (ids[:-2].astype(np.uint32) * np.uint32(0x9E3779B1) + ids[2:].astype(np.uint32)) % np.uint32(parts) if parts > 1 else None
+    for k in range(parts):
+        at = np.arange(len(ids) - 2) if part is None else np.flatnonzero(part == k)
+        hit = at[_repeated(ids[at], ids[at + 1], ids[at + 2])]
+        for j in range(3):
+            cover[hit + j] = True
+    return int(cover.sum())
+
+
+def _repeated(a, b, c):
+    """Which of the triples occur at least twice."""
+    import numpy as np
+
+    a, b, c = (x.astype(np.int64) for x in (a, b, c))
+    if not len(a):
+        return np.zeros(0, bool)
+    if max(int(a.max()), int(b.max()), int(c.max())) < 1 << 21:
+        key = a << 42 | b << 21 | c
     else:  # more words than fit three to a key: number the pairs first
-        _, pair = np.unique(ids[:-1] << 32 | ids[1:], return_inverse=True)
-        key = pair[:-1].astype(np.int64) << 32 | ids[2:]
+        _, pair = np.unique(a << 32 | b, return_inverse=True)
+        key = pair.astype(np.int64) << 32 | c
     ordered = np.sort(key)
     twice = ordered[1:][ordered[1:] == ordered[:-1]]
     if not len(twice):
-        return 0
-    at = np.searchsorted(twice, key)
-    hit = twice[np.minimum(at, len(twice) - 1)] == key
-    cover = np.zeros(len(ids), bool)
-    for k in range(3):
-        cover[k : k + len(hit)] |= hit
-    return int(cover.sum())
+        return np.zeros(len(key), bool)
+    return twice[np.minimum(np.searchsorted(twice, key), len(twice) - 1)] == key
 
 
 def _train(rows: list[tuple[bytes, int]], rounds: int = 60, rate: float = 3.0, decay: float = 1e-4):
@@ -236,17 +318,25 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, keep=("doc_id",)) -> Da
 
         model = shared.value
 
+        def chance(logits):
+            if model.platt is None:
+                return np.full(len(logits), model.constant)
+            return apply_platt(model.platt, np.asarray(logits, float)[:, None])
+
         def fn(texts):
-            cols = [[] for _ in range(6)]
-            for part, words in groups(texts):
+            rows: list = [None] * len(texts)
+            short = [i for i, t in enumerate(texts) if len(t or b"") <= LONG_BYTES]
+            at = iter(short)
+            for part, words in groups([texts[i] for i in short]):
                 f = Features(part, words)
-                if model.platt is None:
-                    p = np.full(len(part), model.constant)
-                else:
-                    p = apply_platt(model.platt, f.logits(model.weights)[:, None])
-                for col, new in zip(cols, (f.n_words, *f.base(), p), strict=True):
-                    col.extend(new.tolist() if hasattr(new, "tolist") else new)
-            return cols
+                p = chance(f.logits(model.weights) if model.platt else np.zeros(len(part)))
+                for values in zip(f.n_words.tolist(), *f.base(), p.tolist(), strict=True):
+                    rows[next(at)] = values
+            for i, t in enumerate(texts):
+                if rows[i] is None:
+                    *counts, logit = long_text(t, model.weights if model.platt else None)
+                    rows[i] = (*counts, float(chance([logit])[0]))
+            return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 6
 
         return fn
 

@@ -79,6 +79,30 @@ def test_edge_cases_and_shards(spark, docs_of, shard_bytes):
         close(r, model.score([*texts, long][r["doc_id"]]))
 
 
+def test_many_shards_and_few_open_maps(spark, docs_of, monkeypatch):
+    """Shards are mapped and let go again in turn; scores stay the same."""
+    texts = [" ".join(f"w{(i * k) % 97}" for k in range(60)) for i in range(40)]
+    docs = docs_of(texts)
+    trie = ngramlm.train(docs, shard_bytes=200)
+    assert trie.shards > 40
+    want = {r["doc_id"]: r["score"] for r in ngramlm.score(docs, trie).collect()}
+    monkeypatch.setattr(ngramlm, "OPEN_SHARDS", 3)
+    level1, level2 = trie.levels()
+    model = Brute(texts)
+    for i, text in enumerate(texts):
+        words = [*text.encode().split(), ngramlm.END]
+        hashes = np.array([ngramlm.word_hash(w) for w in words], np.uint64)
+        order = np.argsort(hashes)
+        ids, counts = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        ids[order], counts[order] = level1.find(hashes[order])
+        assert (ids >= 0).all() and len(level1.open) <= 3
+        keys = np.concatenate([[trie.begin], ids[:-1]]) << 32 | ids
+        distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
+        logp = level2.find(distinct, trie.log_unigram(counts[first]))[back]
+        assert len(level2.open) <= 3 and logp.sum() == pytest.approx(want[i], abs=1e-9)
+        assert abs(logp.sum() - model.score(text)[3]) <= 2 * ngramlm.STEP * len(words)
+
+
 def test_probabilities_sum_to_one(spark, docs_of):
     texts = ["a b a c", "b b c a", "c"]
     trie = ngramlm.train(docs_of(texts))

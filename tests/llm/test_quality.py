@@ -89,3 +89,82 @@ def test_zstd_edge_cases(spark, docs_of):
     docs = docs_of(["kept", None])
     assert Z.drop_low_quality(docs, labels).collect() == docs.collect()
     assert Z.quality_scores(docs_of([]), labels).count() == 0
+
+
+def sample(spark, docs_of, extra=()):
+    good = [f"the quiet river runs past house {i} and its green old garden wall\n" * 3 for i in range(60)]
+    bad = [f"buy$$$ now*** {i} win### cash&&& click%%% " * 4 for i in range(60)]
+    texts = [t for p in zip(good, bad, strict=True) for t in p]
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(120)], "doc_id bigint, quality int, toxic int")
+    return [*texts, *extra], docs_of([*texts, *extra]), labels
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    """Pieces of any size, and windows in parts, give the same values."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    weights = rng.normal(size=1 << R.BITS).astype(np.float32)
+    words = [f"wörd{i}" for i in range(40)] + ["#a", "b"]
+    for k in range(25):
+        text = "".join(rng.choice(words) + rng.choice([" ", "\n", "\n\n", " \t"]) for _ in range(k * k)).encode()
+        f = R.Features([text], [text.split()])
+        chars, symbols, lines, repeats = f.base()
+        want = (len(text.split()), int(chars[0]), int(symbols[0]), lines[0], repeats[0])
+        assert want == brute(text.decode())[0]
+        for size, part in ((40, 7), (1 << 20, 1 << 20), (300, 50)):
+            monkeypatch.setattr(R, "LONG_BYTES", size)
+            monkeypatch.setattr(R, "WINDOWS", part)
+            *counts, logit = R.long_text(text, weights)
+            assert tuple(counts) == want and logit == pytest.approx(float(f.logits(weights)[0]), abs=1e-9)
+
+
+def test_a_long_text_among_short_ones(spark, docs_of, monkeypatch):
+    long = "the quiet river runs past house and old garden\n" * 30_000 + "x " * 10
+    texts, docs, labels = sample(spark, docs_of, [long, "a b c"])
+    rows = {r["doc_id"]: r for r in R.quality_verdicts(docs, labels).collect()}
+    for i in (0, 1, 120, 121):
+        assert tuple(rows[i][c] for c in COUNTS) == brute(texts[i])[0]
+    assert rows[120]["score"] > 0.5 > rows[1]["score"]
+
+
+@pytest.mark.parametrize("fit", [R.quality_verdicts, Z.quality_scores])
+def test_edge_texts_through_a_fitted_model(spark, docs_of, fit):
+    texts, docs, labels = sample(spark, docs_of, [*TEXTS, *TEXTS])
+    rows = {r["doc_id"]: r for r in fit(docs, labels).collect()}
+    assert len(rows) == len(texts) and all(0 <= r["score"] <= 1 for r in rows.values())
+    n = len(TEXTS)
+    for k in range(n):  # repeated texts score alike
+        assert rows[120 + k]["score"] == rows[120 + n + k]["score"]
+    assert rows[120]["score"] == rows[121]["score"] and len({r["score"] for r in rows.values()}) > 10
+
+
+def test_zstd_scores_recomputed(spark):
+    """Each score from the dictionaries and coefficients of a fit, by hand."""
+    import math
+
+    import zstandard as zs
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    m = Z.fit(docs, labels)
+    size = lambda t, d=None: len(
+        zs.ZstdCompressor(level=Z.LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False,
+                          **({"dict_data": zs.ZstdCompressionDict(d)} if d else {})).compress(t)
+    )
+    mean, scale, beta = m.platt
+    rows = {r["doc_id"]: r["score"] for r in queries()["op7_quality_classifier"](spark, SF).collect()}
+    for r in docs.where("doc_id % 9 = 0").collect():
+        t = r["text"].encode()
+        diff, own, n = size(t, m.bad) - size(t, m.good), size(t), len(t)
+        x = (diff / n, diff / own, diff * own / n**2, own / n)
+        z = sum((v - a) / b * c for v, a, b, c in zip(x, mean, scale, beta, strict=False)) + beta[-1]
+        assert rows[r["doc_id"]] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+
+
+def test_labels_without_texts_do_not_thin_out_the_sample(spark, docs_of):
+    from condmon.llm.labelled import training_sample
+
+    texts, docs, labels = sample(spark, docs_of, ["x" * 30_000])
+    absent = spark.createDataFrame([(i, i % 2, 0) for i in range(120, 4000)], "doc_id bigint, quality int, toxic int")
+    rows, _ = training_sample(docs, labels.union(absent), "s", per_class=20)
+    assert len(rows) == 40 and {t.decode() for t, _ in rows} <= set(texts[:120])
