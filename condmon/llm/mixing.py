@@ -21,9 +21,11 @@ block) with at most ``MAX_PASSES`` slots and ``BLOCK_TOKENS`` documents per
 key, so a source holding a third of all words is spread evenly.  Per-source
 tables have one row per source.  DataFrame functions only.
 
+``mix_documents`` gives whole documents; their words come near the targets.
+
 Defined cases: NULL or wordless texts have size 0 and are never taken; a NULL
-source is a source of its own, last in order; repeated rows are separate
-rows; a table without words takes nothing; extra columns are ignored.
+source is a source of its own, last in order; very long texts span many
+blocks; repeated rows are separate rows; a table without words takes nothing; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from condmon.llm.common import (
-    WORD,
     bucket_bits,
     first_of,
     group_key,
@@ -51,6 +52,8 @@ BLOCK_TOKENS = 1024
 SEED = "mix-1"
 #: Cells of a source that one row of the interval table stands for.
 CELL_CHUNK = 4096
+#: Copies of a mixed document that one row stands for.
+COPY_CHUNK = 4096
 
 
 def sized(docs: DataFrame, seed: str = SEED, keep=()) -> DataFrame:
@@ -182,28 +185,19 @@ def mix_totals(docs: DataFrame, seed: str = SEED, block_tokens: int = BLOCK_TOKE
 
 
 def mix_documents(docs: DataFrame, seed: str = SEED, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """The mixed documents, with the columns of ``docs``: one row for each
-    pass over a document.  The one document per source where the mix stops
-    inside a text keeps its beginning up to the last taken word, lines and
-    spaces as they are (and its ``n_chars`` is counted anew when there is such
-    a column)."""
+    """The mixed documents, whole and with the columns of ``docs``: one row for
+    each pass over a document.  The document per source inside which the mix
+    meets its target is kept whole if at least half of its words are taken,
+    else left out, whichever is nearer to the target."""
     rows = sized(docs, seed, row_keys(docs))
     targets = save(source_targets(rows), "mix-targets")
     passes = mix(rows, targets, block_tokens).groupBy("_rid", "pass").agg(F.sum("words").alias("_words"))
-    passes = save(passes.join(rows.select("_rid", "size", "_id", "_th"), "_rid"), "mix-passes")
-    # repeated rows share their keys: each pass takes one of them
-    out = first_of(keyed_rows(docs).join(passes, ["_id", "_th"]), ["_id", "_th", "_rid", "pass"])
-    whole = F.col("_words") == F.col("size")
-    # words, each with the white space before it
-    parts = F.split(F.col("row.text"), f"(?<={WORD[:-1]})(?=[\\x20\\x09-\\x0D])")
-    head = F.array_join(F.slice(parts, 1, F.col("_words").cast("int")), "")
-    text = F.when(whole, F.col("row.text")).otherwise(head)
-    cols = []
-    for c in docs.columns:
-        v = F.col(f"row.`{c}`")
-        if c == "text":
-            v = text
-        elif c == "n_chars":
-            v = F.when(whole, v).otherwise(F.length(text)).cast(docs.schema[c].dataType)
-        cols.append(v.alias(c))
-    return out.select(*cols)
+    kept = passes.join(rows.select("_rid", "size", "_id", "_th"), "_rid").where("2 * _words >= size")
+    # rows that repeat each other come out alike: one of them, as often as all of them are taken
+    times = kept.groupBy("_id", "_th").agg(F.count(F.lit(1)).alias("_n"))
+    chunks = times.select("_id", "_th", "_n", F.explode(F.expr(f"sequence(0L, (_n - 1) div {COPY_CHUNK})")).alias("_at"))
+    chunks = save(
+        chunks.select("_id", "_th", F.least(F.lit(COPY_CHUNK), F.expr(f"_n - _at * {COPY_CHUNK}")).alias("_n")), "mix-copies"
+    )
+    out = first_of(keyed_rows(docs), ["_id", "_th"]).join(chunks, ["_id", "_th"])
+    return out.select("row", F.explode(F.expr("sequence(1L, _n)"))).select("row.*")

@@ -19,11 +19,12 @@ by ``shard_plan`` and kept by ``shard_documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from condmon.llm.common import (
     bucket_bits,
+    first_of,
     group_key,
     keyed_rows,
     row_keys,
@@ -82,13 +83,12 @@ def shard_documents(docs: DataFrame, n_shards: int = SHARDS, seed: str = SEED) -
     names are replaced)."""
     narrow = docs.select("doc_id", "text", "source", *row_keys(docs))
     plan = shard_plan(narrow, n_shards, seed, keep=("_id", "_th"))
-    # repeated rows share their keys and take the places in turn
-    places = plan.groupBy("_id", "_th").agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("_places"))
-    nth = F.row_number().over(Window.partitionBy("_id", "_th").orderBy("_id", "_th"))
-    out = keyed_rows(docs).join(save(places, "shard-places"), ["_id", "_th"]).withColumn("_nth", nth)
-    place = F.get("_places", F.col("_nth") - 1)
+    # rows that repeat each other share their keys: one of them takes all their places
+    out = first_of(keyed_rows(docs), ["_id", "_th"]).join(
+        save(plan.select("_id", "_th", "shard", "slot"), "shard-places"), ["_id", "_th"]
+    )
     cols = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    return out.select(*[f"row.`{c}`" for c in cols], place["shard"].alias("shard"), place["slot"].alias("slot"))
+    return out.select(*[f"row.`{c}`" for c in cols], "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:

@@ -48,6 +48,13 @@ def brute_taken(docs):
     return taken
 
 
+def brute_passes(docs):
+    """How often each document is kept: whole passes, and the last one if at
+    least half of its words are taken."""
+    taken = brute_taken(docs)
+    return {d: taken[d] // z + (2 * (taken[d] % z) >= z) if (z := size(t)) else 0 for d, t, _ in docs}
+
+
 def _docs(n_by_source):
     out, d = [], 0
     for s, n in n_by_source.items():
@@ -109,24 +116,36 @@ def test_edge_cases(docs_of):
     assert len(rows) == 4 and sum(r["taken"] for r in rows) == 7
 
 
-def test_mixed_documents(docs_of):
-    long = " ".join(f"w{i}" for i in range(30_000))
-    docs = docs_of(["a  b", long, None, "c"], sources=["a", "b", "b", "a"])
-    rows = mixing.mix_documents(docs, block_tokens=64).collect()
-    assert rows[0].__fields__ == docs.columns
-    count = {}
+@pytest.mark.parametrize("name", CASES)
+def test_mixed_documents_are_whole(docs_of, name):
+    docs = _docs(CASES[name])
+    df = docs_of([t for _, t, _ in docs], ids=[d for d, _, _ in docs], sources=[s for _, _, s in docs])
+    out = mixing.mix_documents(df, block_tokens=64)
+    assert out.columns == df.columns
+    rows, got = out.collect(), {}
+    text = {d: t for d, t, _ in docs}
     for r in rows:
-        count.setdefault(r["doc_id"], []).append(r["text"])
-    assert count[0] == ["a  b"] * 3 and count[3] == ["c"] * 3
-    (text,) = count[1]
-    assert long.startswith(text) and len(text.split()) == 30_003 - 9
-    assert {r["n_chars"] for r in rows if r["doc_id"] == 1} == {len(text)}
-    again = mixing.mix_documents(docs, block_tokens=64).collect()
-    assert sorted(map(str, rows)) == sorted(map(str, again))
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + 1
+        assert r["text"] == text[r["doc_id"]]
+    assert got == {d: n for d, n in brute_passes(docs).items() if n}
+    targets, largest = brute_targets({s: sum(size(t) for _, t, x in docs if x == s) for _, _, s in docs}), 22
+    for s, target in targets.items():
+        assert abs(sum(size(text[r["doc_id"]]) for r in rows if r["source"] == s) - target) <= largest
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.mix_documents(df, block_tokens=64).collect()))
 
 
-def test_cut_document_keeps_its_lines(docs_of):
-    long = "\n" + "".join(f"w{i}" + [" ", "\n", "\r\n", "\t ", "\n\n"][i % 5] for i in range(3_000))
+def test_long_document_and_repeated_rows(docs_of):
+    long = "\n" + "".join(f"w{i}" + [" ", "\n", "\t "][i % 3] for i in range(30_000))
     docs = docs_of(["a  b", long, None, "c"], sources=["a", "b", "b", "a"])
-    (text,) = [r["text"] for r in mixing.mix_documents(docs, block_tokens=64).collect() if r["doc_id"] == 1]
-    assert long.startswith(text) and size(text) == 3_003 - 9 and text.endswith("w2993")
+    assert sorted(r["text"] for r in mixing.mix_documents(docs).collect()) == [long, *["a  b"] * 3, *["c"] * 3]
+    # a third of all rows repeat one row
+    texts = ["same words here"] * 300 + [f"own text {i}" for i in range(600)]
+    ids, sources = [7] * 300 + list(range(100, 700)), ["a"] * 300 + ["b"] * 600
+    docs = docs_of(texts, ids=ids, sources=sources)
+    taken = mixing.mix_totals(docs).groupBy("doc_id").sum("taken").collect()
+    rows = mixing.mix_documents(docs).collect()
+    want = {r["doc_id"]: r["sum(taken)"] // 3 for r in taken}
+    got = {d: sum(r["doc_id"] == d for r in rows) for d in want}
+    assert all(abs(got[d] - want[d]) <= 1 for d in want) and got[7] > 300
+    plan = mixing.mix_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Cartesian" not in plan

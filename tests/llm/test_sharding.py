@@ -55,3 +55,15 @@ def test_files_read_back_in_slot_order(docs_of, spark, tmp_path):
         rows = spark.read.parquet(str(tmp_path / "s" / f"shard={s}")).select("part", "slot").collect()
         slots = [r["slot"] for r in sorted(rows, key=lambda r: r["part"])]
         assert sorted(slots) == list(range(len(slots))) and max(Counter(r["part"] for r in rows).values()) <= 5
+
+
+def test_repeated_rows_and_a_very_long_text(docs_of):
+    """A third of all rows repeat one row; each takes a place of its own."""
+    long = "long text " * 400_000
+    texts = ["same"] * 200 + [f"t{i}" for i in range(399)] + [long]
+    ids = [5] * 200 + list(range(100, 500))
+    out = sharding.shard_documents(docs_of(texts, ids=ids)).collect()
+    check_shards([(r["shard"], r["slot"]) for r in out])
+    assert sorted((r["doc_id"], len(r["text"])) for r in out) == sorted((d, len(t)) for d, t in zip(ids, texts, strict=True))
+    (row,) = [r for r in sharding.shard_plan(docs_of(texts, ids=ids)).collect() if r["size"] > 1000]
+    assert row["size"] == len(long) + 1 and row["text_crc32"] == zlib.crc32(long.encode())
