@@ -13,8 +13,7 @@ The first four stages return the columns of ``documents``:
    the smallest ``doc_id``;
 3. ``decontaminate``: documents that contain a window of a benchmark item go;
 4. ``mix``: one row per pass that the mix makes over a document, so a document
-   may go, stay or repeat up to three times; the document at which a source's
-   target is met keeps only its words up to the target;
+   may go, stay or repeat up to three times, always whole;
 5. ``shard``: adds ``shard`` and ``slot``.
 
 NULL texts, repeated rows, an empty table and extra columns are handled as
