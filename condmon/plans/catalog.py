@@ -506,9 +506,15 @@ def _machine_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both topics landed in one folder and read back, so that routing looks
-    at each record's topic."""
-    return spark.read.schema(TOPIC_RECORD).parquet(_land(spark, _messages(spark, sf_dir), "topics"))
+    """Both topics landed in a folder per topic, once per application, and
+    read back, so that routing looks at each record's topic and leaves the
+    other one's files alone."""
+    key = (spark.sparkContext.applicationId, "topics", sf_dir)
+    if key not in _landed:
+        path = work_dir(spark, "topics")
+        TP.write_messages(_messages(spark, sf_dir), path, by_topic=True)
+        _landed[key] = path
+    return spark.read.schema(TOPIC_RECORD).parquet(_landed[key])
 
 
 def q_topic_route_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -811,9 +817,9 @@ def _rul_columns(sup: DataFrame) -> list[str]:
     return [c for c in sup.columns if c[:2] in ("b1", "b2", "b3", "b4")]
 
 
-def q_rul_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full model (500 trees) fitted, saved, loaded and applied to the
-    hold-out, on a feature for which its predictions have a closed form.
+def q_rul_gbt_predict(spark: SparkSession, sf_dir: str, params: dict | None = None) -> DataFrame:
+    """The full model (500 trees, or with ``params``) fitted, saved, loaded and
+    applied to the hold-out, on a feature for which its predictions have a closed form.
 
     A feature of four values (the quarter of the snapshot) is told apart by
     any tree of depth 3, the first tree has full weight, and the others find
@@ -824,7 +830,7 @@ def q_rul_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarter = F.ceil(F.element_at(F.split("file", r"\."), 2).cast("int") / 3).cast("double")
     cycles = rul_cycles(T.signal_rows(spark, sf_dir).select("test_set", "file").distinct())
     rows = materialize(cycles.select("test_set", "file", quarter.alias("quarter"), F.col("rul").cast("double").alias("rul")))
-    trained = ml.train_rul(rows, ["quarter"])
+    trained = ml.train_rul(rows, ["quarter"], params=params)
     path = work_dir(spark, "rul-model")
     ml.save(trained.model, path)
     held_out = trained.test_predictions.select("test_set", "file", "quarter", "rul")
@@ -852,10 +858,11 @@ def _wear_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.flatten_metadata(_machine_with_metadata(spark, sf_dir), _META_OUT)
 
 
-def _train_wear(spark: SparkSession, sf_dir: str):
+def _train_wear(spark: SparkSession, sf_dir: str, params: dict | None = None):
     from condmon.plans import ml
 
-    return ml.train_wear(_wear_training_rows(spark, sf_dir), ["M1_sequence_number"], keep=("experiment",))
+    rows = _wear_training_rows(spark, sf_dir)
+    return ml.train_wear(rows, ["M1_sequence_number"], params=params, keep=("experiment",))
 
 
 def q_wear_gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1202,8 +1209,8 @@ s AS (SELECT experiment, M1_sequence_number,
 SELECT experiment, {r6('M1_sequence_number')} AS M1_sequence_number, seq, {r6('seq * 0.1')} AS elapsed_s FROM s"""
 
 
-def q_stream_serve_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The serving job end to end: both full models trained and saved, both
+def q_stream_serve_both(spark: SparkSession, sf_dir: str, params: dict | None = None) -> DataFrame:
+    """The serving job end to end: both full models (or with ``params``) trained and saved, both
     topics landed in one folder, two independent streaming queries over it
     (J1), awaited together (J7).  One row per snapshot (latest version: a
     prediction exists) and one per tool-wear record and outcome (a count)."""
@@ -1213,8 +1220,8 @@ def q_stream_serve_both(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sup = materialize(_supervised(spark, sf_dir))
     rul_path, wear_path = work_dir(spark, "rul-model"), work_dir(spark, "wear-model")
-    ml.save(ml.train_rul(sup, _rul_columns(sup)).model, rul_path)
-    ml.save(_train_wear(spark, sf_dir).model, wear_path)
+    ml.save(ml.train_rul(sup, _rul_columns(sup), params=params).model, rul_path)
+    ml.save(_train_wear(spark, sf_dir, params).model, wear_path)
     landing = _land(spark, _messages(spark, sf_dir), "serve-landing", REPLAY_FILES)
     sinks, ckpts = work_dir(spark, "serve-sinks"), work_dir(spark, "serve-ckpt")
     queries = serve(spark, rul_path, wear_path, sinks, ckpts, path=landing,

@@ -83,10 +83,12 @@ def select_datasets(choice: str, bearing: DataFrame | None, toolwear: DataFrame
     return out
 
 
-def write_messages(messages: DataFrame, path: str, mode: str = "append") -> None:
+def write_messages(messages: DataFrame, path: str, mode: str = "append", by_topic: bool = False) -> None:
     """Land topic records as parquet files (the testable stand-in for a
-    broker; ``write_kafka`` is the broker path)."""
-    messages.write.mode(mode).parquet(path)
+    broker; ``write_kafka`` is the broker path), ``by_topic`` in a folder per
+    topic, so that a route reads only its own."""
+    writer = messages.write.mode(mode)
+    (writer.partitionBy("topic") if by_topic else writer).parquet(path)
 
 
 def land_in_order(messages: DataFrame, path: str, order: Sequence, files: int) -> None:
