@@ -9,7 +9,8 @@ The maximal conversations are then rendered.
 
 Scale: DataFrame functions only.  Prefix hashes are sums, so they are taken
 inside blocks of turns with offsets from one pre-aggregated row per block:
-a conversation that holds a third of all rows is spread over its blocks.
+a conversation that holds a third of all rows is spread over its blocks, which
+are finer for such ones, as a NULL ``conv_id`` may repeat few turn numbers.
 Prefixes and conversations are made distinct map-side before they meet, so a
 first turn or a conversation that everybody shares is one row.  A long
 conversation is rendered in parts of at most ``PART_TURNS`` turns; its parts
@@ -33,6 +34,8 @@ from condmon.llm.common import group_key, running_totals, save
 
 #: Turns of one rendered part.
 PART_TURNS = 256
+#: Rows beyond which a conversation is cut into finer blocks.
+HOT_ROWS = 1 << 17
 #: The marks around a turn.
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 _LANES = ("ha", "hb", "hc", "hd")
@@ -56,8 +59,18 @@ def turns(conversations: DataFrame) -> DataFrame:
         F.col("turn").isNull().alias("late"), F.col("turn"), F.col("role"), F.md5(F.coalesce("text", F.lit(""))).alias("t"),
         F.col("text").isNull().alias("n"),
     )
-    # blocks of turn numbers; a NULL turn is in the last one
-    block = F.coalesce(F.floor(F.col("turn") / 1024).cast("long"), F.lit((1 << 62) - 1))
+    # blocks of turn numbers; a NULL turn is in the last one.  Where a conversation
+    # (such as that of all NULL ids) has very many rows, every turn number, role
+    # and beginning of a text's hash is a block of its own
+    hot = rows.groupBy("g").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
+    rows = rows.join(hot.select("g", F.lit(True).alias("_hot")), "g", "left")
+    number = F.when(F.col("_hot"), F.col("turn").cast("long")).otherwise(F.floor(F.col("turn") / 1024).cast("long"))
+    block = F.struct(
+        F.col("turn").isNull().alias("late"),
+        F.coalesce(number, F.lit(0).cast("long")).alias("turns"),
+        F.when(F.col("_hot"), F.coalesce(F.concat(F.lit("1"), "role"), F.lit("0"))).otherwise("").alias("role"),
+        F.when(F.col("_hot"), F.substring(F.md5(F.coalesce("text", F.lit(""))), 1, 3)).otherwise("").alias("t"),
+    )
     lanes = [h.alias(x) for x, h in zip(_LANES, (*_lanes(1), *_lanes(2)), strict=True)]
     rows = rows.select("g", "conv_id", "role", "text", order.alias("o"), block.alias("b"), *lanes)
     summed = running_totals(rows, ["g"], "b", ["o"], list(_LANES), total="n_turns")

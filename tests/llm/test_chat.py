@@ -75,3 +75,16 @@ def test_edge_cases(spark):
     assert got[None] == (render([(None, None)]), 1, 1) and got[2][0] == got[None][0]
     assert got[3][0] == render([("user", "long " * 100_000)])
     assert chat.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_null_conversation_of_a_third_of_all_rows(spark, monkeypatch):
+    """Few turn numbers, very many rows: the same result in fine blocks."""
+    rng = random.Random(5)
+    rows = [(None, rng.choice([None, 0, 1]), rng.choice(["user", None, "a"]), rng.choice([None, f"t{i}"]), "", "") for i in range(600)]
+    rows += [(c, t, "user", f"{c % 9} {t}", "", "") for c in range(150) for t in range(4)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = collapse(df)
+    monkeypatch.setattr(chat, "HOT_ROWS", 100)
+    assert collapse(df) == want
+    sizes = chat.turns(df).where("g = '1'").agg({"pos": "max"}).first()[0]
+    assert sizes == len({r[1:4] for r in rows[:600]})
