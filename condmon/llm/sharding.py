@@ -6,9 +6,10 @@ the sources in proportion, and cutting the sorted list into equal counts
 gives shards that each match the mixture (law ``rows``: counts differ by at
 most one).
 
-Scale: ranks come from hash buckets inside a source and from equal-width
-buckets of the fractional rank, so a source with a third of all rows is
-spread over many tasks.  Only ids, sizes and digests are shuffled.
+Scale: ranks come from range partitions of (source, shuffled order) and of the
+fractional rank, with offsets from one row per partition and source, so a
+source or a ``doc_id`` with a third of all rows, and very many sources of one
+row, are spread over many tasks.  Only ids, sizes and digests are shuffled.
 
 Defined cases: a NULL source is a stratum of its own (sorted last); a NULL
 text has size 1 and the checksum of no bytes; rows that repeat a ``doc_id``
@@ -22,17 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from condmon.llm.common import (
-    bucket_bits,
-    first_of,
-    group_key,
-    keyed_rows,
-    row_keys,
-    running_totals,
-    save,
-    shuffle_key,
-    top_bits,
-)
+from condmon.llm.common import first_of, group_key, keyed_rows, row_keys, save, shuffle_key
+from condmon.operators.ordinal import ordinal_within
 
 SHARDS = 8
 SEED = "shard-1"
@@ -54,18 +46,12 @@ def shard_plan(docs: DataFrame, n_shards: int = SHARDS, seed: str = SEED, keep:
     )
     narrow = save(narrow, "shard-rows")
     total = narrow.count()
-    bits = bucket_bits(total)
-    rows = narrow.withColumn("_b", top_bits(F.col("_k"), bits))
-    ranked = running_totals(rows, ["_g"], "_b", ["_k", "doc_id", "size", "text_crc32"])
-    ranked = ranked.join(narrow.groupBy("_g").agg(F.count(F.lit(1)).alias("_rows")), "_g")
-    buckets = 1 << bits
-    frac = (F.col("rank") + F.lit(0.5)) / F.col("_rows")
-    ranked = ranked.select(
-        "doc_id", "size", "text_crc32", "_g", *keep,
-        F.col("rank").alias("_r"), frac.alias("_f"),
-        F.floor(frac * buckets).cast("long").alias("_b"),
-    )
-    placed = running_totals(save(ranked, "shard-ranks"), [], "_b", ["_f", "_g", "_r"])
+    # numbers by range partitions: a doc_id (or NULL) that very many rows share
+    # and sources of one row, which have one fractional rank, spread over tasks
+    ranked = ordinal_within(narrow, ["_g"], ["_k", "doc_id", "size", "text_crc32"], name="_r", total_name="_rows")
+    ranked = ranked.withColumn("_r", F.col("_r") - 1)
+    ranked = ranked.withColumn("_f", (F.col("_r") + F.lit(0.5)) / F.col("_rows"))
+    placed = ordinal_within(ranked, [], ["_f", "_g", "_r"], name="rank").withColumn("rank", F.col("rank") - 1)
     shard = F.expr(f"rank * {n_shards}L div {max(total, 1)}L")
     start = F.expr(f"(_s * {max(total, 1)}L + {n_shards - 1}L) div {n_shards}L")
     return placed.withColumn("_s", shard).select(

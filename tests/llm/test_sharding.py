@@ -67,3 +67,17 @@ def test_repeated_rows_and_a_very_long_text(docs_of):
     assert sorted((r["doc_id"], len(r["text"])) for r in out) == sorted((d, len(t)) for d, t in zip(ids, texts, strict=True))
     (row,) = [r for r in sharding.shard_plan(docs_of(texts, ids=ids)).collect() if r["size"] > 1000]
     assert row["size"] == len(long) + 1 and row["text_crc32"] == zlib.crc32(long.encode())
+
+
+def test_tiny_sources_and_a_hot_id(docs_of):
+    """Sources of one row share a fractional rank; a third of the rows an id."""
+    ids = [None] * 300 + list(range(600))
+    texts = [f"text {i % 170}" for i in range(900)]
+    sources = ["hot"] * 300 + [f"s{i}" for i in range(600)]
+    rows = sharding.shard_plan(docs_of(texts, ids=ids, sources=sources)).collect()
+    assert len(rows) == 900
+    check_shards([(r["shard"], r["slot"]) for r in rows])
+    tiny = Counter(r["shard"] for r in rows if r["doc_id"] is not None)
+    middle = [r["shard"] for r in rows if r["doc_id"] is None]
+    # the tiny sources lie in the middle, the hot one's halves around them
+    assert len(tiny) <= 6 and min(Counter(middle)[0], Counter(middle)[7]) >= 112
