@@ -10,7 +10,10 @@ down; the remaining candidates are compared word by word.
 Scale: one scan of the documents without a shuffle.  The benchmark is the
 query set: its windows are counted first and searched in blocks of at most
 ``BLOCK_WINDOWS`` windows, each broadcast on its own, so a task never holds
-more than one block.  Texts are searched in parts that overlap by a window.
+more than one block.  With several blocks there is one scan per block, which
+writes only its hits, once per distinct text; they are joined to the documents
+by the text's digest, so no text is rewritten.  Texts are searched in parts that
+overlap by a window.
 
 Words: maximal runs of ``0-9``, ``a-z`` and all characters above ASCII, after
 lower-casing ``A-Z``.  Defined cases: NULL and wordless texts have no words
@@ -24,8 +27,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from condmon.llm.common import ascii_lower, map_texts, pieces, save
@@ -34,6 +38,7 @@ WINDOW = 10
 #: Windows that one pass over the documents searches for.
 BLOCK_WINDOWS = 100_000
 WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+SPANS, ITEMS = "array<struct<start:bigint,end:bigint>>", "array<string>"
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -136,7 +141,7 @@ def _search(docs: DataFrame, windows: list, keep: Sequence[str]) -> DataFrame:
 
         return fn
 
-    fields = [("n_words", "bigint"), ("spans", "array<struct<start:bigint,end:bigint>>"), ("items", "array<string>")]
+    fields = [("n_words", "bigint"), ("spans", SPANS), ("items", ITEMS)]
     return map_texts(docs, "text", keep, fields, make)
 
 
@@ -154,25 +159,48 @@ def contamination(
     if blocks == 1:
         return _search(docs, [tuple(r) for r in patterns.collect()], keep)
     patterns = save(patterns.withColumn("b", F.pmod(F.xxhash64("item", "words"), F.lit(blocks))), "bench-blocks")
-    cols = [c for c in dict.fromkeys([*keep, "text"])]
-    part = docs.select(*cols).withColumns({"_spans": F.expr("array()").cast("array<struct<start:bigint,end:bigint>>"),
-                                           "_items": F.expr("array()").cast("array<string>")})
+
+    cols = dict.fromkeys([*keep, "text"])
+    rows = docs.select(*cols, F.sha2("text", 256).alias("_digest"))
+    hits = []
     for b in range(blocks):
-        rows = [tuple(r) for r in patterns.where(F.col("b") == b).select("item", "words").collect()]
-        part = _search(part, rows, [*cols, "_spans", "_items"])
-        part = part.withColumns({"_spans": F.concat("_spans", "spans"), "_items": F.concat("_items", "items")})
-        part = save(part.select(*cols, "_spans", "_items", "n_words") if b == blocks - 1
-                    else part.select(*cols, "_spans", "_items"), "bench-pass")
-    return part.select(*keep, "n_words", _merged("_spans").alias("spans"), F.array_sort(F.array_distinct("_items")).alias("items"))
-
-
-def _merged(col: str) -> Column:
-    """Union of overlapping spans, in SQL (after several passes only)."""
-    return F.expr(f"""aggregate(array_sort({col}), cast(array() as array<struct<start:bigint,end:bigint>>),
-      (acc, x) -> case when size(acc) > 0 and x.start <= element_at(acc, -1).end
-        then concat(slice(acc, 1, size(acc) - 1), array(named_struct(
-          'start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, x.end))))
-        else concat(acc, array(x)) end)""")
+        some = patterns.where(F.col("b") == b).select("item", "words")
+        hits.append(_hits(_search(rows, [tuple(r) for r in some.collect()], ["_digest"])))
+    found = save(_merged(hits), "bench-found")
+    n_words = F.size(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORDS), F.lit(0)))
+    out = rows.select(*keep, "_digest", F.coalesce(n_words, F.lit(0)).cast("long").alias("n_words"))
+    return out.join(found, "_digest", "left").select(
+        *keep, "n_words", *[F.coalesce(c, F.expr("array()").cast(t)).alias(c) for c, t in (("spans", SPANS), ("items", ITEMS))]
+    )
+
+
+def _hits(found: DataFrame) -> DataFrame:
+    """``_digest, spans, items`` of the texts with a hit, written once per
+    distinct text: equal texts have equal hits, so any row stands for all."""
+    some = found.where(F.size("spans") > 0)
+    return save(some.groupBy("_digest").agg(F.first("spans").alias("spans"), F.first("items").alias("items")), "bench-hits")
+
+
+def _merged(hits: Sequence[DataFrame]) -> DataFrame:
+    """The hits of all blocks, one row per text; a group has at most one row
+    of each block."""
+    rows = reduce(DataFrame.union, hits).groupBy("_digest")
+    lists = rows.agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            spans = [
+                [{"start": s, "end": e} for s, e in merge([(x["start"], x["end"]) for x in row])]
+                for row in batch.column(1).to_pylist()
+            ]
+            items = [sorted(set(row)) for row in batch.column(2).to_pylist()]
+            types = batch.schema.types
+            cols = [batch.column(0), pa.array(spans, types[1]), pa.array(items, types[2])]
+            yield pa.RecordBatch.from_arrays(cols, names=["_digest", "spans", "items"])
+
+    return lists.mapInArrow(run, f"_digest string, spans {SPANS}, items {ITEMS}")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from functools import partial
 
 import pyarrow.parquet as pq
 import pytest
@@ -87,6 +88,35 @@ def test_filter_keeps_clean_rows_and_columns(spark, docs_of):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 1]
 
 
+@pytest.mark.parametrize("windows", [2, 5])
+def test_blocks_of_the_benchmark_change_nothing(spark, docs_rows, windows):
+    """Whole texts, repeated rows and shared columns, whatever the blocks."""
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").orderBy("item_id").limit(3)
+    own = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    bench = bench.selectExpr("item_id", "text").union(own)
+    rows = [(r["doc_id"], r["text"]) for r in docs_rows[:80]] + list(enumerate(TEXTS[:10], 5000))
+    docs = spark.createDataFrame(rows + rows[:5] + rows[-3:] * 2, "doc_id bigint, text string")
+    one = decontam.contamination(docs, bench)
+    many = decontam.contamination(docs, bench, block_windows=windows * 40)
+    assert many.columns == one.columns
+    assert sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
+
+
+def test_filter_with_blocks_writes_no_text(spark, docs_of, tmp_path, monkeypatch):
+    """Many blocks: the same rows stay, and what is written is narrow."""
+    written = []
+    save = decontam.save
+    monkeypatch.setattr(decontam, "save", lambda df, name: written.append(df.columns) or save(df, name))
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    docs = docs_of(TEXTS)
+    one = decontam.drop_contaminated(docs, bench).select("doc_id").collect()
+    monkeypatch.setattr(decontam, "contamination", partial(decontam.contamination, block_windows=2))
+    many = decontam.drop_contaminated(docs, bench)
+    assert many.columns == docs.columns
+    assert sorted(r["doc_id"] for r in many.collect()) == sorted(r["doc_id"] for r in one)
+    assert not any({"text", "row"} & set(cols) for cols in written)
+
+
 def test_empty_tables(spark, docs_of):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert decontam.contamination_report(docs_of([]), bench).count() == 0
