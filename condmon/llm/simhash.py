@@ -17,7 +17,8 @@ bucket is exactly refined: its members go to the 15 masks over the bits that
 its own mask leaves free, which again cover radius 3.  Each refinement about
 halves the free bits, so after three or four of them a bucket cannot hold more
 than ``BUCKET`` (at least 64) distinct fingerprints; nothing is capped.  Hot tables are
-sized by a map-side count before any bucket is gathered.
+sized by a map-side count before any bucket is gathered.  Finer masks follow from a
+bucket's own mask, so tasks derive them: no list of masks is broadcast or reaches the driver.
 
 Defined cases: NULL and wordless texts have fingerprint zero and are linked
 like any other; repeated rows each get a row with the same component; a
@@ -176,6 +177,29 @@ def _local_links(lists: DataFrame, radius: int) -> DataFrame:
     return lists.mapInArrow(run, "a bigint, b bigint")
 
 
+def _refined(members: DataFrame) -> DataFrame:
+    """``fp, mask`` of the members of hot buckets under the masks that refine
+    their bucket's; a task keeps the refinements of the masks that it meets."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        finer: dict[int, np.ndarray] = {}
+        for batch in batches:
+            fps, masks = (batch.column(i).to_numpy() for i in (0, 1))
+            out = []
+            for mask in np.unique(masks).tolist():
+                if mask not in finer:
+                    finer[mask] = np.array([_signed(m) for m in refined_masks(_unsigned(mask))], np.int64)
+                own = fps[masks == mask]
+                out.append((np.repeat(own, len(finer[mask])), np.tile(finer[mask], len(own))))
+            arrays = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)] or [pa.array([], pa.int64())] * 2
+            yield pa.RecordBatch.from_arrays(arrays, names=["fp", "mask"])
+
+    return members.mapInArrow(run, "fp bigint, mask bigint")
+
+
 def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """Edges ``a, b`` between distinct fingerprints ``fps(fp)`` that connect
     exactly the fingerprints joined by links of at most ``radius`` bits."""
@@ -183,7 +207,7 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         raise ValueError(f"the masks cover a radius of {RADIUS}")
     if bucket < 64:
         raise ValueError("buckets of fewer than 64 fingerprints cannot always be refined")
-    spark, n = fps.sparkSession, 15 * fps.count()  # rows of a level of tables
+    n = 15 * fps.count()  # rows of a level of tables
     masks = [_signed(m) for m in cover_masks(list(range(_BITS)))]
     rows = fps.select("fp", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
     found = None
@@ -202,14 +226,8 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
         hot = sizes.where(f"n > {bucket}")
         if hot.isEmpty():
             return found
-        used = sorted(r[0] for r in hot.select("mask").distinct().collect())  # at most 15^level masks
-        finer = [(m, _signed(s)) for m in used for s in refined_masks(_unsigned(m))]
-        finer = spark.createDataFrame(finer, "mask bigint, finer bigint")
         members = rows.join(hot.select("mask", "key"), ["mask", "key"], "left_semi").select("fp", "mask")
-        rows = save(
-            members.join(F.broadcast(finer), "mask").select("fp", F.col("finer").alias("mask")).distinct(),
-            "simhash-finer",
-        )
+        rows = save(_refined(members).distinct(), "simhash-finer")
 
 
 def components_of(fps: DataFrame) -> DataFrame:
@@ -241,4 +259,5 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     best = fps.groupBy("fp").agg(F.min(rank).alias("best"))
     kept = components_of(fps).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
     kept = save(kept.select("best._id", "best._th"), "simhash-kept")
-    return first_of(keyed_rows(docs).join(kept, ["_id", "_th"]), ["_id", "_th"]).select("row.*")
+    # repeated rows are cut to one before their shuffle, so a hot one meets no join
+    return first_of(keyed_rows(docs), ["_id", "_th"]).join(kept, ["_id", "_th"]).select("row.*")

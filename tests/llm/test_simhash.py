@@ -119,6 +119,29 @@ def test_repeated_rows_and_kept_columns(docs_of):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 1), (False, 3), (True, 0)]
 
 
+def test_refinement_in_tasks_equals_the_masks(spark):
+    masks = [simhash._signed(m) for m in simhash.cover_masks(list(range(64)))[:3]]
+    rows = [(simhash._signed(fp), masks[i % 3]) for i, fp in enumerate([0, 1, 2**63, 2**64 - 1, 5, 5])]
+    got = simhash._refined(spark.createDataFrame(rows, "fp bigint, mask bigint")).collect()
+    want = [(fp, simhash._signed(m)) for fp, mask in rows for m in simhash.refined_masks(simhash._unsigned(mask))]
+    assert sorted(map(tuple, got)) == sorted(want)
+    none = spark.createDataFrame([], "fp bigint, mask bigint")
+    assert simhash._refined(none).count() == 0
+
+
+def test_a_row_repeated_very_often_stays_once(spark):
+    """A third of the table is one row; it is cut before the shuffle."""
+    hot = spark.range(3000).selectExpr("7L AS doc_id", "'one hot text that repeats' AS text", "map('k', 1) AS extra")
+    rest = spark.range(6000).selectExpr(
+        "id + 100 AS doc_id", "concat(md5(string(id)), ' ', md5(string(id + 1)), ' ', md5(string(-id))) AS text",
+        "map('k', 2) AS extra",
+    )
+    kept = simhash.drop_near_duplicates(hot.union(rest))
+    assert kept.where("doc_id = 7").count() == 1 and kept.columns == ["doc_id", "text", "extra"]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_empty_table(docs_of):
     assert simhash.near_duplicates(docs_of([])).count() == 0
     assert simhash.drop_near_duplicates(docs_of([])).count() == 0
