@@ -1010,6 +1010,34 @@ SELECT experiment, {r6('M1_sequence_number')} AS M1_sequence_number, {r6('X1_Act
 FROM mach"""
 
 
+def q_stream_empty_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second arrival holds records of the other topic only, so its
+    micro-batch is empty: it is written once, adds no row, and the stream goes
+    on with the next one.  Per batch its writes, rows and sum of sequence numbers."""
+    from condmon.streaming import bearing as SB
+
+    rows = T.machine_rows(spark, sf_dir)
+    others = T.bearing_records(spark, sf_dir)
+    parts = []
+    for k in range(3):
+        parts.append(TP.toolwear_messages(rows.where(F.col("M1_sequence_number") % 3 == k)))
+        parts.append(TP.bearing_messages(others.where(F.pmod("b4", F.lit(3)) == k)))
+    out, written, _ = _arrive_and_run(spark, parts, SB.toolwear_feature_stream, "append")
+    batches = spark.createDataFrame(sorted(written.items()), "batch_id bigint, writes int")  # one row per batch
+    found = out.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("M1_sequence_number").cast("long").alias("sequence_sum")
+    )
+    return batches.join(found, "batch_id", "left").na.fill(0, ["n_rows", "sequence_sum"])
+
+
+def sql_stream_empty_batches() -> str:
+    return f"""WITH {SQL_MACHINE}
+SELECT CAST(2 * (CAST(M1_sequence_number AS BIGINT) % 3) AS BIGINT) AS batch_id, 1 AS writes, count(*) AS n_rows,
+       CAST(sum(M1_sequence_number) AS BIGINT) AS sequence_sum
+FROM mach GROUP BY ALL
+UNION ALL SELECT 2 * i + 1, 1, 0, 0 FROM range(3) t(i)"""
+
+
 def q_stream_recovery_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same of the stateful aggregation: after a replayed batch the state
     counts no sample twice and loses none, so the latest version of every

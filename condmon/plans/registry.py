@@ -46,6 +46,7 @@ def queries() -> dict[str, QueryFn]:
         "stream_finalized": C.q_stream_finalized,
         "stream_recovery": C.q_stream_recovery,
         "stream_recovery_state": C.q_stream_recovery_state,
+        "stream_empty_batches": C.q_stream_empty_batches,
         "stream_batch_metrics": C.q_stream_batch_metrics,
         "stream_as_soon_as_possible": C.q_stream_as_soon_as_possible,
         "publish_selected": C.q_publish_selected,
@@ -92,6 +93,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_finalized": C.sql_bearing_features_stream(),
         "stream_recovery": C.sql_stream_recovery(),
         "stream_recovery_state": C.sql_bearing_features_stream(),
+        "stream_empty_batches": C.sql_stream_empty_batches(),
         "stream_batch_metrics": C.sql_stream_batch_metrics(),
         "stream_as_soon_as_possible": C.sql_bearing_features_stream(),
         "publish_selected": C.sql_publish_selected(),
