@@ -672,6 +672,37 @@ FROM mach s JOIN lmeta m ON s.experiment = 'experiment_' || lpad(CAST(m.No AS VA
 WHERE {notnull}"""
 
 
+#: Sensors that the table of ``candidate_columns`` lacks, besides the metadata.
+_LACKED = ("X1_ActualPosition", "S1_OutputPower")
+
+
+def q_candidate_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training columns of a table that lacks four candidates and has other
+    columns besides: the present ones in the order of the list, the absent ones
+    as 0.0; the NULLs of a present one (here every seventh record's) stay NULL."""
+    from condmon.schemas import TOOLWEAR_CANDIDATE_FEATURES as candidates
+
+    rows = T.machine_rows(spark, sf_dir).drop(*_LACKED)
+    gaps = F.when(F.col("M1_sequence_number") % 7 != 0, F.col("Y1_ActualPosition"))
+    rows = rows.withColumn("Y1_ActualPosition", gaps)
+    present = CL.existing_columns(rows, candidates)
+    table = CL.add_absent_columns(rows.select("experiment", *present), candidates)
+    return compare_form(table.withColumn("column_order", F.lit(",".join(table.columns))))
+
+
+def sql_candidate_columns() -> str:
+    from condmon.schemas import TOOLWEAR_CANDIDATE_FEATURES as candidates
+
+    present = [c for c in candidates if c in PAYLOAD_SENSORS and c not in _LACKED]
+    absent = [c for c in candidates if c not in present]
+    gaps = "CASE WHEN CAST(M1_sequence_number AS BIGINT) % 7 <> 0 THEN Y1_ActualPosition END"
+    cols = [f"{r6(gaps if c == 'Y1_ActualPosition' else c)} AS {c}" for c in present]
+    cols += [f"CAST(0 AS DOUBLE) AS {c}" for c in absent]
+    return f"""WITH {SQL_MACHINE}
+SELECT experiment, {', '.join(cols)}, '{','.join(['experiment', *present, *absent])}' AS column_order
+FROM mach"""
+
+
 # ---------------------------------------------------------------------------
 # Counts and samples of files
 # ---------------------------------------------------------------------------

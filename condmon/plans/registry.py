@@ -29,6 +29,7 @@ def queries() -> dict[str, QueryFn]:
         "metadata_ordinal_join": C.q_metadata_ordinal_join,
         "metadata_unpaired": C.q_metadata_unpaired,
         "dropna_any": C.q_dropna_any,
+        "candidate_columns": C.q_candidate_columns,
         "experiment_row_counts": C.q_experiment_row_counts,
         "files_streamed": C.q_files_streamed,
         "first_files_sample": C.q_first_files_sample,
@@ -79,6 +80,7 @@ def oracle_sql() -> dict[str, str]:
         "metadata_ordinal_join": C.sql_metadata_ordinal_join(),
         "metadata_unpaired": C.sql_metadata_unpaired(),
         "dropna_any": C.sql_dropna_any(),
+        "candidate_columns": C.sql_candidate_columns(),
         "experiment_row_counts": C.sql_experiment_row_counts(),
         "files_streamed": C.sql_files_streamed(),
         "first_files_sample": C.sql_first_files_sample(),
