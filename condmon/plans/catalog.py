@@ -305,8 +305,9 @@ def _landed_snapshots(spark: SparkSession, sf_dir: str) -> str:
 def q_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw snapshot files under their true names, scanned under both guards."""
     root = _landed_snapshots(spark, sf_dir)
+    scanned = BF.scan_snapshot_files(spark, root, ignore_corrupt=True)
     parts = [
-        BF.read_snapshot_files(spark, root, policy=p, ignore_corrupt=True).withColumn("policy", F.lit(p))
+        BF.read_snapshot_files(spark, root, policy=p, ignore_corrupt=True, scanned=scanned).withColumn("policy", F.lit(p))
         for p in BF.POLICIES
     ]
     return compare_form(parts[0].unionByName(parts[1]))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from condmon.functions.features import nan_to_null
 from condmon.schemas import CHANNELS, TEST_SET_WIDTH
+from condmon.session import stage
 from condmon.sources import lines as LN
 
 POLICIES = ("by_width", "by_test")
@@ -175,6 +176,26 @@ def parse_snapshot_texts(files: DataFrame, policy: str = "by_width", on_wide: st
     return samples.select("test_set", "file", "seq", *channel_values(line_parts("line"), "width"))
 
 
+def _scan(spark: SparkSession, root: str, recursive: bool, ignore_corrupt: bool, layout: str) -> tuple[DataFrame, DataFrame]:
+    """The written lines of the files and the table of their splits, with what
+    the guards look at."""
+    keep = _layout(layout)
+    raw = LN.scan_lines(spark, root, recursive and layout == "folders", ignore_corrupt, keep=keep)
+    lines = LN.stage_lines(raw)
+    blocks = LN.blocks_of(lines, widest=F.max(F.size(line_parts("value"))), **{c: F.first(c) for c in keep})
+    blocks = blocks.withColumn("widest", F.max("widest").over(Window.partitionBy("path")))
+    return lines.drop(*keep), _named(blocks.withColumn("width", F.size(line_parts("head"))), layout)
+
+
+def scan_snapshot_files(
+    spark: SparkSession, root: str, recursive: bool = True, ignore_corrupt: bool = False, layout: str = "folders"
+) -> tuple[DataFrame, DataFrame]:
+    """One scan of the files for several ``read_snapshot_files(scanned=…)``:
+    the lines and the table of splits, both written once."""
+    lines, blocks = _scan(spark, root, recursive, ignore_corrupt, layout)
+    return lines, stage(blocks, "splits")
+
+
 def read_snapshot_files(
     spark: SparkSession,
     root: str,
@@ -183,6 +204,7 @@ def read_snapshot_files(
     ignore_corrupt: bool = False,
     layout: str = "folders",
     on_wide: str = "skip",
+    scanned: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Scan a folder tree of snapshot files into sample rows (A1).
 
@@ -190,7 +212,9 @@ def read_snapshot_files(
     keeps (see ``parse_snapshot_texts``).  ``test_set`` is the name of the
     file's folder, or with ``layout="partitioned"`` comes from the
     ``test_set=…/file=…`` folders of the writers above.  Unreadable files are
-    an error unless ``ignore_corrupt`` (publishing) skips them.
+    an error unless ``ignore_corrupt`` (publishing) skips them.  To read the
+    same files under several policies, scan them once by
+    ``scan_snapshot_files`` and pass it as ``scanned``.
 
     Lines are read in splits of any size and numbered from a table of one row
     per split (``sources.lines``), so a single file of any length spreads over
@@ -201,12 +225,7 @@ def read_snapshot_files(
         raise ValueError(f"policy must be one of {POLICIES}")
     if on_wide not in ("skip", "fail"):
         raise ValueError("on_wide must be 'skip' or 'fail'")
-    keep = _layout(layout)
-    raw = LN.scan_lines(spark, root, recursive and layout == "folders", ignore_corrupt, keep=keep)
-    lines = LN.stage_lines(raw)
-    blocks = LN.blocks_of(lines, widest=F.max(F.size(line_parts("value"))), **{c: F.first(c) for c in keep})
-    blocks = blocks.withColumn("widest", F.max("widest").over(Window.partitionBy("path")))
-    blocks = _named(blocks.withColumn("width", F.size(line_parts("head"))), layout)
+    lines, blocks = scanned or _scan(spark, root, recursive, ignore_corrupt, layout)
     wide = F.col("widest") > F.col("width")
     if on_wide == "skip":
         blocks = blocks.where(~wide)
@@ -214,7 +233,7 @@ def read_snapshot_files(
         message = F.concat(F.lit("line wider than the first in "), "test_set", F.lit("/"), "file")
         blocks = blocks.withColumn("width", F.when(wide, F.raise_error(message).cast("int")).otherwise(F.col("width")))
     blocks = blocks.where(keep_by_width("width") if policy == "by_width" else keep_by_test("test_set", "width"))
-    rows = LN.numbered(lines.drop(*keep), blocks, "width", "test_set", "file")
+    rows = LN.numbered(lines, blocks, "width", "test_set", "file")
     return rows.select("test_set", "file", F.col("no").alias("seq"), *channel_values(line_parts("value"), "width"))
 
 
@@ -232,7 +251,7 @@ def snapshot_file_report(spark: SparkSession, root: str, recursive: bool = True,
     keep = _layout(layout)
     deep = recursive and layout == "folders"
     files = LN.list_files(spark, root, deep, keep)
-    lines = LN.scan_lines(spark, root, deep, ignore_corrupt=True, empty=True)
+    lines = LN.packed(LN.scan_lines(spark, root, deep, ignore_corrupt=True, empty=True))
     cells = line_parts("value")
     width, full = F.size(cells), F.col("value") != ""
     bad = F.size(F.filter(cells, lambda c: F.trim(c).try_cast("double").isNull()))

@@ -53,9 +53,23 @@ def scan_lines(
     )
 
 
+#: Splits of a scan that one task takes.  A split holds up to 128 MB or, by
+#: Spark's cost of opening a file, 32 small files.
+SPLITS_PER_TASK = 8
+
+
+def packed(lines: DataFrame) -> DataFrame:
+    """Scanned ``lines`` in fewer tasks, without a shuffle, where there are
+    many splits: many small files else make a task, and a written file, of
+    each 32 of them.  A split's lines stay together in their order."""
+    splits = lines.rdd.getNumPartitions()
+    tasks = max(-(-splits // SPLITS_PER_TASK), min(splits, 2 * lines.sparkSession.sparkContext.defaultParallelism))
+    return lines.coalesce(tasks) if tasks < splits else lines
+
+
 def stage_lines(lines: DataFrame) -> DataFrame:
     """The lines, written once to the shared folder."""
-    return stage(lines, "lines")
+    return stage(packed(lines), "lines")
 
 
 def blocks_of(lines: DataFrame, **aggs: Column) -> DataFrame:

@@ -260,3 +260,51 @@ def test_files_landed_in_order(spark, tmp_path):
     assert files[7].read_text().splitlines() == [f"b 2 {i}" for i in range(300)]
     assert land_files(df.where("folder = 'a'").withColumn("folder", __import__("pyspark").sql.functions.lit("")), str(tmp_path / "y")) == 5
     assert len(list((tmp_path / "y").glob("*.csv"))) == 5
+
+
+def test_files_named_by_tasks(spark, tmp_path, monkeypatch):
+    """On a mounted folder the driver names no file; missing names and lines
+    are kept as Spark's writers keep them."""
+    from condmon.sources import landing
+
+    monkeypatch.setattr(landing, "unquote", lambda *_: pytest.fail("the driver named a file"))
+    rows = [("a", f"f{k}", i, f"{k}\t{i}") for k in range(40) for i in (1, 0)] + [("a", "f7", 2, None), (None, None, 0, "x"), ("b", "", 0, "")]
+    df = spark.createDataFrame(rows, "folder string, name string, no int, line string").repartition(5)
+    assert landing.land_files(df, f"file://{tmp_path}/x", in_name_order=True) == 42
+    found = {str(p.relative_to(tmp_path / "x")): p.read_text() for p in (tmp_path / "x").rglob("*") if p.is_file()}
+    want = {f"a/f{k}": f"{k}\t0\n{k}\t1\n" + "\n" * (k == 7) for k in range(40)}
+    assert found == want | {"_HIVE_DEFAULT_PARTITION__/__HIVE_DEFAULT_PARTITION__": "x\n", "b/__HIVE_DEFAULT_PARTITION__": "\n"}
+    files = sorted((tmp_path / "x").glob("a/*"), key=lambda p: p.stat().st_mtime_ns)
+    assert [p.name for p in files] == sorted(p.name for p in files)
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    """Many small files are scanned in few tasks, with the lines of each in order."""
+    from condmon.sources import lines as LN
+
+    for k in range(1200):
+        (tmp_path / f"f{k:04d}").write_text(f"{k}\n{k + 1}\n")
+    raw = LN.scan_lines(spark, str(tmp_path))
+    staged = LN.stage_lines(raw)
+    splits = raw.rdd.getNumPartitions()
+    assert len(staged.inputFiles()) == max(-(-splits // LN.SPLITS_PER_TASK), 2 * spark.sparkContext.defaultParallelism) < splits
+    rows = LN.numbered(staged, LN.blocks_of(staged)).collect()
+    assert len(rows) == 2400 and all(int(r["value"]) == int(r["path"][-4:]) + r["no"] for r in rows)
+
+
+def test_one_scan_for_both_policies(spark, tree):
+    from condmon.sources import bearing_files as BF
+
+    scanned = BF.scan_snapshot_files(spark, tree)
+    for policy in BF.POLICIES:
+        own = BF.read_snapshot_files(spark, tree, policy).collect()
+        assert sorted(BF.read_snapshot_files(spark, tree, policy, scanned=scanned).collect()) == sorted(own)
+
+
+def test_count_files(spark, tmp_path):
+    from condmon.sources import lines as LN
+
+    (tmp_path / "a").mkdir()
+    for name, text in (("a/x 1", "1\n"), ("a/y+", ""), ("z", "2")):
+        (tmp_path / name).write_text(text)
+    assert LN.count_files(spark, str(tmp_path), recursive=True) == LN.list_files(spark, str(tmp_path), recursive=True).count() == 3
