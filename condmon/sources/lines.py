@@ -17,7 +17,7 @@ once.
 
 from __future__ import annotations
 
-import re
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -111,6 +111,19 @@ def folder_name(path="path") -> Column:
     return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -2), F.lit("+"), F.lit("%2B")))
 
 
+def _indexed(files: DataFrame):
+    """The file index of a scan, left in the JVM."""
+    return files._jdf.inputFiles()
+
+
+def count_files(spark: SparkSession, root: str, recursive: bool = False) -> int:
+    """How many files ``list_files`` would give, without listing them."""
+    reader = spark.read.format("binaryFile")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    return len(_indexed(reader.load(root)))
+
+
 def list_files(spark: SparkSession, root: str, recursive: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """``path, size`` of every file under ``root``, readable or not, and the
     folder values ``keep`` (``name=value``): contents are not touched.  Scans
@@ -122,6 +135,9 @@ def list_files(spark: SparkSession, root: str, recursive: bool = False, keep: Se
     files = reader.load(root)
     sized = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
     # the index writes a local path with an empty authority, the metadata without
-    names = spark.createDataFrame([(re.sub("^file:/+", "file:/", p),) for p in files.inputFiles()], "path string")
+    to_json = spark.sparkContext._jvm.com.fasterxml.jackson.databind.ObjectMapper()
+    paths = json.loads(to_json.writeValueAsString(_indexed(files)))  # one call, not one per file
+    names = spark.createDataFrame([(p,) for p in paths], "path string")
+    names = names.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
     out = names.join(sized, "path", "left").fillna(0, ["size"])
     return out.withColumns({c: F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)", 1)) for c in keep})
