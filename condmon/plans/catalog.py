@@ -358,7 +358,7 @@ def q_stream_raw_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from condmon.streaming import bearing as SB
 
     root = _landed_snapshots(spark, sf_dir)
-    files = LN.list_files(spark, root, recursive=True).count()
+    files = LN.count_files(spark, root, recursive=True)
     stream = BF.snapshot_stream(spark, root, -(-files // REPLAY_BATCHES))
     sink, ckpt = work_dir(spark, "replay-sink"), work_dir(spark, "replay-ckpt")
     q = SB.start(BF.parse_snapshot_texts(stream, policy="by_test"), sink, ckpt, "append")
