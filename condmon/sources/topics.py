@@ -86,9 +86,20 @@ def select_datasets(choice: str, bearing: DataFrame | None, toolwear: DataFrame
 def write_messages(messages: DataFrame, path: str, mode: str = "append", by_topic: bool = False) -> None:
     """Land topic records as parquet files (the testable stand-in for a
     broker; ``write_kafka`` is the broker path), ``by_topic`` in a folder per
-    topic, so that a route reads only its own."""
-    writer = messages.write.mode(mode)
-    (writer.partitionBy("topic") if by_topic else writer).parquet(path)
+    topic, so that a route reads only its own.
+
+    The known topics are written one after another: a writer that meets them
+    mixed sorts all records of its task by topic, in memory.  Records of other
+    topics go through that sort, into folders beside."""
+    if not by_topic:
+        messages.write.mode(mode).parquet(path)
+        return
+    known = (BEARING_TOPIC, TOOLWEAR_TOPIC)
+    others = messages.where(F.col("topic").isNull() | ~F.col("topic").isin(*known))
+    others.write.mode(mode).partitionBy("topic").parquet(path)
+    for topic in known:
+        one = messages.where(F.col("topic") == topic).drop("topic")
+        one.write.mode("append").parquet(f"{path}/topic={topic}")
 
 
 def land_in_order(messages: DataFrame, path: str, order: Sequence, files: int) -> None:

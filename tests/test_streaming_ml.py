@@ -173,3 +173,21 @@ def test_ordered_replay(spark):
     got = span.orderBy("batch_id").collect()
     assert sum(r["n"] for r in got) == 60 and len(got) == 4
     assert all(a["hi"] < b["lo"] for a, b in zip(got, got[1:]))
+
+
+def test_topics_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """The known topics go to their folders without the writer that sorts by
+    topic; other topics and a missing one are kept."""
+    from pyspark.sql import DataFrameWriter
+
+    sorted_rows, partition_by = [], DataFrameWriter.partitionBy
+    monkeypatch.setattr(
+        DataFrameWriter, "partitionBy", lambda w, *c: sorted_rows.append(w._df.count()) or partition_by(w, *c)
+    )
+    known = [("bearing_raw", "1"), ("toolwear_raw", "2"), ("bearing_raw", None)]
+    rows = [*known, ("other", "3"), (None, "4")]
+    path = str(tmp_path / "t")
+    TP.write_messages(spark.createDataFrame(rows, "topic string, value string"), path, by_topic=True)
+    read = spark.read.schema("topic string, value string").parquet(path).select("topic", "value")
+    assert sorted(map(repr, read.collect())) == sorted(f"Row(topic={t!r}, value={v!r})" for t, v in rows)
+    assert sorted_rows == [2]
