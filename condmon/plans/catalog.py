@@ -916,16 +916,25 @@ SELECT experiment, M1_sequence_number, tool_condition, tool_condition AS tool_co
 FROM r WHERE rn <= ceil(0.2 * n)"""
 
 
-def _land(spark: SparkSession, messages: DataFrame, name: str, files: int | None = None) -> str:
-    """Write topic records as parquet in the shared work folder, in ``files``
-    files when given; returns the folder."""
-    path = work_dir(spark, name)
-    TP.write_messages(messages.repartition(files) if files else messages, path, mode="overwrite")
-    return path
+#: A landed replay has at least so many files and as many micro-batches.
+REPLAY_FILES, TRIGGERS = 8, 4
 
 
-#: Files of a landed replay, and files per micro-batch: four batches.
-REPLAY_FILES, FILES_PER_TRIGGER = 8, 2
+def _land(spark: SparkSession, messages: DataFrame, name: str) -> tuple[str, int]:
+    """Write topic records as parquet in the shared work folder, each task its
+    own file, so that files and tasks grow with the records; what falls into
+    fewer than ``REPLAY_FILES`` files is small and dealt over that many.
+    Returns the folder and the files per micro-batch of a replay in
+    ``TRIGGERS`` batches."""
+    path = work_dir(spark, name)
+    TP.write_messages(messages, path, mode="overwrite")
+    landed = spark.read.schema(TOPIC_RECORD).parquet(path)
+    files = len(landed.inputFiles())
+    if files < REPLAY_FILES:
+        path, files = f"{path}-dealt", REPLAY_FILES
+        TP.write_messages(landed.repartition(files), path, mode="overwrite")
+        files = len(spark.read.schema(TOPIC_RECORD).parquet(path).inputFiles())
+    return path, max(1, -(-files // TRIGGERS))
 
 
 def q_stream_update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -934,8 +943,8 @@ def q_stream_update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     version per snapshot — which must equal the batch aggregate."""
     from condmon.streaming import bearing as SB
 
-    landing = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "bearing-landing", REPLAY_FILES)
-    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=FILES_PER_TRIGGER)
+    landing, per_trigger = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "bearing-landing")
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=per_trigger)
     sink, ckpt = work_dir(spark, "bearing-sink"), work_dir(spark, "bearing-ckpt")
     q = SB.start(SB.bearing_feature_stream(stream), sink, ckpt, "update")
     q.awaitTermination()
@@ -1113,8 +1122,8 @@ def q_stream_as_soon_as_possible(spark: SparkSession, sf_dir: str) -> DataFrame:
     query goes on until it is stopped; then the batch aggregate."""
     from condmon.streaming import bearing as SB
 
-    landing = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "asap-landing", REPLAY_FILES)
-    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=FILES_PER_TRIGGER)
+    landing, per_trigger = _land(spark, TP.bearing_messages(T.bearing_records(spark, sf_dir)), "asap-landing")
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=per_trigger)
     sink, ckpt = work_dir(spark, "asap-sink"), work_dir(spark, "asap-ckpt")
     q = SB.start(SB.bearing_feature_stream(stream), sink, ckpt, "update", available_now=False)
     try:
@@ -1198,10 +1207,8 @@ def q_stream_append_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     model_path = work_dir(spark, "wear-model")
     ml.save(_train_wear(spark, sf_dir).model, model_path)
     model = ml.load(model_path)
-    landing = _land(
-        spark, TP.toolwear_messages(_machine_with_metadata(spark, sf_dir)), "toolwear-landing", REPLAY_FILES
-    )
-    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=FILES_PER_TRIGGER)
+    landing, per_trigger = _land(spark, TP.toolwear_messages(_machine_with_metadata(spark, sf_dir)), "toolwear-landing")
+    stream = TP.topic_stream(spark, "files", landing, max_files_per_trigger=per_trigger)
     sink, ckpt = work_dir(spark, "toolwear-sink"), work_dir(spark, "toolwear-ckpt")
     q = SB.start(SB.toolwear_feature_stream(stream), sink, ckpt, "append", scorer=lambda df: ml.score_wear(model, df))
     q.awaitTermination()
@@ -1209,7 +1216,7 @@ def q_stream_append_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_form(
         out.select(
             "experiment", "timestamp", "tool_condition_prediction", "tool_condition_true", "unscoreable",
-            F.col("batch_id").between(0, REPLAY_FILES // FILES_PER_TRIGGER - 1).alias("batch_known"),
+            F.col("batch_id").between(0, TRIGGERS - 1).alias("batch_known"),
         )
     )
 
@@ -1282,10 +1289,10 @@ def q_stream_serve_both(spark: SparkSession, sf_dir: str, params: dict | None =
     rul_path, wear_path = work_dir(spark, "rul-model"), work_dir(spark, "wear-model")
     ml.save(ml.train_rul(sup, _rul_columns(sup), params=params).model, rul_path)
     ml.save(_train_wear(spark, sf_dir, params).model, wear_path)
-    landing = _land(spark, _messages(spark, sf_dir), "serve-landing", REPLAY_FILES)
+    landing, per_trigger = _land(spark, _messages(spark, sf_dir), "serve-landing")
     sinks, ckpts = work_dir(spark, "serve-sinks"), work_dir(spark, "serve-ckpt")
     queries = serve(spark, rul_path, wear_path, sinks, ckpts, path=landing,
-                    max_files_per_trigger=FILES_PER_TRIGGER, available_now=True)
+                    max_files_per_trigger=per_trigger, available_now=True)
     SB.await_all(queries)
     preds = SB.latest_per_key(SB.read_sink(spark, f"{sinks}/bearing_predictions"), ["test_set", "file"])
     wear = SB.read_sink(spark, f"{sinks}/toolwear_predictions")

@@ -191,3 +191,13 @@ def test_topics_written_without_a_sort(spark, tmp_path, monkeypatch):
     read = spark.read.schema("topic string, value string").parquet(path).select("topic", "value")
     assert sorted(map(repr, read.collect())) == sorted(f"Row(topic={t!r}, value={v!r})" for t, v in rows)
     assert sorted_rows == [2]
+
+
+def test_landed_replay_grows_with_tasks(spark):
+    from condmon.plans import catalog as C
+
+    rows = spark.createDataFrame([("t", str(i)) for i in range(200)], "topic string, value string")
+    for parts, files, per_trigger in ((21, 21, 6), (1, C.REPLAY_FILES, 2)):
+        path, each = C._land(spark, rows.repartition(parts), "land-test")
+        landed = spark.read.parquet(path)
+        assert (len(landed.inputFiles()), each, landed.count()) == (files, per_trigger, 200)
