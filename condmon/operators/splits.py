@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from condmon.operators.keys import join_null_safe
 from condmon.session import materialize
 
+#: Cutoffs (one row per stratum) that a split sends to its tasks; more are joined by stratum.
+SENT_CUTOFFS = 100_000
+
 
 def key_hash(key_cols: Sequence[str], seed: int = 42) -> Column:
     """``md5(k1|k2|...|seed)`` -> unsigned 32-bit integer as BIGINT."""
@@ -50,9 +53,11 @@ def hash_split(
     Passes, none shuffling all rows: the row count; bucket counts (partially
     aggregated); the cutoff ``(h, key)`` taken from the rows of each
     stratum's boundary bucket only; and a map-side comparison of every row
-    with its stratum's cutoff (a table of one row per stratum).  When the
-    boundary cuts through rows with equal keys, a written copy of the rows
-    tells them apart.
+    with its stratum's cutoff (a table of one row per stratum, sent to the
+    tasks: joined by a few strata, all rows would meet in as many tasks).
+    Beyond ``SENT_CUTOFFS`` strata the rows are joined with it by stratum.
+    When the boundary cuts through rows with equal keys, a written copy of the
+    rows tells them apart.
 
     With ``group_col`` the rows of a group stay together and ``key_cols`` are
     not looked at: see ``group_split``.
@@ -90,9 +95,11 @@ def hash_split(
                 (F.col("_take") - F.col("_cum") + F.col("_same")).alias("_need"))
     )
     cutoff = materialize(cutoff)
-    ties = not cutoff.where("_need < _same").isEmpty()
+    found = cutoff.agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("_need < _same")).alias("ties")).first()
+    ties = bool(found["ties"])
     rows = materialize(hb.withColumn("_row", F.monotonically_increasing_id())) if ties else hb
-    tagged = _with_cutoff(rows, cutoff, strata, key_cols)
+    sent = F.broadcast(cutoff) if strata and found["n"] <= SENT_CUTOFFS else cutoff
+    tagged = _with_cutoff(rows, sent, strata, key_cols)
     below = (F.col("_b") < F.col("_eb")) | ((F.col("_b") == F.col("_eb")) & (order < F.col("_cut")))
     equal = (F.col("_b") == F.col("_eb")) & order.eqNullSafe(F.col("_cut"))
     if ties:

@@ -36,8 +36,9 @@ RUL_PARAMS = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 3, "seed": 42}
 WEAR_PARAMS = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "seed": 42}
 TEST_FRACTION = 0.2
 SPLIT_SEED = 42
-#: Training rows of one partition of a fit.
-FIT_ROWS = 100_000
+#: Training rows of one partition of a fit: while there are fewer partitions
+#: than task slots, and at most.
+FIT_ROWS, MAX_FIT_ROWS = 100_000, 500_000
 
 
 @dataclass
@@ -100,9 +101,15 @@ def train_rul(
 
 def training_rows(split: DataFrame) -> DataFrame:
     """The train side in partitions of about ``FIT_ROWS`` rows: a boosted fit
-    runs several small jobs per tree, whose cost is their number of tasks."""
+    runs several small jobs per tree, whose cost is their number of tasks.
+    Past one partition per task slot, partitions grow up to ``MAX_FIT_ROWS``
+    rows, in whole rounds of the slots, so that no pass ends in a part round."""
     train = split.where(F.col("split") == "train").drop("split")
-    parts = max(1, -(-train.count() // FIT_ROWS))
+    rows = train.count()
+    parts = max(1, -(-rows // FIT_ROWS))
+    slots = split.sparkSession.sparkContext.defaultParallelism
+    if parts > slots:
+        parts = slots * -(-rows // (slots * MAX_FIT_ROWS))
     return materialize(train.coalesce(parts) if parts == 1 else train.repartition(parts))
 
 

@@ -117,3 +117,39 @@ def test_grouped_wear_training(spark):
     trained = ml.train_wear(df, ["experiment", "seq"], params={"maxIter": 2}, group_col="experiment")
     tested = trained.test_predictions.groupBy("experiment").count().collect()
     assert len(tested) == 4 and {r["count"] for r in tested} == {10}
+
+
+def test_few_strata_leave_the_rows_spread(spark, monkeypatch):
+    from condmon.operators import splits as SP
+
+    df = spark.range(0, 4000, 1, 8).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 2).alias("s"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        out = hash_split(df, ["id"], 0.2, 42, strata=["s"])
+        tasks = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(tasks) == 8 and {r["count"] for r in tasks} == {500}
+        sent = sorted(map(tuple, out.collect()), key=str)
+        # more strata than are sent: the same sides
+        monkeypatch.setattr(SP, "SENT_CUTOFFS", 0)
+        assert sorted(map(tuple, hash_split(df, ["id"], 0.2, 42, strata=["s"]).collect()), key=str) == sent
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_fit_partitions_follow_the_slots(spark, monkeypatch):
+    from condmon.plans import ml
+
+    monkeypatch.setattr(ml, "FIT_ROWS", 10)
+    monkeypatch.setattr(ml, "MAX_FIT_ROWS", 50, raising=False)
+    slots = spark.sparkContext.defaultParallelism
+
+    def parts(n):
+        rows = ml.training_rows(spark.range(n).withColumn("split", F.lit("train")))
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == n and rows.distinct().count() == n
+        return len(sizes)
+
+    assert parts(5) == 1 and parts(25) == 3
+    # past a partition per slot: whole rounds of the slots, of up to 50 rows a partition
+    assert parts(slots * 20) == slots and parts(slots * 120) == 3 * slots
